@@ -1,0 +1,96 @@
+"""Side-by-side comparison of the registered queries with their SQL."""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+from collections import Counter
+from datetime import date, datetime
+
+import duckdb
+from pyspark.sql import DataFrame, SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def cell(value: object) -> object:
+    if isinstance(value, float):
+        return "NaN" if math.isnan(value) else value
+    if isinstance(value, datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+def bag(rows: list, columns: list[str]) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(cell(r[i]) for i in order) for r in rows)
+
+
+def spark_type(name: str) -> str:
+    return {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP",
+            "timestamp_ntz": "TIMESTAMP"}.get(name, name)
+
+
+def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """Differences, none if the results agree."""
+    problems = []
+    expected = con.execute(sql)
+    types = {d[0]: str(d[1]) for d in expected.description}
+    expected_rows = expected.fetchall()
+    actual_types = {n: spark_type(t) for n, t in df.dtypes}
+    if set(types) != set(actual_types):
+        return [f"columns {sorted(actual_types)} instead of {sorted(types)}"]
+    problems += [
+        f"column {n}: {actual_types[n]} instead of {t}" for n, t in types.items()
+        if actual_types[n] != t
+    ]
+    actual, wanted = bag(df.collect(), df.columns), bag(expected_rows, list(types))
+    if actual != wanted:
+        more, less = actual - wanted, wanted - actual
+        problems.append(
+            f"{sum(actual.values())} rows instead of {sum(wanted.values())}; "
+            f"{sum(more.values())} unexpected such as {list(more)[:2]}; "
+            f"{sum(less.values())} absent such as {list(less)[:2]}"
+        )
+    return problems
+
+
+if __name__ == "__main__":
+    from barloom.session import build_session
+    from workload.bars import QUERIES
+    from workload.oracle import ORACLE
+
+    sf_dir = sys.argv[1]
+    chosen = sys.argv[2:] or list(QUERIES)
+    spark: SparkSession = build_session(
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__driver__memory="8g")
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    failed = 0
+    for name in chosen:
+        begun = time.time()
+        try:
+            df = QUERIES[name](spark, sf_dir)
+            problems = compare(df, con, ORACLE[name]) if name in ORACLE else []
+            rows = "" if name in ORACLE else f" ({df.count()} rows only)"
+        except Exception as error:  # noqa: BLE001
+            problems, rows = [f"{type(error).__name__}: {str(error)[:1500]}"], ""
+        failed += bool(problems)
+        print(f"{'FAIL' if problems else 'ok  '} {name}{rows} {time.time() - begun:.2f}s",
+              *problems, sep="\n     ", flush=True)
+    print(f"{len(chosen) - failed}/{len(chosen)} agree; without SQL: "
+          f"{sorted(set(QUERIES) - set(ORACLE))}")
