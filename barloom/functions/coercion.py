@@ -37,4 +37,4 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not floating:
         return df
-    return df.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in floating})
+    return df.withColumns({c: F.expr(f"if(isnan(`{c}`), null, `{c}`)") for c in floating})

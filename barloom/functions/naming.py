@@ -37,9 +37,9 @@ UNSAFE_CHARACTERS = {" ": "_", "/": "_", "^": "", "=": "_"}
 
 
 def lookup(key: Column, values: dict[str, str]) -> Column:
-    """values[key], NULL where absent; a literal map, so it stays in generated code."""
-    literals = [F.lit(part) for pair in values.items() for part in pair]
-    return F.try_element_at(F.create_map(*literals), key)
+    """values[key], NULL where absent; a literal map, so no join is needed."""
+    entries = ", ".join(f"'{name}', '{value}'" for name, value in values.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def storage_key(symbol: Column) -> Column:

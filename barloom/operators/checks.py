@@ -2,13 +2,16 @@
 
 Every check contributes counters to two shared aggregations and a verdict over the results:
 
-1. bars -> (asset, date): row counters, combined map-side, so neither an asset nor a date with a
-   very large share of the rows is ever gathered in one task;
-2. (asset, date) -> asset: date counters, which also see `date_rows` (rows of that date) and
-   `gap_days` (days since the previous date). An asset has at most one row per calendar day here,
-   which bounds the window that finds the previous date, whatever the number of bars.
-
-Checks that need no dates skip step 1 and aggregate bars straight to assets.
+1. bars -> (asset, span of 16 days): row counters and the number of rows of each day, combined
+   map-side. Neither an asset nor a day with a very large share of the rows is ever gathered in
+   one task, and what is shuffled is one row per span instead of one per bar.
+2. (asset, span) -> asset: date counters, which see `day_rows` (the row counts of the days that
+   have any) and `gaps` (days between consecutive dates, the first one reaching back to the
+   previous span). The calendar bounds the spans of an asset, and so the window that finds the
+   previous one, whatever the number of bars.
+
+Checks that need no dates skip step 1 and aggregate bars straight to assets. Conditions are SQL
+text over bar columns, which keeps added checks short.
 """
 
 from __future__ import annotations
@@ -17,19 +20,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.coercion import nan_to_null
-from barloom.schema import (
-    ASSET_KEY,
-    FAILED,
-    PASSED,
-    PRICE_COLUMNS,
-    RESULT_TYPE,
-    SKIPPED,
-    WARNING,
-)
+from barloom.schema import ASSET_KEY, FAILED, PASSED, PRICE_COLUMNS, SKIPPED, WARNING
 
 # Fixed values of the rules.
 DEFAULT_MAX_GAP_DAYS = 5
@@ -37,6 +32,16 @@ VERY_LARGE_GAP_DAYS = 15
 EARLIEST_DATE = date(1990, 1, 1)
 CRITICAL_COLUMNS = ["date"] + PRICE_COLUMNS + ["volume"]
 
+# The three independent price rules, each as "this bar breaks it"; missing prices break none.
+OHLC_RULES = {
+    "high_lt_low": "coalesce(high < low, false)",
+    "open_out_of_range": "coalesce(open > high, false) or coalesce(open < low, false)",
+    "close_out_of_range": "coalesce(close > high, false) or coalesce(close < low, false)",
+}
+
+SPAN_BITS = 4
+SPAN_DAYS = 1 << SPAN_BITS
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -50,19 +55,31 @@ class Settings:
             raise ValueError("max_gap_days must not be negative")
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """What a check reports where `when` holds; SQL over the counters, except the status."""
+
+    when: str
+    status: str
+    message: str
+    rows: str
+    details: str = "null"
+
+
 @dataclass(frozen=True)
 class Check:
     """One check. Counter names must be unique among the checks that run together.
 
     row_counters: name -> condition on a bar; the number of bars it holds for.
-    date_counters: name -> aggregate over an asset's dates (columns date_rows, gap_days).
-    verdict: result struct from the counters.
+    date_counters: name -> aggregate over an asset's spans (arrays day_rows and gaps).
+    outcomes: the first that applies is reported, else PASSED with the message `fine`.
     """
 
     name: str
-    verdict: Callable[[Settings, Sequence[str]], Column]
-    row_counters: Callable[[Settings, Sequence[str]], dict[str, Column]] = lambda s, c: {}
-    date_counters: Callable[[Settings], dict[str, Column]] = lambda s: {}
+    outcomes: Callable[[Settings, Sequence[str]], list[Outcome]]
+    fine: Callable[[Settings], str]
+    row_counters: Callable[[Settings, Sequence[str]], dict[str, str]] = lambda s, c: {}
+    date_counters: Callable[[Settings], dict[str, str]] = lambda s: {}
     needs: Sequence[str] = field(default_factory=tuple)
     needs_any: Sequence[str] = field(default_factory=tuple)
     on_missing: str = ""
@@ -73,168 +90,151 @@ class Check:
         return set(self.needs) <= set(columns) and some
 
 
-def holds(condition: Column) -> Column:
-    """A comparison with NULL counts as "no"."""
-    return F.coalesce(condition, F.lit(False))
+def quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def text(*parts: Column | str) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
-
-
-def result(
-    name: str, status: str, message: Column | str,
-    rows: Column | None = None, details: Column | None = None,
-) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.lit(status).alias("status"),
-        (message if isinstance(message, Column) else F.lit(message)).alias("message"),
-        (F.lit(None) if details is None else details).cast("map<string,bigint>").alias("details"),
-        (F.lit(0) if rows is None else rows).cast("bigint").alias("rows_affected"),
+def result_sql(name: str, status: str, message: str, rows: str = "0", details: str = "null") -> str:
+    """A result struct; `message`, `rows` and `details` are SQL."""
+    return (
+        f"named_struct('check_name', {quoted(name)}, 'status', {quoted(status)}, "
+        f"'message', {message}, 'details', cast({details} as map<string,bigint>), "
+        f"'rows_affected', cast({rows} as bigint))"
     )
 
 
-def non_zero(counts: dict[str, str]) -> Column:
-    """A map of label -> counter column that leaves out the zero counters."""
-    entries = [part for label, c in counts.items() for part in (F.lit(label), F.col(c))]
-    return F.map_filter(F.create_map(*entries), lambda _, n: n > 0)
+def skipped_sql(name: str, message: str) -> str:
+    return result_sql(name, SKIPPED, quoted(message))
 
 
-def ohlc_violations() -> dict[str, Column]:
-    """The three independent price rules, each as "this bar breaks it"."""
-    o, h, l, c = (F.col(name) for name in PRICE_COLUMNS)
-    return {
-        "high_lt_low": holds(h < l),
-        "open_out_of_range": holds(o > h) | holds(o < l),
-        "close_out_of_range": holds(c > h) | holds(c < l),
-    }
+def verdict_sql(check: Check, settings: Settings, columns: Sequence[str]) -> str:
+    """The check's result struct from its counters; skipped where columns are missing."""
+    if not check.runs_on(columns):
+        return skipped_sql(check.name, check.on_missing)
+    branches = " ".join(
+        f"when {o.when} then {result_sql(check.name, o.status, o.message, o.rows, o.details)}"
+        for o in check.outcomes(settings, columns)
+    )
+    fine = result_sql(check.name, PASSED, quoted(check.fine(settings)))
+    return f"case {branches} else {fine} end"
 
 
-def _duplicates(_: Settings, __: Sequence[str]) -> Column:
-    n = F.col("duplicate_rows")
-    return F.when(
-        n > 0, result("duplicates", FAILED, text("Found ", n, " duplicate rows by date"), n)
-    ).otherwise(result("duplicates", PASSED, "No duplicate dates found"))
+def verdicts_sql(checks: Sequence[Check], settings: Settings, columns: Sequence[str]) -> str:
+    """Result structs of all checks in order, as one array."""
+    return f"array({', '.join(verdict_sql(c, settings, columns) for c in checks)})"
 
 
-def _gaps(settings: Settings, _: Sequence[str]) -> Column:
-    name, limit = "missing_trading_days", settings.max_gap_days
-    n, widest = F.col("large_gaps"), F.col("widest_gap")
-    found = text("Found ", n, f" gaps > {limit} days")
-    count = [F.lit("gap_count"), n]
-    return (
-        F.when(n == 0, result(name, PASSED, f"No gaps larger than {limit} days"))
-        .when(
-            widest > VERY_LARGE_GAP_DAYS,
-            result(
-                name, WARNING, text(found, " (max gap: ", widest, " days)"), n,
-                F.create_map(F.lit("max_gap_days"), widest.cast("bigint"), *count),
-            ),
-        )
-        .otherwise(result(name, WARNING, found, n, F.create_map(*count)))
-    )
+def non_zero(counters: dict[str, str]) -> str:
+    """A map of label -> counter that leaves out the zero counters."""
+    entries = ", ".join(f"{quoted(label)}, {counter}" for label, counter in counters.items())
+    return f"map_filter(map({entries}), (k, n) -> n > 0)"
 
 
-def _ohlc(_: Settings, __: Sequence[str]) -> Column:
-    counters = {label: label for label in ohlc_violations()}
-    n = sum((F.col(c) for c in counters), F.lit(0))
-    return F.when(
-        n > 0,
-        result("ohlc_consistency", FAILED, text("Found ", n, " OHLC consistency violations"),
-               n, non_zero(counters)),
-    ).otherwise(result("ohlc_consistency", PASSED, "All OHLC values are consistent"))
+def found(counter: str, what: str) -> str:
+    return f"concat('Found ', {counter}, {quoted(' ' + what)})"
 
 
-def _volume(_: Settings, __: Sequence[str]) -> Column:
-    n = F.col("negative_volumes")
-    return F.when(
-        n > 0, result("negative_volume", FAILED, text("Found ", n, " rows with negative volume"), n)
-    ).otherwise(result("negative_volume", PASSED, "No negative volume values"))
+def _gap_outcomes(settings: Settings, _: Sequence[str]) -> list[Outcome]:
+    gaps = found("large_gaps", f"gaps > {settings.max_gap_days} days")
+    return [
+        Outcome(
+            f"large_gaps > 0 and widest_gap > {VERY_LARGE_GAP_DAYS}", WARNING,
+            f"concat({gaps}, ' (max gap: ', widest_gap, ' days)')", "large_gaps",
+            "map('max_gap_days', cast(widest_gap as bigint), 'gap_count', large_gaps)",
+        ),
+        Outcome("large_gaps > 0", WARNING, gaps, "large_gaps", "map('gap_count', large_gaps)"),
+    ]
 
 
 def _null_counters(columns: Sequence[str]) -> dict[str, str]:
     return {c: f"null_{c}" for c in CRITICAL_COLUMNS if c in columns}
 
 
-def _nulls(_: Settings, columns: Sequence[str]) -> Column:
+def _null_outcomes(_: Settings, columns: Sequence[str]) -> list[Outcome]:
     counters = _null_counters(columns)
-    n = sum((F.col(c) for c in counters.values()), F.lit(0))
-    return F.when(
-        n > 0,
-        result("null_values", WARNING, text("Found ", n, " null values across critical columns"),
-               n, non_zero(counters)),
-    ).otherwise(result("null_values", PASSED, "No null values in critical columns"))
+    total = f"({' + '.join(counters.values())})"
+    return [Outcome(
+        f"{total} > 0", WARNING, found(total, "null values across critical columns"), total,
+        non_zero(counters),
+    )]
 
 
-def _range(_: Settings, __: Sequence[str]) -> Column:
-    future, old = F.col("future_dates"), F.col("old_dates")
-    return (
-        F.when(
-            future > 0,
-            result("data_range", FAILED, text("Found ", future, " rows with future dates"), future),
-        )
-        .when(old > 0, result("data_range", WARNING, text("Found ", old, " rows before 1990"), old))
-        .otherwise(result("data_range", PASSED, "All dates within expected range"))
-    )
-
+_OHLC_TOTAL = f"({' + '.join(OHLC_RULES)})"
 
 DUPLICATES = Check(
     name="duplicates",
-    verdict=_duplicates,
     date_counters=lambda s: {
-        "duplicate_rows": F.sum(
-            F.when(F.col("date_rows") > 1, F.col("date_rows")).otherwise(F.lit(0))
-        )
+        "duplicate_rows":
+            "sum(aggregate(filter(day_rows, n -> n > 1), 0L, (total, n) -> total + n))",
     },
+    outcomes=lambda s, c: [Outcome(
+        "duplicate_rows > 0", FAILED, found("duplicate_rows", "duplicate rows by date"),
+        "duplicate_rows",
+    )],
+    fine=lambda s: "No duplicate dates found",
     needs=["date"],
     on_missing="No 'date' column found",
     on_empty="Empty DataFrame",
 )
 MISSING_TRADING_DAYS = Check(
     name="missing_trading_days",
-    verdict=_gaps,
     date_counters=lambda s: {
-        "large_gaps": F.count_if(F.col("gap_days") > s.max_gap_days),
-        "widest_gap": F.max("gap_days"),
+        "large_gaps": f"sum(cast(size(filter(gaps, d -> d > {s.max_gap_days})) as bigint))",
+        "widest_gap": "max(array_max(gaps))",
     },
+    outcomes=_gap_outcomes,
+    fine=lambda s: f"No gaps larger than {s.max_gap_days} days",
     needs=["date"],
     on_missing="Insufficient data",
     on_empty="Insufficient data",
 )
 OHLC_CONSISTENCY = Check(
     name="ohlc_consistency",
-    verdict=_ohlc,
-    row_counters=lambda s, c: ohlc_violations(),
+    row_counters=lambda s, c: OHLC_RULES,
+    outcomes=lambda s, c: [Outcome(
+        f"{_OHLC_TOTAL} > 0", FAILED, found(_OHLC_TOTAL, "OHLC consistency violations"),
+        _OHLC_TOTAL, non_zero({rule: rule for rule in OHLC_RULES}),
+    )],
+    fine=lambda s: "All OHLC values are consistent",
     needs=PRICE_COLUMNS,
     on_missing="Missing required OHLC columns",
     on_empty="Missing required OHLC columns",
 )
 NEGATIVE_VOLUME = Check(
     name="negative_volume",
-    verdict=_volume,
-    row_counters=lambda s, c: {"negative_volumes": F.col("volume") < 0},
+    row_counters=lambda s, c: {"negative_volumes": "volume < 0"},
+    outcomes=lambda s, c: [Outcome(
+        "negative_volumes > 0", FAILED, found("negative_volumes", "rows with negative volume"),
+        "negative_volumes",
+    )],
+    fine=lambda s: "No negative volume values",
     needs=["volume"],
     on_missing="No 'volume' column found",
     on_empty="No 'volume' column found",
 )
 NULL_VALUES = Check(
     name="null_values",
-    verdict=_nulls,
     row_counters=lambda s, columns: {
-        counter: F.col(c).isNull() for c, counter in _null_counters(columns).items()
+        counter: f"{c} is null" for c, counter in _null_counters(columns).items()
     },
+    outcomes=_null_outcomes,
+    fine=lambda s: "No null values in critical columns",
     needs_any=CRITICAL_COLUMNS,
     on_missing="No critical columns found",
     on_empty="Empty DataFrame",
 )
 DATA_RANGE = Check(
     name="data_range",
-    verdict=_range,
     row_counters=lambda s, c: {
-        "future_dates": F.col("date") > F.lit(s.as_of),
-        "old_dates": F.col("date") < F.lit(EARLIEST_DATE),
+        "future_dates": f"date > date'{s.as_of}'",
+        "old_dates": f"date < date'{EARLIEST_DATE}'",
     },
+    outcomes=lambda s, c: [
+        Outcome("future_dates > 0", FAILED, found("future_dates", "rows with future dates"),
+                "future_dates"),
+        Outcome("old_dates > 0", WARNING, found("old_dates", "rows before 1990"), "old_dates"),
+    ],
+    fine=lambda s: "All dates within expected range",
     needs=["date"],
     on_missing="Insufficient data",
     on_empty="Insufficient data",
@@ -245,25 +245,52 @@ ALL_CHECKS = (
 )
 
 
-def date_profile(bars: DataFrame, counters: dict[str, Column] | None = None,
-                 by: Sequence[str] = ASSET_KEY) -> DataFrame:
-    """One row per asset and date: date_rows, gap_days to the previous date, and the counters."""
-    per_date = bars.groupBy(*by, "date").agg(
-        F.count(F.lit(1)).alias("date_rows"),
-        *[F.count_if(condition).alias(name) for name, condition in (counters or {}).items()],
+def date_spans(
+    bars: DataFrame, counters: dict[str, str] | None = None, by: Sequence[str] = ASSET_KEY
+) -> DataFrame:
+    """One row per asset and span of 16 days that has bars.
+
+    Columns: the key, span_rows, the counters, `days` (dates as day numbers, ascending), `day_rows`
+    (rows of each), `gaps` (days since the previous date; none for an asset's first). Bars without
+    a date form one span of their own, with day_rows but neither days nor gaps.
+    """
+    day_counts = [f"count_if(_day & {SPAN_DAYS - 1} = {i}) as _n{i}" for i in range(SPAN_DAYS)]
+    counted = (
+        bars.withColumn("_day", F.expr("unix_date(date)"))
+        .groupBy(*by, F.expr(f"shiftright(_day, {SPAN_BITS})").alias("_span"))
+        .agg(*[F.expr(e) for e in (
+            "count(1) as span_rows",
+            *[f"count_if({condition}) as {name}" for name, condition in (counters or {}).items()],
+            *day_counts,
+        )])
+    )
+    all_counts = ", ".join(f"_n{i}" for i in range(SPAN_DAYS))
+    present = counted.selectExpr(
+        *by, "_span", "span_rows", *(counters or {}),
+        f"""filter(transform(array({all_counts}),
+              (n, i) -> named_struct('day', _span * {SPAN_DAYS} + i, 'rows', n)),
+            d -> d.rows > 0) as _present""",
+    )
+    # The span without dates sorts first and has no last day.
+    previous = F.lag(F.expr("try_element_at(_present, -1).day")).over(
+        Window.partitionBy(*by).orderBy("_span")
+    )
+    return present.withColumn("_previous", previous).selectExpr(
+        *by, "span_rows", *(counters or {}),
+        "_present.day as days",
+        "if(_span is null, array(span_rows), _present.rows) as day_rows",
+        """filter(transform(_present, (d, i) -> d.day - if(i = 0, _previous, _present[i - 1].day)),
+             g -> g is not null) as gaps""",
     )
-    # NULL dates sort first and yield no gap, so the first real date has none either.
-    previous = F.lag("date").over(Window.partitionBy(*by).orderBy("date"))
-    return per_date.withColumn("gap_days", F.date_diff("date", previous))
 
 
 def date_gaps(bars: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
     """Gaps in calendar days between an asset's consecutive distinct dates."""
-    return (
-        date_profile(bars, by=by)
-        .where(F.col("gap_days").isNotNull())
-        .select(*by, "date", F.col("gap_days").cast("bigint").alias("gap_days"))
-    )
+    # Only an asset's first date has no gap, so the gaps belong to the last size(gaps) days.
+    steps = """filter(transform(days, (d, i) -> named_struct(
+        'date', date_from_unix_date(d),
+        'gap_days', cast(get(gaps, i - size(days) + size(gaps)) as bigint))), s -> s.gap_days is not null)"""
+    return date_spans(bars, by=by).selectExpr(*by, f"inline({steps})")
 
 
 def duplicate_rows(bars: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
@@ -284,24 +311,14 @@ def count_by_asset(
     row_counters = {n: x for c in runnable for n, x in c.row_counters(settings, bars.columns).items()}
     date_counters = {n: x for c in runnable for n, x in c.date_counters(settings).items()}
     if not date_counters:
-        return bars.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            *[F.count_if(condition).alias(name) for name, condition in row_counters.items()],
-        )
-    return date_profile(bars, row_counters, by).groupBy(*by).agg(
-        F.sum("date_rows").alias("total_rows"),
-        *[F.sum(name).alias(name) for name in row_counters],
-        *[aggregate.alias(name) for name, aggregate in date_counters.items()],
-    )
-
-
-def verdicts(columns: Sequence[str], settings: Settings, checks: Sequence[Check]) -> list[Column]:
-    """Result structs in check order; a check whose columns are missing is skipped."""
-    return [
-        check.verdict(settings, columns) if check.runs_on(columns)
-        else result(check.name, SKIPPED, check.on_missing)
-        for check in checks
-    ]
+        aggregates = ["count(1) as total_rows"]
+        aggregates += [f"count_if({condition}) as {n}" for n, condition in row_counters.items()]
+        return bars.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
+    aggregates = ["sum(span_rows) as total_rows"]
+    aggregates += [f"sum({n}) as {n}" for n in row_counters]
+    aggregates += [f"{aggregate} as {n}" for n, aggregate in date_counters.items()]
+    spans = date_spans(bars, row_counters, by)
+    return spans.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
 
 
 def run_checks(
@@ -313,10 +330,9 @@ def run_checks(
     With `assets`, those without bars get the checks' "empty" outcomes as SKIPPED rows.
     """
     counted = count_by_asset(bars, settings, checks, by)
-    outcomes = F.array(*verdicts(bars.columns, settings, checks))
+    outcomes = verdicts_sql(checks, settings, bars.columns)
     if assets is not None:
         counted = assets.select(*by).join(counted, list(by), "left")
-        empty = F.array(*[result(c.name, SKIPPED, c.on_empty) for c in checks])
-        outcomes = F.when(F.col("total_rows").isNull(), empty).otherwise(outcomes)
-    outcomes = outcomes.cast(f"array<{RESULT_TYPE}>")
-    return counted.select(*by, F.inline(outcomes))
+        empty = ", ".join(skipped_sql(c.name, c.on_empty) for c in checks)
+        outcomes = f"if(total_rows is null, array({empty}), {outcomes})"
+    return counted.selectExpr(*by, f"inline({outcomes})")

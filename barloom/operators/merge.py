@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schema import ASSET_KEY, BAR_KEY
+from barloom.work import written
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
@@ -41,6 +42,7 @@ def upsert_bars(
     known = existing.select(*ASSET_KEY).distinct()
     arriving = incoming.select(*ASSET_KEY).distinct()
     touched = arriving if dedupe_first_load else arriving.join(known, ASSET_KEY, "left_semi")
+    touched = written(touched, "touched")
     everything = existing.withColumn("_batch", F.lit(0)).unionByName(
         incoming.withColumn("_batch", F.lit(1)), allowMissingColumns=True
     )

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.coercion import nan_to_null
-from barloom.operators.checks import ohlc_violations
+from barloom.operators.checks import OHLC_RULES
 from barloom.operators.merge import dedupe_bars
 from barloom.schema import ASSET_KEY, PASSED, PRICE_COLUMNS
+from barloom.work import written
 
 
 def is_violation() -> Column:
     """Whether a bar breaks any of the price rules."""
-    return reduce(lambda a, b: a | b, ohlc_violations().values())
+    return F.expr(" or ".join(OHLC_RULES.values()))
+
+
+def flagged_assets(bars: DataFrame) -> DataFrame:
+    """Assets with a violation, as a written table."""
+    return written(bars.where(is_violation()).select(*ASSET_KEY).distinct(), "flagged")
 
 
 def repaired_counts(bars: DataFrame) -> DataFrame:
@@ -47,7 +51,7 @@ def repair_ohlc(bars: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
         c: F.when(is_violation(), spanned[c]).otherwise(F.col(c)) for c in spanned
     })
     if flagged is None:
-        flagged = bars.where(is_violation()).select(*ASSET_KEY).distinct()
+        flagged = flagged_assets(bars)
     waiting = bars.where(open_ended).join(
         flagged.withColumn("_flagged", F.lit(True)), ASSET_KEY, "left"
     )
@@ -64,7 +68,7 @@ def repair_assets(bars: DataFrame, order: str = "seq") -> DataFrame:
     """
     bars = nan_to_null(bars)
     prices = [F.col(c) for c in PRICE_COLUMNS]
-    flagged = bars.where(is_violation()).select(*ASSET_KEY).distinct()
+    flagged = flagged_assets(bars)
     hit = bars.join(flagged, ASSET_KEY, "left_semi").withColumns(
         {"high": F.greatest(*prices), "low": F.least(*prices)}
     )

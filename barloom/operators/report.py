@@ -13,10 +13,10 @@ from barloom.operators.checks import (
     Check,
     Settings,
     count_by_asset,
-    result,
-    verdicts,
+    skipped_sql,
+    verdicts_sql,
 )
-from barloom.schema import ASSET_KEY, FAILED, PASSED, RESULT_TYPE, SKIPPED, WARNING
+from barloom.schema import ASSET_KEY, FAILED
 
 NO_DATA_CHECK = "data_exists"
 NO_DATA_MESSAGE = "No data available for validation"
@@ -31,17 +31,14 @@ def validation_report(
     Both join sides hold one row per asset at most, so no asset is heavy in the join.
     """
     counted = count_by_asset(bars, settings, checks)
-    no_data = F.array(result(NO_DATA_CHECK, SKIPPED, NO_DATA_MESSAGE))
-    outcomes = F.when(F.col("total_rows").isNull(), no_data).otherwise(
-        F.array(*verdicts(bars.columns, settings, checks))
-    )
+    no_data = skipped_sql(NO_DATA_CHECK, NO_DATA_MESSAGE)
+    outcomes = verdicts_sql(checks, settings, bars.columns)
     return (
         universe.select("symbol", *ASSET_KEY)
         .join(counted, ASSET_KEY, "left")
-        .select(
-            "symbol", *ASSET_KEY,
-            F.coalesce("total_rows", F.lit(0)).cast("bigint").alias("total_rows"),
-            F.inline(outcomes.cast(f"array<{RESULT_TYPE}>")),
+        .selectExpr(
+            "symbol", *ASSET_KEY, "coalesce(total_rows, 0L) as total_rows",
+            f"inline(if(total_rows is null, array({no_data}), {outcomes}))",
         )
     )
 
@@ -49,18 +46,17 @@ def validation_report(
 def report_summary(report: DataFrame) -> DataFrame:
     """Per asset: passed, warned and failed counts, verdict (no FAILED row) and summary line."""
     counted = report.groupBy("symbol", *ASSET_KEY).agg(
-        F.max("total_rows").alias("total_rows"),
-        *[
-            F.count_if(F.col("status") == status).alias(name)
-            for name, status in (("passed", PASSED), ("warned", WARNING), ("failed", FAILED))
-        ],
+        F.expr("max(total_rows) as total_rows"),
+        F.expr("count_if(status = 'PASSED') as passed"),
+        F.expr("count_if(status = 'WARNING') as warned"),
+        F.expr("count_if(status = 'FAILED') as failed"),
+    )
+    return counted.selectExpr(
+        "*",
+        "if(failed = 0, 'PASS', 'FAIL') as verdict",
+        """format_string('%s: %d passed, %d warnings, %d failed', symbol, passed, warned, failed)
+           as summary""",
     )
-    return counted.withColumns({
-        "verdict": F.when(F.col("failed") == 0, "PASS").otherwise("FAIL"),
-        "summary": F.format_string(
-            "%s: %d passed, %d warnings, %d failed", "symbol", "passed", "warned", "failed"
-        ),
-    })
 
 
 def batch_summary(report: DataFrame) -> DataFrame:

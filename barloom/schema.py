@@ -91,8 +91,3 @@ VALIDATION_LOG_SCHEMA = T.StructType([
     T.StructField("details", T.StringType()),
     T.StructField("validated_at", T.TimestampType()),
 ])
-
-RESULT_TYPE = (
-    "struct<check_name:string,status:string,message:string,"
-    "details:map<string,bigint>,rows_affected:bigint>"
-)

@@ -12,18 +12,17 @@ from pyspark.sql import types as T
 from barloom.functions.naming import class_dir_strict
 from barloom.schema import PARTITION_FIELDS, STORED_SCHEMA, UNIVERSE_SCHEMA
 from barloom.sources import files
+from barloom.sources.store import NO_YEAR, PAIR, laid_out
 
 SNAPSHOT_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)
 
 
 def export_snapshot(bars: DataFrame, universe: DataFrame | None, path: str) -> None:
     """Writes bars by asset class and year, and the universe; logs and reports stay behind."""
-    pair = [f.name for f in PARTITION_FIELDS]
-    dated = bars.withColumn("bar_year", F.coalesce(F.year("date"), F.lit(0)))
+    dated = bars.withColumn("bar_year", F.coalesce(F.year("date"), F.lit(NO_YEAR)))
     (
-        dated.select(*SNAPSHOT_SCHEMA.fieldNames()).hint("rebalance", *pair)
-        .sortWithinPartitions(*pair, "storage_key", "date")
-        .write.mode("overwrite").partitionBy(*pair).parquet(f"{path}/bars")
+        laid_out(dated.select(*SNAPSHOT_SCHEMA.fieldNames()))
+        .write.mode("overwrite").partitionBy(*PAIR).parquet(f"{path}/bars")
     )
     if universe is not None:
         universe.write.mode("overwrite").parquet(f"{path}/universe")
