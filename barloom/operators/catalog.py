@@ -64,19 +64,21 @@ def asset_type_counts(assets: DataFrame) -> DataFrame:
 
 def status_summary(assets: DataFrame, download_log: DataFrame, as_of: datetime) -> DataFrame:
     """One row: assets, assets per class, downloads of the last 24 hours, failed downloads."""
-    since = F.lit(as_of) - F.expr("INTERVAL 24 HOURS")
-    classes = assets.groupBy("asset_type").agg(F.count(F.lit(1)).alias("n"))
-    asset_part = classes.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_assets"),
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct("asset_type", "n")))
-        ).alias("asset_type_counts"),
+    since = f"timestamp'{as_of.isoformat(' ')}' - interval 24 hours"
+    per_class = assets.groupBy("asset_type").agg(F.expr("count(1) as n")).selectExpr(
+        "asset_type", "n", "0L as recent", "0L as failed"
     )
-    log_part = download_log.agg(
-        F.count_if(F.col("download_time") > since).alias("recent_downloads_24h"),
-        F.count_if(F.col("status") == "error").alias("total_failed_downloads"),
+    downloads = download_log.agg(
+        F.expr(f"count_if(download_time > {since}) as recent"),
+        F.expr("count_if(status = 'error') as failed"),
+    ).selectExpr("cast(null as string) as asset_type", "0L as n", "recent", "failed")
+    return per_class.unionByName(downloads).agg(
+        F.expr("sum(n) as total_assets"),
+        F.expr("""map_from_entries(sort_array(collect_list(
+            if(asset_type is null, null, struct(asset_type, n))))) as asset_type_counts"""),
+        F.expr("sum(recent) as recent_downloads_24h"),
+        F.expr("sum(failed) as total_failed_downloads"),
     )
-    return asset_part.join(log_part, F.lit(True))
 
 
 def download_history(log: DataFrame, symbol: str | None = None) -> DataFrame:

@@ -257,7 +257,8 @@ def date_spans(
     day_counts = [f"count_if(_day & {SPAN_DAYS - 1} = {i}) as _n{i}" for i in range(SPAN_DAYS)]
     counted = (
         bars.withColumn("_day", F.expr("unix_date(date)"))
-        .groupBy(*by, F.expr(f"shiftright(_day, {SPAN_BITS})").alias("_span"))
+        .withColumn("_span", F.expr(f"shiftright(_day, {SPAN_BITS})"))
+        .groupBy(*by, "_span")
         .agg(*[F.expr(e) for e in (
             "count(1) as span_rows",
             *[f"count_if({condition}) as {name}" for name, condition in (counters or {}).items()],

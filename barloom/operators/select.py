@@ -32,9 +32,9 @@ def filter_asset_type(assets: DataFrame, asset_type: str | None) -> DataFrame:
 def filter_dates(bars: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
     """Bars within the inclusive bounds; a bound left out does not restrict."""
     if start is not None:
-        bars = bars.where(F.col("date") >= F.lit(start))
+        bars = bars.where(f"date >= date'{start.isoformat()}'")
     if end is not None:
-        bars = bars.where(F.col("date") <= F.lit(end))
+        bars = bars.where(f"date <= date'{end.isoformat()}'")
     return bars
 
 

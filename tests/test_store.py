@@ -1,0 +1,193 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.operators.merge import dedupe_bars, upsert_bars
+from barloom.operators.repair import repair_assets
+from barloom.sources.store import BarStore
+from conftest import bar
+from test_brute_force import content, random_rows
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return BarStore(spark, str(tmp_path / "store"))
+
+
+def test_roundtrip(store, good_bars):
+    assert store.save(good_bars)
+    assert content(store.load().select(good_bars.columns)) == content(
+        good_bars.withColumn("seq", F.col("seq")))
+
+
+def test_empty_store(store, assets):
+    assert store.load().count() == 0
+    assert store.stored_assets().count() == 0
+    assert store.last_dates().count() == 0
+    assert {r.row_count for r in store.row_counts(assets).collect()} == {0}
+    assert store.class_stats().count() == 0
+    assert not store.exists("EQUITY", "RELIANCE")
+
+
+def test_saving_nothing_changes_nothing(store, good_bars):
+    assert not store.save(good_bars.where("false"))
+    assert store.version().number == 0
+
+
+def test_save_needs_an_arrival_order(store, good_bars):
+    with pytest.raises(ValueError, match="seq"):
+        store.save(good_bars.drop("seq"))
+
+
+def test_figures(store, good_bars, assets):
+    store.save(good_bars)
+    assert store.exists("EQUITY", "RELIANCE")
+    assert [r.last_date for r in store.last_dates().collect()] == [date(2024, 1, 8)]
+    assert {r.symbol: r.row_count for r in store.row_counts(assets).collect()} == {
+        "RELIANCE": 5, "NIFTY 50": 0}
+    assert [r.storage_key for r in store.stored_assets().collect()] == ["RELIANCE"]
+    stats = store.class_stats().collect()
+    assert [(r["class"], r.files) for r in stats] == [("stocks", 1)] and stats[0].size_bytes > 0
+
+
+def test_overlap_is_deduplicated_and_the_new_bar_wins(store, good_bars, make_bars):
+    store.save(good_bars)
+    store.save(make_bars([
+        bar(date(2024, 1, 8), 105.0, 110.0, 104.0, 108.0, 1500000),
+        bar(date(2024, 1, 9), 110.0, 115.0, 108.0, 112.0, 1600000),
+    ]))
+    rows = {r.date: r for r in store.load().collect()}
+    assert len(rows) == store.load().count() == 6
+    assert rows[date(2024, 1, 8)].open == 105.0
+
+
+def test_date_bounds_are_inclusive(store, good_bars):
+    store.save(good_bars)
+    assert store.load(date(2024, 1, 3), date(2024, 1, 5)).count() == 3
+    assert store.load(start=date(2024, 1, 5)).count() == 2
+    assert store.load(end=date(2024, 1, 2)).count() == 1
+
+
+def test_first_load_keeps_repeated_dates_until_the_next_save(store, bad_bars, make_bars):
+    store.save(bad_bars)
+    assert store.load().count() == 5
+    # Another year of the same asset: the old repeat goes although its year gets no bar.
+    store.save(make_bars([bar(date(2025, 1, 2), 1.0, 1.0, 1.0, 1.0)]))
+    rows = store.load().collect()
+    assert len(rows) == 5
+    assert [r.volume for r in rows if r.date == date(2024, 1, 2)] == [-500]
+    assert store.version().pending is None
+
+
+def test_other_assets_keep_their_repeated_dates(store, bad_bars, make_bars):
+    store.save(bad_bars)
+    store.save(make_bars([bar(date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS")]))
+    assert store.load(storage_keys=["RELIANCE"]).count() == 5
+
+
+def test_first_load_can_be_deduplicated(store, bad_bars):
+    store.save(bad_bars, dedupe_first_load=True)
+    assert store.load().count() == 4
+
+
+def test_new_dates_are_appended_without_a_rewrite(store, good_bars, make_bars):
+    store.save(good_bars)
+    first = store.version().live
+    store.save(make_bars([bar(date(2024, 1, 9), 1.0, 1.0, 1.0, 1.0)]))
+    assert set(first) < set(store.version().live)
+    store.save(make_bars([bar(date(2024, 1, 9), 2.0, 2.0, 2.0, 2.0)]))
+    assert len(store.version().live) == 1 and store.load().count() == 6
+
+
+def test_symbols_with_the_same_safe_name_share_storage(store, make_bars):
+    day = date(2024, 1, 2)
+    store.save(make_bars([bar(day, 1.0, 1.0, 1.0, 1.0, symbol="USD/INR", asset_type="FOREX")]))
+    store.save(make_bars([bar(day, 2.0, 2.0, 2.0, 2.0, symbol="USD INR", asset_type="FOREX")]))
+    assert [(r.symbol, r.open) for r in store.load().collect()] == [("USD INR", 2.0)]
+
+
+def test_bars_without_a_date(store, make_bars):
+    store.save(make_bars([bar(None, 1.0, 1.0, 1.0, 1.0)]))
+    store.save(make_bars([bar(None, 2.0, 2.0, 2.0, 2.0)]))
+    assert [r.open for r in store.load().collect()] == [2.0]
+    assert store.load(start=date(1, 1, 1)).count() == 0
+
+
+def test_delete(store, good_bars, assets):
+    store.save(good_bars)
+    gone = {r.storage_key: r.existed for r in store.delete(assets).collect()}
+    assert gone == {"RELIANCE": True, "NIFTY_50": False}
+    assert store.load().count() == 0
+    assert {r.existed for r in store.delete(assets).collect()} == {False}
+
+
+def test_clean_repairs_and_deduplicates(store, bad_bars):
+    store.save(bad_bars)
+    assert [r.repaired_rows for r in store.clean().collect()] == [2]
+    rows = store.load().collect()
+    assert len(rows) == 4
+    assert all(r.low <= min(r.open, r.close) and r.high >= max(r.open, r.close) for r in rows)
+    assert store.clean().count() == 0
+
+
+def test_clean_fills_other_years_of_a_flagged_asset(store, make_bars):
+    store.save(make_bars([
+        bar(date(2023, 1, 2), 5.0, None, 4.0, 6.0, seq=1),
+        bar(date(2024, 1, 2), 5.0, 4.0, 3.0, 5.0, seq=2),
+        bar(date(2023, 1, 2), 5.0, None, 4.0, 6.0, symbol="CALM", seq=3),
+    ]))
+    store.clean()
+    highs = {(r.symbol, r.date.year): r.high for r in store.load().collect()}
+    assert highs == {("RELIANCE", 2023): 6.0, ("RELIANCE", 2024): 5.0, ("CALM", 2023): None}
+
+
+def test_clean_only_some_assets(store, bad_bars, assets):
+    store.save(bad_bars)
+    assert store.clean(assets.where("symbol = 'NIFTY 50'")).count() == 0
+    assert store.load().count() == 5
+
+
+def test_readers_keep_their_version(store, good_bars, assets):
+    store.save(good_bars)
+    before = store.load()
+    store.delete(assets)
+    assert before.count() == 5
+
+
+def test_an_unfinished_change_is_invisible_and_removed(store, good_bars, make_bars):
+    store.save(good_bars)
+    # A writer that died after writing its files, before publishing its version.
+    commit = store._new_commit(store.version())
+    store._write(store.load().withColumn("bar_year", F.year("date")), commit)
+    assert store.load().count() == 5
+    assert store.vacuum() >= 1
+    assert store.load().count() == 5
+    store.save(make_bars([bar(date(2024, 1, 9), 1.0, 1.0, 1.0, 1.0)]))
+    assert store.load().count() == 6
+
+
+def test_a_batch_is_taken_once(store, good_bars):
+    assert store.save(good_bars, stream="s", batch=0)
+    assert not store.save(good_bars, stream="s", batch=0)
+    assert store.save(good_bars, stream="other", batch=0)
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_saves_agree_with_the_merge_operator(store, make_bars, seed):
+    """A run of saves and a clean, step by step against the pure operators."""
+    expected = None
+    for step in range(4):
+        rows = [r for r in random_rows(seed * 10 + step, 150) if r[9] != f"S {step}"]
+        batch = make_bars([(*r[:12], r[12] + 1000 * step) for r in rows]).drop("storage_key")
+        store.save(batch)
+        stored = make_bars([(*r[:6], r[6] or 0, *r[7:12], r[12] + 1000 * step) for r in rows])
+        expected = stored if expected is None else upsert_bars(expected, stored)
+        expected = make_bars([tuple(r) for r in expected.select(stored.columns).collect()])
+        assert content(store.load().select(expected.columns)) == content(expected)
+    store.clean()
+    assert content(store.load().select(expected.columns)) == content(
+        repair_assets(expected).select(expected.columns))
+    assert dedupe_bars(store.load()).count() <= store.load().count()

@@ -1,0 +1,159 @@
+"""Snapshots, the landing stream, and whole runs."""
+
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.operators.profile import class_stats, coverage_table
+from barloom.plans.sync import Site, run_clean, run_discover, run_ingest, run_sync, run_validate
+from barloom.sources.landing import RAW_BAR_SCHEMA, read_landed
+from barloom.sources.snapshot import export_snapshot, import_snapshot, import_universe, sync_status
+from barloom.sources.store import BarStore
+from barloom.streaming.ingest import start_ingest
+from conftest import bar
+from test_brute_force import content
+
+
+@pytest.fixture
+def mixed(make_bars):
+    day = date(2024, 1, 2)
+    return make_bars([
+        bar(day, 1.0, 2.0, 0.5, 1.5, symbol="RELIANCE"), bar(day, 1.0, 2.0, 0.5, 1.5, symbol="TCS"),
+        bar(day, 1.0, 2.0, 0.5, 1.5, symbol="NIFTY 50", asset_type="INDEX"),
+    ])
+
+
+def test_snapshot_of_some_classes(spark, mixed, tmp_path):
+    folder = str(tmp_path / "snapshot")
+    export_snapshot(mixed, None, folder)
+    assert import_snapshot(spark, folder).count() == 3
+    part = import_snapshot(spark, folder, ["index"])
+    assert [r.symbol for r in part.collect()] == ["NIFTY 50"]
+    assert import_snapshot(spark, str(tmp_path / "absent")).count() == 0
+    assert import_universe(spark, folder) is None
+    with pytest.raises(ValueError):
+        import_snapshot(spark, folder, ["BOND"])
+
+
+def test_class_statistics(spark):
+    files = spark.createDataFrame(
+        [("EQUITY", 300), ("EQUITY", 200), ("INDEX", 262144)], "asset_type string, size_bytes bigint")
+    stats = {r["class"]: (r.files, r.size_bytes) for r in class_stats(files).collect()}
+    assert stats == {"stocks": (2, 500), "indices": (1, 262144)}
+    full = class_stats(files, with_empty_classes=True, with_total=True).collect()
+    stats = {r["class"]: (r.files, r.size_bytes) for r in full}
+    assert stats["forex"] == (0, 0) and stats[None] == (3, 262644) and len(stats) == 6
+    # 262144 bytes are a quarter of a mebibyte: the tie goes to the even digit.
+    table = {r["class"]: r.size for r in coverage_table(class_stats(files)).collect()}
+    assert table == {"Stocks": "0.0 MB", "Indices": "0.2 MB"}
+
+
+def test_status_document(spark):
+    files = spark.createDataFrame(
+        [("EQUITY", 300), ("EQUITY", 200), ("INDEX", 7)], "asset_type string, size_bytes bigint")
+    text = sync_status(class_stats(files), "me/bars", datetime(2024, 1, 2, 3)).first().document
+    assert json.loads(text) == {
+        "last_sync_utc": "2024-01-02T03:00:00", "repo_id": "me/bars",
+        "stats": {"total_files": 3, "total_size_bytes": 507, "asset_types": {
+            "indices": {"files": 1, "size_bytes": 7}, "stocks": {"files": 2, "size_bytes": 500}}},
+    }
+    empty = sync_status(class_stats(files.where("false")), "me/bars", datetime(2024, 1, 2))
+    assert json.loads(empty.first().document)["stats"] == {
+        "total_files": 0, "total_size_bytes": 0, "asset_types": {}}
+
+
+def land(spark, folder, rows, fmt="csv"):
+    """Vendor files: text cells, vendor column names."""
+    frame = spark.createDataFrame(rows, RAW_BAR_SCHEMA)
+    frame.coalesce(1).write.mode("append").option("header", True).format(fmt).save(folder)
+
+
+def raw(symbol, day, price, seq, kind="EQUITY", volume="10"):
+    text = str(price)
+    return (day, text, text, text, text, text, volume, None, "0.0", symbol, kind, seq)
+
+
+def test_stream_takes_each_landed_file_once(spark, tmp_path):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    store = BarStore(spark, str(tmp_path / "store"))
+
+    def run(where=checkpoint):
+        start_ingest(spark, landing, store, where, fmt="csv").awaitTermination()
+
+    land(spark, landing, [raw("TCS", "2024-01-02", 1.0, 1), raw("TCS", "2024-01-03", 1.0, 2)])
+    run()
+    assert store.load().count() == 2
+    land(spark, landing, [raw("TCS", "2024-01-03", 9.0, 1), raw("TCS", "2024-01-04", "bad", 2)])
+    run()
+    rows = {r.date.day: r.open for r in store.load().collect()}
+    assert rows == {2: 1.0, 3: 9.0, 4: None}
+
+    version = store.version().number
+    run()
+    assert store.version().number == version
+    # Replay from the start under the same name: batches already taken have no effect.
+    run(str(tmp_path / "other-checkpoint"))
+    assert {r.date.day: r.open for r in store.load().collect()} == rows
+
+
+def test_landed_formats(spark, tmp_path):
+    rows = [raw("TCS", "2024-01-02", 1.0, 1)]
+    for fmt in ("csv", "json", "parquet"):
+        land(spark, str(tmp_path / fmt), rows, fmt)
+        found = read_landed(spark, str(tmp_path / fmt), fmt, RAW_BAR_SCHEMA)
+        assert [tuple(r) for r in found.collect()] == rows
+
+
+def test_whole_sync(spark, tmp_path):
+    landing, snapshot = str(tmp_path / "landing"), str(tmp_path / "snapshot")
+    land(spark, landing, [
+        raw("TCS", "2024-01-02", 10.0, 1), raw("TCS", "2024-01-03", 11.0, 2, volume="-5"),
+        raw("NIFTY 50", "2024-01-02", 20.0, 3, "INDEX"), raw("UNKNOWN", "2024-01-02", 1.0, 4),
+        raw("TCS", "2024-03-01", 12.0, 5),
+    ], "parquet")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    done = run_sync(site, landing, snapshot, repo_id="me/bars")
+    # Only planned dates of listed assets are taken.
+    assert done["ingest"].first().asDict() == {
+        "succeeded": 2, "skipped": 0, "failed": 0, "total_rows": 3}
+    assert tuple(done["validate"].first()) == (2, 1)
+    assert site.store.load().count() == 3
+    assert site.catalog.assets().count() == site.catalog.universe().count() == 210
+    log = site.catalog.download_log()
+    assert log.where("status = 'success'").count() == 2
+    assert log.where("status = 'error' and error_message = ''").count() == 208
+    assert site.catalog.validation_log().count() == 12
+    assert site.catalog.report() is None
+
+    # Another site takes the snapshot over and only fetches what is new.
+    other = Site.at(spark, str(tmp_path / "other"), datetime(2024, 3, 5, 12))
+    done = run_sync(other, landing, snapshot, asset_type="equity")
+    assert done["ingest"].first().succeeded == 1
+    rows = {(r.symbol, str(r.date)) for r in other.store.load().collect()}
+    assert rows == {("TCS", "2024-01-02"), ("TCS", "2024-01-03"), ("TCS", "2024-03-01")}
+
+
+def test_ingest_validate_clean(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    broken = raw("TCS", "2024-01-02", 10.0, 1)
+    broken = (*broken[:2], "5.0", *broken[3:])
+    land(spark, landing, [broken, raw("WIPRO", "2024-01-02", 1.0, 2)], "parquet")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    run_discover(site)
+    run_ingest(site, landing, symbols="tcs")
+    assert {r.symbol for r in site.store.load().collect()} == {"TCS"}
+    run_ingest(site, landing, start=date(2024, 1, 1), end=date(2024, 1, 3))
+    assert site.store.load().count() == 2
+    assert run_validate(site).where("status = 'FAILED'").count() == 1
+    assert site.catalog.report().count() == 12
+    assert tuple(run_clean(site, "WIPRO").first()) == (0, 0)
+    assert tuple(run_clean(site).first()) == (1, 1)
+    log = site.catalog.validation_log().where("details like 'Repaired%'").collect()
+    assert [(r.symbol, r.check_name, r.status, r.details) for r in log] == [
+        ("TCS", "ohlc_consistency", "PASSED", "Repaired 1 OHLC consistency violations")]
+    assert run_validate(site).where("status = 'FAILED'").count() == 0
+    assert content(site.store.load().select(F.max("high"), F.min("low"))) == [(10.0, 1.0)]

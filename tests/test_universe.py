@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from barloom.operators.select import assets_with_data, filter_asset_type, filter_symbols
+from barloom.operators.universe import complete_universe, parse_listing
+from barloom.schema import UNIVERSE_SCHEMA
+from barloom.sources import listings
+from barloom.sources.tables import read_universe
+
+CSV = """SYMBOL,NAME OF COMPANY, SERIES, DATE OF LISTING, PAID UP VALUE, ISIN NUMBER
+RELIANCE,Reliance Industries Limited,EQ,29-NOV-1995,10, INE002A01018
+  TCS ,"Tata ""Consultancy"", Services",EQ,25-Aug-2004,1,INE467B01029
+,No symbol,EQ,01-JAN-2000,1,X
+   ,Blank symbol,EQ,01-JAN-2000,1,Y
+ODD,Odd date,EQ,2004-08-25,1,Z
+NODATE,No date,EQ,,1,
+"""
+
+
+@pytest.fixture
+def listing(tmp_path):
+    path = tmp_path / "EQUITY_L.csv"
+    path.write_text(CSV)
+    return str(path)
+
+
+def test_listing_file(spark, listing):
+    rows = {r.symbol: r for r in listings.read_listing(spark, listing).collect()}
+    assert set(rows) == {"RELIANCE", "TCS", "ODD", "NODATE"}
+    assert rows["RELIANCE"].listing_date == date(1995, 11, 29)
+    assert rows["RELIANCE"].isin == "INE002A01018"
+    assert rows["TCS"].name == 'Tata "Consultancy", Services'
+    assert rows["TCS"].listing_date == date(2004, 8, 25)
+    assert rows["ODD"].listing_date is None and rows["NODATE"].listing_date is None
+    assert rows["NODATE"].isin == ""
+    assert {(r.exchange, r.asset_type) for r in rows.values()} == {("NSE", "EQUITY")}
+    assert rows["TCS"].yfinance_ticker == "TCS.NS"
+
+
+def test_a_listing_without_the_symbol_column_has_no_assets(spark):
+    assert parse_listing(spark.createDataFrame([("a",)], "`CODE` string")).count() == 0
+
+
+def test_missing_listing_falls_back_to_the_seed(spark, tmp_path):
+    seed = listings.nse_equities(spark, str(tmp_path / "absent.csv"))
+    assert seed.count() == 125
+    assert listings.nse_equities(spark, None).count() == 125
+    assert seed.where("name <> symbol").count() == 0
+
+
+def test_curated_lists(spark):
+    counts = {f.__name__: f(spark).count() for f in (
+        listings.bse_equities, listings.indices, listings.etfs, listings.commodities,
+        listings.forex)}
+    assert counts == {"bse_equities": 20, "indices": 29, "etfs": 20, "commodities": 8, "forex": 8}
+    exchanges = {r.symbol: r.exchange for r in listings.indices(spark).collect()}
+    assert exchanges["NIFTY 50"] == "NSE"
+    assert exchanges["INDIA VIX"] == exchanges["SENSEX"] == "BSE"
+    tickers = {r.symbol: r.yfinance_ticker for r in listings.indices(spark).collect()}
+    assert tickers["NIFTY NEXT 50"] == tickers["NIFTY MIDCAP 50"] == "^NSMIDCP50"
+
+
+def test_universe_is_the_union_of_all_listings(spark, listing):
+    universe = listings.discover(spark, listing)
+    assert universe.columns == UNIVERSE_SCHEMA.fieldNames()
+    assert universe.count() == 4 + 20 + 29 + 20 + 8 + 8
+    # A symbol listed twice stays twice.
+    doubled = listings.build_universe([listings.forex(spark), listings.forex(spark)])
+    assert doubled.count() == 16
+
+
+def test_absent_columns_read_as_defaults(spark):
+    row = complete_universe(spark.createDataFrame([("X",)], "symbol string")).first()
+    assert tuple(row) == ("X", "", "", "NSE", "", "", None, "EQUITY", "X.NS")
+
+
+def test_unknown_values_are_rejected(spark, tmp_path):
+    path = str(tmp_path / "universe")
+    spark.createDataFrame([("X", "BOND")], "symbol string, asset_type string").write.parquet(path)
+    with pytest.raises(Exception, match="unknown asset_type: BOND"):
+        read_universe(spark, path).collect()
+
+
+def test_symbol_and_class_filters(spark):
+    universe = listings.discover(spark)
+    picked = filter_symbols(universe, " reliance,TCS , nifty 50,absent")
+    assert {r.symbol for r in picked.collect()} == {"RELIANCE", "TCS", "NIFTY 50"}
+    assert filter_symbols(universe, None).count() == universe.count()
+    assert filter_asset_type(universe, "etf").count() == 20
+    assert filter_asset_type(universe, None).count() == universe.count()
+
+
+def test_assets_with_data(assets, good_bars):
+    assert [r.symbol for r in assets_with_data(assets, good_bars).collect()] == ["RELIANCE"]
