@@ -5,10 +5,9 @@ Every check contributes counters to two shared aggregations and a verdict over t
 1. bars -> (asset, span of 16 days): row counters and the number of rows of each day, combined
    map-side. Neither an asset nor a day with a very large share of the rows is ever gathered in
    one task, and what is shuffled is one row per span instead of one per bar.
-2. (asset, span) -> asset: date counters, which see `day_rows` (the row counts of the days that
-   have any) and `gaps` (days between consecutive dates, the first one reaching back to the
-   previous span). The calendar bounds the spans of an asset, and so the window that finds the
-   previous one, whatever the number of bars.
+2. (asset, span) -> asset: date counters, which see a span's dates as bits, how many rows repeat
+   a date, and the gap to the asset's previous span. The calendar bounds the spans of an asset,
+   and so the window that finds the previous one, whatever the number of bars.
 
 Checks that need no dates skip step 1 and aggregate bars straight to assets. Conditions are SQL
 text over bar columns, which keeps added checks short.
@@ -71,7 +70,7 @@ class Check:
     """One check. Counter names must be unique among the checks that run together.
 
     row_counters: name -> condition on a bar; the number of bars it holds for.
-    date_counters: name -> aggregate over an asset's spans (arrays day_rows and gaps).
+    date_counters: name -> aggregate over an asset's spans (columns as date_spans gives them).
     outcomes: the first that applies is reported, else PASSED with the message `fine`.
     """
 
@@ -159,14 +158,22 @@ def _null_outcomes(_: Settings, columns: Sequence[str]) -> list[Outcome]:
     )]
 
 
+def gaps_inside(max_gap_days: int) -> str:
+    """How many gaps inside a span are wider than the limit: SQL over its `days` bits.
+
+    A day ends such a gap if none of the `max_gap_days` bits before it is set; that also holds for
+    the span's first day, which ends the gap between spans instead.
+    """
+    reach = range(1, min(max_gap_days, SPAN_DAYS - 1) + 1)
+    earlier = " | ".join(["0", *(f"shiftleft(days, {n})" for n in reach)])
+    return f"greatest(bit_count(days & ~({earlier})) - 1, 0)"
+
+
 _OHLC_TOTAL = f"({' + '.join(OHLC_RULES)})"
 
 DUPLICATES = Check(
     name="duplicates",
-    date_counters=lambda s: {
-        "duplicate_rows":
-            "sum(aggregate(filter(day_rows, n -> n > 1), 0L, (total, n) -> total + n))",
-    },
+    date_counters=lambda s: {"duplicate_rows": "sum(repeated_rows)"},
     outcomes=lambda s, c: [Outcome(
         "duplicate_rows > 0", FAILED, found("duplicate_rows", "duplicate rows by date"),
         "duplicate_rows",
@@ -179,8 +186,10 @@ DUPLICATES = Check(
 MISSING_TRADING_DAYS = Check(
     name="missing_trading_days",
     date_counters=lambda s: {
-        "large_gaps": f"sum(cast(size(filter(gaps, d -> d > {s.max_gap_days})) as bigint))",
-        "widest_gap": "max(array_max(gaps))",
+        "large_gaps":
+            f"sum(if(lead_gap > {s.max_gap_days}, 1L, 0L) + {gaps_inside(s.max_gap_days)})",
+        # Wide enough to be named are only gaps between spans.
+        "widest_gap": "max(lead_gap)",
     },
     outcomes=_gap_outcomes,
     fine=lambda s: f"No gaps larger than {s.max_gap_days} days",
@@ -250,11 +259,12 @@ def date_spans(
 ) -> DataFrame:
     """One row per asset and span of 16 days that has bars.
 
-    Columns: the key, span_rows, the counters, `days` (dates as day numbers, ascending), `day_rows`
-    (rows of each), `gaps` (days since the previous date; none for an asset's first). Bars without
-    a date form one span of their own, with day_rows but neither days nor gaps.
+    Columns: the key, span_rows, the counters, span_start (day number of the span's first day),
+    `days` (bit i is set if day i of the span has rows), repeated_rows (rows on days with more
+    than one) and lead_gap (days from the asset's previous date to the span's first one). Bars
+    without a date are a span of their own that has no days, and repeat each other.
     """
-    day_counts = [f"count_if(_day & {SPAN_DAYS - 1} = {i}) as _n{i}" for i in range(SPAN_DAYS)]
+    slots = range(SPAN_DAYS)
     counted = (
         bars.withColumn("_day", F.expr("unix_date(date)"))
         .withColumn("_span", F.expr(f"shiftright(_day, {SPAN_BITS})"))
@@ -262,36 +272,36 @@ def date_spans(
         .agg(*[F.expr(e) for e in (
             "count(1) as span_rows",
             *[f"count_if({condition}) as {name}" for name, condition in (counters or {}).items()],
-            *day_counts,
+            *[f"count_if(_day & {SPAN_DAYS - 1} = {i}) as _n{i}" for i in slots],
         )])
     )
-    all_counts = ", ".join(f"_n{i}" for i in range(SPAN_DAYS))
-    present = counted.selectExpr(
-        *by, "_span", "span_rows", *(counters or {}),
-        f"""filter(transform(array({all_counts}),
-              (n, i) -> named_struct('day', _span * {SPAN_DAYS} + i, 'rows', n)),
-            d -> d.rows > 0) as _present""",
+    kept = [*by, "span_rows", *(counters or {})]
+    present = [f"if(_n{i} > 0, _span * {SPAN_DAYS} + {i}, null)" for i in slots]
+    repeated = " + ".join(f"if(_n{i} > 1, _n{i}, 0L)" for i in slots)
+    spans = counted.selectExpr(
+        *kept, "_span", f"_span * {SPAN_DAYS} as span_start",
+        " + ".join(f"if(_n{i} > 0, {1 << i}, 0)" for i in slots) + " as days",
+        f"if(_span is null, if(span_rows > 1, span_rows, 0L), {repeated}) as repeated_rows",
+        f"coalesce({', '.join(present)}) as _first",
+        f"coalesce({', '.join(reversed(present))}) as _last",
     )
     # The span without dates sorts first and has no last day.
-    previous = F.lag(F.expr("try_element_at(_present, -1).day")).over(
-        Window.partitionBy(*by).orderBy("_span")
-    )
-    return present.withColumn("_previous", previous).selectExpr(
-        *by, "span_rows", *(counters or {}),
-        "_present.day as days",
-        "if(_span is null, array(span_rows), _present.rows) as day_rows",
-        """filter(transform(_present, (d, i) -> d.day - if(i = 0, _previous, _present[i - 1].day)),
-             g -> g is not null) as gaps""",
+    previous = F.lag("_last").over(Window.partitionBy(*by).orderBy("_span"))
+    return spans.withColumn("_previous", previous).selectExpr(
+        *kept, "span_start", "days", "repeated_rows", "_first - _previous as lead_gap"
     )
 
 
 def date_gaps(bars: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
     """Gaps in calendar days between an asset's consecutive distinct dates."""
-    # Only an asset's first date has no gap, so the gaps belong to the last size(gaps) days.
-    steps = """filter(transform(days, (d, i) -> named_struct(
-        'date', date_from_unix_date(d),
-        'gap_days', cast(get(gaps, i - size(days) + size(gaps)) as bigint))), s -> s.gap_days is not null)"""
-    return date_spans(bars, by=by).selectExpr(*by, f"inline({steps})")
+    steps = f"""transform(
+        filter(sequence(0, {SPAN_DAYS - 1}), i -> getbit(days, i) = 1),
+        (i, n) -> struct(span_start + i as day, n))"""
+    spans = date_spans(bars, by=by).selectExpr(*by, "lead_gap", f"{steps} as _steps")
+    gaps = """inline(transform(_steps, s -> named_struct(
+        'date', date_from_unix_date(s.day),
+        'gap_days', cast(if(s.n = 0, lead_gap, s.day - _steps[s.n - 1].day) as bigint))))"""
+    return spans.selectExpr(*by, gaps).where("gap_days is not null")
 
 
 def duplicate_rows(bars: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:

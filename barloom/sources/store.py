@@ -7,7 +7,7 @@ asset class, calendar year and unmerged commit; it does not grow with the number
 
 Bars are deduplicated keep-last by asset and date when an already stored asset receives bars. A
 save rewrites only the class-years in which that drops something; where the batch only adds dates,
-its files are simply appended.
+its files are simply appended, and merged once many such commits have piled up.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from datetime import date
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators import profile
+from barloom.operators.checks import SPAN_BITS, SPAN_DAYS, date_spans
 from barloom.operators.merge import (
     dedupe_assets,
     dedupe_bars,
@@ -44,8 +46,10 @@ from barloom.sources import files
 COMMIT_FIELD = T.StructField("commit", T.StringType())
 READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + [COMMIT_FIELD] + PARTITION_FIELDS)
 PAIR = ["asset_type", "bar_year"]
+PENDING_KEY = [*ASSET_KEY, "bar_year"]
 PENDING_SCHEMA = "asset_type string, storage_key string, bar_year int"
 NO_YEAR = 0  # bar_year of bars without a date
+MERGE_AFTER = 30  # commits of one class-year that may pile up before a save merges them
 
 Pair = tuple[str, int]
 
@@ -60,8 +64,9 @@ class Version:
     pending: str | None = None
     batches: dict[str, int] = field(default_factory=dict)
 
-    def pairs(self) -> set[Pair]:
-        return {(t, y) for _, t, y in self.live}
+    def crowded(self) -> set[Pair]:
+        commits = Counter((t, y) for _, t, y in self.live)
+        return {pair for pair, n in commits.items() if n >= MERGE_AFTER}
 
 
 class BarStore:
@@ -155,6 +160,7 @@ class BarStore:
         dropping: set[Pair] = set()
         if before.live:
             dropping = self._dropping_pairs(fresh, before, touched, batch_pairs)
+            dropping |= before.crowded() & batch_pairs
 
         live = [d for d in before.live if (d[1], d[2]) not in dropping]
         live += [d for d in added if (d[1], d[2]) not in dropping]
@@ -267,7 +273,9 @@ class BarStore:
 
     def _directories(self, commit: str) -> list[tuple[str, str, int]]:
         found = files.matching(self.spark, f"{self.path}/bars/commit={commit}/asset_type=*/bar_year=*")
-        parts = [re.search(r"asset_type=([^/]+)/bar_year=(\d+)$", p) for p in found]
+        parts = [re.search(r"asset_type=([A-Za-z0-9_-]+)/bar_year=(\d+)$", p) for p in found]
+        if None in parts or any(m.group(1).startswith("__HIVE") for m in parts):
+            raise ValueError("bars to save need plain names as asset_type")
         return [(commit, m.group(1), int(m.group(2))) for m in parts]
 
     # -- tables --------------------------------------------------------------------------------
@@ -301,7 +309,7 @@ class BarStore:
 
     def _write_pending(self, pending: DataFrame, commit: str) -> str | None:
         folder = f"{self.path}/pending/commit={commit}"
-        pending.select(*ASSET_KEY, "bar_year").distinct().write.parquet(folder)
+        pending.select(*PENDING_KEY).distinct().write.parquet(folder)
         written = self.spark.read.schema(PENDING_SCHEMA).parquet(folder)
         return None if written.isEmpty() else commit
 
@@ -324,35 +332,40 @@ class BarStore:
     ) -> set[Pair]:
         """Class-years in which this batch makes some bar obsolete: a date occurs twice in the
         batch or was stored before, or a first load had kept repeated dates."""
-        span = fresh.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+        bounds = fresh.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
         stored = self._read([d for d in before.live if (d[1], d[2]) in batch_pairs])
-        if span["first"] is not None:
-            within = F.col("date").between(span["first"], span["last"])
+        if bounds["first"] is not None:
+            within = F.col("date").between(bounds["first"], bounds["last"])
             stored = stored.where(within | F.col("date").isNull())
-        dates = [*ASSET_KEY, "bar_year", "date"]
-        seen = (
-            stored.select(*dates, F.lit(0).alias("new"))
-            .unionByName(fresh.select(*dates, F.lit(1).alias("new")))
-            .groupBy(*dates).agg(F.sum("new").alias("new"), F.count(F.lit(1)).alias("rows"))
-            .where((F.col("new") > 0) & (F.col("rows") > 1))
+        both = stored.withColumn("_new", F.lit(False)).unionByName(
+            fresh.withColumn("_new", F.lit(True))
         )
-        repeated = seen.select(*ASSET_KEY, "bar_year").unionByName(self._pending(before))
-        return self._collect_pairs(repeated.join(touched, ASSET_KEY, "left_semi"))
+        overlaps = (
+            both.select(*PENDING_KEY, "_new", F.expr("unix_date(date) as _day"))
+            .selectExpr(
+                *PENDING_KEY, "_new", f"shiftright(_day, {SPAN_BITS}) as _span",
+                f"coalesce(shiftleft(1, _day & {SPAN_DAYS - 1}), 1) as _bit",
+            )
+            .groupBy(*PENDING_KEY, "_span")
+            .agg(F.expr("bit_or(if(_new, _bit, 0)) as _added"),
+                 F.expr("bit_or(if(_new, 0, _bit)) as _stored"))
+            .where("_added & _stored <> 0")
+        )
+        repeats = overlaps.select(*PENDING_KEY).unionByName(repeated_years(fresh)).unionByName(
+            self._pending(before)
+        )
+        return self._collect_pairs(repeats.join(touched, ASSET_KEY, "left_semi"))
 
     def _first_load_repeats(self, fresh: DataFrame, arriving: DataFrame) -> DataFrame:
         new = arriving.where(~F.col("known")).select(*ASSET_KEY)
-        return (
-            fresh.join(new, ASSET_KEY, "left_semi")
-            .groupBy(*ASSET_KEY, "bar_year", "date").agg(F.count(F.lit(1)).alias("rows"))
-            .where(F.col("rows") > 1).select(*ASSET_KEY, "bar_year")
-        )
+        return repeated_years(fresh.join(new, ASSET_KEY, "left_semi"))
 
     def _changed_by_repair(
         self, stored: DataFrame, flagged: DataFrame, before: Version
     ) -> DataFrame:
         """Asset class and year of every bar a repair changes, and of repeats it drops."""
         open_ended = F.col("high").isNull() | F.col("low").isNull()
-        changed = stored.where(is_violation() | open_ended).select(*ASSET_KEY, "bar_year")
+        changed = stored.where(is_violation() | open_ended).select(*PENDING_KEY)
         affected = changed.unionByName(self._pending(before))
         return affected.join(flagged, ASSET_KEY, "left_semi")
 
@@ -362,6 +375,11 @@ class BarStore:
         return {(r["asset_type"], r["bar_year"]) for r in bars.select(*PAIR).distinct().collect()}
 
 
+def repeated_years(bars: DataFrame) -> DataFrame:
+    """Assets and years in which some date occurs more than once."""
+    return date_spans(bars, by=PENDING_KEY).where("repeated_rows > 0").select(*PENDING_KEY)
+
+
 def laid_out(bars: DataFrame) -> DataFrame:
     """Bars in file order: each task writes one range of (class, year, asset, date).
 
@@ -385,11 +403,7 @@ def keyed(bars: DataFrame) -> DataFrame:
     }
     full = with_storage_key(typed.withColumns(absent) if absent else typed)
     year = F.coalesce(F.year("date"), F.lit(NO_YEAR))
-    # The class names a directory, so only plain names are taken.
-    plain = F.when(F.col("asset_type").rlike("^[A-Za-z0-9_-]+$"), F.col("asset_type")).otherwise(
-        F.raise_error(F.concat(F.lit("bad asset type: "), F.coalesce("asset_type", F.lit("NULL"))))
-    )
     return full.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_SCHEMA],
-        plain.alias("asset_type"), year.alias("bar_year"),
+        "asset_type", year.alias("bar_year"),
     )

@@ -101,6 +101,24 @@ def test_checks(make_bars, seed):
             ("FAILED", future) if future else ("WARNING", old) if old else ("PASSED", 0))
 
 
+@pytest.mark.parametrize("limit", [0, 1, 3, 5, 14, 15, 16, 20])
+def test_gap_limits(make_bars, limit):
+    rng = random.Random(limit)
+    rows, wanted = [], {}
+    for n in range(25):
+        steps = [rng.choice([1, 2, 4, 6, limit, limit + 1, 17]) for _ in range(30)]
+        days = [date(1969, 6, 1) + timedelta(rng.randrange(30))]
+        for step in steps:
+            days.append(days[-1] + timedelta(step))
+        rows += [bar(d, 1.0, 1.0, 1.0, 1.0, symbol=f"S{n}") for d in days]
+        large = [s for s in steps if s > limit]
+        wanted[f"S{n}"] = (len(large), max(large) if large and max(large) > 15 else None)
+    results = C.run_checks(make_bars(rows), C.Settings(date(2024, 1, 1), limit),
+                           [C.MISSING_TRADING_DAYS])
+    assert {r.storage_key: (r.rows_affected, (r.details or {}).get("max_gap_days"))
+            for r in results.collect()} == wanted
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_gaps_and_repeats(make_bars, seed):
     rows = random_rows(seed)

@@ -42,6 +42,13 @@ def test_save_needs_an_arrival_order(store, good_bars):
         store.save(good_bars.drop("seq"))
 
 
+def test_asset_types_are_plain_names(store, make_bars):
+    for kind in ("A/B", None):
+        with pytest.raises(ValueError, match="plain names"):
+            store.save(make_bars([bar(date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, asset_type=kind)]))
+    assert store.version().number == 0
+
+
 def test_figures(store, good_bars, assets):
     store.save(good_bars)
     assert store.exists("EQUITY", "RELIANCE")
@@ -102,6 +109,13 @@ def test_new_dates_are_appended_without_a_rewrite(store, good_bars, make_bars):
     assert len(store.version().live) == 1 and store.load().count() == 6
 
 
+def test_piled_up_commits_are_merged(store, make_bars, monkeypatch):
+    monkeypatch.setattr("barloom.sources.store.MERGE_AFTER", 2)
+    for day in (2, 3, 4):
+        store.save(make_bars([bar(date(2024, 1, day), 1.0, 1.0, 1.0, 1.0)]))
+    assert len(store.version().live) == 1 and store.load().count() == 3
+
+
 def test_symbols_with_the_same_safe_name_share_storage(store, make_bars):
     day = date(2024, 1, 2)
     store.save(make_bars([bar(day, 1.0, 1.0, 1.0, 1.0, symbol="USD/INR", asset_type="FOREX")]))
