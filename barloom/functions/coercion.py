@@ -10,25 +10,29 @@ from pyspark.sql import types as T
 NUMERAL = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def _as_numeral(value: Column, dtype: T.DataType) -> Column:
+def _numeral_sql(name: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return F.when(value.rlike(NUMERAL), F.trim(value))
-    return value
+        return f"if(`{name}` rlike r'{NUMERAL}', trim(`{name}`), null)"
+    return f"`{name}`"
 
 
-def to_float(value: Column, dtype: T.DataType) -> Column:
-    """A double, with NaN and unreadable values as NULL."""
-    number = _as_numeral(value, dtype).try_cast("double")
-    return F.when(~F.isnan(number), number)
+def _float_sql(name: str, dtype: T.DataType) -> str:
+    return f"nullif(try_cast({_numeral_sql(name, dtype)} as double), double('NaN'))"
 
 
-def to_volume(value: Column, dtype: T.DataType) -> Column:
-    """A bigint truncated towards zero; missing, unreadable and infinite values count as 0."""
-    numeral = _as_numeral(value, dtype)
-    return F.coalesce(
-        numeral.try_cast("bigint"),
-        to_float(value, dtype).try_cast("bigint"),
-        F.lit(0).cast("bigint"),
+def to_float(name: str, dtype: T.DataType) -> Column:
+    """The column as double, with NaN and unreadable values as NULL."""
+    return F.expr(_float_sql(name, dtype))
+
+
+def to_volume(name: str, dtype: T.DataType) -> Column:
+    """The column as bigint, truncated towards zero; missing, unreadable and infinite values
+    count as 0."""
+    if isinstance(dtype, T.IntegralType):
+        return F.expr(f"coalesce(cast(`{name}` as bigint), 0L)")
+    return F.expr(
+        f"coalesce(try_cast({_numeral_sql(name, dtype)} as bigint), "
+        f"try_cast({_float_sql(name, dtype)} as bigint), 0L)"
     )
 
 

@@ -1,4 +1,4 @@
-"""Storage names and vendor tickers as column expressions."""
+"""Storage names and vendor tickers as columns; arguments are SQL over the frame's columns."""
 
 from __future__ import annotations
 
@@ -36,24 +36,32 @@ FOREX_TICKERS = {
 UNSAFE_CHARACTERS = {" ": "_", "/": "_", "^": "", "=": "_"}
 
 
-def lookup(key: Column, values: dict[str, str]) -> Column:
+def lookup_sql(key: str, values: dict[str, str]) -> str:
     """values[key], NULL where absent; a literal map, so no join is needed."""
     entries = ", ".join(f"'{name}', '{value}'" for name, value in values.items())
-    return F.try_element_at(F.expr(f"map({entries})"), key)
+    return f"try_element_at(map({entries}), {key})"
 
 
-def storage_key(symbol: Column) -> Column:
-    """A file-safe form of the symbol; with the asset class it identifies an asset's bars."""
+def storage_key_sql(symbol: str) -> str:
     return reduce(
-        lambda name, swap: F.replace(name, F.lit(swap[0]), F.lit(swap[1])),
+        lambda name, swap: f"replace({name}, '{swap[0]}', '{swap[1]}')",
         UNSAFE_CHARACTERS.items(),
         symbol,
     )
 
 
-def class_dir(asset_type: Column) -> Column:
+def class_dir_sql(asset_type: str) -> str:
+    return f"coalesce({lookup_sql(asset_type, ASSET_CLASSES)}, '{OTHER_CLASS_DIR}')"
+
+
+def storage_key(symbol: str = "symbol") -> Column:
+    """A file-safe form of the symbol; with the asset class it identifies an asset's bars."""
+    return F.expr(storage_key_sql(symbol))
+
+
+def class_dir(asset_type: str = "asset_type") -> Column:
     """The directory name of an asset class; unknown classes go to `other`."""
-    return F.coalesce(lookup(asset_type, ASSET_CLASSES), F.lit(OTHER_CLASS_DIR))
+    return F.expr(class_dir_sql(asset_type))
 
 
 def class_dir_strict(asset_type: str) -> str:
@@ -64,21 +72,23 @@ def class_dir_strict(asset_type: str) -> str:
     return name
 
 
-def storage_path(asset_type: Column, symbol: Column) -> Column:
+def storage_path(asset_type: str = "asset_type", symbol: str = "symbol") -> Column:
     """`<class directory>/<storage key>`, the logical place of an asset's bars."""
-    return F.concat_ws("/", class_dir(asset_type), storage_key(symbol))
+    return F.expr(f"concat({class_dir_sql(asset_type)}, '/', {storage_key_sql(symbol)})")
 
 
-def vendor_ticker(symbol: Column, asset_type: Column, exchange: Column, given: Column) -> Column:
+def vendor_ticker(
+    symbol: str = "symbol", asset_type: str = "asset_type", exchange: str = "exchange",
+    given: str = "yfinance_ticker",
+) -> Column:
     """`given` unless it is empty, else the ticker the class and exchange imply."""
-    shouted = F.upper(symbol)
-    derived = (
-        F.when(asset_type == "INDEX",
-               F.coalesce(lookup(shouted, INDEX_TICKERS), F.concat(F.lit("^"), symbol)))
-        .when(asset_type == "COMMODITY",
-              F.coalesce(lookup(shouted, COMMODITY_TICKERS), symbol))
-        .when(asset_type == "FOREX",
-              F.coalesce(lookup(shouted, FOREX_TICKERS), F.concat(symbol, F.lit("=X"))))
-        .otherwise(F.concat(symbol, F.when(exchange == "NSE", ".NS").otherwise(".BO")))
-    )
-    return F.when(F.coalesce(given, F.lit("")) != "", given).otherwise(derived)
+
+    def known(values: dict[str, str]) -> str:
+        return lookup_sql(f"upper({symbol})", values)
+
+    return F.expr(f"""case
+        when coalesce({given}, '') <> '' then {given}
+        when {asset_type} = 'INDEX' then coalesce({known(INDEX_TICKERS)}, concat('^', {symbol}))
+        when {asset_type} = 'COMMODITY' then coalesce({known(COMMODITY_TICKERS)}, {symbol})
+        when {asset_type} = 'FOREX' then coalesce({known(FOREX_TICKERS)}, concat({symbol}, '=X'))
+        else concat({symbol}, if({exchange} = 'NSE', '.NS', '.BO')) end""")

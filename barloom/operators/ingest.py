@@ -66,11 +66,10 @@ def ingest_results(plan: DataFrame, fetched: DataFrame) -> DataFrame:
 def download_log_rows(results: DataFrame) -> DataFrame:
     """Ingest results as log rows; only successful ones name a path."""
     status = download_status(F.col("rows_added"), F.col("error"), F.col("skipped"))
-    path = storage_path(F.col("asset_type"), F.col("symbol"))
     return results.withColumn("status", status).select(
         "symbol",
         F.col("rows_added").cast("bigint").alias("rows_downloaded"),
-        F.when(F.col("status") == "success", path).otherwise("").alias("file_path"),
+        F.when(F.col("status") == "success", storage_path()).otherwise("").alias("file_path"),
         "status",
         F.coalesce("error", F.lit("")).alias("error_message"),
     )

@@ -35,12 +35,12 @@ def coerce_types(bars: DataFrame) -> DataFrame:
         typed["date"] = F.to_date("date")
     for name in FLOAT_COLUMNS:
         if name in types:
-            typed[name] = to_float(F.col(name), types[name])
+            typed[name] = to_float(name, types[name])
     if "volume" in types:
-        typed["volume"] = to_volume(F.col("volume"), types["volume"])
+        typed["volume"] = to_volume("volume", types["volume"])
     return bars.withColumns(typed) if typed else bars
 
 
 def with_storage_key(df: DataFrame) -> DataFrame:
     """Adds the storage key, which with asset_type identifies an asset."""
-    return df.withColumn("storage_key", storage_key(F.col("symbol")))
+    return df.withColumn("storage_key", storage_key())

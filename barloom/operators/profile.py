@@ -46,10 +46,11 @@ def class_stats(
         F.count("size_bytes").alias("files"),
         F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint").alias("size_bytes"),
     ]
-    named = files.select(class_dir(F.col("asset_type")).alias("class"), "size_bytes")
+    named = files.select(class_dir().alias("class"), "size_bytes")
     if with_empty_classes:
         spark = files.sparkSession
-        classes = spark.createDataFrame([(c,) for c in ASSET_CLASSES.values()], "class string")
+        names = ", ".join(f"'{c}'" for c in ASSET_CLASSES.values())
+        classes = spark.sql(f"select explode(array({names})) as class")
         named = named.unionByName(classes, allowMissingColumns=True)
     grouped = named.rollup("class") if with_total else named.groupBy("class")
     return grouped.agg(*measures)

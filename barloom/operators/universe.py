@@ -19,19 +19,17 @@ def complete_universe(assets: DataFrame) -> DataFrame:
     """Every universe column in order and typed: absent ones get their default, and an empty
     vendor ticker is derived from symbol, class and exchange."""
     present = set(assets.columns)
-    columns = {
-        f.name: (
-            F.col(f.name) if f.name in present else F.lit(UNIVERSE_DEFAULTS[f.name])
-        ).cast(f.dataType)
-        for f in UNIVERSE_SCHEMA
-    }
-    typed = assets.select(*[c.alias(name) for name, c in columns.items()])
-    return typed.withColumn(
-        "yfinance_ticker",
-        vendor_ticker(
-            F.col("symbol"), F.col("asset_type"), F.col("exchange"), F.col("yfinance_ticker")
-        ),
-    )
+
+    def value(name: str) -> str:
+        if name in present:
+            return name
+        default = UNIVERSE_DEFAULTS[name]
+        return "null" if default is None else f"'{default}'"
+
+    typed = assets.selectExpr(*[
+        f"cast({value(f.name)} as {f.dataType.simpleString()}) as {f.name}" for f in UNIVERSE_SCHEMA
+    ])
+    return typed.withColumn("yfinance_ticker", vendor_ticker())
 
 
 def reject_unknown_values(assets: DataFrame) -> DataFrame:
@@ -94,4 +92,4 @@ def build_universe(listings: Sequence[DataFrame], order: str | None = None) -> D
 
 
 def with_asset_key(universe: DataFrame) -> DataFrame:
-    return universe.withColumn("storage_key", storage_key(F.col("symbol")))
+    return universe.withColumn("storage_key", storage_key())

@@ -13,6 +13,7 @@ from barloom.functions.naming import class_dir_strict
 from barloom.schema import PARTITION_FIELDS, STORED_SCHEMA, UNIVERSE_SCHEMA
 from barloom.sources import files
 from barloom.sources.store import NO_YEAR, PAIR, laid_out
+from barloom.work import no_rows
 
 SNAPSHOT_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)
 
@@ -33,7 +34,7 @@ def import_snapshot(
 ) -> DataFrame:
     """A snapshot's bars, of some asset classes or all; only their directories are read."""
     if not files.exists(spark, f"{path}/bars"):
-        return spark.createDataFrame([], SNAPSHOT_SCHEMA).drop("bar_year")
+        return no_rows(spark, SNAPSHOT_SCHEMA).drop("bar_year")
     bars = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{path}/bars")
     if asset_types:
         wanted = [t.upper() for t in asset_types]

@@ -42,12 +42,18 @@ from barloom.schema import (
     STORED_SCHEMA,
 )
 from barloom.sources import files
+from barloom.work import no_rows
 
 COMMIT_FIELD = T.StructField("commit", T.StringType())
 READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + [COMMIT_FIELD] + PARTITION_FIELDS)
 PAIR = ["asset_type", "bar_year"]
 PENDING_KEY = [*ASSET_KEY, "bar_year"]
 PENDING_SCHEMA = "asset_type string, storage_key string, bar_year int"
+FILES_SCHEMA = T.StructType([
+    T.StructField("asset_type", T.StringType()),
+    T.StructField("file_path", T.StringType()),
+    T.StructField("size_bytes", T.LongType()),
+])
 NO_YEAR = 0  # bar_year of bars without a date
 MERGE_AFTER = 30  # commits of one class-year that may pile up before a save merges them
 
@@ -116,9 +122,7 @@ class BarStore:
         """One row per live data file: asset_type, file_path, size_bytes (contents not read)."""
         folders = self._folders(self.version().live)
         if not folders:
-            return self.spark.createDataFrame(
-                [], "asset_type string, file_path string, size_bytes bigint"
-            )
+            return no_rows(self.spark, FILES_SCHEMA)
         reader = self.spark.read.format("binaryFile").option("basePath", f"{self.path}/bars")
         return reader.option("pathGlobFilter", "*.parquet").load(folders).select(
             "asset_type", F.col("path").alias("file_path"), F.col("length").alias("size_bytes")
@@ -155,13 +159,20 @@ class BarStore:
         batch_pairs = {(t, y) for _, t, y in added}
 
         fresh = self._read(added)
-        arriving = self._table("arriving", commit, self._arriving(fresh, before, batch_pairs))
-        touched = arriving.where("known").select(*ASSET_KEY)
-        dropping: set[Pair] = set()
         if before.live:
-            dropping = self._dropping_pairs(fresh, before, touched, batch_pairs)
-            dropping |= before.crowded() & batch_pairs
+            arriving = self._table("arriving", commit, self._arriving(fresh, before, batch_pairs))
+            touched = arriving.where("known").select(*ASSET_KEY)
+            kinds = {
+                r["known"]: (r["first"], r["last"]) for r in arriving.groupBy("known")
+                .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
+            }
+        else:
+            arriving, touched, kinds = None, None, {False: None}
 
+        dropping: set[Pair] = set()
+        if True in kinds:
+            dropping = self._dropping_pairs(fresh, before, touched, batch_pairs, kinds[True])
+            dropping |= before.crowded() & batch_pairs
         live = [d for d in before.live if (d[1], d[2]) not in dropping]
         live += [d for d in added if (d[1], d[2]) not in dropping]
         if dropping:
@@ -173,11 +184,18 @@ class BarStore:
             self._write(dedupe_assets(candidates, touched, ["commit", "seq"]), merged)
             live += self._directories(merged)
 
-        pending = self._pending(before).join(touched, ASSET_KEY, "left_anti")
-        if not dedupe_first_load:
-            pending = pending.unionByName(self._first_load_repeats(fresh, arriving))
+        kept = None if before.pending is None else self._pending(before)
+        if kept is not None and True in kinds:
+            kept = kept.join(touched, ASSET_KEY, "left_anti")
+        if False in kinds and not dedupe_first_load:
+            if arriving is not None:
+                new = arriving.where(~F.col("known")).select(*ASSET_KEY)
+                fresh = fresh.join(new, ASSET_KEY, "left_semi")
+            repeats = repeated_years(fresh)
+            kept = repeats if kept is None else kept.unionByName(repeats)
         self._publish(replace(
-            after, live=tuple(sorted(live)), pending=self._write_pending(pending, commit)
+            after, live=tuple(sorted(live)),
+            pending=None if kept is None else self._write_pending(kept, commit),
         ))
         return True
 
@@ -193,9 +211,8 @@ class BarStore:
             affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
             self._write(delete_assets(affected, gone), commit)
             live = [d for d in before.live if (d[1], d[2]) not in hit] + self._directories(commit)
-            pending = self._pending(before).join(gone, ASSET_KEY, "left_anti")
             self._publish(replace(
-                before, live=tuple(sorted(live)), pending=self._write_pending(pending, commit)
+                before, live=tuple(sorted(live)), pending=self._pending_without(before, gone, commit)
             ))
         return outcome
 
@@ -223,9 +240,9 @@ class BarStore:
                 )
             self._write(cleaned, commit)
             live = [d for d in before.live if (d[1], d[2]) not in hit] + self._directories(commit)
-            pending = self._pending(before).join(flagged, ASSET_KEY, "left_anti")
             self._publish(replace(
-                before, live=tuple(sorted(live)), pending=self._write_pending(pending, commit)
+                before, live=tuple(sorted(live)),
+                pending=self._pending_without(before, flagged, commit),
             ))
         return repaired
 
@@ -286,7 +303,7 @@ class BarStore:
     def _read(self, live: Iterable[tuple[str, str, int]]) -> DataFrame:
         folders = self._folders(live)
         if not folders:
-            return self.spark.createDataFrame([], READ_SCHEMA)
+            return no_rows(self.spark, READ_SCHEMA)
         reader = self.spark.read.schema(READ_SCHEMA).option("basePath", f"{self.path}/bars")
         return reader.parquet(*folders)
 
@@ -302,11 +319,15 @@ class BarStore:
         return self.spark.read.schema(content.schema).parquet(folder)
 
     def _pending(self, version: Version) -> DataFrame:
-        if version.pending is None:
-            return self.spark.createDataFrame([], PENDING_SCHEMA)
         folder = f"{self.path}/pending/commit={version.pending}"
         return self.spark.read.schema(PENDING_SCHEMA).parquet(folder)
 
+    def _pending_without(self, before: Version, assets: DataFrame, commit: str) -> str | None:
+        if before.pending is None:
+            return None
+        kept = self._pending(before).join(assets, ASSET_KEY, "left_anti")
+        return self._write_pending(kept, commit)
+
     def _write_pending(self, pending: DataFrame, commit: str) -> str | None:
         folder = f"{self.path}/pending/commit={commit}"
         pending.select(*PENDING_KEY).distinct().write.parquet(folder)
@@ -316,8 +337,11 @@ class BarStore:
     # -- steps of a save -----------------------------------------------------------------------
 
     def _arriving(self, fresh: DataFrame, before: Version, batch_pairs: set[Pair]) -> DataFrame:
-        """The batch's assets; `known`: already stored, so to be deduplicated."""
-        assets = fresh.select(*ASSET_KEY).distinct()
+        """The batch's assets with their first and last date; `known`: already stored, so to be
+        deduplicated."""
+        assets = fresh.groupBy(*ASSET_KEY).agg(
+            F.min("date").alias("first"), F.max("date").alias("last")
+        )
         classes = {t for t, _ in batch_pairs}
         stored = (
             self._read([d for d in before.live if d[1] in classes])
@@ -328,15 +352,15 @@ class BarStore:
         )
 
     def _dropping_pairs(
-        self, fresh: DataFrame, before: Version, touched: DataFrame, batch_pairs: set[Pair]
+        self, fresh: DataFrame, before: Version, touched: DataFrame, batch_pairs: set[Pair],
+        bounds: tuple[date | None, date | None],
     ) -> set[Pair]:
         """Class-years in which this batch makes some bar obsolete: a date occurs twice in the
         batch or was stored before, or a first load had kept repeated dates."""
-        bounds = fresh.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
         stored = self._read([d for d in before.live if (d[1], d[2]) in batch_pairs])
-        if bounds["first"] is not None:
-            within = F.col("date").between(bounds["first"], bounds["last"])
-            stored = stored.where(within | F.col("date").isNull())
+        first, last = bounds
+        if first is not None:
+            stored = stored.where(F.col("date").between(first, last) | F.col("date").isNull())
         both = stored.withColumn("_new", F.lit(False)).unionByName(
             fresh.withColumn("_new", F.lit(True))
         )
@@ -351,23 +375,20 @@ class BarStore:
                  F.expr("bit_or(if(_new, 0, _bit)) as _stored"))
             .where("_added & _stored <> 0")
         )
-        repeats = overlaps.select(*PENDING_KEY).unionByName(repeated_years(fresh)).unionByName(
-            self._pending(before)
-        )
+        repeats = overlaps.select(*PENDING_KEY).unionByName(repeated_years(fresh))
+        if before.pending is not None:
+            repeats = repeats.unionByName(self._pending(before))
         return self._collect_pairs(repeats.join(touched, ASSET_KEY, "left_semi"))
 
-    def _first_load_repeats(self, fresh: DataFrame, arriving: DataFrame) -> DataFrame:
-        new = arriving.where(~F.col("known")).select(*ASSET_KEY)
-        return repeated_years(fresh.join(new, ASSET_KEY, "left_semi"))
-
     def _changed_by_repair(
         self, stored: DataFrame, flagged: DataFrame, before: Version
     ) -> DataFrame:
         """Asset class and year of every bar a repair changes, and of repeats it drops."""
         open_ended = F.col("high").isNull() | F.col("low").isNull()
         changed = stored.where(is_violation() | open_ended).select(*PENDING_KEY)
-        affected = changed.unionByName(self._pending(before))
-        return affected.join(flagged, ASSET_KEY, "left_semi")
+        if before.pending is not None:
+            changed = changed.unionByName(self._pending(before))
+        return changed.join(flagged, ASSET_KEY, "left_semi")
 
     @staticmethod
     def _collect_pairs(bars: DataFrame) -> set[Pair]:

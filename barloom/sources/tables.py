@@ -24,6 +24,7 @@ from barloom.schema import (
     VALIDATION_LOG_SCHEMA,
 )
 from barloom.sources import files
+from barloom.work import no_rows
 
 
 class Catalog:
@@ -47,7 +48,7 @@ class Catalog:
     def _state(self, name: str, schema: T.StructType) -> DataFrame:
         folder = self._newest(name)
         if folder is None:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(folder)
 
     def write_universe(self, universe: DataFrame) -> None:
@@ -98,7 +99,7 @@ class Catalog:
     def _log(self, name: str, schema: T.StructType) -> DataFrame:
         folder = f"{self.path}/{name}"
         if not files.exists(self.spark, folder):
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(folder)
 
     def log_downloads(self, rows: DataFrame, run_id: str, at: datetime) -> None:

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from barloom.session import shared_folder
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table the planner knows to be empty."""
+    columns = ", ".join(f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in schema)
+    return spark.sql(f"select {columns} where false")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of `df` as a table on shared storage, written now.
 

@@ -224,19 +224,17 @@ def throttle_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def storage_keys(spark: SparkSession, sf: str) -> DataFrame:
-    symbol, kind = F.col("symbol"), F.col("asset_type")
     return view(spark, sf, "odd_symbols").select(
-        "id", storage_key(symbol).alias("storage_key"), class_dir(kind).alias("class"),
-        storage_path(kind, symbol).alias("path"),
-        class_dir(F.concat(kind, F.lit("S"))).alias("unknown_class"),
+        "id", storage_key().alias("storage_key"), class_dir().alias("class"),
+        storage_path().alias("path"),
+        class_dir("concat(asset_type, 'S')").alias("unknown_class"),
     )
 
 
 @register
 def derive_ticker(spark: SparkSession, sf: str) -> DataFrame:
-    columns = [F.col(c) for c in ("symbol", "asset_type", "exchange", "yfinance_ticker")]
     return view(spark, sf, "odd_symbols").select(
-        "id", "symbol", "asset_type", vendor_ticker(*columns).alias("ticker")
+        "id", "symbol", "asset_type", vendor_ticker().alias("ticker")
     )
 
 
