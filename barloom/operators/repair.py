@@ -30,10 +30,13 @@ def repaired_counts(bars: DataFrame) -> DataFrame:
     )
 
 
-def repair_ohlc(bars: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+def repair_ohlc(
+    bars: DataFrame, flagged: DataFrame | None = None, has_nan: bool = True
+) -> DataFrame:
     """High and low widened to span all four prices, in every asset that has a violation.
 
     `flagged` (distinct asset keys) says which assets those are, if `bars` is only a part of them.
+    Stored bars have no NaN; saying so lets the search for missing bounds skip row groups.
 
     The rule covers the whole asset, but on a bar that is not itself in violation it changes
     nothing unless high or low is missing. So a bar in violation is repaired on the spot, and only
@@ -42,7 +45,8 @@ def repair_ohlc(bars: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """
     if not set(PRICE_COLUMNS) <= set(bars.columns):
         return bars
-    bars = nan_to_null(bars)
+    if has_nan:
+        bars = nan_to_null(bars)
     prices = [F.col(c) for c in PRICE_COLUMNS]
     spanned = {"high": F.greatest(*prices), "low": F.least(*prices)}
 

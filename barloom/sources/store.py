@@ -47,6 +47,7 @@ from barloom.work import no_rows
 COMMIT_FIELD = T.StructField("commit", T.StringType())
 READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + [COMMIT_FIELD] + PARTITION_FIELDS)
 PAIR = ["asset_type", "bar_year"]
+FILE_ORDER = [*PAIR, "storage_key", "date"]
 PENDING_KEY = [*ASSET_KEY, "bar_year"]
 PENDING_SCHEMA = "asset_type string, storage_key string, bar_year int"
 FILES_SCHEMA = T.StructType([
@@ -232,13 +233,17 @@ class BarStore:
         hit = self._collect_pairs(self._changed_by_repair(stored, flagged, before))
         if hit:
             affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
-            cleaned = repair_ohlc(affected, flagged)
-            if before.pending is not None:
+            cleaned = repair_ohlc(affected, flagged, has_nan=False)
+            if before.pending is None:
+                self._write(cleaned, commit, in_place=True)
+            else:
                 repeats = self._pending(before).join(flagged, ASSET_KEY, "left_semi")
-                cleaned = dedupe_assets(
-                    cleaned, repeats.select(*ASSET_KEY).distinct(), ["commit", "seq"]
+                self._write(
+                    dedupe_assets(
+                        cleaned, repeats.select(*ASSET_KEY).distinct(), ["commit", "seq"]
+                    ),
+                    commit,
                 )
-            self._write(cleaned, commit)
             live = [d for d in before.live if (d[1], d[2]) not in hit] + self._directories(commit)
             self._publish(replace(
                 before, live=tuple(sorted(live)),
@@ -307,10 +312,11 @@ class BarStore:
         reader = self.spark.read.schema(READ_SCHEMA).option("basePath", f"{self.path}/bars")
         return reader.parquet(*folders)
 
-    def _write(self, bars: DataFrame, commit: str) -> None:
-        laid_out(bars.select(*STORED_SCHEMA.fieldNames(), *PAIR)).write.partitionBy(
-            *PAIR
-        ).parquet(f"{self.path}/bars/commit={commit}")
+    def _write(self, bars: DataFrame, commit: str, in_place: bool = False) -> None:
+        """Writes a commit; `in_place`: the rows still lie as their files were laid out."""
+        rows = bars.select(*STORED_SCHEMA.fieldNames(), *PAIR)
+        rows = rows.sortWithinPartitions(*FILE_ORDER) if in_place else laid_out(rows)
+        rows.write.partitionBy(*PAIR).parquet(f"{self.path}/bars/commit={commit}")
 
     def _table(self, name: str, commit: str, content: DataFrame) -> DataFrame:
         """Writes an intermediate table that several later steps read."""
@@ -408,8 +414,7 @@ def laid_out(bars: DataFrame) -> DataFrame:
     light one shares a task, and an asset's bars sit together: row groups can be skipped on asset
     and date, and per-asset aggregations combine before they shuffle.
     """
-    ranged = bars.repartitionByRange(*PAIR, "storage_key", "date", "seq")
-    return ranged.sortWithinPartitions(*PAIR, "storage_key", "date")
+    return bars.repartitionByRange(*FILE_ORDER, "seq").sortWithinPartitions(*FILE_ORDER)
 
 
 def keyed(bars: DataFrame) -> DataFrame:

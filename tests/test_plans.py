@@ -102,3 +102,10 @@ def test_no_cross_join_no_python_no_single_partition_window(spark, name):
     assert "Python" not in text and "MapInPandas" not in text
     if name != "status_summary":
         assert "SinglePartition" not in text
+
+
+def test_repair_of_stored_bars_looks_only_for_missing_bounds(stored):
+    bars = stored.load()
+    flagged = bars.select("asset_type", "storage_key").distinct()
+    text = plan(repair_ohlc(bars, flagged, has_nan=False))
+    assert re.search(r"PushedFilters: \[Or\(IsNull\(high\),IsNull\(low\)\)", text)

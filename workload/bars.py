@@ -13,7 +13,6 @@ from barloom.functions.naming import class_dir, storage_key, storage_path, vendo
 from barloom.functions.outcomes import download_status
 from barloom.operators import catalog, checks, ingest, merge, profile, repair, report, select, universe
 from barloom.operators.normalize import coerce_types, normalize_bars
-from barloom.schema import ASSET_KEY
 from barloom.session import shared_folder
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
