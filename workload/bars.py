@@ -6,13 +6,22 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.naming import class_dir, storage_key, storage_path, vendor_ticker
-from barloom.functions.outcomes import download_status
-from barloom.operators import catalog, checks, ingest, merge, profile, repair, report, select, universe
-from barloom.operators.normalize import coerce_types, normalize_bars
+from barloom.functions import naming, outcomes
+from barloom.operators import (
+    catalog,
+    checks,
+    ingest,
+    merge,
+    normalize,
+    profile,
+    repair,
+    report,
+    select,
+    universe,
+)
 from barloom.session import shared_folder
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
@@ -150,8 +159,8 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register
-def coerce_text(spark: SparkSession, sf: str) -> DataFrame:
-    return coerce_types(view(spark, sf, "text_bars"))
+def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.coerce_types(view(spark, sf, "text_bars"))
 
 
 @register
@@ -187,8 +196,8 @@ def repair_log_rows(spark: SparkSession, sf: str) -> DataFrame:
 # -- projections and filters -------------------------------------------------------------------
 
 @register
-def normalize_vendor(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize_bars(view(spark, sf, "vendor_bars"))
+def normalize_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.normalize_bars(view(spark, sf, "vendor_bars"))
 
 
 @register
@@ -202,11 +211,15 @@ def filter_asset_type(spark: SparkSession, sf: str) -> DataFrame:
     return select.filter_asset_type(view(spark, sf, "raw_bars"), "forex")
 
 
+def _status() -> Column:
+    return outcomes.download_status(F.col("rows_added"), F.col("error"), F.col("skipped"))
+
+
 @register
-def download_outcome(spark: SparkSession, sf: str) -> DataFrame:
+def download_status(spark: SparkSession, sf: str) -> DataFrame:
     attempts = view(spark, sf, "download_results")
     return attempts.select(
-        "id", download_status(F.col("rows_added"), F.col("error"), F.col("skipped")).alias("status")
+        "id", _status().alias("status")
     )
 
 
@@ -222,18 +235,18 @@ def throttle_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register
-def storage_keys(spark: SparkSession, sf: str) -> DataFrame:
+def storage_key(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "odd_symbols").select(
-        "id", storage_key().alias("storage_key"), class_dir().alias("class"),
-        storage_path().alias("path"),
-        class_dir("concat(asset_type, 'S')").alias("unknown_class"),
+        "id", naming.storage_key().alias("storage_key"), naming.class_dir().alias("class"),
+        naming.storage_path().alias("path"),
+        naming.class_dir("concat(asset_type, 'S')").alias("unknown_class"),
     )
 
 
 @register
 def derive_ticker(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "odd_symbols").select(
-        "id", "symbol", "asset_type", vendor_ticker().alias("ticker")
+        "id", "symbol", "asset_type", naming.vendor_ticker().alias("ticker")
     )
 
 
@@ -334,10 +347,9 @@ def count_assets(spark: SparkSession, sf: str) -> DataFrame:
 
 def _download_log(spark: SparkSession, sf: str) -> DataFrame:
     attempts = view(spark, sf, "download_results")
-    status = download_status(F.col("rows_added"), F.col("error"), F.col("skipped"))
     return attempts.select(
         "id", "symbol", "download_time", F.col("rows_added").alias("rows_downloaded"),
-        status.alias("status"), F.coalesce("error", F.lit("")).alias("error_message"),
+        _status().alias("status"), F.coalesce("error", F.lit("")).alias("error_message"),
     )
 
 

@@ -226,7 +226,7 @@ ORACLE: dict[str, str] = {
         where (asset_type, symbol) not in (select asset_type, symbol from supplier_assets)""",
     "store_clean": REPAIR + f"select {ALL} from ranked where flagged = 0 or rank = 1",
     "stream_ingest": UPSERT,
-    "coerce_text": ctes("text_bars") + f""" select seq, symbol, date, {numeral('open')} as open,
+    "coerce_types": ctes("text_bars") + f""" select seq, symbol, date, {numeral('open')} as open,
         coalesce(cast(trunc({numeral('volume')}) as bigint), 0) as volume from text_bars""",
     "delete_assets": ctes("raw_bars", "supplier_assets") + f""" select {ALL} from raw_bars
         where (asset_type, symbol) not in (select asset_type, symbol from supplier_assets)""",
@@ -251,14 +251,14 @@ ORACLE: dict[str, str] = {
         select symbol, 'ohlc_consistency' as check_name, 'PASSED' as status,
           'Repaired ' || n || ' OHLC consistency violations' as details
         from universe join hits using ({KEY})""",
-    "normalize_vendor": ctes("vendor_bars") + """ select "Date" as date, "Open" as open,
+    "normalize_bars": ctes("vendor_bars") + """ select "Date" as date, "Open" as open,
         "High" as high, "Low" as low, "Close" as close, "Adj Close" as adj_close,
         "Volume" as volume, cast(0 as double) as dividends, "Stock Splits" as stock_splits,
         "Symbol" as symbol from vendor_bars""",
     "filter_symbols": ctes("odd_symbols") + """ select * from odd_symbols
         where upper(symbol) in ('NIFTY 50', 'GOLD', 'USD/INR', '^SMALL RING=F', 'NOTHING')""",
     "filter_asset_type": ctes("raw_bars") + " select * from raw_bars where asset_type = 'FOREX'",
-    "download_outcome": ctes("download_results")
+    "download_status": ctes("download_results")
         + f" select id, {STATUS} as status from download_results",
     "download_log_rows": ctes("download_results") + f""" select symbol,
         rows_added as rows_downloaded, {STATUS} as status,
@@ -269,7 +269,7 @@ ORACLE: dict[str, str] = {
           or lower(error) like '%rate limit%' or lower(error) like '%connection reset%'
           or lower(error) like '%connection aborted%' or lower(error) like '%read timed out%'
           or lower(error) like '%no data found%', false) as throttle from download_results""",
-    "storage_keys": ctes("odd_symbols") + f""" select id, {SAFE} as storage_key,
+    "storage_key": ctes("odd_symbols") + f""" select id, {SAFE} as storage_key,
         {CLASS_DIR} as class, {CLASS_DIR} || '/' || {SAFE} as path, 'other' as unknown_class
         from odd_symbols""",
     "derive_ticker": ctes("odd_symbols")
