@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barloom.llm.chat_format import format_chats
 from barloom.llm.common import table
+from barloom.llm.entropy_mixing import mix
+from barloom.llm.exact_dedup import decisions
+from barloom.llm.language_id import language_id
+from barloom.llm.length_packing import packed
 from barloom.llm.quality_classifier import quality_classifier
 from barloom.llm.quality_rules import quality_rules
+from barloom.llm.simhash import near_duplicates
+from barloom.llm.token_scan import token_counts
+from barloom.llm.toxicity import toxicity
+from barloom.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +43,52 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_classifier(docs, table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "held_out", "score", "predicted")
+
+
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = toxicity(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", "lang_threshold", "flagged")
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents arrive first and are the snapshot that screens the other half."""
+    return decisions(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@register
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op7_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register
+def op9_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents are written to flat files and counted there."""
+    folder = f"{shared_folder(spark)}/barloom/flat-{uuid.uuid4().hex}"
+    return token_counts(table(spark, sf_dir, "documents"), folder)
