@@ -7,7 +7,7 @@ import struct
 
 import numpy as np
 
-_HEAD = struct.Struct("<QIII")  # seed, segment length, segment count, number of keys
+HEAD = "<QIII"  # seed, segment length, segment count, number of keys
 _U = np.uint64
 
 
@@ -83,15 +83,15 @@ def build(keys: np.ndarray) -> bytes:
         others = np.bitwise_xor.reduce(table[places[own]], axis=1) ^ table[slot]
         table[slot] = others ^ mark[own]
     seed = seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
-    return _HEAD.pack(seed, segment, count, len(keys)) + table.tobytes()
+    return struct.pack(HEAD, seed, segment, count, len(keys)) + table.tobytes()
 
 
 def may_contain(filter_bytes: bytes, keys: np.ndarray) -> np.ndarray:
     """True for every key of the set, and for about one in 256 others."""
-    seed, segment, count, n = _HEAD.unpack_from(filter_bytes)
+    seed, segment, count, n = struct.unpack_from(HEAD, filter_bytes)
     if not n:
         return np.zeros(len(keys), bool)
-    table = np.frombuffer(filter_bytes, np.uint8, offset=_HEAD.size)
+    table = np.frombuffer(filter_bytes, np.uint8, offset=struct.calcsize(HEAD))
     h = _hash(np.asarray(keys).astype(_U), seed)
     found = np.bitwise_xor.reduce(table[_places(h, segment, count)], axis=1)
     return found == _mark(h)

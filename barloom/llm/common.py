@@ -29,6 +29,15 @@ def word_count(text: Column | str) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often and wherever the body uses it.
+
+    A column that lambdas refer to would be copied into them, and computed for every element, once
+    the planner merges projections or pushes a filter down.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def id_remainder(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id's text, modulo `modulus`; -1 for a null id."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

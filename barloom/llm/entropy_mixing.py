@@ -70,6 +70,11 @@ def targets(sources: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     return now.select("source", "source_size", F.least(level * F.col("weight"), "most").alias("target"))
 
 
+def exact_sum(x: Column) -> Column:
+    """A sum in millionths, so that it doesn't depend on the order of the rows."""
+    return F.sum(F.round(x * 1e6).cast("decimal(38,0)")).cast("double") / 1e6
+
+
 def balanced(cells: DataFrame, wanted: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     """(source, tilt, scale) of every source; rates are min(cap, exp(tilt * size / scale)).
 
@@ -101,7 +106,7 @@ def balanced(cells: DataFrame, wanted: DataFrame, settings: Settings = SETTINGS)
         sums = (
             cells.join(open_, cells["source"].eqNullSafe(open_["source"]))
             .groupBy(open_["source"], "target", "scale", "tilt", "low", "high")
-            .agg(F.sum(words).alias("words"), F.sum(slope).alias("slope")))
+            .agg(exact_sum(words).alias("words"), exact_sum(slope).alias("slope")))
         short = F.col("words") < F.col("target")
         low = F.when(short, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(short, F.col("high")).otherwise(F.col("tilt"))

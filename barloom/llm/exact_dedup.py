@@ -165,9 +165,9 @@ def decisions(docs: DataFrame, batches: int = 2, digest: Digest = sha256) -> Dat
 
 def drop_copies(docs: DataFrame, batches: int = 2) -> DataFrame:
     """The rows of `docs`, unchanged, that `decisions` keeps."""
-    kept = decisions(docs, batches).where("kept")
-    chosen = kept.groupBy("doc_id", "digest", "n_chars").agg(F.count(F.lit(1)).alias("n_rows"))
-    keys = chosen.select(
+    chosen = decisions(docs, batches).groupBy("doc_id", "digest", "n_chars").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_or("kept").alias("kept"))
+    keys = chosen.where("kept").select(
         F.col("doc_id"), F.col("digest").alias("_digest"), F.col("n_chars").alias("_n_chars"),
         "n_rows")
     marked = docs.withColumn("_digest", sha256(normalised())).withColumn(

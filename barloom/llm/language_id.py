@@ -209,7 +209,7 @@ def identify(
             [pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
 
     return (
-        docs.withColumn("_found", found(cleaned()))
+        docs.withColumn("_found", found.asNondeterministic()(cleaned()))
         .withColumn(lang_out, F.col("_found.lang")).withColumn(score_out, F.col("_found.score"))
         .drop("_found")
     )

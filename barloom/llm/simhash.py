@@ -64,7 +64,7 @@ def with_fingerprint(docs: DataFrame, out: str, shingle: int = SHINGLE) -> DataF
         found = (fingerprint(t.as_py(), shingle) for t in texts)
         return pa.array(np.fromiter(found, np.uint64, len(texts)).view(np.int64))
 
-    return docs.withColumn(out, prints("text"))
+    return docs.withColumn(out, prints.asNondeterministic()("text"))
 
 
 def masks(blocks: int, distance: int) -> list[int]:

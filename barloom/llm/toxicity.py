@@ -271,7 +271,7 @@ def score(
             found[a:b] = net.logits(w[own], p[own], starts[a:b + 1] - starts[a])
         return pa.array(sigmoid(found + centre), pa.float64())
 
-    return docs.withColumn(out, scored(*hashed("text", settings.prefix)))
+    return docs.withColumn(out, scored.asNondeterministic()(*hashed("text", settings.prefix)))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
