@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import SPACE, whole, words_of
+from barloom.llm.common import SPACE, let, whole, words_of
 from barloom.work import written
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -38,15 +38,15 @@ class Rules:
 RULES = Rules()
 
 
-def _hashes() -> Column:
-    """64-bit hash of each word in `_words`."""
-    return F.transform("_words", lambda w: F.xxhash64(w))
+def _hashes(words: Column) -> Column:
+    """64-bit hash of each word."""
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _pair_hashes() -> Column:
-    """Hash of each pair of neighbours in `_h`."""
-    pairs = F.transform("_h", lambda h, i: F.xxhash64(h, F.get("_h", i + 1)))
-    return F.slice(pairs, F.lit(1), F.greatest(F.size("_h") - 1, F.lit(0)))
+def _pair_hashes(h: Column) -> Column:
+    """Hash of each pair of neighbours of an array of hashes."""
+    pairs = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+    return F.slice(pairs, F.lit(1), F.greatest(F.size(h) - 1, F.lit(0)))
 
 
 def _cell(h: Column, buckets: int) -> Column:
@@ -55,10 +55,9 @@ def _cell(h: Column, buckets: int) -> Column:
 
 def cell_counts(texts: DataFrame, buckets: int) -> DataFrame:
     """(cell, n): how often each cell occurs among the n-grams of a `text` column."""
-    hashed = texts.select(words_of("text").alias("_words")).select(_hashes().alias("_h"))
-    grams = F.concat("_h", _pair_hashes())
+    grams = let(_hashes(words_of("text")), lambda h: F.concat(h, _pair_hashes(h)))
     return (
-        hashed.select(F.explode(grams).alias("h"))
+        texts.select(F.explode(grams).alias("h"))
         .groupBy(_cell(F.col("h"), buckets).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -86,53 +85,64 @@ def cell_weights(raw: DataFrame, target: DataFrame, rules: Rules) -> list[float]
     ]
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """`docs` with `_h` (word hashes) and the counts of the base rule.
-
-    n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (bigint) replace columns of those
-    names. n_repeat_words counts the words that lie in some three-word window whose words occur
-    again elsewhere in the text in the same order; equal windows are found by their 64-bit hash.
-    """
-    with_line = F.filter(F.split(whole("text"), "\n"), lambda line: line.rlike(f"[^{SPACE[1:]}"))
-    first = (
-        docs.withColumn("_words", words_of("text")).withColumn("_lines", with_line)
-        .withColumn("_h", _hashes())
-        .withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-        .withColumn("n_symbols", F.regexp_count(whole("text"), F.lit(SYMBOLS)).cast("long"))
-        .withColumn("n_dup_lines",
-                    (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    )
+def _repeated_words(h: Column) -> Column:
+    """Number of words, given as hashes, that lie in a window of three found twice or more."""
     windows = F.slice(
-        F.transform("_h", lambda h, i: F.struct(
-            F.xxhash64(h, F.get("_h", i + 1), F.get("_h", i + 2)).alias("w"), i.alias("at"))),
-        F.lit(1), F.greatest(F.size("_h") - 2, F.lit(0)),
-    )
-    repeated = F.filter("_windows", lambda e, i: (
-        (e["w"] == F.get("_windows", i - 1)["w"]) | (e["w"] == F.get("_windows", i + 1)["w"])))
-    # Three words a window, less those that the next repeated window covers as well.
-    shared = F.transform("_at", lambda at, i: F.greatest(
-        F.lit(0), 3 - (F.coalesce(F.get("_at", i + 1), at + 3) - at)))
-    covered = 3 * F.size("_at") - F.aggregate(shared, F.lit(0), lambda a, b: a + b)
-    return (
-        first.withColumn("_windows", F.sort_array(windows))
-        .withColumn("_at", F.sort_array(F.transform(repeated, lambda e: e["at"])))
-        .withColumn("n_repeat_words", covered.cast("long"))
-        .drop("_words", "_lines", "_windows", "_at")
-    )
+        F.transform(h, lambda x, i: F.struct(
+            F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)).alias("w"), i.alias("at"))),
+        F.lit(1), F.greatest(F.size(h) - 2, F.lit(0)))
+
+    def places(s: Column) -> Column:
+        """Where the windows begin that equal a neighbour, once all are sorted."""
+        twice = F.filter(s, lambda e, i: (
+            (e["w"] == F.get(s, i - 1)["w"]) | (e["w"] == F.get(s, i + 1)["w"])))
+        return F.sort_array(F.transform(twice, lambda e: e["at"]))
+
+    def covered(at: Column) -> Column:
+        """Three words a window, less those that the next one covers as well."""
+        shared = F.transform(at, lambda a, i: F.greatest(
+            F.lit(0), 3 - (F.coalesce(F.get(at, i + 1), a + 3) - a)))
+        return 3 * F.size(at) - F.aggregate(shared, F.lit(0), lambda a, b: a + b)
 
+    return let(let(F.sort_array(windows), places), covered)
 
-def mean_weight(weights: list[float]) -> Column:
-    """Mean weight of the n-grams of `_h`; 0 without words."""
+
+def _mean_weight(h: Column, weights: list[float]) -> Column:
+    """Mean weight of the n-grams of words, given as hashes; 0 without words."""
     buckets = len(weights)
     constant = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
 
-    def total(hashes: Column | str) -> Column:
-        return F.aggregate(
-            hashes, F.lit(0.0), lambda a, h: a + F.get(constant, _cell(h, buckets)))
+    def total(hashes: Column) -> Column:
+        return F.aggregate(hashes, F.lit(0.0), lambda a, x: a + F.get(constant, _cell(x, buckets)))
+
+    mean = (total(h) + total(_pair_hashes(h))) / (2 * F.size(h) - 1)
+    return F.when(F.size(h) > 0, mean).otherwise(0.0)
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ratio"]
 
-    n = 2 * F.size("_h") - 1
-    return F.when(F.size("_h") > 0, (total("_h") + total(_pair_hashes())) / n).otherwise(0.0)
+
+def measured(docs: DataFrame, weights: list[float]) -> DataFrame:
+    """`docs` with the counts of the base rule (bigint) and `log_ratio`, the mean weight.
+
+    n_repeat_words counts the words that lie in some three-word window whose words occur again
+    elsewhere in the text in the same order; equal windows are found by their 64-bit hash. Columns
+    of these names are replaced.
+    """
+    def counts(words: Column, lines: Column, h: Column) -> Column:
+        values = [
+            F.size(words), F.length(F.array_join(words, "")),
+            F.regexp_count(whole("text"), F.lit(SYMBOLS)),
+            F.size(lines) - F.size(F.array_distinct(lines)), _repeated_words(h),
+        ]
+        return F.struct(*(v.cast("long").alias(n) for n, v in zip(COUNTS, values, strict=False)),
+                        _mean_weight(h, weights).alias("log_ratio"))
+
+    with_word = F.filter(F.split(whole("text"), "\n"), lambda line: line.rlike(f"[^{SPACE[1:]}"))
+    found = let(words_of("text"), lambda words: let(
+        with_word, lambda lines: let(_hashes(words), lambda h: counts(words, lines, h))))
+    # A generator, so that a filter on a count isn't computed beside it once more.
+    return docs.drop(*COUNTS).select("*", F.inline(F.array(found)))
 
 
 def apply_rules(docs: DataFrame, weights: list[float], rules: Rules = RULES) -> DataFrame:
@@ -144,8 +154,7 @@ def apply_rules(docs: DataFrame, weights: list[float], rules: Rules = RULES) ->
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     return (
-        measured(docs).withColumn("log_ratio", mean_weight(weights)).drop("_h")
-        .withColumn("base_failed", failed)
+        measured(docs, weights).withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= rules.threshold))
     )
 
@@ -153,12 +162,13 @@ def apply_rules(docs: DataFrame, weights: list[float], rules: Rules = RULES) ->
 def learn_weights(docs: DataFrame, trusted_ids: DataFrame, rules: Rules = RULES) -> list[float]:
     """Cell weights from all of `docs` and from those whose doc_id is in `trusted_ids`.
 
-    The ids are written first, so the planner broadcasts them only below its threshold and
-    otherwise shuffles the texts once.
+    Trusted ids grow with the corpus, so they are never broadcast: the texts are shuffled once, at
+    every size, to meet them.
     """
-    ids = written(trusted_ids.select("doc_id").where("doc_id is not null").distinct(), "trusted")
+    ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct()
     texts = docs.where("text is not null")
-    target = texts.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    target = texts.select("doc_id", "text").join(
+        written(ids, "trusted").hint("merge"), "doc_id", "left_semi")
     return cell_weights(
         cell_counts(texts.select("text"), rules.buckets),
         cell_counts(target.select("text"), rules.buckets), rules)
