@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.merge import keep_last
 from barloom.schema import ASSETS_SCHEMA
+from barloom.work import written
 
 
 def upsert_assets(
@@ -99,14 +100,26 @@ def _history(log: DataFrame, symbol: str | None, stamp: str) -> DataFrame:
 
 def orphan_log_rows(log: DataFrame, assets: DataFrame) -> DataFrame:
     """Log rows whose symbol is not in the catalog."""
-    return log.join(assets.select("symbol").distinct(), "symbol", "left_anti")
+    known = written(assets.select("symbol").distinct(), "symbols")
+    return log.join(known, "symbol", "left_anti")
 
 
 def query(
     spark: SparkSession, tables: dict[str, DataFrame], sql: str,
     params: Sequence[Any] | None = None,
 ) -> DataFrame:
-    """SQL over the named tables, with `?` placeholders filled from `params` in order."""
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(sql, args=list(params)) if params else spark.sql(sql)
+    """SQL over the named tables, with `?` placeholders filled from `params` in order.
+
+    The caller's own temporary views of those names are back afterwards.
+    """
+    views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    own = {name: spark.table(name) for name in tables if name in views}
+    try:
+        for name, table in tables.items():
+            table.createOrReplaceTempView(name)
+        return spark.sql(sql, args=list(params)) if params else spark.sql(sql)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, table in own.items():
+            table.createOrReplaceTempView(name)

@@ -11,6 +11,7 @@ from barloom.functions.naming import storage_path
 from barloom.functions.outcomes import download_status, is_throttle_error
 from barloom.operators.profile import last_dates
 from barloom.schema import ASSET_KEY
+from barloom.work import written
 
 # Fixed value: where history starts for an asset without bars.
 HISTORY_START = date(1990, 1, 1)
@@ -41,9 +42,10 @@ def resume_plan(
 
 def select_missing(landed: DataFrame, plan: DataFrame) -> DataFrame:
     """Landed bars inside their asset's planned range; assets planned twice count once."""
-    ranges = (
+    ranges = written(
         plan.where(~F.col("skipped")).groupBy(*ASSET_KEY)
-        .agg(F.min("start_date").alias("_from"), F.max("end_date").alias("_to"))
+        .agg(F.min("start_date").alias("_from"), F.max("end_date").alias("_to")),
+        "ranges",
     )
     return (
         landed.join(ranges, ASSET_KEY)
@@ -53,9 +55,14 @@ def select_missing(landed: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def ingest_results(plan: DataFrame, fetched: DataFrame) -> DataFrame:
-    """One row per planned asset: rows added, no error, and whether it was up to date."""
+    """One row per planned asset: rows added, no error, and whether it was up to date.
+
+    An asset that is planned twice, as it is listed twice, is fetched once and has one row.
+    """
     added = fetched.groupBy(*ASSET_KEY).agg(F.count(F.lit(1)).alias("rows_added"))
-    return plan.join(added, ASSET_KEY, "left").select(
+    assets = plan.groupBy(*ASSET_KEY).agg(
+        F.min("symbol").alias("symbol"), F.bool_and("skipped").alias("skipped"))
+    return assets.join(added, ASSET_KEY, "left").select(
         "symbol", *ASSET_KEY,
         F.coalesce("rows_added", F.lit(0)).cast("bigint").alias("rows_added"),
         F.lit(None).cast("string").alias("error"),

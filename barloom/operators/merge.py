@@ -58,8 +58,12 @@ def dedupe_assets(bars: DataFrame, assets: DataFrame, order: Sequence[str]) -> D
 
 
 def delete_assets(bars: DataFrame, assets: DataFrame) -> DataFrame:
-    """Bars without those of the given assets."""
-    return bars.join(assets.select(*ASSET_KEY).distinct(), ASSET_KEY, "left_anti")
+    """Bars without those of the given assets.
+
+    The keys are written first: a join with a bare table is split where an asset is heavy.
+    """
+    gone = written(assets.select(*ASSET_KEY).distinct(), "gone")
+    return bars.join(gone, ASSET_KEY, "left_anti")
 
 
 def deletion_outcome(bars: DataFrame, assets: DataFrame) -> DataFrame:

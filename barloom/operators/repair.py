@@ -88,10 +88,15 @@ def repair_summary(bars: DataFrame) -> DataFrame:
 
 
 def repair_log_rows(bars: DataFrame, universe: DataFrame) -> DataFrame:
-    """The validation log rows a cleaning run appends, one per repaired universe asset."""
+    """The validation log rows a cleaning run appends, one per repaired asset of the universe."""
+    return repair_log(repaired_counts(bars), universe)
+
+
+def repair_log(repaired: DataFrame, universe: DataFrame) -> DataFrame:
+    """One log row per repaired asset, however often the universe lists it."""
+    assets = universe.groupBy(*ASSET_KEY).agg(F.min("symbol").alias("symbol"))
     return (
-        universe.select("symbol", *ASSET_KEY)
-        .join(repaired_counts(bars), ASSET_KEY)
+        assets.join(repaired, ASSET_KEY)
         .select(
             "symbol",
             F.lit("ohlc_consistency").alias("check_name"),

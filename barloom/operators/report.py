@@ -16,10 +16,11 @@ from barloom.operators.checks import (
     skipped_sql,
     verdicts_sql,
 )
-from barloom.schema import ASSET_KEY, FAILED
+from barloom.schema import ASSET_KEY
 
 NO_DATA_CHECK = "data_exists"
 NO_DATA_MESSAGE = "No data available for validation"
+STATUS_COUNTS = {"passed": "PASSED", "warned": "WARNING", "failed": "FAILED"}
 
 
 def validation_report(
@@ -30,6 +31,19 @@ def validation_report(
 
     Both join sides hold one row per asset at most, so no asset is heavy in the join.
     """
+    return report_of(asset_verdicts(universe, bars, settings, checks))
+
+
+def report_of(verdicts: DataFrame) -> DataFrame:
+    """One row per check from the rows of `asset_verdicts`."""
+    return verdicts.selectExpr("symbol", *ASSET_KEY, "total_rows", "inline(outcomes)")
+
+
+def asset_verdicts(
+    universe: DataFrame, bars: DataFrame, settings: Settings,
+    checks: Sequence[Check] = ALL_CHECKS,
+) -> DataFrame:
+    """One row per universe row, with the array `outcomes` of its check results."""
     counted = count_by_asset(bars, settings, checks)
     no_data = skipped_sql(NO_DATA_CHECK, NO_DATA_MESSAGE)
     outcomes = verdicts_sql(checks, settings, bars.columns)
@@ -38,19 +52,30 @@ def validation_report(
         .join(counted, ASSET_KEY, "left")
         .selectExpr(
             "symbol", *ASSET_KEY, "coalesce(total_rows, 0L) as total_rows",
-            f"inline(if(total_rows is null, array({no_data}), {outcomes}))",
+            f"if(total_rows is null, array({no_data}), {outcomes}) as outcomes",
         )
     )
 
 
 def report_summary(report: DataFrame) -> DataFrame:
-    """Per asset: passed, warned and failed counts, verdict (no FAILED row) and summary line."""
-    counted = report.groupBy("symbol", *ASSET_KEY).agg(
-        F.expr("max(total_rows) as total_rows"),
-        F.expr("count_if(status = 'PASSED') as passed"),
-        F.expr("count_if(status = 'WARNING') as warned"),
-        F.expr("count_if(status = 'FAILED') as failed"),
-    )
+    """Per universe row: passed, warned and failed counts, verdict (no FAILED row), summary line.
+
+    Takes the rows of `asset_verdicts`, whose outcomes are counted where they are, or those of a
+    report. In a report an asset that is listed m times has every check m times: it gets m rows.
+    """
+    if "outcomes" in report.columns:
+        counted = report.selectExpr("symbol", *ASSET_KEY, "total_rows", *(
+            f"cast(size(filter(outcomes, o -> o.status = '{status}')) as bigint) as {name}"
+            for name, status in STATUS_COUNTS.items()
+        ))
+    else:
+        listed = "count(1) div size(collect_set(check_name))"
+        counted = report.groupBy("symbol", *ASSET_KEY).agg(
+            F.expr("max(total_rows) as total_rows"),
+            *(F.expr(f"count_if(status = '{status}') div ({listed}) as {name}")
+              for name, status in STATUS_COUNTS.items()),
+            F.expr(f"{listed} as listed"),
+        ).withColumn("listed", F.expr("explode(sequence(1L, listed))")).drop("listed")
     return counted.selectExpr(
         "*",
         "if(failed = 0, 'PASS', 'FAIL') as verdict",
@@ -60,11 +85,8 @@ def report_summary(report: DataFrame) -> DataFrame:
 
 
 def batch_summary(report: DataFrame) -> DataFrame:
-    """One row: assets reported, and those without a FAILED check."""
-    per_asset = report.groupBy("symbol", *ASSET_KEY).agg(
-        F.count_if(F.col("status") == FAILED).alias("failed")
-    )
-    return per_asset.agg(
+    """One row: universe rows reported, and those without a FAILED check."""
+    return report_summary(report).agg(
         F.count(F.lit(1)).alias("total_assets"),
         F.count_if(F.col("failed") == 0).alias("passed_assets"),
     )

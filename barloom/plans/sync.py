@@ -18,13 +18,15 @@ from barloom.operators.ingest import (
     select_missing,
 )
 from barloom.operators.normalize import normalize_bars, with_storage_key
+from barloom.operators.repair import repair_log
 from barloom.operators.report import (
+    asset_verdicts,
     batch_summary,
+    report_of,
     validation_log_rows,
-    validation_report,
 )
-from barloom.operators.select import assets_with_data, filter_asset_type, filter_symbols
-from barloom.schema import ASSET_KEY, PASSED
+from barloom.operators.select import filter_asset_type, filter_symbols
+from barloom.sources import files
 from barloom.sources.landing import read_landed
 from barloom.sources.listings import discover
 from barloom.sources.snapshot import (
@@ -36,6 +38,7 @@ from barloom.sources.snapshot import (
 )
 from barloom.sources.store import BarStore
 from barloom.sources.tables import Catalog
+from barloom.work import written
 
 
 @dataclass(frozen=True)
@@ -71,7 +74,8 @@ def run_ingest(
     """Takes from the landed files what the selected assets still miss; returns the summary."""
     run_id = uuid.uuid4().hex
     wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-    plan = resume_plan(wanted, site.store.load(), end or site.now.date(), start)
+    plan = resume_plan(
+        wanted, scoped_bars(site, symbols, asset_type), end or site.now.date(), start)
     landed = with_storage_key(normalize_bars(read_landed(site.spark, landing, fmt)))
 
     # The plan and the chosen rows are needed after the store has changed: fix them first.
@@ -82,25 +86,36 @@ def run_ingest(
     fetched = site.spark.read.parquet(f"{work}/fetched")
 
     site.store.save(fetched)
-    results = ingest_results(plan, fetched)
+    results = written(ingest_results(plan, fetched), "results")
+    files.remove(site.spark, work)
     site.catalog.log_downloads(download_log_rows(results), run_id, site.now)
     return ingest_summary(results)
 
 
+def scoped_bars(site: Site, symbols: str | None, asset_type: str | None) -> DataFrame:
+    """Stored bars of the selected assets; the selection reaches the files.
+
+    The storage keys are those of the symbols a user lists, so there are few.
+    """
+    keys = None
+    if symbols is not None:
+        chosen = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
+        keys = {r["storage_key"] for r in chosen.select("storage_key").distinct().collect()}
+    return site.store.load(asset_type=asset_type, storage_keys=keys)
+
+
 def run_validate(
     site: Site, symbols: str | None = None, asset_type: str | None = None,
     save_report: bool = True,
 ) -> DataFrame:
     """Validates the selected assets that have bars, logs the results, returns the report."""
     run_id = uuid.uuid4().hex
-    bars = site.store.load()
     wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-    report = validation_report(
-        assets_with_data(wanted, bars), bars, Settings(as_of=site.now.date())
-    )
-    work = f"{site.catalog.path}/runs/{run_id}/report"
-    report.write.parquet(work)
-    report = site.spark.read.parquet(work)
+    # One scan tells which assets have bars, and checks them.
+    verdicts = asset_verdicts(
+        wanted, scoped_bars(site, symbols, asset_type), Settings(as_of=site.now.date())
+    ).where("total_rows > 0")
+    report = written(report_of(verdicts), "report")
     site.catalog.log_validation(validation_log_rows(report), run_id, site.now)
     if save_report:
         site.catalog.write_report(report, site.now)
@@ -111,17 +126,8 @@ def run_clean(site: Site, symbols: str | None = None) -> DataFrame:
     """Repairs the selected universe assets, logs each repair, returns one summary row."""
     run_id = uuid.uuid4().hex
     wanted = filter_symbols(site.catalog.universe(), symbols)
-    repaired = wanted.select("symbol", *ASSET_KEY).join(
-        site.store.clean(wanted), ASSET_KEY
-    )
-    message = F.format_string("Repaired %d OHLC consistency violations", "repaired_rows")
-    site.catalog.log_validation(
-        repaired.select(
-            "symbol", F.lit("ohlc_consistency").alias("check_name"),
-            F.lit(PASSED).alias("status"), message.alias("details"),
-        ),
-        run_id, site.now,
-    )
+    repaired = site.store.clean(wanted)
+    site.catalog.log_validation(repair_log(repaired, wanted), run_id, site.now)
     return repaired.agg(
         F.coalesce(F.sum("repaired_rows"), F.lit(0)).cast("bigint").alias("repaired_rows"),
         F.count(F.lit(1)).alias("repaired_assets"),
@@ -129,10 +135,11 @@ def run_clean(site: Site, symbols: str | None = None) -> DataFrame:
 
 
 def run_import(site: Site, path: str, asset_type: str | None = None) -> None:
-    """Takes over a snapshot: its assets replace stored ones, its universe the saved one."""
-    bars = import_snapshot(site.spark, path, [asset_type] if asset_type else None)
-    site.store.delete(bars)
-    site.store.save(bars)
+    """Takes over a snapshot: its assets replace stored ones, its universe the saved one.
+
+    The bars change in one version: a run that dies leaves the old ones.
+    """
+    site.store.replace(import_snapshot(site.spark, path, [asset_type] if asset_type else None))
     universe = import_universe(site.spark, path)
     if universe is not None:
         site.catalog.write_universe(universe)

@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Runtime re-planning does the sizing: start with many shuffle partitions, let AQE coalesce small
-# ones, split skewed join partitions, and choose broadcast joins from measured (not guessed) sizes.
+# Runtime re-planning does the sizing: it starts with many shuffle partitions (see build_session),
+# coalesces small ones, splits skewed join partitions, and chooses broadcast joins from measured
+# (not guessed) sizes.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,9 +20,19 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "barloom", master: str | None = None, **overrides: str) -> SparkSession:
-    """A session with SETTINGS; `overrides` use `__` for dots in setting names."""
+def build_session(
+    app: str = "barloom", master: str | None = None, initial_partitions: int | None = None,
+    **overrides: str,
+) -> SparkSession:
+    """A session with SETTINGS; `overrides` use `__` for dots in setting names.
+
+    `initial_partitions` is the number of shuffle partitions before small ones are merged: bytes
+    shuffled over 128 MB, so about 800,000 for a shuffle of 100 TB. Spark's default is 200.
+    """
     builder = SparkSession.builder.appName(app)
+    if initial_partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     if master:
         builder = builder.master(master)
     for name, value in SETTINGS.items():

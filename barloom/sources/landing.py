@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -22,13 +23,36 @@ RAW_BAR_SCHEMA = T.StructType([
 ])
 
 
+OPTIONAL = {"Dividends", "Stock Splits"}
+
+# Columns go by name: a CSV file whose header isn't the schema's names in order is an error.
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false"}
+
+
+def landed_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.StructType:
+    """The columns that landed files have, CSV cells as text.
+
+    One folder holds files of one vendor layout. Before the first file arrives the columns are the
+    vendor's usual ones without the optional ones.
+    """
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    try:
+        found = reader.load(path).schema
+    except AnalysisException:
+        found = T.StructType()
+    return found if found.fields else T.StructType(
+        [f for f in RAW_BAR_SCHEMA.fields if f.name not in OPTIONAL])
+
+
 def read_landed(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
-    """Landed files of one format (parquet, csv with header, json)."""
+    """Landed files of one format (parquet, csv with header, json), columns by name."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).schema(schema or RAW_BAR_SCHEMA)
+        reader = reader.options(**CSV_OPTIONS).schema(schema or landed_schema(spark, path, fmt))
     elif schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -2,158 +2,71 @@
 
 from __future__ import annotations
 
+import csv
 import logging
+from pathlib import Path
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.universe import build_universe, complete_universe, index_exchange, parse_listing
+from barloom.work import written
 
 log = logging.getLogger(__name__)
 
-# Curated listings. Equities by symbol; the others as symbol | ticker | name.
-NSE_SEED_SYMBOLS = """
-RELIANCE TCS HDFCBANK INFY ICICIBANK HINDUNILVR ITC SBIN BHARTIARTL KOTAKBANK
-LT AXISBANK ASIANPAINT MARUTI TITAN SUNPHARMA BAJFINANCE BAJAJFINSV WIPRO HCLTECH
-ULTRACEMCO NESTLEIND ONGC NTPC POWERGRID M&M TATAMOTORS TATASTEEL JSWSTEEL ADANIENT
-ADANIPORTS TECHM INDUSINDBK COALINDIA GRASIM CIPLA DRREDDY EICHERMOT BPCL BRITANNIA
-APOLLOHOSP DIVISLAB HEROMOTOCO SBILIFE TATACONSUM BAJAJ-AUTO HDFCLIFE HINDALCO UPL LTIM
-VEDL BANKBARODA IOC GAIL PNB IRCTC ZOMATO PAYTM NYKAA DELHIVERY
-PIIND HAVELLS GODREJCP DABUR MARICO TRENT PERSISTENT COFORGE MPHASIS LTTS
-JUBLFOOD PAGEIND ASTRAL ATUL NAVINFLUOR CHOLAFIN MUTHOOTFIN MANAPPURAM AUBANK IDFCFIRSTB
-FEDERALBNK RBLBANK BANDHANBNK CANBK UNIONBANK INDIANB CENTRALBK IDBI YESBANK RECLTD
-PFC IRFC NHPC SJVN TATAPOWER ADANIGREEN ADANIPOWER TORNTPOWER CESC JSL
-NATIONALUM NMDC SAIL APLAPOLLO RATNAMANI HAL BEL BDL COCHINSHIP MAZAGON
-LICI SBICARD ICICIPRULI ICICIGI HDFCAMC MOTHERSON BOSCHLTD MRF CUMMINSIND THERMAX
-ABB SIEMENS HONAUT 3MINDIA SCHAEFFLER
-"""
-BSE_SYMBOLS = """
-BERGEPAINT RAJESHEXPO RELAXO VGUARD CENTURYTEX GRSE GARDENREACH TITAGARH IRCON RVNL
-RAILTEL RITES HUDCO NCC KEC KALPATPOWR GPPL GSPL GUJGASLTD MGL
-"""
-INDICES = """
-NIFTY 50 | ^NSEI | NSE Nifty 50 Index
-NIFTY NEXT 50 | ^NSMIDCP50 | NSE Nifty Next 50 Index
-NIFTY BANK | ^NSEBANK | NSE Bank Nifty Index
-NIFTY IT | ^CNXIT | NSE Nifty IT Index
-NIFTY MIDCAP 100 | ^NSEMDCP100 | NSE Nifty Midcap 100 Index
-INDIA VIX | ^INDIAVIX | India Volatility Index
-SENSEX | ^BSESN | BSE Sensex 30 Index
-NIFTY PHARMA | ^CNXPHARMA | NSE Nifty Pharma Index
-NIFTY AUTO | ^CNXAUTO | NSE Nifty Auto Index
-NIFTY METAL | ^CNXMETAL | NSE Nifty Metal Index
-NIFTY REALTY | ^CNXREALTY | NSE Nifty Realty Index
-NIFTY ENERGY | ^CNXENERGY | NSE Nifty Energy Index
-NIFTY FMCG | ^CNXFMCG | NSE Nifty FMCG Index
-NIFTY INFRA | ^CNXINFRA | NSE Nifty Infrastructure Index
-NIFTY PSE | ^CNXPSE | NSE Nifty PSE Index
-NIFTY MEDIA | ^CNXMEDIA | NSE Nifty Media Index
-NIFTY COMMODITIES | ^CNXCMDT | NSE Nifty Commodities Index
-NIFTY CONSUMPTION | ^CNXCONSUMP | NSE Nifty Consumption Index
-NIFTY CPSE | ^CNXCPSE | NSE Nifty CPSE Index
-NIFTY FIN SERVICE | ^CNXFINANCE | NSE Nifty Financial Services Index
-NIFTY GROWSECT 15 | ^CNXGROWTH | NSE Nifty Growth Sectors 15 Index
-NIFTY MNC | ^CNXMNC | NSE Nifty MNC Index
-NIFTY PSU BANK | ^CNXPSUBANK | NSE Nifty PSU Bank Index
-NIFTY PVT BANK | ^CNXPVTBANK | NSE Nifty Private Bank Index
-NIFTY SMLCAP 50 | ^NSESL50 | NSE Nifty Smallcap 50 Index
-NIFTY SMLCAP 100 | ^NSESL100 | NSE Nifty Smallcap 100 Index
-NIFTY SMLCAP 250 | ^NSESL250 | NSE Nifty Smallcap 250 Index
-NIFTY MIDCAP 50 | ^NSMIDCP50 | NSE Nifty Midcap 50 Index
-NIFTY MIDCAP 150 | ^NSEMIDCP150 | NSE Nifty Midcap 150 Index
-"""
-ETFS = """
-NIFTYBEES | Nippon India ETF Nifty BeES
-BANKBEES | Nippon India ETF Bank BeES
-JUNIORBEES | Nippon India ETF Junior BeES
-SETFNIF50 | SBI ETF Nifty 50
-SETFNIFBK | SBI ETF Nifty Bank
-GOLDBEES | Nippon India ETF Gold BeES
-SILVERBEES | Nippon India ETF Silver
-CPSEETF | Nippon India CPSE ETF
-ITETF | Nippon India ETF Nifty IT
-PHARMABEES | Nippon India ETF Pharma
-MOM50 | Motilal Oswal Momentum ETF
-MIDCAPETF | Nippon India ETF Midcap 150
-INFRAETF | Nippon India ETF Infra BeES
-PSUBNKBEES | Nippon India ETF PSU Bank
-HABORETF | Groww Nifty EV & New Age Auto ETF
-MON100 | Motilal Oswal NASDAQ 100 ETF
-MOM100 | Motilal Oswal Midcap 100 ETF
-LIQUIDBEES | Nippon India ETF Liquid BeES
-HNGSNGBEES | Nippon India ETF Hang Seng
-COMMOETF | Nippon India ETF Commodities
-"""
-COMMODITIES = """
-GOLD | GC=F | Gold Futures
-SILVER | SI=F | Silver Futures
-CRUDE OIL | CL=F | Crude Oil WTI Futures
-NATURAL GAS | NG=F | Natural Gas Futures
-COPPER | HG=F | Copper Futures
-PLATINUM | PL=F | Platinum Futures
-PALLADIUM | PA=F | Palladium Futures
-ALUMINIUM | ALI=F | Aluminium Futures
-"""
-FOREX = """
-USDINR | USDINR=X | US Dollar / Indian Rupee
-EURINR | EURINR=X | Euro / Indian Rupee
-GBPINR | GBPINR=X | British Pound / Indian Rupee
-JPYINR | JPYINR=X | Japanese Yen / Indian Rupee
-AUDINR | AUDINR=X | Australian Dollar / Indian Rupee
-CADINR | CADINR=X | Canadian Dollar / Indian Rupee
-SGDINR | SGDINR=X | Singapore Dollar / Indian Rupee
-CHFINR | CHFINR=X | Swiss Franc / Indian Rupee
-"""
-
-
-def _table(spark: SparkSession, lines: str, columns: str) -> DataFrame:
-    rows = [tuple(part.strip() for part in line.split("|")) for line in lines.strip().splitlines()]
-    return spark.createDataFrame(rows, columns)
-
-
-def _equities(spark: SparkSession, symbols: str, exchange: str) -> DataFrame:
-    listed = spark.createDataFrame([(s, s) for s in symbols.split()], "symbol string, name string")
+# The curated listings, one asset a row.
+CURATED = Path(__file__).with_name("curated_listings.csv")
+CURATED_SCHEMA = "list string, symbol string, yfinance_ticker string, name string"
+
+
+def _curated(spark: SparkSession, name: str) -> DataFrame:
+    with CURATED.open(encoding="utf-8", newline="") as lines:
+        rows = [tuple(row) for row in list(csv.reader(lines))[1:] if row[0] == name]
+    return spark.createDataFrame(rows, CURATED_SCHEMA).drop("list")
+
+
+def _equities(spark: SparkSession, exchange: str) -> DataFrame:
     return complete_universe(
-        listed.withColumns({"exchange": F.lit(exchange), "asset_type": F.lit("EQUITY")})
+        _curated(spark, exchange).drop("yfinance_ticker")
+        .withColumns({"exchange": F.lit(exchange), "asset_type": F.lit("EQUITY")})
     )
 
 
 def nse_seed(spark: SparkSession) -> DataFrame:
-    return _equities(spark, NSE_SEED_SYMBOLS, "NSE")
+    return _equities(spark, "NSE")
 
 
 def bse_equities(spark: SparkSession) -> DataFrame:
-    return _equities(spark, BSE_SYMBOLS, "BSE")
+    return _equities(spark, "BSE")
 
 
 def indices(spark: SparkSession) -> DataFrame:
-    listed = _table(spark, INDICES, "symbol string, yfinance_ticker string, name string")
-    return complete_universe(listed.withColumns({
+    return complete_universe(_curated(spark, "INDEX").withColumns({
         "exchange": index_exchange(F.col("name")), "asset_type": F.lit("INDEX"),
     }))
 
 
 def etfs(spark: SparkSession) -> DataFrame:
-    listed = _table(spark, ETFS, "symbol string, name string")
     return complete_universe(
-        listed.withColumns({"exchange": F.lit("NSE"), "asset_type": F.lit("ETF")})
+        _curated(spark, "ETF").drop("yfinance_ticker")
+        .withColumns({"exchange": F.lit("NSE"), "asset_type": F.lit("ETF")})
     )
 
 
-def _unlisted(spark: SparkSession, lines: str, asset_type: str) -> DataFrame:
-    listed = _table(spark, lines, "symbol string, yfinance_ticker string, name string")
-    return complete_universe(
-        listed.withColumns({"exchange": F.lit("MULTI"), "asset_type": F.lit(asset_type)})
-    )
+def _unlisted(spark: SparkSession, asset_type: str) -> DataFrame:
+    return complete_universe(_curated(spark, asset_type).withColumns({
+        "exchange": F.lit("MULTI"), "asset_type": F.lit(asset_type),
+    }))
 
 
 def commodities(spark: SparkSession) -> DataFrame:
-    return _unlisted(spark, COMMODITIES, "COMMODITY")
+    return _unlisted(spark, "COMMODITY")
 
 
 def forex(spark: SparkSession) -> DataFrame:
-    return _unlisted(spark, FOREX, "FOREX")
+    return _unlisted(spark, "FOREX")
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -163,11 +76,14 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def nse_equities(spark: SparkSession, path: str | None) -> DataFrame:
-    """The listing file's equities, or the seed list if there is no readable file."""
+    """The listing file's equities, or the seed list if there is no file that can be read whole.
+
+    The file is read here and now, so that one that can't be decoded is found in time.
+    """
     if path is not None:
         try:
-            return read_listing(spark, path)
-        except AnalysisException as problem:
+            return written(read_listing(spark, path), "listing")
+        except (AnalysisException, Py4JJavaError, PySparkException) as problem:
             log.warning("listing %s is not readable, using the seed list: %s", path, problem)
     return nse_seed(spark)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -19,35 +21,73 @@ SNAPSHOT_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)
 
 
 def export_snapshot(bars: DataFrame, universe: DataFrame | None, path: str) -> None:
-    """Writes bars by asset class and year, and the universe; logs and reports stay behind."""
+    """Writes bars by asset class and year, and the universe; logs and reports stay behind.
+
+    An export writes a folder of its own and then switches over in one step, so a job that dies
+    leaves the snapshot as it was. Asset classes without a bar among `bars` stay as they are, as
+    does the universe if none is given: a site that holds one class updates that one.
+    """
+    spark = bars.sparkSession
+    before = _state(spark, path)
+    export = uuid.uuid4().hex
+    folder = f"{path}/exports/{export}"
     dated = bars.withColumn("bar_year", F.coalesce(F.year("date"), F.lit(NO_YEAR)))
     (
         laid_out(dated.select(*SNAPSHOT_SCHEMA.fieldNames()))
-        .write.mode("overwrite").partitionBy(*PAIR).parquet(f"{path}/bars")
+        .write.partitionBy(*PAIR).parquet(f"{folder}/bars")
     )
+    written = [p.rsplit("=", 1)[1] for p in files.matching(spark, f"{folder}/bars/asset_type=*")]
     if universe is not None:
-        universe.write.mode("overwrite").parquet(f"{path}/universe")
+        universe.write.parquet(f"{folder}/universe")
+    after = {
+        "number": before["number"] + 1,
+        "classes": before["classes"] | dict.fromkeys(written, export),
+        "universe": before["universe"] if universe is None else export,
+    }
+    files.create_text(spark, f"{path}/versions/{after['number']:010d}.json", json.dumps(after))
+    # A reader may still use the version before.
+    used = _exports(before) | _exports(after)
+    for old in files.matching(spark, f"{path}/exports/*"):
+        if old.rsplit("/", 1)[1] not in used:
+            files.remove(spark, old)
+
+
+def _state(spark: SparkSession, path: str) -> dict:
+    """The newest version: the export that holds each class's bars, and the universe's."""
+    found = files.matching(spark, f"{path}/versions/*.json")
+    if not found:
+        return {"number": 0, "classes": {}, "universe": None}
+    return json.loads(files.read_text(spark, found[-1]))
+
+
+def _exports(state: dict) -> set[str]:
+    return {*state["classes"].values(), state["universe"]}
 
 
 def import_snapshot(
     spark: SparkSession, path: str, asset_types: Sequence[str] | None = None
 ) -> DataFrame:
     """A snapshot's bars, of some asset classes or all; only their directories are read."""
-    if not files.exists(spark, f"{path}/bars"):
-        return no_rows(spark, SNAPSHOT_SCHEMA).drop("bar_year")
-    bars = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{path}/bars")
+    classes = _state(spark, path)["classes"]
     if asset_types:
-        wanted = [t.upper() for t in asset_types]
+        wanted = {t.upper() for t in asset_types}
         for t in wanted:
             class_dir_strict(t)
-        bars = bars.where(F.col("asset_type").isin(wanted))
+        classes = {t: export for t, export in classes.items() if t in wanted}
+    bars = no_rows(spark, SNAPSHOT_SCHEMA)
+    for export in sorted(set(classes.values())):
+        base = f"{path}/exports/{export}/bars"
+        own = [f"{base}/asset_type={t}" for t, e in sorted(classes.items()) if e == export]
+        reader = spark.read.schema(SNAPSHOT_SCHEMA).option("basePath", base)
+        bars = bars.unionByName(reader.parquet(*own))
     return bars.drop("bar_year")
 
 
 def import_universe(spark: SparkSession, path: str) -> DataFrame | None:
-    if not files.exists(spark, f"{path}/universe"):
+    export = _state(spark, path)["universe"]
+    if export is None:
         return None
-    return spark.read.schema(UNIVERSE_SCHEMA).parquet(f"{path}/universe")
+    return spark.read.schema(UNIVERSE_SCHEMA).parquet(f"{path}/exports/{export}/universe")
 
 
 def sync_status(stats: DataFrame, repo_id: str, at: datetime | Column) -> DataFrame:

@@ -7,7 +7,7 @@ asset class, calendar year and unmerged commit; it does not grow with the number
 
 Bars are deduplicated keep-last by asset and date when an already stored asset receives bars. A
 save rewrites only the class-years in which that drops something; where the batch only adds dates,
-its files are simply appended, and merged once many such commits have piled up.
+its files are simply appended, until `compact` is called.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ from barloom.schema import (
     STORED_SCHEMA,
 )
 from barloom.sources import files
-from barloom.work import no_rows
+from barloom.work import no_rows, written
 
 COMMIT_FIELD = T.StructField("commit", T.StringType())
 READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + [COMMIT_FIELD] + PARTITION_FIELDS)
@@ -56,7 +56,7 @@ FILES_SCHEMA = T.StructType([
     T.StructField("size_bytes", T.LongType()),
 ])
 NO_YEAR = 0  # bar_year of bars without a date
-MERGE_AFTER = 30  # commits of one class-year that may pile up before a save merges them
+VERSIONS_KEPT = 20  # version files that stay for readers of older versions
 
 Pair = tuple[str, int]
 
@@ -71,10 +71,6 @@ class Version:
     pending: str | None = None
     batches: dict[str, int] = field(default_factory=dict)
 
-    def crowded(self) -> set[Pair]:
-        commits = Counter((t, y) for _, t, y in self.live)
-        return {pair for pair, n in commits.items() if n >= MERGE_AFTER}
-
 
 class BarStore:
     """Bars of all assets under one folder. One writer at a time; any number of readers."""
@@ -173,7 +169,6 @@ class BarStore:
         dropping: set[Pair] = set()
         if True in kinds:
             dropping = self._dropping_pairs(fresh, before, touched, batch_pairs, kinds[True])
-            dropping |= before.crowded() & batch_pairs
         live = [d for d in before.live if (d[1], d[2]) not in dropping]
         live += [d for d in added if (d[1], d[2]) not in dropping]
         if dropping:
@@ -200,6 +195,48 @@ class BarStore:
         ))
         return True
 
+    def replace(self, bars: DataFrame) -> bool:
+        """Puts the bars of their assets in place of all those stored, in one version."""
+        before = self.version()
+        commit = self._new_commit(before)
+        self._write(keyed(bars), commit)
+        added = self._directories(commit)
+        if not added:
+            return False
+        fresh = self._read(added)
+        gone = self._table("replaced", commit, fresh.select(*ASSET_KEY).distinct())
+        hit = self._collect_pairs(self._read(before.live).join(gone, ASSET_KEY, "left_semi"))
+        live = [d for d in before.live if (d[1], d[2]) not in hit] + added
+        if hit:
+            rest = self._new_commit(before)
+            affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
+            self._write(delete_assets(affected, gone), rest)
+            live += self._directories(rest)
+        pending = repeated_years(fresh)
+        if before.pending is not None:
+            pending = pending.unionByName(
+                self._pending(before).join(gone, ASSET_KEY, "left_anti"))
+        self._publish(replace(
+            before, live=tuple(sorted(live)), pending=self._write_pending(pending, commit)))
+        return True
+
+    def compact(self, at_least: int = 2) -> int:
+        """Rewrites every class-year that lies in `at_least` commits or more as one; how many.
+
+        Contents stay the same. Saves never do this by themselves.
+        """
+        before = self.version()
+        commits = Counter((t, y) for _, t, y in before.live)
+        crowded = {pair for pair, n in commits.items() if n >= at_least}
+        if crowded:
+            commit = self._new_commit(before)
+            self._write(
+                self._read([d for d in before.live if (d[1], d[2]) in crowded]), commit)
+            live = [d for d in before.live if (d[1], d[2]) not in crowded]
+            self._publish(replace(
+                before, live=tuple(sorted([*live, *self._directories(commit)]))))
+        return len(crowded)
+
     def delete(self, assets: DataFrame) -> DataFrame:
         """Removes the assets' bars; returns each asset key with whether it had any."""
         before = self.version()
@@ -226,7 +263,8 @@ class BarStore:
         before = self.version()
         stored = self._read(before.live)
         if assets is not None:
-            stored = stored.join(assets.select(*ASSET_KEY).distinct(), ASSET_KEY, "left_semi")
+            scope = written(assets.select(*ASSET_KEY).distinct(), "scope")
+            stored = stored.join(scope, ASSET_KEY, "left_semi")
         commit = self._new_commit(before)
         repaired = self._table("repaired", commit, repaired_counts(stored))
         flagged = repaired.select(*ASSET_KEY)
@@ -252,17 +290,21 @@ class BarStore:
         return repaired
 
     def vacuum(self) -> int:
-        """Deletes commits no version after this call can read; returns how many.
+        """Deletes what no version after this call reads: commits, the working tables of all
+        commits, older versions. Returns how many of them.
 
-        Not to be run while a reader still uses an older version.
+        Not to be run while a reader still uses an older version, or what delete() or clean()
+        returned.
         """
         version = self.version()
         wanted = {commit for commit, _, _ in version.live} | {version.pending}
         dead = [
-            p for kind in ("bars", "pending", "work")
+            p for kind in ("bars", "pending")
             for p in files.matching(self.spark, f"{self.path}/{kind}/commit=*")
             if p.rsplit("commit=", 1)[1] not in wanted
         ]
+        dead += files.matching(self.spark, f"{self.path}/work/commit=*")
+        dead += files.matching(self.spark, f"{self.path}/versions/*.json")[:-1]
         for p in dead:
             files.remove(self.spark, p)
         return len(dead)
@@ -288,6 +330,7 @@ class BarStore:
         files.create_text(
             self.spark, f"{self.path}/versions/{number:010d}.json", json.dumps(content)
         )
+        files.remove(self.spark, f"{self.path}/versions/{number - VERSIONS_KEPT:010d}.json")
 
     def _new_commit(self, version: Version) -> str:
         """A commit name no failed attempt can have used; names sort by version."""

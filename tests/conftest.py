@@ -44,23 +44,23 @@ def make_bars(spark):
 @pytest.fixture
 def good_bars(make_bars):
     return make_bars([
-        bar(date(2024, 1, 2), 100.0, 105.0, 99.0, 103.0, 1000000, seq=1),
-        bar(date(2024, 1, 3), 102.0, 106.0, 100.0, 104.0, 1200000, seq=2),
-        bar(date(2024, 1, 4), 101.0, 104.0, 99.5, 102.0, 900000, seq=3),
-        bar(date(2024, 1, 5), 103.0, 107.0, 101.0, 106.0, 1100000, seq=4),
-        bar(date(2024, 1, 8), 104.0, 108.0, 102.0, 107.0, 1300000, seq=5),
+        bar(date(2024, 1, 2), 41.5, 42.25, 40.75, 41.9, 7300, seq=1),
+        bar(date(2024, 1, 3), 41.9, 43.0, 41.6, 42.8, 8150, seq=2),
+        bar(date(2024, 1, 4), 42.8, 43.4, 42.1, 42.3, 6900, seq=3),
+        bar(date(2024, 1, 5), 42.3, 44.1, 42.0, 43.95, 9400, seq=4),
+        bar(date(2024, 1, 8), 43.9, 44.6, 43.2, 44.5, 10200, seq=5),
     ])
 
 
 @pytest.fixture
 def bad_bars(make_bars):
-    """A repeated date, a negative volume, low > high, and an open above the high."""
+    """A repeated date, a negative volume, a low above the high, an open above the high."""
     return make_bars([
-        bar(date(2024, 1, 2), 100.0, 105.0, 99.0, 103.0, 1000000, seq=1),
-        bar(date(2024, 1, 2), 102.0, 106.0, 100.0, 104.0, -500, seq=2),
-        bar(date(2024, 1, 4), 101.0, 104.0, 105.0, 102.0, 900000, seq=3),
-        bar(date(2024, 1, 5), 110.0, 107.0, 101.0, 106.0, 1100000, seq=4),
-        bar(date(2024, 1, 8), 104.0, 108.0, 102.0, 107.0, 1300000, seq=5),
+        bar(date(2024, 1, 2), 41.5, 42.25, 40.75, 41.9, 7300, seq=1),
+        bar(date(2024, 1, 2), 41.7, 42.6, 41.1, 42.4, -75, seq=2),
+        bar(date(2024, 1, 4), 42.7, 42.5, 43.1, 42.9, 6900, seq=3),
+        bar(date(2024, 1, 5), 44.9, 44.1, 42.0, 43.95, 9400, seq=4),
+        bar(date(2024, 1, 8), 43.9, 44.6, 43.2, 44.5, 10200, seq=5),
     ])
 
 

@@ -49,9 +49,10 @@ def test_class_directories(spark):
 
 
 def test_throttle_texts(spark):
-    positive = ["429 too many requests", "Connection RESET by peer", "rate limit exceeded",
-                "read timed out", "connection aborted", "No data found for X"]
-    negative = ["invalid ticker symbol", "no such file", "value error", "", None]
+    positive = ["status 429", "server said: TOO MANY REQUESTS", "hit the Rate Limit",
+                "peer: connection reset", "Connection aborted early", "socket Read Timed Out",
+                "there is no data found here"]
+    negative = ["disk full", "bad column", "timed out", "", None]
     marks = values(spark, outcomes.is_throttle_error(F.col("m")),
                    [(m,) for m in positive + negative], "m string")
     assert marks == [True] * len(positive) + [False] * len(negative)

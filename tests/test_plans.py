@@ -6,9 +6,12 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.operators.checks import DUPLICATES, OHLC_CONSISTENCY, Settings, run_checks
-from barloom.operators.merge import dedupe_bars
+from barloom.operators.catalog import orphan_log_rows
+from barloom.operators.ingest import select_missing
+from barloom.operators.merge import dedupe_bars, delete_assets
 from barloom.operators.profile import last_dates
 from barloom.operators.repair import repair_ohlc
 from barloom.operators.report import validation_report
@@ -109,3 +112,56 @@ def test_repair_of_stored_bars_looks_only_for_missing_bounds(stored):
     flagged = bars.select("asset_type", "storage_key").distinct()
     text = plan(repair_ohlc(bars, flagged, has_nan=False))
     assert re.search(r"PushedFilters: \[Or\(IsNull\(high\),IsNull\(low\)\)", text)
+
+
+def test_a_scoped_validation_reads_its_assets_once(stored, spark, assets):
+    bars = stored.load(storage_keys=["TCS"])
+    text = plan(validation_report(assets, bars, SETTINGS))
+    assert text.count("FileScan parquet") == 1
+    assert re.search(r"PushedFilters: \[.*EqualTo\(storage_key,TCS\)", text)
+
+
+@pytest.mark.parametrize("operator", ["delete", "missing", "orphans"])
+def test_a_heavy_asset_is_split(spark, make_bars, tmp_path, operator):
+    """Broadcasts off, one asset with four fifths of the rows: its join partition is cut up."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    rows = spark.range(40_000).selectExpr(
+        "if(id % 5 > 0, 'HOT', concat('S', id % 400)) as symbol", "'EQUITY' as asset_type",
+        "if(id % 5 > 0, 'HOT', concat('S', id % 400)) as storage_key",
+        "date_add(date'2000-01-01', cast(id as int)) as date", "rand(1) as open")
+    rows.repartition(16).write.parquet(str(tmp_path / "rows"))
+    bars = spark.read.parquet(str(tmp_path / "rows"))
+    keys = bars.select("symbol", "asset_type", "storage_key").distinct().where("symbol <> 'S5'")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        if operator == "delete":
+            out = delete_assets(bars, keys.where("symbol <> 'HOT'"))
+        elif operator == "missing":
+            span = {"start_date": F.lit(date(1990, 1, 1)), "end_date": F.lit(date(2200, 1, 1)),
+                    "skipped": F.lit(False)}
+            out = select_missing(bars, keys.withColumns(span))
+        else:
+            out = orphan_log_rows(bars, keys.where("symbol <> 'HOT'"))
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_ordered_results_come_in_order(spark):
+    log = [tuple(r) for r in QUERIES["download_history"](spark, SF).select("symbol", "download_time").collect()]
+    assert log == sorted(log, key=lambda r: (r[0], -r[1].timestamp()))
+    checks = [tuple(r) for r in QUERIES["validation_history"](spark, SF).select("symbol", "validated_at").collect()]
+    assert checks == sorted(checks, key=lambda r: (r[0], -r[1].timestamp()))
+    symbols = [r.symbol for r in QUERIES["all_assets"](spark, SF).collect()]
+    assert symbols == sorted(symbols)

@@ -8,9 +8,12 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.operators.normalize import normalize_bars
 from barloom.operators.profile import class_stats, coverage_table
+from barloom.operators.report import batch_summary, report_summary
 from barloom.plans.sync import Site, run_clean, run_discover, run_ingest, run_sync, run_validate
-from barloom.sources.landing import RAW_BAR_SCHEMA, read_landed
+from barloom.sources.landing import RAW_BAR_SCHEMA, landed_schema, read_landed
+from barloom.sources.listings import nse_equities, nse_seed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, import_universe, sync_status
 from barloom.sources.store import BarStore
 from barloom.streaming.ingest import start_ingest
@@ -157,3 +160,84 @@ def test_ingest_validate_clean(spark, tmp_path):
         ("TCS", "ohlc_consistency", "PASSED", "Repaired 1 OHLC consistency violations")]
     assert run_validate(site).where("status = 'FAILED'").count() == 0
     assert content(site.store.load().select(F.max("high"), F.min("low"))) == [(10.0, 1.0)]
+
+
+def test_columns_of_landed_csv_go_by_name(spark, tmp_path):
+    (tmp_path / "bars").mkdir()
+    (tmp_path / "bars" / "a.csv").write_text(
+        "Symbol,Close,Date,Open,asset_type,seq\nTCS,7.5,2024-01-02,6.5,EQUITY,1\n")
+    landing = str(tmp_path / "bars")
+    batch = normalize_bars(read_landed(spark, landing, "csv")).first()
+    assert (batch.open, batch.close, batch.symbol, batch.dividends) == ("6.5", "7.5", "TCS", 0.0)
+    store = BarStore(spark, str(tmp_path / "store"))
+    start_ingest(spark, landing, store, str(tmp_path / "checkpoint"), fmt="csv").awaitTermination()
+    row = store.load().first()
+    assert (row.open, row.close, row.dividends, row.stock_splits) == (6.5, 7.5, 0.0, 0.0)
+    assert row.high is None
+
+
+def test_a_foreign_csv_header_is_an_error(spark, tmp_path):
+    landing = tmp_path / "bars"
+    landing.mkdir()
+    (landing / "a.csv").write_text("Date,Open,Symbol,asset_type,seq\n2024-01-02,1,TCS,EQUITY,1\n")
+    schema = landed_schema(spark, str(landing), "csv")
+    (landing / "b.csv").write_text("Open,Date,Symbol,asset_type,seq\n1,2024-01-02,TCS,EQUITY,1\n")
+    with pytest.raises(Exception, match="header"):
+        read_landed(spark, str(landing), "csv", schema).collect()
+
+
+def test_scoped_sync_leaves_the_other_classes(spark, mixed, tmp_path):
+    snapshot = str(tmp_path / "snapshot")
+    export_snapshot(mixed, mixed.select("symbol"), snapshot)
+    equities = mixed.where("asset_type = 'EQUITY'").withColumn("open", F.lit(1.25))
+    export_snapshot(equities, None, snapshot)
+    rows = {(r.symbol, r.open) for r in import_snapshot(spark, snapshot).collect()}
+    assert rows == {("RELIANCE", 1.25), ("TCS", 1.25), ("NIFTY 50", 1.0)}
+    assert import_universe(spark, snapshot) is not None
+
+
+def test_an_export_that_fails_leaves_the_snapshot(spark, mixed, tmp_path):
+    snapshot = str(tmp_path / "snapshot")
+    export_snapshot(mixed, None, snapshot)
+    with pytest.raises(Exception, match="broken"):
+        export_snapshot(mixed.withColumn("open", F.raise_error(F.lit("broken")).cast("double")), None, snapshot)
+    assert import_snapshot(spark, snapshot).count() == 3
+
+
+def test_listing_that_cannot_be_decoded_falls_back(spark, tmp_path):
+    broken = tmp_path / "listing.csv.gz"
+    broken.write_bytes(b"\x1f\x8b\x08 this is no gzip")
+    assert nse_equities(spark, str(broken)).count() == nse_seed(spark).count()
+    good = tmp_path / "listing.csv"
+    good.write_text('SYMBOL,NAME OF COMPANY, ISIN NUMBER, DATE OF LISTING\nAAA,"A, Ltd",X1,05-JAN-2000\n')
+    assert [(r.symbol, r.name) for r in nse_equities(spark, str(good)).collect()] == [("AAA", "A, Ltd")]
+
+
+def test_assets_listed_twice_count_once(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    broken = raw("TCS", "2024-01-02", 10.0, 1)
+    land(spark, landing, [(*broken[:2], "5.0", *broken[3:])], "parquet")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    run_discover(site)
+    twice = site.catalog.universe().drop("storage_key")
+    site.catalog.write_universe(twice.unionAll(twice))
+    assert run_ingest(site, landing, symbols="TCS").first().total_rows == 1
+    report = run_validate(site)
+    assert tuple(batch_summary(report).first()) == (2, 0)
+    assert [r.summary for r in report_summary(report).collect()] == [
+        "TCS: 5 passed, 0 warnings, 1 failed"] * 2
+    assert tuple(run_clean(site).first()) == (1, 1)
+    assert site.catalog.validation_log().where("details like 'Repaired%'").count() == 1
+
+
+def test_a_run_leaves_no_working_folders(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(spark, landing, [raw("TCS", "2024-01-02", 10.0, 1)], "parquet")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    run_discover(site)
+    run_ingest(site, landing)
+    run_validate(site)
+    site.store.vacuum()
+    assert not list((tmp_path / "site" / "metadata" / "runs").glob("*"))
+    assert not list((tmp_path / "site" / "data" / "work").glob("*"))
+    assert len(list((tmp_path / "site" / "data" / "versions").glob("*.json"))) == 1

@@ -23,6 +23,7 @@ from barloom.operators import (
     universe,
 )
 from barloom.session import shared_folder
+from barloom.sources.landing import read_landed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
 from barloom.streaming.ingest import start_ingest
@@ -146,18 +147,57 @@ def store_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    folder = work_folder(spark, "stream_ingest")
-    for part in old_and_new(spark, sf):
-        landed = part.drop("storage_key").withColumnRenamed("adj_close", "Adj Close")
-        landed.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    return streamed(spark, "stream_ingest", *old_and_new(spark, sf)).load()
+
+
+def streamed(spark: SparkSession, name: str, *parts: DataFrame) -> BarStore:
+    """A store that took each part from landed files, one run of the stream after the other."""
+    folder, stream = work_folder(spark, name), f"landing-{uuid.uuid4().hex}"
     store = BarStore(spark, f"{folder}/store")
-    start_ingest(
-        spark, f"{folder}/landing", store, f"{folder}/checkpoint",
-        name=f"landing-{uuid.uuid4().hex}", schema=landed.schema, files_per_batch=1,
-    ).awaitTermination()
+    for part in parts:
+        landed = part.drop("storage_key").withColumnRenamed("adj_close", "Adj Close")
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        start_ingest(
+            spark, f"{folder}/landing", store, f"{folder}/checkpoint", name=stream,
+        ).awaitTermination()
+    return store
+
+
+@register
+def stream_absent_columns(spark: SparkSession, sf: str) -> DataFrame:
+    bars = view(spark, sf, "raw_bars").drop("dividends")
+    return streamed(spark, "stream_absent_columns", bars).load()
+
+
+@register
+def store_compact(spark: SparkSession, sf: str) -> DataFrame:
+    store = stored(spark, sf, "store_compact", *old_and_new(spark, sf))
+    store.compact()
     return store.load()
 
 
+@register
+def snapshot_scoped_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """One site exports all classes, another takes over, updates and exports one of them."""
+    snapshot = work_folder(spark, "snapshot_scoped_sync")
+    export_snapshot(view(spark, sf, "raw_bars"), view(spark, sf, "universe"), snapshot)
+    store = BarStore(spark, work_folder(spark, "snapshot_scoped_site"))
+    store.replace(import_snapshot(spark, snapshot, ["EQUITY"]))
+    _, arriving = old_and_new(spark, sf)
+    store.save(arriving.where("asset_type = 'EQUITY'"))
+    export_snapshot(store.load(), None, snapshot)
+    return import_snapshot(spark, snapshot)
+
+
+@register
+def landed_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Vendor bars as CSV files with their columns in another order."""
+    folder = work_folder(spark, "landed_csv")
+    bars = view(spark, sf, "vendor_bars")
+    bars.select(*(f"`{c}`" for c in reversed(bars.columns))).write.option("header", True).csv(folder)
+    return normalize.coerce_types(normalize.normalize_bars(read_landed(spark, folder, "csv")))
+
+
 @register
 def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.coerce_types(view(spark, sf, "text_bars"))
@@ -326,7 +366,10 @@ def coverage_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def file_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return stored(spark, sf, "file_sizes").class_stats(with_empty_classes=True, with_total=True)
+    """Which classes, and the total, have files with contents; sizes are Spark's own."""
+    stats = stored(spark, sf, "file_sizes").class_stats(with_total=True)
+    return stats.select(
+        "class", (F.col("files") > 0).alias("has_files"), (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
 @register
@@ -383,12 +426,52 @@ def validation_report_history(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def report_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return report.report_summary(_raw_report(spark, sf))
+    return report.report_summary(_verdicts(spark, sf, view(spark, sf, "universe")))
+
+
+def _verdicts(spark: SparkSession, sf: str, assets: DataFrame) -> DataFrame:
+    return report.asset_verdicts(assets, view(spark, sf, "raw_bars"), settings())
+
+
+def _listed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """A universe of two exchanges: every supplier's symbol is a customer's as well."""
+    columns = ["symbol", "asset_type", "storage_key"]
+    other = universe.with_asset_key(view(spark, sf, "supplier_assets"))
+    return view(spark, sf, "universe").select(columns).unionAll(other.select(columns))
+
+
+@register
+def report_summary_listed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    return report.report_summary(_verdicts(spark, sf, _listed_twice(spark, sf)))
+
+
+@register
+def batch_summary_listed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """From the report, which has every check of such an asset twice."""
+    rows = report.report_of(_verdicts(spark, sf, _listed_twice(spark, sf)))
+    return report.batch_summary(rows)
+
+
+@register
+def repair_log_listed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repair_log_rows(view(spark, sf, "raw_bars"), _listed_twice(spark, sf))
+
+
+#: Symbols a user asks for.
+SCOPE = "1,2,3,5,8,13,21,34"
+
+
+@register
+def validation_report_scoped(spark: SparkSession, sf: str) -> DataFrame:
+    site_bars = stored(spark, sf, "validation_report_scoped")
+    wanted = select.filter_symbols(view(spark, sf, "universe"), SCOPE)
+    bars = site_bars.load(storage_keys=SCOPE.split(","))
+    return report.validation_report(wanted, bars, settings()).drop("details")
 
 
 @register
 def batch_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return report.batch_summary(_raw_report(spark, sf))
+    return report.batch_summary(_verdicts(spark, sf, view(spark, sf, "universe")))
 
 
 @register
@@ -430,6 +513,16 @@ def all_assets(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.all_assets(view(spark, sf, "universe"))
 
 
+@register
+def asset_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.get_asset(view(spark, sf, "universe"), "7")
+
+
+@register
+def download_history_of(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.download_history(_download_log(spark, sf), "7")
+
+
 @register
 def download_history(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.download_history(_download_log(spark, sf))

@@ -156,22 +156,30 @@ CHECK_NAMES = ["duplicates", "missing_trading_days", "ohlc_consistency", "negati
                "null_values", "data_range"]
 
 
-def report(bars: str, as_of: str) -> str:
-    """CTEs up to `report`: the validation report of `universe` over `bars`."""
+def report(bars: str, as_of: str, *views: str, before: str = "", assets: str = "universe") -> str:
+    """CTEs up to `report`: the validation report of `assets` over `bars`."""
     each = "\nunion all\n".join(
         f"select symbol, {KEY}, total_rows, {verdict(c)} "
-        f"from counted join universe using ({KEY})" for c in CHECK_NAMES
+        f"from counted join {assets} using ({KEY})" for c in CHECK_NAMES
     )
-    return ctes(bars, "universe") + counted(bars, as_of) + f""",
+    return ctes(bars, "universe", *views) + before + counted(bars, as_of) + f""",
 report as ({each}
 union all
 select symbol, {KEY}, cast(0 as bigint) as total_rows, 'data_exists' as check_name,
   'SKIPPED' as status, 'No data available for validation' as message,
   cast(0 as bigint) as rows_affected
-from universe anti join per_asset using ({KEY}))
+from {assets} anti join per_asset using ({KEY}))
 """
 
 
+# A universe in which some assets are listed twice, and its assets.
+LISTED_TWICE = f""",
+listed as (select symbol, {KEY} from universe union all
+  select symbol, asset_type, {SAFE} as storage_key from supplier_assets),
+listed_assets as (select distinct * from listed)"""
+TWICE = report("raw_bars", "2024-01-25", "supplier_assets", before=LISTED_TWICE, assets="listed_assets")
+
+
 def one_check(bars: str, as_of: str, check: str, details: str = "", max_gap: int = 5) -> str:
     more = f", {details}" if details else ""
     return (
@@ -226,6 +234,20 @@ ORACLE: dict[str, str] = {
         where (asset_type, symbol) not in (select asset_type, symbol from supplier_assets)""",
     "store_clean": REPAIR + f"select {ALL} from ranked where flagged = 0 or rank = 1",
     "stream_ingest": UPSERT,
+    "stream_absent_columns": ctes("raw_bars") + f" select {ALL} from raw_bars",
+    "store_compact": UPSERT,
+    "snapshot_scoped_sync": OLD_NEW + f""",
+        scoped as (select *, 0 as batch from raw_bars where asset_type = 'EQUITY'
+          union all select *, 1 as batch from new_bars where asset_type = 'EQUITY'),
+        scoped_sides as (select *, max(batch) over (partition by {KEY}) as has_new,
+          row_number() over (partition by {KEY}, date order by batch desc, seq desc) as rank
+          from scoped)
+        select {ALL} from scoped_sides where rank = 1 or has_new = 0
+        union all select {ALL} from raw_bars where asset_type <> 'EQUITY'""",
+    "landed_csv": ctes("vendor_bars") + """ select "Date" as date, "Open" as open,
+        "High" as high, "Low" as low, "Close" as close, "Adj Close" as adj_close,
+        "Volume" as volume, cast(0 as double) as dividends, "Stock Splits" as stock_splits,
+        "Symbol" as symbol from vendor_bars""",
     "coerce_types": ctes("text_bars") + f""" select seq, symbol, date, {numeral('open')} as open,
         coalesce(cast(trunc({numeral('volume')}) as bigint), 0) as volume from text_bars""",
     "delete_assets": ctes("raw_bars", "supplier_assets") + f""" select {ALL} from raw_bars
@@ -342,6 +364,28 @@ ORACLE: dict[str, str] = {
     "batch_summary": report("raw_bars", "2024-01-25") + f""", {SUMMARY}
         select count(*) as total_assets, count(*) filter (where failed = 0) as passed_assets
         from summary""",
+    "report_summary_listed_twice": TWICE + f""", {SUMMARY}
+        select summary.*, case when failed = 0 then 'PASS' else 'FAIL' end as verdict,
+          symbol || ': ' || passed || ' passed, ' || warned || ' warnings, ' || failed
+            || ' failed' as summary
+        from listed join summary using (symbol, {KEY})""",
+    "batch_summary_listed_twice": TWICE + f""", {SUMMARY}
+        select count(*) as total_assets, count(*) filter (where failed = 0) as passed_assets
+        from listed join summary using (symbol, {KEY})""",
+    "repair_log_listed_twice": ctes("raw_bars", "universe", "supplier_assets") + LISTED_TWICE + f""",
+        hits as (select {KEY}, count(*) as n from raw_bars where {VIOLATION} group by {KEY})
+        select symbol, 'ohlc_consistency' as check_name, 'PASSED' as status,
+          'Repaired ' || n || ' OHLC consistency violations' as details
+        from listed_assets join hits using ({KEY})""",
+    "validation_report_scoped": report("raw_bars", "2024-01-25") + """ select * from report
+        where symbol in ('1', '2', '3', '5', '8', '13', '21', '34')""",
+    "file_sizes": ctes("raw_bars") + f""",
+        named as (select {CLASS_DIR} as class, seq from raw_bars)
+        select class, count(*) > 0 as has_files, count(seq) > 0 as has_bytes
+        from named group by rollup (class)""",
+    "asset_lookup": ctes("universe") + " select * from universe where symbol = '7'",
+    "download_history_of": ctes("download_results") + f""", {DOWNLOAD_LOG}
+        select * from download_log where symbol = '7'""",
     "ingest_summary": ctes("download_results") + f""" select
         count(*) filter (where {STATUS} = 'success') as succeeded,
         count(*) filter (where skipped) as skipped,
