@@ -1,3 +1,19 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Hashes, learnt weights, graph components, Newton steps and tokenizers are beyond it; the queries
+that need them are tested against plain Python instead.
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_exact_dedup": r"""
+        with squeezed as (
+          select doc_id, length(coalesce(text, '')) as n_chars,
+            regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body
+          from documents),
+        grouped as (
+          select doc_id, body, count(*) over (partition by body) as group_size,
+            first_value(doc_id) over (partition by body order by n_chars desc, doc_id) as keep_id
+          from squeezed)
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
+        from grouped""",
+}
