@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
+import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,11 +45,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    """Where one process is all there is: a folder that goes with it."""
+    folder = tempfile.mkdtemp(prefix="barloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return os.path.join(os.getcwd(), "spark-warehouse", "work")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from barloom.session import shared_folder
+from barloom.sources import files
 
 
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -25,6 +26,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the size of the table the keys come from, and would always shuffle that table. The rows also
     outlive the executors that computed them.
     """
-    folder = f"{shared_folder(df.sparkSession)}/barloom/work/{name}-{uuid.uuid4().hex}"
+    folder = f"{work_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def work_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables."""
+    return f"{shared_folder(spark)}/barloom/work/{spark.sparkContext.applicationId}"
+
+
+def discard_work(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application.
+
+    To be called once the results that were built on them have been written or collected.
+    """
+    files.remove(spark, work_root(spark))
