@@ -6,7 +6,8 @@ that snapshot's exact buckets, where whole normalised texts are compared. A batc
 snapshot itself: its distinct texts by digest, and its filters.
 
 Copies are combined on the map side before any shuffle, so a text that a third of the rows share
-arrives as one row a task. Filters are built and asked for one shard of the digests at a time, and
+arrives as one row a task. Joins with whole texts are merge joins at every size, and their key sides
+bare tables, so heavy keys are split. Filters are built and asked for one shard of the digests at a time, and
 their number grows with the snapshot.
 """
 
@@ -135,11 +136,11 @@ def decisions(docs: DataFrame, batches: int = 2, digest: Digest = sha256) -> Dat
             # It needs no snapshot, so only the texts that may have a copy are looked at.
             repeated = groups[b].where("size > 1").select(*KEY)
             wanted = written(reduce(DataFrame.unionAll, [repeated, *hits]).distinct(), "suspects")
-            arriving = written(arriving.join(wanted, KEY, "left_semi"), "arriving")
+            arriving = written(arriving.join(wanted.hint("merge"), KEY, "left_semi"), "arriving")
         texts = distinct_texts(arriving, "texts")
         for hit, snapshot in zip(hits, snapshots, strict=True):
             positive = texts.join(hit, KEY, "left_semi").alias("positive")
-            bucket = snapshot.texts.alias("bucket")
+            bucket = snapshot.texts.hint("merge").alias("bucket")
             same = positive.join(bucket, F.col("positive.digest") == F.col("bucket.digest")).where(
                 F.col("positive.body") == F.col("bucket.body"))
             matched.append(written(same.select("positive.digest", "positive.check"), "matched"))
