@@ -145,14 +145,15 @@ def matching_rows(docs: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFr
     """The rows of `docs` whose keys are among `chosen`, one row for each.
 
     `chosen` has each combination of keys once, and `n_rows`, the rows of `docs` that have it. Nulls
-    match nulls. Only where `n_rows` is above 1 do rows of `docs` have to be told apart, and any of
+    match nulls. It grows with `docs`, so the join is a merge join at every size. Only where `n_rows` is above 1 do rows of `docs` have to be told apart, and any of
     them is taken.
     """
     once = written(chosen.select(*keys, "n_rows"), "chosen")
     on = [docs[k].eqNullSafe(once[k]) for k in keys]
     if once.where("n_rows > 1").isEmpty():
-        return docs.join(once, on, "left_semi")
-    single, several = once.where("n_rows = 1"), once.where("n_rows > 1")
+        return docs.join(once.hint("merge"), on, "left_semi")
+    single = once.where("n_rows = 1").hint("merge")
+    several = once.where("n_rows > 1").hint("merge")
     taken = docs.join(several, [docs[k].eqNullSafe(several[k]) for k in keys], "left_semi")
     rest = docs.join(single, [docs[k].eqNullSafe(single[k]) for k in keys], "left_semi")
     return rest.unionByName(taken.dropDuplicates(keys))

@@ -197,6 +197,6 @@ def take_copies(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     sized = docs.withColumn("_size", word_count("text"))
     on = (sized["doc_id"].eqNullSafe(decided["doc_id"])
           & sized["source"].eqNullSafe(decided["source"]) & (sized["_size"] == decided["size"]))
-    joined = sized.join(decided, on).select(sized["*"], "_copies").drop("_size")
+    joined = sized.join(decided.hint("merge"), on).select(sized["*"], "_copies").drop("_size")
     again = joined.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return again.drop("_copies", "_again")
