@@ -70,15 +70,32 @@ def ingest_results(plan: DataFrame, fetched: DataFrame) -> DataFrame:
     )
 
 
+def with_file_sizes(results: DataFrame, files: DataFrame) -> DataFrame:
+    """Ingest results with `file_size_bytes`: the asset's share, by rows added, of the bytes of the
+    files that were written for its class (asset_type, size_bytes); null without rows added.
+
+    A file holds bars of many assets, so no asset has a size of its own.
+    """
+    sizes = files.groupBy("asset_type").agg(F.sum("size_bytes").alias("_bytes"))
+    rows = results.groupBy("asset_type").agg(F.sum("rows_added").alias("_rows"))
+    share = F.round(F.col("_bytes") * F.col("rows_added") / F.col("_rows")).cast("bigint")
+    return (
+        results.join(sizes.join(rows, "asset_type"), "asset_type", "left")
+        .withColumn("file_size_bytes", F.when(F.col("rows_added") > 0, share))
+        .drop("_bytes", "_rows")
+    )
+
+
 def download_log_rows(results: DataFrame) -> DataFrame:
     """Ingest results as log rows; only successful ones name a path."""
     status = download_status(F.col("rows_added"), F.col("error"), F.col("skipped"))
+    sizes = ["file_size_bytes"] if "file_size_bytes" in results.columns else []
     return results.withColumn("status", status).select(
         "symbol",
         F.col("rows_added").cast("bigint").alias("rows_downloaded"),
         F.when(F.col("status") == "success", storage_path()).otherwise("").alias("file_path"),
         "status",
-        F.coalesce("error", F.lit("")).alias("error_message"),
+        F.coalesce("error", F.lit("")).alias("error_message"), *sizes,
     )
 
 

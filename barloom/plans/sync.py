@@ -16,6 +16,7 @@ from barloom.operators.ingest import (
     ingest_summary,
     resume_plan,
     select_missing,
+    with_file_sizes,
 )
 from barloom.operators.normalize import normalize_bars, with_storage_key
 from barloom.operators.repair import repair_log
@@ -74,8 +75,8 @@ def run_ingest(
     """Takes from the landed files what the selected assets still miss; returns the summary."""
     run_id = uuid.uuid4().hex
     wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-    plan = resume_plan(
-        wanted, scoped_bars(site, symbols, asset_type), end or site.now.date(), start)
+    known = site.store.last_dates().withColumnRenamed("last_date", "date")
+    plan = resume_plan(wanted, known, end or site.now.date(), start)
     landed = with_storage_key(normalize_bars(read_landed(site.spark, landing, fmt)))
 
     # The plan and the chosen rows are needed after the store has changed: fix them first.
@@ -85,8 +86,10 @@ def run_ingest(
     select_missing(landed, plan).write.parquet(f"{work}/fetched")
     fetched = site.spark.read.parquet(f"{work}/fetched")
 
+    before = site.store.version()
     site.store.save(fetched)
-    results = written(ingest_results(plan, fetched), "results")
+    results = with_file_sizes(ingest_results(plan, fetched), site.store.files_since(before))
+    results = written(results, "results")
     files.remove(site.spark, work)
     site.catalog.log_downloads(download_log_rows(results), run_id, site.now)
     return ingest_summary(results)

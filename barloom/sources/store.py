@@ -5,6 +5,9 @@ are live. Readers resolve the newest version once and read exactly those, so the
 finished change, and a job that dies leaves the previous version intact. The list has one entry per
 asset class, calendar year and unmerged commit; it does not grow with the number of assets or bars.
 
+Each version also names an index with one row per asset: its last date and number of bars. Saves
+and resume plans look assets up there, not in the bars.
+
 Bars are deduplicated keep-last by asset and date when an already stored asset receives bars. A
 save rewrites only the class-years in which that drops something; where the batch only adds dates,
 its files are simply appended, until `compact` is called.
@@ -19,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +53,7 @@ READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + [COMMIT_FIELD] + PARTITION_FIE
 PAIR = ["asset_type", "bar_year"]
 FILE_ORDER = [*PAIR, "storage_key", "date"]
 PENDING_KEY = [*ASSET_KEY, "bar_year"]
+INDEX_SCHEMA = "asset_type string, storage_key string, last_date date, row_count bigint"
 PENDING_SCHEMA = "asset_type string, storage_key string, bar_year int"
 FILES_SCHEMA = T.StructType([
     T.StructField("asset_type", T.StringType()),
@@ -70,6 +75,7 @@ class Version:
     live: tuple[tuple[str, str, int], ...] = ()
     pending: str | None = None
     batches: dict[str, int] = field(default_factory=dict)
+    index: str | None = None  # the commit whose table has one row per asset
 
 
 class BarStore:
@@ -106,18 +112,31 @@ class BarStore:
     def exists(self, asset_type: str, storage_key: str) -> bool:
         return not self.load(asset_type=asset_type, storage_keys=[storage_key]).isEmpty()
 
+    def assets(self) -> DataFrame:
+        """One row per stored asset: asset key, last_date and row_count; reads no bars."""
+        return self._index(self.version())
+
     def last_dates(self) -> DataFrame:
-        return profile.last_dates(self.load())
+        return self.assets().select(*ASSET_KEY, "last_date")
 
     def row_counts(self, universe: DataFrame) -> DataFrame:
-        return profile.row_counts(universe, self.load())
+        counted = self.assets().select(*ASSET_KEY, "row_count")
+        return universe.join(counted, ASSET_KEY, "left").withColumn(
+            "row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
 
     def stored_assets(self) -> DataFrame:
-        return profile.stored_assets(self.load())
+        return profile.stored_assets(self.assets())
 
     def live_files(self) -> DataFrame:
         """One row per live data file: asset_type, file_path, size_bytes (contents not read)."""
-        folders = self._folders(self.version().live)
+        return self._files(self.version().live)
+
+    def files_since(self, before: Version) -> DataFrame:
+        """The live data files that were written after a version."""
+        return self._files(sorted(set(self.version().live) - set(before.live)))
+
+    def _files(self, live: Iterable[tuple[str, str, int]]) -> DataFrame:
+        folders = self._folders(live)
         if not folders:
             return no_rows(self.spark, FILES_SCHEMA)
         reader = self.spark.read.format("binaryFile").option("basePath", f"{self.path}/bars")
@@ -156,15 +175,14 @@ class BarStore:
         batch_pairs = {(t, y) for _, t, y in added}
 
         fresh = self._read(added)
-        if before.live:
-            arriving = self._table("arriving", commit, self._arriving(fresh, before, batch_pairs))
-            touched = arriving.where("known").select(*ASSET_KEY)
-            kinds = {
-                r["known"]: (r["first"], r["last"]) for r in arriving.groupBy("known")
-                .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
-            }
-        else:
-            arriving, touched, kinds = None, None, {False: None}
+        arriving = self._table("arriving", commit, self._arriving(fresh, before))
+        touched = arriving.where("known").select(*ASSET_KEY)
+        kinds = {
+            r["known"]: (r["first"], r["last"]) for r in arriving.groupBy("known")
+            .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
+        }
+        counts = [self._index(before), arriving.selectExpr(
+            *ASSET_KEY, "last as last_date", "n as row_count")]
 
         dropping: set[Pair] = set()
         if True in kinds:
@@ -178,13 +196,15 @@ class BarStore:
             )
             # Commit names grow with the version, so the batch outranks whatever was stored.
             self._write(dedupe_assets(candidates, touched, ["commit", "seq"]), merged)
-            live += self._directories(merged)
+            rewritten = self._directories(merged)
+            live += rewritten
+            counts += self._recounted(candidates, self._read(rewritten), touched)
 
         kept = None if before.pending is None else self._pending(before)
         if kept is not None and True in kinds:
             kept = kept.join(touched, ASSET_KEY, "left_anti")
         if False in kinds and not dedupe_first_load:
-            if arriving is not None:
+            if before.live:
                 new = arriving.where(~F.col("known")).select(*ASSET_KEY)
                 fresh = fresh.join(new, ASSET_KEY, "left_semi")
             repeats = repeated_years(fresh)
@@ -192,6 +212,7 @@ class BarStore:
         self._publish(replace(
             after, live=tuple(sorted(live)),
             pending=None if kept is None else self._write_pending(kept, commit),
+            index=self._write_index(counts, commit),
         ))
         return True
 
@@ -216,8 +237,10 @@ class BarStore:
         if before.pending is not None:
             pending = pending.unionByName(
                 self._pending(before).join(gone, ASSET_KEY, "left_anti"))
+        others = self._index(before).join(gone, ASSET_KEY, "left_anti")
         self._publish(replace(
-            before, live=tuple(sorted(live)), pending=self._write_pending(pending, commit)))
+            before, live=tuple(sorted(live)), pending=self._write_pending(pending, commit),
+            index=self._write_index([others, counted(fresh)], commit)))
         return True
 
     def compact(self, at_least: int = 2) -> int:
@@ -250,7 +273,9 @@ class BarStore:
             self._write(delete_assets(affected, gone), commit)
             live = [d for d in before.live if (d[1], d[2]) not in hit] + self._directories(commit)
             self._publish(replace(
-                before, live=tuple(sorted(live)), pending=self._pending_without(before, gone, commit)
+                before, live=tuple(sorted(live)), pending=self._pending_without(before, gone, commit),
+                index=self._write_index(
+                    [self._index(before).join(gone, ASSET_KEY, "left_anti")], commit),
             ))
         return outcome
 
@@ -271,7 +296,7 @@ class BarStore:
         hit = self._collect_pairs(self._changed_by_repair(stored, flagged, before))
         if hit:
             affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
-            cleaned = repair_ohlc(affected, flagged, has_nan=False)
+            cleaned, index = repair_ohlc(affected, flagged, has_nan=False), before.index
             if before.pending is None:
                 self._write(cleaned, commit, in_place=True)
             else:
@@ -282,10 +307,14 @@ class BarStore:
                     ),
                     commit,
                 )
-            live = [d for d in before.live if (d[1], d[2]) not in hit] + self._directories(commit)
+            rewritten = self._directories(commit)
+            if before.pending is not None:
+                change = self._recounted(affected, self._read(rewritten), flagged)
+                index = self._write_index([self._index(before), *change], commit)
+            live = [d for d in before.live if (d[1], d[2]) not in hit] + rewritten
             self._publish(replace(
                 before, live=tuple(sorted(live)),
-                pending=self._pending_without(before, flagged, commit),
+                pending=self._pending_without(before, flagged, commit), index=index,
             ))
         return repaired
 
@@ -297,9 +326,9 @@ class BarStore:
         returned.
         """
         version = self.version()
-        wanted = {commit for commit, _, _ in version.live} | {version.pending}
+        wanted = {commit for commit, _, _ in version.live} | {version.pending, version.index}
         dead = [
-            p for kind in ("bars", "pending")
+            p for kind in ("bars", "pending", "index")
             for p in files.matching(self.spark, f"{self.path}/{kind}/commit=*")
             if p.rsplit("commit=", 1)[1] not in wanted
         ]
@@ -318,14 +347,14 @@ class BarStore:
         content = json.loads(files.read_text(self.spark, found[-1]))
         return Version(
             content["number"], tuple((c, t, y) for c, t, y in content["live"]),
-            content["pending"], content["batches"],
+            content["pending"], content["batches"], content.get("index"),
         )
 
     def _publish(self, version: Version) -> None:
         number = version.number + 1
         content = {
             "number": number, "live": version.live,
-            "pending": version.pending, "batches": version.batches,
+            "pending": version.pending, "batches": version.batches, "index": version.index,
         }
         files.create_text(
             self.spark, f"{self.path}/versions/{number:010d}.json", json.dumps(content)
@@ -367,6 +396,29 @@ class BarStore:
         content.write.parquet(folder)
         return self.spark.read.schema(content.schema).parquet(folder)
 
+    def _index(self, version: Version) -> DataFrame:
+        """One row per asset; counted from the bars where a version has no index yet."""
+        if version.index is None:
+            return counted(self._read(version.live))
+        folder = f"{self.path}/index/commit={version.index}"
+        return self.spark.read.schema(INDEX_SCHEMA).parquet(folder)
+
+    def _write_index(self, parts: list[DataFrame], commit: str) -> str:
+        """Writes the index that sums up `parts`: earlier rows, and what was added or removed."""
+        columns = [*ASSET_KEY, "last_date", "row_count"]
+        together = reduce(DataFrame.unionAll, [p.select(columns) for p in parts])
+        summed = together.groupBy(*ASSET_KEY).agg(
+            F.max("last_date").alias("last_date"), F.sum("row_count").alias("row_count"))
+        summed.write.parquet(f"{self.path}/index/commit={commit}")
+        return commit
+
+    @staticmethod
+    def _recounted(before: DataFrame, after: DataFrame, assets: DataFrame) -> list[DataFrame]:
+        """Index parts for rewritten bars: what the assets had less what they have."""
+        had, have = (
+            counted(bars.join(assets, ASSET_KEY, "left_semi")) for bars in (before, after))
+        return [had.withColumn("row_count", -F.col("row_count")), have]
+
     def _pending(self, version: Version) -> DataFrame:
         folder = f"{self.path}/pending/commit={version.pending}"
         return self.spark.read.schema(PENDING_SCHEMA).parquet(folder)
@@ -385,17 +437,14 @@ class BarStore:
 
     # -- steps of a save -----------------------------------------------------------------------
 
-    def _arriving(self, fresh: DataFrame, before: Version, batch_pairs: set[Pair]) -> DataFrame:
-        """The batch's assets with their first and last date; `known`: already stored, so to be
-        deduplicated."""
+    def _arriving(self, fresh: DataFrame, before: Version) -> DataFrame:
+        """The batch's assets with their first and last date and number of bars; `known`: already
+        stored, so to be deduplicated."""
         assets = fresh.groupBy(*ASSET_KEY).agg(
-            F.min("date").alias("first"), F.max("date").alias("last")
-        )
-        classes = {t for t, _ in batch_pairs}
-        stored = (
-            self._read([d for d in before.live if d[1] in classes])
-            .select(*ASSET_KEY).distinct().withColumn("known", F.lit(True))
+            F.min("date").alias("first"), F.max("date").alias("last"),
+            F.count(F.lit(1)).alias("n"),
         )
+        stored = self._index(before).select(*ASSET_KEY, F.lit(True).alias("known"))
         return assets.join(stored, ASSET_KEY, "left").withColumn(
             "known", F.coalesce("known", F.lit(False))
         )
@@ -450,6 +499,12 @@ def repeated_years(bars: DataFrame) -> DataFrame:
     return date_spans(bars, by=PENDING_KEY).where("repeated_rows > 0").select(*PENDING_KEY)
 
 
+def counted(bars: DataFrame) -> DataFrame:
+    """Index rows of bars: per asset, its last date and number of bars."""
+    return bars.groupBy(*ASSET_KEY).agg(
+        F.max("date").alias("last_date"), F.count(F.lit(1)).alias("row_count"))
+
+
 def laid_out(bars: DataFrame) -> DataFrame:
     """Bars in file order: each task writes one range of (class, year, asset, date).
 

@@ -236,3 +236,38 @@ def test_saves_agree_with_the_merge_operator(store, make_bars, seed):
     assert content(store.load().select(expected.columns)) == content(
         repair_assets(expected).select(expected.columns))
     assert dedupe_bars(store.load()).count() <= store.load().count()
+
+
+def test_the_index_agrees_with_the_bars(store, good_bars, bad_bars, make_bars, assets):
+    def agrees():
+        bars = store.load().groupBy("asset_type", "storage_key").agg(
+            F.max("date").alias("last_date"), F.count("*").alias("row_count"))
+        text = store.assets()._jdf.queryExecution().toString()
+        return content(store.assets()) == content(bars) and "index" in text
+
+    store.save(bad_bars)
+    assert agrees()
+    store.save(make_bars([bar(date(2025, 1, 2), 1.0, 1.0, 1.0, 1.0),
+                          bar(date(2025, 1, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS"),
+                          bar(date(2025, 1, 2), 2.0, 1.0, 1.0, 1.0, symbol="TCS")]))
+    assert agrees()
+    store.clean()
+    assert agrees()
+    store.replace(good_bars)
+    assert agrees()
+    store.compact()
+    assert agrees()
+    store.delete(assets)
+    assert agrees()
+    assert [r.storage_key for r in store.stored_assets().collect()] == ["TCS"]
+    assert store.vacuum() > 0 and agrees()
+
+
+def test_a_save_reads_no_stored_bars_to_know_its_assets(store, good_bars, make_bars):
+    store.save(good_bars)
+    version = store.version()
+    fresh = store.load().withColumn("bar_year", F.year("date"))
+    text = store._arriving(fresh.limit(0), version)._jdf.queryExecution().toString()
+    assert "index/commit=" in text or "last_date" in text
+    assert store.last_dates().inputFiles() and all(
+        "/index/" in f for f in store.last_dates().inputFiles())

@@ -128,6 +128,7 @@ def test_whole_sync(spark, tmp_path):
     assert site.catalog.assets().count() == site.catalog.universe().count() == 210
     log = site.catalog.download_log()
     assert log.where("status = 'success'").count() == 2
+    assert log.where("status = 'success' and file_size_bytes > 0").count() == 2
     assert log.where("status = 'error' and error_message = ''").count() == 208
     assert site.catalog.validation_log().count() == 12
     assert site.catalog.report() is None

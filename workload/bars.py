@@ -349,6 +349,18 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select("symbol", "asset_type", "row_count")
 
 
+@register
+def store_last_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """From the store's index, after two saves."""
+    return stored(spark, sf, "store_last_dates", *old_and_new(spark, sf)).last_dates()
+
+
+@register
+def store_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    store = stored(spark, sf, "store_row_counts", *old_and_new(spark, sf))
+    return store.row_counts(view(spark, sf, "universe")).select("symbol", "asset_type", "row_count")
+
+
 @register
 def class_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.class_counts(view(spark, sf, "raw_bars"))

@@ -321,6 +321,14 @@ ORACLE: dict[str, str] = {
         count(b.seq) as row_count from universe u left join raw_bars b
         on u.asset_type = b.asset_type and u.storage_key = b.storage_key
         group by u.symbol, u.asset_type""",
+    "store_last_dates": OLD_NEW
+        + f"select {KEY}, max(date) as last_date from both_bars group by {KEY}",
+    "store_row_counts": OLD_NEW + f""",
+        kept as (select * from sides where rank = 1 or has_old = 0 or has_new = 0),
+        {ctes("universe").strip().removeprefix("with ")}
+        select u.symbol, u.asset_type, count(k.seq) as row_count from universe u left join kept k
+        on u.asset_type = k.asset_type and u.storage_key = k.storage_key
+        group by u.symbol, u.asset_type""",
     "class_counts": ctes("raw_bars") + """ select asset_type, count(*) as row_count,
         count(distinct storage_key) as asset_count from raw_bars group by asset_type""",
     "class_stats": ctes("class_sizes") + f""",
