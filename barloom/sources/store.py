@@ -175,14 +175,17 @@ class BarStore:
         batch_pairs = {(t, y) for _, t, y in added}
 
         fresh = self._read(added)
-        arriving = self._table("arriving", commit, self._arriving(fresh, before))
-        touched = arriving.where("known").select(*ASSET_KEY)
-        kinds = {
-            r["known"]: (r["first"], r["last"]) for r in arriving.groupBy("known")
-            .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
-        }
-        counts = [self._index(before), arriving.selectExpr(
-            *ASSET_KEY, "last as last_date", "n as row_count")]
+        if before.live:
+            arriving = self._table("arriving", commit, self._arriving(fresh, before))
+            touched = arriving.where("known").select(*ASSET_KEY)
+            kinds = {
+                r["known"]: (r["first"], r["last"]) for r in arriving.groupBy("known")
+                .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
+            }
+            counts = [self._index(before), arriving.selectExpr(
+                *ASSET_KEY, "last as last_date", "n as row_count")]
+        else:
+            arriving, touched, kinds, counts = None, None, {False: None}, [counted(fresh)]
 
         dropping: set[Pair] = set()
         if True in kinds:
@@ -204,7 +207,7 @@ class BarStore:
         if kept is not None and True in kinds:
             kept = kept.join(touched, ASSET_KEY, "left_anti")
         if False in kinds and not dedupe_first_load:
-            if before.live:
+            if arriving is not None:
                 new = arriving.where(~F.col("known")).select(*ASSET_KEY)
                 fresh = fresh.join(new, ASSET_KEY, "left_semi")
             repeats = repeated_years(fresh)
