@@ -9,7 +9,7 @@ Everything else is a difference of neighbouring positions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,20 +62,26 @@ def separators(
         "blocks", F.greatest(F.ceil(F.col("length") / size), F.lit(1)).cast("long")
     ).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
 
-    @F.arrow_udf("array<int>")
-    def places(contents: pa.Array) -> pa.Array:
-        found = [
-            np.flatnonzero(np.frombuffer(c.as_buffer(), "<u2", len(c.as_buffer()) // 2) == end)
-            for c in contents]
-        offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-        values = np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-
     content = F.substring("content", (F.col("block") * size + 1).cast("int"), F.lit(size))
-    return blocks.select(
+    cut = blocks.select(
         F.col("path").alias("file"), "block", "blocks",
         F.floor(F.least(F.lit(size), F.col("length") - F.col("block") * size) / 2).alias("tokens"),
-        places(content).alias("ends"))
+        content.alias("content"))
+
+    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.flatnonzero(np.frombuffer(c.as_buffer(), "<u2", len(c.as_buffer()) // 2) == end)
+                for c in batch.column("content")]
+            offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
+            values = np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int32)
+            ends = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            columns = [batch.column(c) for c in ("file", "block", "blocks", "tokens")]
+            yield pa.RecordBatch.from_arrays([*columns, ends], [*batch.schema.names[:4], "ends"])
+
+    # Rows that reach Python hold one block each; a column function would keep whole files beside.
+    return cut.mapInArrow(
+        places, "file string, block long, blocks long, tokens long, ends array<int>")
 
 
 def count_tokens(scanned: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
