@@ -64,7 +64,8 @@ def labelled_sample(
 
     `learn` is a condition on doc_id. Several labels of one document count as the largest; a null
     label is none. The sample is drawn from the labels before any text is read, and its ids, no
-    more than `at_most`, are broadcast: no text is shuffled to find it.
+    more than `at_most`, are broadcast: no text is shuffled to find it. Of several rows of one
+    doc_id the smallest text counts, so the bound holds for rows as well.
     """
     marked = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn)
@@ -72,7 +73,8 @@ def labelled_sample(
     )
     chosen = written(bounded_sample(marked, "doc_id", at_most, seed), "sample")
     texts = docs.select("doc_id", "text")
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def fitted(rows: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]], bytes]) -> bytes:

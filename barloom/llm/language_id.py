@@ -13,6 +13,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,9 @@ class Settings:
 SETTINGS = Settings()
 UNDETERMINED = "und"
 
+#: Parts of a language that are cut to the sample's bound by themselves.
+PARTS = 64
+
 #: Numbers that one numpy step gathers at most, n-grams times languages, or else one document.
 STEP = 1_500_000
 
@@ -102,13 +106,12 @@ def fit(batches: Iterator[pa.RecordBatch], settings: Settings) -> bytes:
     """The pickled model, from batches of (text, lang) of cleaned texts."""
     documents = []
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        points, starts = code_points(batch.column("text").to_pylist())
-        for i, lang in enumerate(langs):
-            own = cells(points[starts[i]:starts[i + 1]], settings.buckets)
+        for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist(), strict=True):
+            points, _ = code_points([text.as_py()])
+            own = cells(points, settings.buckets)
             at, n = np.unique(own[own < settings.buckets], return_counts=True)
-            documents.append((lang, at, n / max(1, n.sum())))
-    documents.sort(key=lambda d: (d[0], len(d[1]), d[1].tobytes(), d[2].tobytes()))
+            documents.append((lang, at, (n / max(1, n.sum())).astype("f4")))
+    documents.sort(key=lambda d: (d[0], len(d[1]), crc32(d[1]), crc32(d[2])))
     langs = sorted({d[0] for d in documents})
     if not langs:
         return pickle.dumps(([], np.zeros((settings.buckets + 1, 0), "f4"), np.zeros(0), 1.0))
@@ -173,13 +176,19 @@ def learn(docs: DataFrame, settings: Settings = SETTINGS, learn_from: Column | N
     if learn_from is not None:
         marked = marked.where(learn_from)
     marked = marked.groupBy("doc_id").agg(F.min(F.col("lang").cast("string")).alias("lang"))
-    first = Window.partitionBy("lang").orderBy(
-        F.xxhash64(F.lit(settings.seed), "doc_id"), "doc_id")
-    marked = marked.withColumn("_n", F.row_number().over(first)).where(
-        F.col("_n") <= settings.per_lang).drop("_n")
+    # First in parts of each language, so that no task ranks a whole one.
+    hashed = F.xxhash64(F.lit(settings.seed), "doc_id")
+    marked = marked.withColumn("_h", hashed).withColumn("_part", F.pmod("_h", F.lit(PARTS)))
+    for keys in (["lang", "_part"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("_h", "doc_id")
+        marked = marked.withColumn("_n", F.row_number().over(first)).where(
+            F.col("_n") <= settings.per_lang).drop("_n")
+    marked = marked.select("doc_id", "lang")
     chosen = written(bounded_sample(marked, "doc_id", settings.max_train, settings.seed), "sample")
     rows = docs.select("doc_id", cleaned().alias("text")).join(
         F.broadcast(chosen), "doc_id").where(F.length("text") > 1)
+    # Of several rows of one doc_id the smallest text counts.
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     return Model(*pickle.loads(
         fitted(rows.select("text", "lang"), lambda batches: fit(batches, settings))))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ class Settings:
 SETTINGS = Settings()
 
 #: Words hashed by one numpy step at most, or else one document.
-STEP = 400_000
+STEP = 100_000
 
 
 def hashed_words(text: Column | str) -> Column:
@@ -101,24 +102,41 @@ def _value(starts: np.ndarray) -> np.ndarray:
 
 def fit(batches: Iterator[pa.RecordBatch], settings: Settings) -> bytes:
     """Weights, the last of them the intercept, from batches of (label, words, shapes)."""
-    documents = []
+    size = settings.buckets
+    cells, values, labels, lengths = [], [], [], []
     for batch in batches:
         words, starts = lists(batch.column("words"))
         shapes, _ = lists(batch.column("shapes"))
-        cells, at = features(words, shapes, starts, settings.buckets)
-        for i, label in enumerate(batch.column("label").to_pylist()):
-            own, n = np.unique(cells[at[i]:at[i + 1]], return_counts=True)
-            value = n / np.sqrt(max(starts[i + 1] - starts[i], 1))
-            documents.append((np.append(own, settings.buckets), np.append(value, 1.0), label))
-    model = Ftrl((settings.buckets + 1,), alpha=settings.alpha, l1=settings.l1, l2=settings.l2)
+        labels += batch.column("label").to_pylist()
+        for a, b in chunks(starts, STEP):
+            part, own = slice(starts[a], starts[b]), starts[a:b + 1] - starts[a]
+            found, at = features(words[part], shapes[part], own, size)
+            row = np.repeat(np.arange(b - a), np.diff(at))
+            distinct, n = np.unique(row * size + found, return_counts=True)
+            row = distinct // size
+            cells.append((distinct % size).astype(np.int32))
+            values.append((n * _value(own)[row]).astype("f4"))
+            lengths.append(np.bincount(row, minlength=b - a))
+    # A few large arrays: memory that goes back to the system with them.
+    cells = np.concatenate([np.empty(0, np.int32), *cells])
+    values = np.concatenate([np.empty(0, "f4"), *values])
+    ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *lengths]))
+
+    def document(i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(ends[i], ends[i + 1])
+        return np.append(cells[own], np.int32(size)), np.append(values[own], np.float32(1))
+
+    model = Ftrl((size + 1,), alpha=settings.alpha, l1=settings.l1, l2=settings.l2)
     rng = np.random.default_rng(settings.seed)
     # A fixed order first, as batches arrive in any.
-    documents.sort(key=lambda d: (d[2], len(d[0]), d[0].tobytes()))
+    order = np.array(sorted(range(len(labels)), key=lambda i: (
+        labels[i], ends[i + 1] - ends[i], crc32(cells[ends[i]:ends[i + 1]]),
+        crc32(values[ends[i]:ends[i + 1]]))), np.int64)
     for _ in range(settings.epochs):
-        for i in rng.permutation(len(documents)):
-            at, value, label = documents[i]
+        for i in rng.permutation(order):
+            at, value = document(i)
             w = model.weights(at)
-            model.update(at, (sigmoid(w @ value) - label) * value, w)
+            model.update(at, (sigmoid(w @ value) - labels[i]) * value, w)
     return model.weights().astype("<f4").tobytes()
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +215,7 @@ def fit(batches: Iterator[pa.RecordBatch], settings: Settings) -> bytes:
         for i, label in enumerate(batch.column("label").to_pylist()):
             own = slice(starts[i], starts[i + 1])
             documents.append((int(label > 0), words[own].copy(), prefixes[own].copy(), langs[i]))
-    documents.sort(key=lambda d: (d[0], len(d[1]), d[1].tobytes(), str(d[3])))
+    documents.sort(key=lambda d: (d[0], len(d[1]), crc32(d[1]), str(d[3])))
     net = Network(settings)
     if not documents:
         return pickle.dumps(net.__dict__)

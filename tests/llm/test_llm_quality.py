@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import quality_classifier as classifier
 from barloom.llm import quality_rules as rules
+from barloom.llm.common import labelled_sample
 from barloom.llm.ftrl import Ftrl
 
 
@@ -164,3 +165,14 @@ def test_classifier_on_odd_rows(odd, none, odd_rows, spark):
     assert blank == {0.5}
     kept = classifier.drop_rejected(odd, labels)
     assert kept.columns == odd.columns
+
+
+def test_the_sample_is_bounded_by_rows_too(spark):
+    """A labelled doc_id that most rows share is one row of the sample."""
+    docs = spark.createDataFrame(
+        [(i % 3, f"text {i}") for i in range(90)] + [(5, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(6)], "doc_id long, quality int")
+    sample = labelled_sample(docs, labels, "quality", F.lit(True), 100, 1).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in sample) == [
+        (0, "text 0"), (1, "text 1"), (2, "text 11"), (5, None)]
+    assert len(labelled_sample(docs, labels, "quality", F.lit(True), 2, 1).collect()) <= 2
