@@ -11,7 +11,7 @@ import pytest
 from barloom.operators import checks as C
 from barloom.operators.merge import dedupe_bars, upsert_bars
 from barloom.operators.repair import repair_assets, repair_ohlc, repaired_counts
-from conftest import bar
+from sample import bar
 
 
 def random_rows(seed: int, count: int = 600) -> list[tuple]:

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from barloom.operators import checks as C
-from conftest import bar
+from sample import bar
 
 SETTINGS = C.Settings(as_of=date(2024, 6, 30))
 

@@ -10,7 +10,7 @@ from barloom.operators.ingest import (
     select_missing,
     throttled,
 )
-from conftest import bar
+from sample import bar
 
 
 def plan(assets, bars, *args):

@@ -16,7 +16,7 @@ from barloom.operators.profile import last_dates
 from barloom.operators.repair import repair_ohlc
 from barloom.operators.report import validation_report
 from barloom.sources.store import BarStore
-from conftest import bar
+from sample import bar
 from workload.bars import QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.operators.merge import dedupe_bars, upsert_bars
 from barloom.operators.repair import repair_assets
 from barloom.sources.store import BarStore
-from conftest import bar
+from sample import bar
 from test_brute_force import content, random_rows
 
 

@@ -17,7 +17,7 @@ from barloom.sources.listings import nse_equities, nse_seed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, import_universe, sync_status
 from barloom.sources.store import BarStore
 from barloom.streaming.ingest import start_ingest
-from conftest import bar
+from sample import bar
 from test_brute_force import content
 
 
