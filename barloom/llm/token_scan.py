@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import whole
@@ -114,26 +114,35 @@ def count_tokens(scanned: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFr
     return known.select("file", F.inline(F.concat(ended, left)))
 
 
+def places_of(file: str) -> dict[str, Column]:
+    """The task that wrote a flat file, and where among its rows document `doc` of the file was.
+
+    Files are named part-<task>-<uuid>-c<file of the task>.txt.
+    """
+    number = F.regexp_extract(file, r"-c(\d+)\.[^/]*$", 1).cast("long")
+    return {
+        "part": F.regexp_extract(file, r"/part-(\d+)-[^/]*$", 1).cast("int"),
+        "place": number * FILE_DOCS + F.col("doc"),
+    }
+
+
 def token_counts(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, file, doc, start, n_tokens, closed) of each row of `docs`, by way of flat files.
 
     The files are written to `folder` and scanned; as they know no ids, those are given back by
     place. So `docs` must be a plain scan, read in the same order twice; if the splits of the two
-    reads differ, in what number of documents a file has, the run fails rather than pair wrongly.
+    reads differ, in what places there are, the run fails rather than pair wrongly.
     """
     spark = docs.sparkSession
     write_flat(docs, folder, tokenizer)
     found = count_tokens(written(separators(spark, folder), "separators"))
-    part = F.regexp_extract("file", r"part-(\d+)-", 1).cast("int")
-    chunk = F.regexp_extract("file", r"-c(\d+)[^/]*$", 1).cast("long")
-    found = written(
-        found.withColumn("part", part).withColumn("place", chunk * FILE_DOCS + F.col("doc")), "found")
+    found = written(found.withColumns(places_of("file")), "found")
     ids = written(docs.select(
         "doc_id", F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place")), "ids")
-    count = F.count(F.lit(1)).alias("n")
-    same = found.groupBy("part").agg(count).exceptAll(ids.groupBy("part").agg(count))
-    if not same.isEmpty() or found.count() != ids.count():
+    places = ["part", "place"]
+    apart = found.select(places).exceptAll(ids.select(places))
+    if not apart.isEmpty() or found.count() != ids.count():
         raise RuntimeError("the documents were split otherwise when their ids were read; run again")
     return found.join(ids, ["part", "place"]).select(
         "doc_id", F.element_at(F.split("file", "/"), -1).alias("file"), "doc", "start", "n_tokens",

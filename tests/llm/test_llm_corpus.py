@@ -315,6 +315,15 @@ def test_counts_are_the_tokenizers(spark, odd, odd_rows, real, tmp_path):
         assert all(r["closed"] for r in found)
 
 
+def test_places_are_read_off_the_end_of_the_name(spark):
+    """A uuid can have a part that looks like a file number."""
+    names = ["file:/x/part-7-y/part-00012-0b1f3c5e-c412-4e0a-c98b-c12345678901-c003.txt",
+             "hdfs://h/flat/part-00000-aaaaaaaa-c000-4bbb-c111-cccccccccccc-c000.txt"]
+    df = spark.createDataFrame([(n, 5) for n in names], "file string, doc long")
+    found = [tuple(r) for r in df.select(*token_scan.places_of("file").values()).collect()]
+    assert found == [(12, 3 * token_scan.FILE_DOCS + 5), (0, 5)]
+
+
 def test_flat_files_hold_the_ids(spark, real, tmp_path):
     model = sentencepiece.SentencePieceProcessor(model_file=token_scan.TOKENIZER)
     docs = real("documents").limit(20).coalesce(1)
