@@ -144,6 +144,14 @@ def mix(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     get the copy that rounding gives to one of them. An empty table gives an empty result.
     """
     sizes = written(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
+    return mixed(sizes, settings)
+
+
+def mixed(sizes: DataFrame, settings: Settings = SETTINGS, ties: tuple[str, ...] = ()) -> DataFrame:
+    """What `mix` returns, from written (doc_id, source, size), and the columns `ties` with it.
+
+    Rows alike in source, size and doc_id are rounded in the order of `ties`.
+    """
     cells = written(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = written(
         cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")),
@@ -163,7 +171,7 @@ def mix(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
 
     placed = ranked(
         sizes, F.col("source").asc_nulls_last(), F.col("size"),
-        F.xxhash64(F.lit(9), "doc_id"), F.col("doc_id"))
+        F.xxhash64(F.lit(9), "doc_id"), F.col("doc_id"), *map(F.col, ties))
     first = placed.groupBy("source", "size").agg(F.min("rank").alias("first"))
     rated = rated.join(
         first, rated["source"].eqNullSafe(first["source"]) & (rated["size"] == first["size"])
@@ -179,24 +187,26 @@ def mix(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
             rated, placed["source"].eqNullSafe(rated["source"]) & (placed["size"] == rated["size"]))
         .drop(rated["source"]).drop(rated["size"])
         .withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-        .select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
+        .select(
+            "doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken", *ties)
     )
 
 
 def take_copies(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     """The rows of `docs`, unchanged, each as often as `mix` takes it.
 
-    Documents without words are taken once, as they have no words to weigh. Rows alike in doc_id,
-    source and size are taken as often as the one with most copies.
+    Documents without words are taken once, as they have no words to weigh. Every row has a key of
+    its own, its place in a written copy of `docs`, so rows alike in doc_id, source and size are
+    decided one by one, those with different texts in the order of the texts' hashes.
     """
-    decided = mix(docs, settings).groupBy("doc_id", "source", "size").agg(
-        F.max("copies").alias("_copies"))
-    decided = written(decided.withColumn(
-        "_copies", F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("_copies").cast("int"))
-    ).where("_copies > 0"), "copies")
-    sized = docs.withColumn("_size", word_count("text"))
-    on = (sized["doc_id"].eqNullSafe(decided["doc_id"])
-          & sized["source"].eqNullSafe(decided["source"]) & (sized["_size"] == decided["size"]))
-    joined = sized.join(decided.hint("merge"), on).select(sized["*"], "_copies").drop("_size")
+    keyed = written(
+        docs.withColumn("_size", word_count("text")).withColumn("_hash", F.xxhash64("text"))
+        .withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    sizes = keyed.select("doc_id", "source", F.col("_size").alias("size"), "_hash", "_row")
+    decided = mixed(sizes, settings, ("_hash", "_row")).select(
+        "_row", F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies").cast("int"))
+        .alias("_copies"))
+    decided = written(decided.where("_copies > 0"), "copies")
+    joined = keyed.join(decided.hint("merge"), "_row").select(*docs.columns, "_copies")
     again = joined.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return again.drop("_copies", "_again")

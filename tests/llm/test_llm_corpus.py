@@ -112,6 +112,38 @@ def test_take_copies(odd, odd_rows):
     assert copies[2, None] == 1
 
 
+def words_taken(rows, count):
+    taken = Counter()
+    for r in rows:
+        taken[r["source"]] += count(r)
+    return +taken
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5, 1.2])
+def test_take_copies_tells_rows_of_one_key_apart(spark, rate):
+    """Rows with a null id or a repeated one and texts of equal size, a third of each source."""
+    rows = [(None, f"null {i} a b", "s1") for i in range(300)]
+    rows += [(7, f"seven {i} c", "s2") for i in range(300)]
+    rows += [(1000 + i, "w " * (1 + i % 9), f"s{1 + i % 2}") for i in range(600)]
+    rows += [(5000, "one text", "s1")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    settings = mixing.Settings(weights=(1.0,), share=rate)
+    left = mixing.take_copies(docs, settings)
+    dealt = mixing.mix(docs, settings).collect()
+    assert left.columns == docs.columns
+    left = left.collect()
+    assert words_taken(left, lambda r: n_words(r["text"])) == words_taken(
+        dealt, lambda r: r["taken"])
+    by_key, given = Counter(), Counter()
+    for r in dealt:
+        by_key[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    given.update(rows)
+    assert Counter((r["doc_id"], r["source"], n_words(r["text"])) for r in left) == +by_key
+    assert all(n <= 2 * given[tuple(r)] for r, n in Counter(left).items())
+    again = mixing.take_copies(docs.repartition(3), settings).collect()
+    assert Counter(again) == Counter(left)
+
+
 def test_mix_runs_no_python(real):
     plan = mixing.mix(real("documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
