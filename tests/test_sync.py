@@ -187,6 +187,38 @@ def test_a_foreign_csv_header_is_an_error(spark, tmp_path):
         read_landed(spark, str(landing), "csv", schema).collect()
 
 
+@pytest.mark.parametrize("first", ["old", "new"])
+@pytest.mark.parametrize("names", [("Dividends", "Stock Splits"), ("dividends", "stock_splits")])
+def test_landed_parquet_files_may_differ(spark, tmp_path, first, names):
+    """A column that one file lacks is 0.0 in its rows only; nulls in files with it stay."""
+    landing = str(tmp_path / "bars")
+    usual = "Date string, Open double, Symbol string, asset_type string, seq long"
+    old = spark.createDataFrame([("2024-01-02", 1.0, "TCS", "EQUITY", 1)], usual)
+    new = spark.createDataFrame(
+        [("2024-01-03", 2.0, "TCS", "EQUITY", 2, 0.75, 2.0),
+         ("2024-01-04", 3.0, "TCS", "EQUITY", 3, None, None)],
+        usual + "".join(f", `{n}` double" for n in names))
+    for name, df in (("a", old if first == "old" else new), ("b", new if first == "old" else old)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        (tmp_path / "bars").mkdir(exist_ok=True)
+        [part] = (tmp_path / name).glob("part-*.parquet")
+        (tmp_path / "bars" / f"{name}.parquet").write_bytes(part.read_bytes())
+    wanted = [(2, 0.0, 0.0), (3, 0.75, 2.0), (4, None, None)]
+    batch = normalize_bars(read_landed(spark, landing))
+    store = BarStore(spark, str(tmp_path / "store"))
+    start_ingest(spark, landing, store, str(tmp_path / "checkpoint")).awaitTermination()
+    for bars in (batch, store.load()):
+        assert sorted((r.date.day, r.dividends, r.stock_splits) for r in bars.collect()) == wanted
+
+
+def test_landed_parquet_of_clashing_types_is_an_error(spark, tmp_path):
+    landing = str(tmp_path / "bars")
+    spark.sql("select 1.5d as Open, 'TCS' as Symbol").write.mode("append").parquet(landing)
+    spark.sql("select 'x' as Open, 'TCS' as Symbol").write.mode("append").parquet(landing)
+    with pytest.raises(Exception, match="MERGE_SCHEMA"):
+        landed_schema(spark, landing)
+
+
 def test_scoped_sync_leaves_the_other_classes(spark, mixed, tmp_path):
     snapshot = str(tmp_path / "snapshot")
     export_snapshot(mixed, mixed.select("symbol"), snapshot)
