@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded_sample, chunks, fitted, id_remainder, segment_sums, whole
+from barloom.llm.common import chunks, fitted, id_remainder, segment_sums, whole
 from barloom.llm.ftrl import Ftrl, softmax
 from barloom.work import written
 
@@ -169,10 +169,12 @@ def learn(docs: DataFrame, settings: Settings = SETTINGS, learn_from: Column | N
     """The model learnt from rows of `docs` with a language and a letter, `learn_from` restricting.
 
     The sample is drawn from ids and languages, those with the smallest hashes of each language;
-    its ids are broadcast, no more than `max_train`. Several languages of one doc_id count as the
+    its ids are broadcast, no more than `max_train`. If there are more, small languages keep all
+    their rows and the others get equal shares. Several languages of one doc_id count as the
     smallest.
     """
-    marked = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    lettered = whole("text").rlike(r"\p{L}")
+    marked = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & lettered)
     if learn_from is not None:
         marked = marked.where(learn_from)
     marked = marked.groupBy("doc_id").agg(F.min(F.col("lang").cast("string")).alias("lang"))
@@ -182,9 +184,10 @@ def learn(docs: DataFrame, settings: Settings = SETTINGS, learn_from: Column | N
     for keys in (["lang", "_part"], ["lang"]):
         first = Window.partitionBy(*keys).orderBy("_h", "doc_id")
         marked = marked.withColumn("_n", F.row_number().over(first)).where(
-            F.col("_n") <= settings.per_lang).drop("_n")
-    marked = marked.select("doc_id", "lang")
-    chosen = written(bounded_sample(marked, "doc_id", settings.max_train, settings.seed), "sample")
+            F.col("_n") <= settings.per_lang)
+    # The first of each language, then the second of each, and so on.
+    dealt = marked.orderBy("_n", "_h", "doc_id").limit(settings.max_train)
+    chosen = written(dealt.select("doc_id", "lang"), "sample")
     rows = docs.select("doc_id", cleaned().alias("text")).join(
         F.broadcast(chosen), "doc_id").where(F.length("text") > 1)
     # Of several rows of one doc_id the smallest text counts.

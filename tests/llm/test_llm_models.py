@@ -158,3 +158,24 @@ def test_held_out_languages_are_not_read(real):
     a = lang.learn(docs, learn_from=~lang.held_out())
     b = lang.learn(turned, learn_from=~lang.held_out())
     assert a.langs == b.langs and (a.weights == b.weights).all()
+
+
+def test_language_sample_is_dealt_over_the_languages(spark, monkeypatch):
+    """Rare languages keep all lettered documents; letterless ones take nobody's place."""
+    from barloom.llm import language_id
+
+    rows = [(100 * k + i, f"l{k:02}", "some words") for k in range(30) for i in range(20)]
+    rows += [(9000 + i, "rare", "rare words") for i in range(4)]
+    rows += [(9100 + i, "mixed", "12 34" if i % 10 else "words") for i in range(60)]
+    rows += [(9200, "none", "1"), (9201, "none", None)]
+    seen = {}
+
+    def sampled(found, fit):
+        seen.update((r["lang"], r["count"]) for r in found.groupBy("lang").count().collect())
+        return fit(iter(()))
+
+    monkeypatch.setattr(language_id, "fitted", sampled)
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    language_id.learn(docs, language_id.Settings(per_lang=15, max_train=250))
+    assert (seen.pop("rare"), seen.pop("mixed")) == (4, 6)
+    assert len(seen) == 30 and sum(seen.values()) == 240 and set(seen.values()) == {8}
