@@ -8,10 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm.byte_bpe import decode, encode
+from barloom.llm.centroids import cluster, with_inertia
 from barloom.llm.chat_format import format_chats
 from barloom.llm.common import table
 from barloom.llm.entropy_mixing import mix
 from barloom.llm.exact_dedup import decisions
+from barloom.llm.filter_audit import filter_audit
 from barloom.llm.language_id import language_id
 from barloom.llm.length_packing import packed
 from barloom.llm.quality_classifier import quality_classifier
@@ -92,3 +95,23 @@ def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents are written to flat files and counted there."""
     folder = f"{shared_folder(spark)}/barloom/flat-{uuid.uuid4().hex}"
     return token_counts(table(spark, sf_dir, "documents"), folder)
+
+
+@register
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_inertia(*cluster(table(spark, sf_dir, "embeddings")))
+
+
+@register
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit(docs, table(spark, sf_dir, "labels"))
+
+
+@register
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text, and of the bytes they decode to."""
+    decoded = decode(encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
