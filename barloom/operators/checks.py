@@ -40,6 +40,8 @@ OHLC_RULES = {
 
 SPAN_BITS = 4
 SPAN_DAYS = 1 << SPAN_BITS
+# Rows on each day of a span.
+DAY_ROWS = [f"day_{i}" for i in range(SPAN_DAYS)]
 
 
 @dataclass(frozen=True)
@@ -169,6 +171,13 @@ def gaps_inside(max_gap_days: int) -> str:
     return f"greatest(bit_count(days & ~({earlier})) - 1, 0)"
 
 
+def rows_on(comparison: str, day: date) -> str:
+    """How many of a span's rows have dates that compare so with a day: SQL over its day counts."""
+    number = (day - date(1970, 1, 1)).days
+    return " + ".join(
+        f"if(span_start + {i} {comparison} {number}, {n}, 0L)" for i, n in enumerate(DAY_ROWS))
+
+
 _OHLC_TOTAL = f"({' + '.join(OHLC_RULES)})"
 
 DUPLICATES = Check(
@@ -234,9 +243,9 @@ NULL_VALUES = Check(
 )
 DATA_RANGE = Check(
     name="data_range",
-    row_counters=lambda s, c: {
-        "future_dates": f"date > date'{s.as_of}'",
-        "old_dates": f"date < date'{EARLIEST_DATE}'",
+    date_counters=lambda s: {
+        "future_dates": f"sum({rows_on('>', s.as_of)})",
+        "old_dates": f"sum({rows_on('<', EARLIEST_DATE)})",
     },
     outcomes=lambda s, c: [
         Outcome("future_dates > 0", FAILED, found("future_dates", "rows with future dates"),
@@ -254,44 +263,74 @@ ALL_CHECKS = (
 )
 
 
-def date_spans(
+def span_counts(
     bars: DataFrame, counters: dict[str, str] | None = None, by: Sequence[str] = ASSET_KEY
 ) -> DataFrame:
-    """One row per asset and span of 16 days that has bars.
+    """One row per asset and span of 16 days that has bars: the mergeable part of `date_spans`.
 
-    Columns: the key, span_rows, the counters, span_start (day number of the span's first day),
-    `days` (bit i is set if day i of the span has rows), repeated_rows (rows on days with more
-    than one) and lead_gap (days from the asset's previous date to the span's first one). Bars
-    without a date are a span of their own that has no days, and repeat each other.
+    Columns: the key, span (null for bars without a date), span_rows, the counters and DAY_ROWS.
+    All but key and span are sums, so counts of parts of the bars add up to those of all of them,
+    wherever the parts were cut.
     """
-    slots = range(SPAN_DAYS)
-    counted = (
+    return (
         bars.withColumn("_day", F.expr("unix_date(date)"))
-        .withColumn("_span", F.expr(f"shiftright(_day, {SPAN_BITS})"))
-        .groupBy(*by, "_span")
+        .withColumn("span", F.expr(f"shiftright(_day, {SPAN_BITS})"))
+        .groupBy(*by, "span")
         .agg(*[F.expr(e) for e in (
             "count(1) as span_rows",
             *[f"count_if({condition}) as {name}" for name, condition in (counters or {}).items()],
-            *[f"count_if(_day & {SPAN_DAYS - 1} = {i}) as _n{i}" for i in slots],
+            *[f"count_if(_day & {SPAN_DAYS - 1} = {i}) as {n}" for i, n in enumerate(DAY_ROWS)],
         )])
     )
-    kept = [*by, "span_rows", *(counters or {})]
-    present = [f"if(_n{i} > 0, _span * {SPAN_DAYS} + {i}, null)" for i in slots]
-    repeated = " + ".join(f"if(_n{i} > 1, _n{i}, 0L)" for i in slots)
-    spans = counted.selectExpr(
-        *kept, "_span", f"_span * {SPAN_DAYS} as span_start",
-        " + ".join(f"if(_n{i} > 0, {1 << i}, 0)" for i in slots) + " as days",
-        f"if(_span is null, if(span_rows > 1, span_rows, 0L), {repeated}) as repeated_rows",
+
+
+def merged_counts(counts: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
+    """Span counts of several parts, or of finer keys, as one row per key and span."""
+    sums = [c for c in counts.columns if c.startswith("day_") or c == "span_rows"]
+    sums += [c for c, kind in counts.dtypes
+             if kind == "bigint" and c not in sums and c not in by and c != "span"]
+    return counts.groupBy(*by, "span").agg(*(F.sum(c).alias(c) for c in sums))
+
+
+#: Rows of a span on days that have more than one: SQL over its counts. Rows without a date repeat
+#: each other.
+REPEATED_ROWS = (
+    "if(span is null, if(span_rows > 1, span_rows, 0L), "
+    + " + ".join(f"if({n} > 1, {n}, 0L)" for n in DAY_ROWS) + ")"
+)
+
+
+def spans_of(counts: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
+    """`date_spans` from span counts that have one row per key and span."""
+    kept = [c for c in counts.columns if c != "span"]
+    present = [f"if({n} > 0, span * {SPAN_DAYS} + {i}, null)" for i, n in enumerate(DAY_ROWS)]
+    spans = counts.selectExpr(
+        *kept, "span", f"span * {SPAN_DAYS} as span_start",
+        " + ".join(f"if({n} > 0, {1 << i}, 0)" for i, n in enumerate(DAY_ROWS)) + " as days",
+        f"{REPEATED_ROWS} as repeated_rows",
         f"coalesce({', '.join(present)}) as _first",
         f"coalesce({', '.join(reversed(present))}) as _last",
     )
     # The span without dates sorts first and has no last day.
-    previous = F.lag("_last").over(Window.partitionBy(*by).orderBy("_span"))
+    previous = F.lag("_last").over(Window.partitionBy(*by).orderBy("span"))
     return spans.withColumn("_previous", previous).selectExpr(
         *kept, "span_start", "days", "repeated_rows", "_first - _previous as lead_gap"
     )
 
 
+def date_spans(
+    bars: DataFrame, counters: dict[str, str] | None = None, by: Sequence[str] = ASSET_KEY
+) -> DataFrame:
+    """One row per asset and span of 16 days that has bars.
+
+    Columns: the key, span_rows, the counters, DAY_ROWS, span_start (day number of the span's first
+    day), `days` (bit i is set if day i of the span has rows), repeated_rows (rows on days with more
+    than one) and lead_gap (days from the asset's previous date to the span's first one). Bars
+    without a date are a span of their own that has no days, and repeat each other.
+    """
+    return spans_of(span_counts(bars, counters, by), by)
+
+
 def date_gaps(bars: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
     """Gaps in calendar days between an asset's consecutive distinct dates."""
     steps = f"""transform(
@@ -312,24 +351,39 @@ def duplicate_rows(bars: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
     )
 
 
+def row_counters_of(
+    checks: Sequence[Check], settings: Settings, columns: Sequence[str]
+) -> dict[str, str]:
+    """The row counters of the checks that the columns allow."""
+    runnable = [c for c in checks if c.runs_on(columns)]
+    return {n: x for c in runnable for n, x in c.row_counters(settings, columns).items()}
+
+
 def count_by_asset(
     bars: DataFrame, settings: Settings, checks: Sequence[Check] = ALL_CHECKS,
     by: Sequence[str] = ASSET_KEY,
 ) -> DataFrame:
     """Per asset: total_rows and the counters of the checks the columns allow."""
     bars = nan_to_null(bars)
-    runnable = [c for c in checks if c.runs_on(bars.columns)]
-    row_counters = {n: x for c in runnable for n, x in c.row_counters(settings, bars.columns).items()}
-    date_counters = {n: x for c in runnable for n, x in c.date_counters(settings).items()}
-    if not date_counters:
+    row_counters = row_counters_of(checks, settings, bars.columns)
+    if not any(c.date_counters(settings) for c in checks if c.runs_on(bars.columns)):
         aggregates = ["count(1) as total_rows"]
         aggregates += [f"count_if({condition}) as {n}" for n, condition in row_counters.items()]
         return bars.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
+    return count_by_asset_of(span_counts(bars, row_counters, by), settings, checks, bars.columns, by)
+
+
+def count_by_asset_of(
+    counts: DataFrame, settings: Settings, checks: Sequence[Check], columns: Sequence[str],
+    by: Sequence[str] = ASSET_KEY,
+) -> DataFrame:
+    """`count_by_asset` from span counts of bars with the given columns, one row per key and span."""
+    runnable = [c for c in checks if c.runs_on(columns)]
+    date_counters = {n: x for c in runnable for n, x in c.date_counters(settings).items()}
     aggregates = ["sum(span_rows) as total_rows"]
-    aggregates += [f"sum({n}) as {n}" for n in row_counters]
+    aggregates += [f"sum({n}) as {n}" for n in row_counters_of(checks, settings, columns)]
     aggregates += [f"{aggregate} as {n}" for n, aggregate in date_counters.items()]
-    spans = date_spans(bars, row_counters, by)
-    return spans.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
+    return spans_of(counts, by).groupBy(*by).agg(*[F.expr(a) for a in aggregates])
 
 
 def run_checks(

@@ -45,8 +45,16 @@ def asset_verdicts(
 ) -> DataFrame:
     """One row per universe row, with the array `outcomes` of its check results."""
     counted = count_by_asset(bars, settings, checks)
+    return verdicts_of(universe, counted, settings, checks, bars.columns)
+
+
+def verdicts_of(
+    universe: DataFrame, counted: DataFrame, settings: Settings, checks: Sequence[Check],
+    columns: Sequence[str],
+) -> DataFrame:
+    """`asset_verdicts` from the counters of bars with the given columns."""
     no_data = skipped_sql(NO_DATA_CHECK, NO_DATA_MESSAGE)
-    outcomes = verdicts_sql(checks, settings, bars.columns)
+    outcomes = verdicts_sql(checks, settings, columns)
     return (
         universe.select("symbol", *ASSET_KEY)
         .join(counted, ASSET_KEY, "left")

@@ -20,12 +20,7 @@ from barloom.operators.ingest import (
 )
 from barloom.operators.normalize import normalize_bars, with_storage_key
 from barloom.operators.repair import repair_log
-from barloom.operators.report import (
-    asset_verdicts,
-    batch_summary,
-    report_of,
-    validation_log_rows,
-)
+from barloom.operators.report import batch_summary, report_of, validation_log_rows
 from barloom.operators.select import filter_asset_type, filter_symbols
 from barloom.sources import files
 from barloom.sources.landing import read_landed
@@ -86,37 +81,33 @@ def run_ingest(
     select_missing(landed, plan).write.parquet(f"{work}/fetched")
     fetched = site.spark.read.parquet(f"{work}/fetched")
 
-    before = site.store.version()
-    site.store.save(fetched)
-    results = with_file_sizes(ingest_results(plan, fetched), site.store.files_since(before))
+    touched = site.store.save(fetched)
+    results = with_file_sizes(ingest_results(plan, fetched), site.store.live_files(touched))
     results = written(results, "results")
     files.remove(site.spark, work)
     site.catalog.log_downloads(download_log_rows(results), run_id, site.now)
     return ingest_summary(results)
 
 
-def scoped_bars(site: Site, symbols: str | None, asset_type: str | None) -> DataFrame:
-    """Stored bars of the selected assets; the selection reaches the files.
-
-    The storage keys are those of the symbols a user lists, so there are few.
-    """
-    keys = None
-    if symbols is not None:
-        chosen = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-        keys = {r["storage_key"] for r in chosen.select("storage_key").distinct().collect()}
-    return site.store.load(asset_type=asset_type, storage_keys=keys)
+def chosen_keys(wanted: DataFrame, symbols: str | None) -> set[str] | None:
+    """The storage keys of the assets that a user listed by symbol, so there are few; else None."""
+    if symbols is None:
+        return None
+    return {r["storage_key"] for r in wanted.select("storage_key").distinct().collect()}
 
 
 def run_validate(
     site: Site, symbols: str | None = None, asset_type: str | None = None,
     save_report: bool = True,
 ) -> DataFrame:
-    """Validates the selected assets that have bars, logs the results, returns the report."""
+    """Validates the selected assets that have bars, logs the results, returns the report.
+
+    The stored summaries tell which assets have bars and how they fare; no bars are read.
+    """
     run_id = uuid.uuid4().hex
     wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-    # One scan tells which assets have bars, and checks them.
-    verdicts = asset_verdicts(
-        wanted, scoped_bars(site, symbols, asset_type), Settings(as_of=site.now.date())
+    verdicts = site.store.verdicts(
+        wanted, Settings(as_of=site.now.date()), asset_type, chosen_keys(wanted, symbols)
     ).where("total_rows > 0")
     report = written(report_of(verdicts), "report")
     site.catalog.log_validation(validation_log_rows(report), run_id, site.now)
@@ -140,7 +131,7 @@ def run_clean(site: Site, symbols: str | None = None) -> DataFrame:
 def run_import(site: Site, path: str, asset_type: str | None = None) -> None:
     """Takes over a snapshot: its assets replace stored ones, its universe the saved one.
 
-    The bars change in one version: a run that dies leaves the old ones.
+    A run that dies leaves the old bars, or the next run finishes its work.
     """
     site.store.replace(import_snapshot(site.spark, path, [asset_type] if asset_type else None))
     universe = import_universe(site.spark, path)

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from barloom.functions.naming import class_dir_strict
 from barloom.schema import PARTITION_FIELDS, STORED_SCHEMA, UNIVERSE_SCHEMA
 from barloom.sources import files
-from barloom.sources.store import NO_YEAR, PAIR, laid_out
+from barloom.operators.summary import NO_YEAR
+from barloom.sources.store import PAIR, laid_out
 from barloom.work import no_rows
 
 SNAPSHOT_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)

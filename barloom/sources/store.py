@@ -1,16 +1,13 @@
-"""The bar store: Parquet under `bars/commit=/asset_type=/bar_year=`, one commit per change.
+"""The bar store: plain Parquet by asset class and year, and a summary of every class-year.
 
-A change only ever adds directories; a small JSON file per version then lists the directories that
-are live. Readers resolve the newest version once and read exactly those, so they never see a half
-finished change, and a job that dies leaves the previous version intact. The list has one entry per
-asset class, calendar year and unmerged commit; it does not grow with the number of assets or bars.
+`bars/asset_type=/bar_year=` holds the bars, `summary/asset_type=/bar_year=` their mergeable
+summaries (see `operators.summary`). A change writes the class-years it touches to a folder of its
+own first; only when that is complete does it overwrite these class-years and their summaries, with
+Spark's dynamic partition overwrite. A writer that dies before has changed nothing; if it dies
+later, the next one finishes its work from that folder. Class-years that a change doesn't touch are
+neither read nor written, and which ones it touches is known from the summaries, not from bars.
 
-Each version also names an index with one row per asset: its last date and number of bars. Saves
-and resume plans look assets up there, not in the bars.
-
-Bars are deduplicated keep-last by asset and date when an already stored asset receives bars. A
-save rewrites only the class-years in which that drops something; where the batch only adds dates,
-its files are simply appended, until `compact` is called.
+Bars are deduplicated keep-last by asset and date when an already stored asset receives bars.
 """
 
 from __future__ import annotations
@@ -18,68 +15,51 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
 from datetime import date
-from functools import reduce
+from functools import cached_property, reduce
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators import profile
-from barloom.operators.checks import SPAN_BITS, SPAN_DAYS, date_spans
-from barloom.operators.merge import (
-    dedupe_assets,
-    dedupe_bars,
-    delete_assets,
-    deletion_outcome,
-)
+from barloom.operators.checks import Settings
+from barloom.operators.merge import dedupe_assets, dedupe_bars, delete_assets
 from barloom.operators.normalize import coerce_types, with_storage_key
-from barloom.operators.repair import is_violation, repair_ohlc, repaired_counts
+from barloom.operators.repair import repair_ohlc
 from barloom.operators.select import filter_dates
-from barloom.schema import (
-    ASSET_KEY,
-    BAR_SCHEMA,
-    PARTITION_FIELDS,
-    STORED_SCHEMA,
+from barloom.operators.summary import (
+    NO_YEAR,
+    summarise,
+    summary_assets,
+    summary_verdicts,
+    summary_years,
 )
+from barloom.schema import ASSET_KEY, BAR_SCHEMA, PARTITION_FIELDS, STORED_SCHEMA
 from barloom.sources import files
 from barloom.work import no_rows, written
 
-COMMIT_FIELD = T.StructField("commit", T.StringType())
-READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + [COMMIT_FIELD] + PARTITION_FIELDS)
+READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)
 PAIR = ["asset_type", "bar_year"]
 FILE_ORDER = [*PAIR, "storage_key", "date"]
-PENDING_KEY = [*ASSET_KEY, "bar_year"]
-INDEX_SCHEMA = "asset_type string, storage_key string, last_date date, row_count bigint"
-PENDING_SCHEMA = "asset_type string, storage_key string, bar_year int"
 FILES_SCHEMA = T.StructType([
     T.StructField("asset_type", T.StringType()),
     T.StructField("file_path", T.StringType()),
     T.StructField("size_bytes", T.LongType()),
 ])
-NO_YEAR = 0  # bar_year of bars without a date
-VERSIONS_KEPT = 20  # version files that stay for readers of older versions
 
 Pair = tuple[str, int]
 
 
-@dataclass(frozen=True)
-class Version:
-    """What is live: (commit, asset class, year) directories; `pending`: the commit whose table
-    lists the repeated dates kept by first loads; `batches`: last batch taken per stream."""
-
-    number: int = 0
-    live: tuple[tuple[str, str, int], ...] = ()
-    pending: str | None = None
-    batches: dict[str, int] = field(default_factory=dict)
-    index: str | None = None  # the commit whose table has one row per asset
-
-
 class BarStore:
-    """Bars of all assets under one folder. One writer at a time; any number of readers."""
+    """Bars of all assets under one folder.
+
+    One writer at a time. Files of a class-year go when it is rewritten: what was read from it has
+    to be read again.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -95,26 +75,39 @@ class BarStore:
 
         Class and date bounds prune directories, storage keys and dates prune row groups.
         """
-        bars = self._read(self.version().live)
+        bars = self._bars()
         if start is not None:
             bars = bars.where(F.col("bar_year") >= start.year)
         if end is not None:
             bars = bars.where(F.col("bar_year") <= end.year)
         if start is not None or end is not None:
             bars = bars.where(F.col("bar_year") != NO_YEAR)
-        if asset_type is not None:
-            bars = bars.where(F.col("asset_type") == asset_type.upper())
-        if storage_keys is not None:
-            bars = bars.where(F.col("storage_key").isin(sorted(storage_keys)))
-        bars = filter_dates(bars, start, end)
+        bars = filter_dates(scoped(bars, asset_type, storage_keys), start, end)
         return bars.select(*BAR_SCHEMA.fieldNames(), "seq", *ASSET_KEY)
 
+    def summary(
+        self, asset_type: str | None = None, storage_keys: Iterable[str] | None = None,
+    ) -> DataFrame:
+        """The summaries of stored bars, a row per asset, year and span; no bars are read."""
+        return scoped(self._table("summary", self._summary_schema), asset_type, storage_keys)
+
+    @cached_property
+    def _summary_schema(self) -> T.StructType:
+        return summarise(no_rows(self.spark, READ_SCHEMA)).schema
+
+    def verdicts(
+        self, universe: DataFrame, settings: Settings, asset_type: str | None = None,
+        storage_keys: Iterable[str] | None = None,
+    ) -> DataFrame:
+        """`asset_verdicts` of the stored bars of some assets or all, from the summaries."""
+        return summary_verdicts(universe, self.summary(asset_type, storage_keys), settings)
+
     def exists(self, asset_type: str, storage_key: str) -> bool:
-        return not self.load(asset_type=asset_type, storage_keys=[storage_key]).isEmpty()
+        return not self.summary(asset_type, [storage_key]).isEmpty()
 
     def assets(self) -> DataFrame:
         """One row per stored asset: asset key, last_date and row_count; reads no bars."""
-        return self._index(self.version())
+        return summary_assets(self.summary())
 
     def last_dates(self) -> DataFrame:
         return self.assets().select(*ASSET_KEY, "last_date")
@@ -127,22 +120,24 @@ class BarStore:
     def stored_assets(self) -> DataFrame:
         return profile.stored_assets(self.assets())
 
-    def live_files(self) -> DataFrame:
-        """One row per live data file: asset_type, file_path, size_bytes (contents not read)."""
-        return self._files(self.version().live)
-
-    def files_since(self, before: Version) -> DataFrame:
-        """The live data files that were written after a version."""
-        return self._files(sorted(set(self.version().live) - set(before.live)))
+    def live_files(self, pairs: Iterable[Pair] | None = None) -> DataFrame:
+        """One row per data file: asset_type, file_path, size_bytes (contents not read).
 
-    def _files(self, live: Iterable[tuple[str, str, int]]) -> DataFrame:
-        folders = self._folders(live)
-        if not folders:
+        Of all class-years, or of some.
+        """
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        try:
+            found = reader.load(f"{self.path}/bars")
+        except AnalysisException as failed:
+            if failed.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return no_rows(self.spark, FILES_SCHEMA)
+        if "asset_type" not in found.columns:  # every class-year is gone
             return no_rows(self.spark, FILES_SCHEMA)
-        reader = self.spark.read.format("binaryFile").option("basePath", f"{self.path}/bars")
-        return reader.option("pathGlobFilter", "*.parquet").load(folders).select(
-            "asset_type", F.col("path").alias("file_path"), F.col("length").alias("size_bytes")
-        )
+        if pairs is not None:
+            found = found.where(among(pairs))
+        return found.select(
+            "asset_type", F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
 
     def class_stats(self, **options: bool) -> DataFrame:
         return profile.class_stats(self.live_files(), **options)
@@ -152,360 +147,201 @@ class BarStore:
     def save(
         self, bars: DataFrame, dedupe_first_load: bool = False,
         stream: str | None = None, batch: int | None = None,
-    ) -> bool:
-        """Upserts bars (with symbol, asset_type and `seq`); False if nothing had to be done.
+    ) -> list[Pair]:
+        """Upserts bars (with symbol, asset_type and `seq`); the class-years that were rewritten.
 
         A stream names itself and numbers its batches: a batch already taken is not taken again.
         """
-        before = self.version()
-        if stream is not None and before.batches.get(stream, -1) >= batch:
-            return False
-        after = before if stream is None else replace(
-            before, batches={**before.batches, stream: batch}
-        )
-
-        commit = self._new_commit(before)
-        arrived = keyed(bars)
-        self._write(dedupe_bars(arrived) if dedupe_first_load else arrived, commit)
-        added = self._directories(commit)
-        if not added:
-            if stream is not None:
-                self._publish(after)
-            return False
-        batch_pairs = {(t, y) for _, t, y in added}
-
-        fresh = self._read(added)
-        if before.live:
-            arriving = self._table("arriving", commit, self._arriving(fresh, before))
-            touched = arriving.where("known").select(*ASSET_KEY)
-            kinds = {
-                r["known"]: (r["first"], r["last"]) for r in arriving.groupBy("known")
-                .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
-            }
-            counts = [self._index(before), arriving.selectExpr(
-                *ASSET_KEY, "last as last_date", "n as row_count")]
-        else:
-            arriving, touched, kinds, counts = None, None, {False: None}, [counted(fresh)]
-
-        dropping: set[Pair] = set()
-        if True in kinds:
-            dropping = self._dropping_pairs(fresh, before, touched, batch_pairs, kinds[True])
-        live = [d for d in before.live if (d[1], d[2]) not in dropping]
-        live += [d for d in added if (d[1], d[2]) not in dropping]
-        if dropping:
-            merged = self._new_commit(before)
-            candidates = self._read(
-                [d for d in (*before.live, *added) if (d[1], d[2]) in dropping]
-            )
-            # Commit names grow with the version, so the batch outranks whatever was stored.
-            self._write(dedupe_assets(candidates, touched, ["commit", "seq"]), merged)
-            rewritten = self._directories(merged)
-            live += rewritten
-            counts += self._recounted(candidates, self._read(rewritten), touched)
-
-        kept = None if before.pending is None else self._pending(before)
-        if kept is not None and True in kinds:
-            kept = kept.join(touched, ASSET_KEY, "left_anti")
-        if False in kinds and not dedupe_first_load:
-            if arriving is not None:
-                new = arriving.where(~F.col("known")).select(*ASSET_KEY)
-                fresh = fresh.join(new, ASSET_KEY, "left_semi")
-            repeats = repeated_years(fresh)
-            kept = repeats if kept is None else kept.unionByName(repeats)
-        self._publish(replace(
-            after, live=tuple(sorted(live)),
-            pending=None if kept is None else self._write_pending(kept, commit),
-            index=self._write_index(counts, commit),
-        ))
-        return True
-
-    def replace(self, bars: DataFrame) -> bool:
-        """Puts the bars of their assets in place of all those stored, in one version."""
-        before = self.version()
-        commit = self._new_commit(before)
-        self._write(keyed(bars), commit)
-        added = self._directories(commit)
-        if not added:
-            return False
-        fresh = self._read(added)
-        gone = self._table("replaced", commit, fresh.select(*ASSET_KEY).distinct())
-        hit = self._collect_pairs(self._read(before.live).join(gone, ASSET_KEY, "left_semi"))
-        live = [d for d in before.live if (d[1], d[2]) not in hit] + added
-        if hit:
-            rest = self._new_commit(before)
-            affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
-            self._write(delete_assets(affected, gone), rest)
-            live += self._directories(rest)
-        pending = repeated_years(fresh)
-        if before.pending is not None:
-            pending = pending.unionByName(
-                self._pending(before).join(gone, ASSET_KEY, "left_anti"))
-        others = self._index(before).join(gone, ASSET_KEY, "left_anti")
-        self._publish(replace(
-            before, live=tuple(sorted(live)), pending=self._write_pending(pending, commit),
-            index=self._write_index([others, counted(fresh)], commit)))
-        return True
+        self.recover()
+        if stream is not None and self._last_batch(stream) >= batch:
+            return []
+        mark = None if stream is None else [stream, batch]
+        fresh = written(keyed(bars), "arriving")
+        pairs = self._pairs_of(fresh)
+        if not pairs:
+            if mark:
+                self._mark(*mark)
+            return []
+        arriving = fresh.select(*ASSET_KEY).distinct()
+        known, hit = None, pairs
+        if files.exists(self.spark, f"{self.path}/summary"):
+            known = self._known(arriving, {kind for kind, _ in pairs})
+            # An asset's old repeats go too, in whatever year they are.
+            hit = pairs | self._pairs_of(known.where("repeated_rows > 0"))
+        everything = self._bars(hit).withColumn("_batch", F.lit(0)).unionByName(
+            fresh.withColumn("_batch", F.lit(1)))
+        if dedupe_first_load:
+            everything = dedupe_assets(everything, written(arriving, "touched"), ["_batch", "seq"])
+        elif known is not None and not known.isEmpty():
+            everything = dedupe_assets(everything, known.select(*ASSET_KEY), ["_batch", "seq"])
+        self._change(hit, everything.drop("_batch"), mark)
+        return sorted(hit)
+
+    def replace(self, bars: DataFrame) -> list[Pair]:
+        """Puts the bars of their assets in place of all those stored."""
+        self.recover()
+        fresh = written(keyed(bars), "arriving")
+        pairs = self._pairs_of(fresh)
+        if pairs:
+            gone = written(fresh.select(*ASSET_KEY).distinct(), "replaced")
+            hit = pairs | self._pairs_of(self._known(gone, {kind for kind, _ in pairs}))
+            self._change(hit, delete_assets(self._bars(hit), gone).unionByName(fresh))
+        return sorted(pairs)
 
-    def compact(self, at_least: int = 2) -> int:
-        """Rewrites every class-year that lies in `at_least` commits or more as one; how many.
+    def delete(self, assets: DataFrame) -> DataFrame:
+        """Removes the assets' bars; returns each asset key with whether it had any.
 
-        Contents stay the same. Saves never do this by themselves.
+        Read are the summaries, and bars of the class-years in which these assets have some.
         """
-        before = self.version()
-        commits = Counter((t, y) for _, t, y in before.live)
-        crowded = {pair for pair, n in commits.items() if n >= at_least}
-        if crowded:
-            commit = self._new_commit(before)
-            self._write(
-                self._read([d for d in before.live if (d[1], d[2]) in crowded]), commit)
-            live = [d for d in before.live if (d[1], d[2]) not in crowded]
-            self._publish(replace(
-                before, live=tuple(sorted([*live, *self._directories(commit)]))))
-        return len(crowded)
-
-    def delete(self, assets: DataFrame) -> DataFrame:
-        """Removes the assets' bars; returns each asset key with whether it had any."""
-        before = self.version()
-        stored = self._read(before.live)
-        commit = self._new_commit(before)
-        outcome = self._table("deleted", commit, deletion_outcome(stored, assets))
-        gone = outcome.where("existed").select(*ASSET_KEY)
-        hit = self._collect_pairs(stored.join(gone, ASSET_KEY, "left_semi"))
-        if hit:
-            affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
-            self._write(delete_assets(affected, gone), commit)
-            live = [d for d in before.live if (d[1], d[2]) not in hit] + self._directories(commit)
-            self._publish(replace(
-                before, live=tuple(sorted(live)), pending=self._pending_without(before, gone, commit),
-                index=self._write_index(
-                    [self._index(before).join(gone, ASSET_KEY, "left_anti")], commit),
-            ))
+        self.recover()
+        wanted = written(assets.select(*ASSET_KEY).distinct(), "wanted")
+        known = self._known(wanted)
+        existing = known.select(*ASSET_KEY).distinct().withColumn("existed", F.lit(True))
+        outcome = written(
+            wanted.join(existing, ASSET_KEY, "left").withColumn(
+                "existed", F.coalesce("existed", F.lit(False))), "deleted")
+        if hit := self._pairs_of(known):
+            self._change(hit, delete_assets(self._bars(hit), outcome.where("existed")))
         return outcome
 
     def clean(self, assets: DataFrame | None = None) -> DataFrame:
         """Repairs prices in assets with violations, which also drops their repeated dates.
 
-        Of all assets, or of the given ones; returns those repaired with their number of
-        repaired bars.
+        Of all assets, or of the given ones; returns those repaired with their number of repaired
+        bars. The summaries tell which assets and class-years these are: bars are read only of
+        class-years that have something to repair, to fill or to drop.
         """
-        before = self.version()
-        stored = self._read(before.live)
+        self.recover()
+        summary = self.summary()
         if assets is not None:
             scope = written(assets.select(*ASSET_KEY).distinct(), "scope")
-            stored = stored.join(scope, ASSET_KEY, "left_semi")
-        commit = self._new_commit(before)
-        repaired = self._table("repaired", commit, repaired_counts(stored))
+            summary = summary.join(scope, ASSET_KEY, "left_semi")
+        years = written(summary_years(summary), "years")
+        repaired = written(
+            years.groupBy(*ASSET_KEY).agg(F.sum("violations").alias("repaired_rows"))
+            .where("repaired_rows > 0"), "repaired")
         flagged = repaired.select(*ASSET_KEY)
-        hit = self._collect_pairs(self._changed_by_repair(stored, flagged, before))
-        if hit:
-            affected = self._read([d for d in before.live if (d[1], d[2]) in hit])
-            cleaned, index = repair_ohlc(affected, flagged, has_nan=False), before.index
-            if before.pending is None:
-                self._write(cleaned, commit, in_place=True)
-            else:
-                repeats = self._pending(before).join(flagged, ASSET_KEY, "left_semi")
-                self._write(
-                    dedupe_assets(
-                        cleaned, repeats.select(*ASSET_KEY).distinct(), ["commit", "seq"]
-                    ),
-                    commit,
-                )
-            rewritten = self._directories(commit)
-            if before.pending is not None:
-                change = self._recounted(affected, self._read(rewritten), flagged)
-                index = self._write_index([self._index(before), *change], commit)
-            live = [d for d in before.live if (d[1], d[2]) not in hit] + rewritten
-            self._publish(replace(
-                before, live=tuple(sorted(live)),
-                pending=self._pending_without(before, flagged, commit), index=index,
-            ))
+        affected = years.join(flagged, ASSET_KEY, "left_semi")
+        repeats = affected.where("repeated_rows > 0").select(*ASSET_KEY).distinct()
+        if hit := self._pairs_of(affected.where("violations + open_ended + repeated_rows > 0")):
+            cleaned = repair_ohlc(self._bars(hit), flagged, has_nan=False)
+            if not repeats.isEmpty():
+                cleaned = dedupe_assets(cleaned, written(repeats, "repeats"), ["seq"])
+            self._change(hit, cleaned)
         return repaired
 
-    def vacuum(self) -> int:
-        """Deletes what no version after this call reads: commits, the working tables of all
-        commits, older versions. Returns how many of them.
+    def compact(self, at_least: int = 2) -> int:
+        """Lays out anew every class-year that has `at_least` files or more; how many."""
+        self.recover()
+        crowded = self.live_files().groupBy(
+            "asset_type",
+            F.regexp_extract("file_path", r"bar_year=(\d+)/", 1).cast("int").alias("bar_year"),
+        ).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= at_least)
+        if hit := self._pairs_of(crowded):
+            self._change(hit, self._bars(hit))
+        return len(hit)
+
+    # -- changes -------------------------------------------------------------------------------
+
+    def _change(self, pairs: set[Pair], bars: DataFrame, mark: list | None = None) -> None:
+        """Makes `bars` the contents of the class-years `pairs`."""
+        stage = f"{self.path}/staged/{uuid.uuid4().hex}"
+        rows = laid_out(bars.select(*STORED_SCHEMA.fieldNames(), *PAIR))
+        rows.write.partitionBy(*PAIR).parquet(f"{stage}/bars")
+        plan = json.dumps({"pairs": sorted(pairs), "mark": mark})
+        files.create_text(self.spark, f"{stage}/plan.json", plan)
+        self._apply(stage)
+
+    def _apply(self, stage: str) -> None:
+        """Overwrites class-years by what was staged for them. Doing it again does no harm."""
+        plan = json.loads(files.read_text(self.spark, f"{stage}/plan.json"))
+        bars = self.spark.read.schema(READ_SCHEMA).parquet(f"{stage}/bars")
+        self._overwrite("bars", bars.sortWithinPartitions(*FILE_ORDER))
+        # Few files, as the rows of a class-year come together; they are few for an asset.
+        spread = F.pmod(F.xxhash64("storage_key"), F.lit(4))
+        self._overwrite("summary", summarise(bars.drop("bar_year")).repartition(*PAIR, spread)
+                        .sortWithinPartitions(*PAIR, "storage_key", "span"))
+        left = {
+            (m.group(1), int(m.group(2))) for p in files.matching(
+                self.spark, f"{stage}/bars/asset_type=*/bar_year=*")
+            if (m := re.search(r"asset_type=([^/]+)/bar_year=(\d+)$", p))}
+        for kind, year in {(t, y) for t, y in plan["pairs"]} - left:
+            for name in ("bars", "summary"):
+                files.remove(self.spark, f"{self.path}/{name}/asset_type={kind}/bar_year={year}")
+        if plan["mark"]:
+            self._mark(*plan["mark"])
+        files.remove(self.spark, stage)
+
+    def _overwrite(self, name: str, rows: DataFrame) -> None:
+        """Replaces the class-years that `rows` has, and no others."""
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *PAIR).parquet(f"{self.path}/{name}")
+
+    def recover(self) -> None:
+        """Finishes what a writer that died had begun to overwrite, and discards what it had not."""
+        for stage in files.matching(self.spark, f"{self.path}/staged/*"):
+            if files.exists(self.spark, f"{stage}/plan.json"):
+                self._apply(stage)
+            else:
+                files.remove(self.spark, stage)
 
-        Not to be run while a reader still uses an older version, or what delete() or clean()
-        returned.
-        """
-        version = self.version()
-        wanted = {commit for commit, _, _ in version.live} | {version.pending, version.index}
-        dead = [
-            p for kind in ("bars", "pending", "index")
-            for p in files.matching(self.spark, f"{self.path}/{kind}/commit=*")
-            if p.rsplit("commit=", 1)[1] not in wanted
-        ]
-        dead += files.matching(self.spark, f"{self.path}/work/commit=*")
-        dead += files.matching(self.spark, f"{self.path}/versions/*.json")[:-1]
-        for p in dead:
-            files.remove(self.spark, p)
-        return len(dead)
-
-    # -- versions ------------------------------------------------------------------------------
-
-    def version(self) -> Version:
-        found = files.matching(self.spark, f"{self.path}/versions/*.json")
-        if not found:
-            return Version()
-        content = json.loads(files.read_text(self.spark, found[-1]))
-        return Version(
-            content["number"], tuple((c, t, y) for c, t, y in content["live"]),
-            content["pending"], content["batches"], content.get("index"),
-        )
-
-    def _publish(self, version: Version) -> None:
-        number = version.number + 1
-        content = {
-            "number": number, "live": version.live,
-            "pending": version.pending, "batches": version.batches, "index": version.index,
-        }
-        files.create_text(
-            self.spark, f"{self.path}/versions/{number:010d}.json", json.dumps(content)
-        )
-        files.remove(self.spark, f"{self.path}/versions/{number - VERSIONS_KEPT:010d}.json")
-
-    def _new_commit(self, version: Version) -> str:
-        """A commit name no failed attempt can have used; names sort by version."""
-        return f"{version.number + 1:010d}-{uuid.uuid4().hex[:12]}"
-
-    def _directories(self, commit: str) -> list[tuple[str, str, int]]:
-        found = files.matching(self.spark, f"{self.path}/bars/commit={commit}/asset_type=*/bar_year=*")
-        parts = [re.search(r"asset_type=([A-Za-z0-9_-]+)/bar_year=(\d+)$", p) for p in found]
-        if None in parts or any(m.group(1).startswith("__HIVE") for m in parts):
-            raise ValueError("bars to save need plain names as asset_type")
-        return [(commit, m.group(1), int(m.group(2))) for m in parts]
+    def _last_batch(self, stream: str) -> int:
+        taken = files.matching(self.spark, f"{self.path}/streams/{quote(stream, '')}/*")
+        return int(taken[-1].rsplit("/", 1)[1]) if taken else -1
 
-    # -- tables --------------------------------------------------------------------------------
+    def _mark(self, stream: str, batch: int) -> None:
+        place = f"{self.path}/streams/{quote(stream, '')}/{batch:010d}"
+        if not files.exists(self.spark, place):
+            files.create_text(self.spark, place, "")
 
-    def _folders(self, live: Iterable[tuple[str, str, int]]) -> list[str]:
-        return [f"{self.path}/bars/commit={c}/asset_type={t}/bar_year={y}" for c, t, y in live]
-
-    def _read(self, live: Iterable[tuple[str, str, int]]) -> DataFrame:
-        folders = self._folders(live)
-        if not folders:
-            return no_rows(self.spark, READ_SCHEMA)
-        reader = self.spark.read.schema(READ_SCHEMA).option("basePath", f"{self.path}/bars")
-        return reader.parquet(*folders)
-
-    def _write(self, bars: DataFrame, commit: str, in_place: bool = False) -> None:
-        """Writes a commit; `in_place`: the rows still lie as their files were laid out."""
-        rows = bars.select(*STORED_SCHEMA.fieldNames(), *PAIR)
-        rows = rows.sortWithinPartitions(*FILE_ORDER) if in_place else laid_out(rows)
-        rows.write.partitionBy(*PAIR).parquet(f"{self.path}/bars/commit={commit}")
-
-    def _table(self, name: str, commit: str, content: DataFrame) -> DataFrame:
-        """Writes an intermediate table that several later steps read."""
-        folder = f"{self.path}/work/commit={commit}/{name}"
-        content.write.parquet(folder)
-        return self.spark.read.schema(content.schema).parquet(folder)
-
-    def _index(self, version: Version) -> DataFrame:
-        """One row per asset; counted from the bars where a version has no index yet."""
-        if version.index is None:
-            return counted(self._read(version.live))
-        folder = f"{self.path}/index/commit={version.index}"
-        return self.spark.read.schema(INDEX_SCHEMA).parquet(folder)
-
-    def _write_index(self, parts: list[DataFrame], commit: str) -> str:
-        """Writes the index that sums up `parts`: earlier rows, and what was added or removed."""
-        columns = [*ASSET_KEY, "last_date", "row_count"]
-        together = reduce(DataFrame.unionAll, [p.select(columns) for p in parts])
-        summed = together.groupBy(*ASSET_KEY).agg(
-            F.max("last_date").alias("last_date"), F.sum("row_count").alias("row_count"))
-        summed.write.parquet(f"{self.path}/index/commit={commit}")
-        return commit
+    # -- tables --------------------------------------------------------------------------------
 
-    @staticmethod
-    def _recounted(before: DataFrame, after: DataFrame, assets: DataFrame) -> list[DataFrame]:
-        """Index parts for rewritten bars: what the assets had less what they have."""
-        had, have = (
-            counted(bars.join(assets, ASSET_KEY, "left_semi")) for bars in (before, after))
-        return [had.withColumn("row_count", -F.col("row_count")), have]
-
-    def _pending(self, version: Version) -> DataFrame:
-        folder = f"{self.path}/pending/commit={version.pending}"
-        return self.spark.read.schema(PENDING_SCHEMA).parquet(folder)
-
-    def _pending_without(self, before: Version, assets: DataFrame, commit: str) -> str | None:
-        if before.pending is None:
-            return None
-        kept = self._pending(before).join(assets, ASSET_KEY, "left_anti")
-        return self._write_pending(kept, commit)
-
-    def _write_pending(self, pending: DataFrame, commit: str) -> str | None:
-        folder = f"{self.path}/pending/commit={commit}"
-        pending.select(*PENDING_KEY).distinct().write.parquet(folder)
-        written = self.spark.read.schema(PENDING_SCHEMA).parquet(folder)
-        return None if written.isEmpty() else commit
-
-    # -- steps of a save -----------------------------------------------------------------------
-
-    def _arriving(self, fresh: DataFrame, before: Version) -> DataFrame:
-        """The batch's assets with their first and last date and number of bars; `known`: already
-        stored, so to be deduplicated."""
-        assets = fresh.groupBy(*ASSET_KEY).agg(
-            F.min("date").alias("first"), F.max("date").alias("last"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        stored = self._index(before).select(*ASSET_KEY, F.lit(True).alias("known"))
-        return assets.join(stored, ASSET_KEY, "left").withColumn(
-            "known", F.coalesce("known", F.lit(False))
-        )
-
-    def _dropping_pairs(
-        self, fresh: DataFrame, before: Version, touched: DataFrame, batch_pairs: set[Pair],
-        bounds: tuple[date | None, date | None],
-    ) -> set[Pair]:
-        """Class-years in which this batch makes some bar obsolete: a date occurs twice in the
-        batch or was stored before, or a first load had kept repeated dates."""
-        stored = self._read([d for d in before.live if (d[1], d[2]) in batch_pairs])
-        first, last = bounds
-        if first is not None:
-            stored = stored.where(F.col("date").between(first, last) | F.col("date").isNull())
-        both = stored.withColumn("_new", F.lit(False)).unionByName(
-            fresh.withColumn("_new", F.lit(True))
-        )
-        overlaps = (
-            both.select(*PENDING_KEY, "_new", F.expr("unix_date(date) as _day"))
-            .selectExpr(
-                *PENDING_KEY, "_new", f"shiftright(_day, {SPAN_BITS}) as _span",
-                f"coalesce(shiftleft(1, _day & {SPAN_DAYS - 1}), 1) as _bit",
-            )
-            .groupBy(*PENDING_KEY, "_span")
-            .agg(F.expr("bit_or(if(_new, _bit, 0)) as _added"),
-                 F.expr("bit_or(if(_new, 0, _bit)) as _stored"))
-            .where("_added & _stored <> 0")
-        )
-        repeats = overlaps.select(*PENDING_KEY).unionByName(repeated_years(fresh))
-        if before.pending is not None:
-            repeats = repeats.unionByName(self._pending(before))
-        return self._collect_pairs(repeats.join(touched, ASSET_KEY, "left_semi"))
-
-    def _changed_by_repair(
-        self, stored: DataFrame, flagged: DataFrame, before: Version
-    ) -> DataFrame:
-        """Asset class and year of every bar a repair changes, and of repeats it drops."""
-        open_ended = F.col("high").isNull() | F.col("low").isNull()
-        changed = stored.where(is_violation() | open_ended).select(*PENDING_KEY)
-        if before.pending is not None:
-            changed = changed.unionByName(self._pending(before))
-        return changed.join(flagged, ASSET_KEY, "left_semi")
+    def _table(self, name: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        except AnalysisException as failed:
+            if failed.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return no_rows(self.spark, schema)
+
+    def _bars(self, pairs: Iterable[Pair] | None = None) -> DataFrame:
+        bars = self._table("bars", READ_SCHEMA)
+        return bars if pairs is None else bars.where(among(pairs))
+
+    def _known(self, assets: DataFrame, classes: set[str] | None = None) -> DataFrame:
+        """Years (see `summary_years`) of those of the assets that have bars, written."""
+        summary = self.summary()
+        if classes is not None:
+            summary = summary.where(F.col("asset_type").isin(sorted(classes)))
+        return written(summary_years(summary.join(assets, ASSET_KEY, "left_semi")), "known")
 
     @staticmethod
-    def _collect_pairs(bars: DataFrame) -> set[Pair]:
+    def _pairs_of(rows: DataFrame) -> set[Pair]:
         """Distinct (asset class, year): at most classes times calendar years."""
-        return {(r["asset_type"], r["bar_year"]) for r in bars.select(*PAIR).distinct().collect()}
-
-
-def repeated_years(bars: DataFrame) -> DataFrame:
-    """Assets and years in which some date occurs more than once."""
-    return date_spans(bars, by=PENDING_KEY).where("repeated_rows > 0").select(*PENDING_KEY)
-
-
-def counted(bars: DataFrame) -> DataFrame:
-    """Index rows of bars: per asset, its last date and number of bars."""
-    return bars.groupBy(*ASSET_KEY).agg(
-        F.max("date").alias("last_date"), F.count(F.lit(1)).alias("row_count"))
+        pairs = {(r["asset_type"], r["bar_year"]) for r in rows.select(*PAIR).distinct().collect()}
+        if any(kind is None or not re.fullmatch("[A-Za-z0-9_-]+", kind) for kind, _ in pairs):
+            raise ValueError("bars to save need plain names as asset_type")
+        return pairs
+
+
+def scoped(
+    rows: DataFrame, asset_type: str | None, storage_keys: Iterable[str] | None
+) -> DataFrame:
+    """The rows of one asset class and of the given storage keys, where these are given."""
+    if asset_type is not None:
+        rows = rows.where(F.col("asset_type") == asset_type.upper())
+    if storage_keys is not None:
+        rows = rows.where(F.col("storage_key").isin(sorted(storage_keys)))
+    return rows
+
+
+def among(pairs: Iterable[Pair]) -> Column:
+    """Whether a row's class-year is one of `pairs`: a filter that prunes directories."""
+    years: dict[str, list[int]] = {}
+    for kind, year in sorted(pairs):
+        years.setdefault(kind, []).append(year)
+    tests = [(F.col("asset_type") == t) & F.col("bar_year").isin(y) for t, y in years.items()]
+    return reduce(Column.__or__, tests, F.lit(False))
 
 
 def laid_out(bars: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def test_checks_shuffle_spans_then_assets(stored, assets):
     report = plan(validation_report(assets, stored.load(), SETTINGS))
     keyed = [s for s in shuffles(report) if "storage_key" in s]
     assert len(keyed) == 2
-    assert "_span" in keyed[1] and "_span" not in keyed[0]
+    assert "span#" in keyed[1] and "span#" not in keyed[0]
     # Combined before the first shuffle, in one scan.
     assert report.rindex("Exchange") < report.rindex("partial_count") < report.index("FileScan")
     assert report.count("FileScan") == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.merge import dedupe_bars, upsert_bars
 from barloom.operators.repair import repair_assets
+from barloom.operators.summary import summarise
 from barloom.sources.store import BarStore
 from sample import bar
 from test_brute_force import content, random_rows
@@ -34,7 +35,7 @@ def test_empty_store(store, assets):
 
 def test_saving_nothing_changes_nothing(store, good_bars):
     assert not store.save(good_bars.where("false"))
-    assert store.version().number == 0
+    assert store.load().count() == 0 and store.live_files().count() == 0
 
 
 def test_save_needs_an_arrival_order(store, good_bars):
@@ -46,7 +47,7 @@ def test_asset_types_are_plain_names(store, make_bars):
     for kind in ("A/B", None):
         with pytest.raises(ValueError, match="plain names"):
             store.save(make_bars([bar(date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, asset_type=kind)]))
-    assert store.version().number == 0
+    assert store.load().count() == 0
 
 
 def test_figures(store, good_bars, assets):
@@ -86,7 +87,6 @@ def test_first_load_keeps_repeated_dates_until_the_next_save(store, bad_bars, ma
     rows = store.load().collect()
     assert len(rows) == 5
     assert [r.volume for r in rows if r.date == date(2024, 1, 2)] == [-75]
-    assert store.version().pending is None
 
 
 def test_other_assets_keep_their_repeated_dates(store, bad_bars, make_bars):
@@ -100,53 +100,6 @@ def test_first_load_can_be_deduplicated(store, bad_bars):
     assert store.load().count() == 4
 
 
-def test_new_dates_are_appended_without_a_rewrite(store, good_bars, make_bars):
-    store.save(good_bars)
-    first = store.version().live
-    store.save(make_bars([bar(date(2024, 1, 9), 1.0, 1.0, 1.0, 1.0)]))
-    assert set(first) < set(store.version().live)
-    store.save(make_bars([bar(date(2024, 1, 9), 2.0, 2.0, 2.0, 2.0)]))
-    assert len(store.version().live) == 1 and store.load().count() == 6
-
-
-def test_saves_behave_alike_however_many(store, make_bars):
-    for n in range(1, 41):
-        store.save(make_bars([bar(date.fromordinal(738886 + n), 1.0, 1.0, 1.0, 1.0, seq=n)]))
-        assert len(store.version().live) == n
-    assert store.compact(at_least=50) == 0
-    assert store.compact() == 1
-    assert len(store.version().live) == 1 and store.load().count() == 40
-    assert store.vacuum() > 40 and store.load().count() == 40
-
-
-def test_replace_is_one_version(store, good_bars, bad_bars, make_bars):
-    other = make_bars([bar(date(2023, 5, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS"),
-                       bar(date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS")])
-    store.save(good_bars)
-    store.save(other)
-    number = store.version().number
-    store.replace(bad_bars)
-    assert store.version().number == number + 1
-    assert store.load(storage_keys=["RELIANCE"]).count() == 5
-    assert store.load(storage_keys=["TCS"]).count() == 2
-    # Its repeated date goes with the asset's next bars, as after any first load.
-    store.save(make_bars([bar(date(2024, 1, 9), 1.0, 1.0, 1.0, 1.0, seq=9)]))
-    assert store.load(storage_keys=["RELIANCE"]).count() == 5
-
-
-def test_replace_that_fails_leaves_the_old_bars(store, good_bars, bad_bars, monkeypatch):
-    store.save(good_bars)
-
-    def fail(*args):
-        raise RuntimeError
-
-    monkeypatch.setattr(store, "_write_pending", fail)
-    with pytest.raises(RuntimeError):
-        store.replace(bad_bars)
-    assert sorted(r.seq for r in store.load().collect()) == [1, 2, 3, 4, 5]
-    assert store.load().agg({"volume": "min"}).first()[0] > 0
-
-
 def test_symbols_with_the_same_safe_name_share_storage(store, make_bars):
     day = date(2024, 1, 2)
     store.save(make_bars([bar(day, 1.0, 1.0, 1.0, 1.0, symbol="USD/INR", asset_type="FOREX")]))
@@ -195,25 +148,6 @@ def test_clean_only_some_assets(store, bad_bars, assets):
     assert store.load().count() == 5
 
 
-def test_readers_keep_their_version(store, good_bars, assets):
-    store.save(good_bars)
-    before = store.load()
-    store.delete(assets)
-    assert before.count() == 5
-
-
-def test_an_unfinished_change_is_invisible_and_removed(store, good_bars, make_bars):
-    store.save(good_bars)
-    # A writer that died after writing its files, before publishing its version.
-    commit = store._new_commit(store.version())
-    store._write(store.load().withColumn("bar_year", F.year("date")), commit)
-    assert store.load().count() == 5
-    assert store.vacuum() >= 1
-    assert store.load().count() == 5
-    store.save(make_bars([bar(date(2024, 1, 9), 1.0, 1.0, 1.0, 1.0)]))
-    assert store.load().count() == 6
-
-
 def test_a_batch_is_taken_once(store, good_bars):
     assert store.save(good_bars, stream="s", batch=0)
     assert not store.save(good_bars, stream="s", batch=0)
@@ -238,16 +172,97 @@ def test_saves_agree_with_the_merge_operator(store, make_bars, seed):
     assert dedupe_bars(store.load()).count() <= store.load().count()
 
 
-def test_the_index_agrees_with_the_bars(store, good_bars, bad_bars, make_bars, assets):
+def folder_files(store):
+    return {f.file_path for f in store.live_files().collect()}
+
+
+def test_other_class_years_are_not_touched(store, good_bars, make_bars):
+    store.save(good_bars)
+    store.save(make_bars([bar(date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, asset_type="INDEX"),
+                          bar(date(2025, 1, 2), 1.0, 1.0, 1.0, 1.0)]))
+    before = folder_files(store)
+    assert store.save(make_bars([bar(date(2025, 1, 3), 1.0, 1.0, 1.0, 1.0)])) == [("EQUITY", 2025)]
+    gone, new = before - folder_files(store), folder_files(store) - before
+    assert len(gone) == len(new) == 1 and all("EQUITY/bar_year=2025" in f for f in gone | new)
+
+
+def test_replace(store, good_bars, bad_bars, make_bars):
+    store.save(good_bars)
+    store.save(make_bars([bar(date(2023, 5, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS"),
+                          bar(date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS"),
+                          bar(date(2022, 1, 3), 1.0, 1.0, 1.0, 1.0)]))
+    store.replace(bad_bars)
+    assert store.load(storage_keys=["RELIANCE"]).count() == 5
+    assert store.load(storage_keys=["TCS"]).count() == 2
+    # The class-year that nothing is left of is gone.
+    assert {f.split("bar_year=")[1][:4] for f in folder_files(store)} == {"2023", "2024"}
+    # Its repeated date goes with the asset's next bars, as after any first load.
+    store.save(make_bars([bar(date(2024, 1, 9), 1.0, 1.0, 1.0, 1.0, seq=9)]))
+    assert store.load(storage_keys=["RELIANCE"]).count() == 5
+
+
+@pytest.mark.parametrize("change, died", [
+    ("save", "bars"), ("save", "summary"), ("replace", "bars"), ("delete", "summary"),
+    ("clean", "staged"), ("clean", "bars")])
+def test_a_writer_that_died_is_made_good(store, good_bars, bad_bars, assets, monkeypatch, died, change):
+    """Whatever it had finished: before the plan nothing happened, after it everything will."""
+    def run(target):
+        return {"save": lambda: target.save(bad_bars), "replace": lambda: target.replace(bad_bars),
+                "delete": lambda: target.delete(assets), "clean": lambda: target.clean()}[change]()
+
+    first = bad_bars if change == "clean" else good_bars
+    other = BarStore(store.spark, store.path + "-whole")
+    for s in (store, other):
+        s.save(first)
+    run(other)
+
+    def die(*args, **kwargs):
+        raise RuntimeError("died")
+
+    if died == "staged":
+        monkeypatch.setattr("barloom.sources.store.files.create_text", die)
+    else:
+        real = BarStore._overwrite
+        monkeypatch.setattr(
+            BarStore, "_overwrite",
+            lambda self, name, rows: die() if name == died else real(self, name, rows))
+    with pytest.raises(RuntimeError, match="died"):
+        run(store)
+    monkeypatch.undo()
+    if died == "staged":
+        assert content(store.load()) == content(first.select(store.load().columns))
+        run(store)
+    else:
+        store.recover()
+    assert content(store.load()) == content(other.load())
+    assert content(store.summary()) == content(other.summary())
+
+
+def test_a_death_before_the_plan_leaves_the_old_bars(store, good_bars, bad_bars, monkeypatch):
+    store.save(good_bars)
+    before = content(store.load())
+    monkeypatch.setattr(
+        "barloom.sources.store.files.create_text", lambda *a: (_ for _ in ()).throw(RuntimeError()))
+    with pytest.raises(RuntimeError):
+        store.save(bad_bars)
+    monkeypatch.undo()
+    store.recover()
+    assert content(store.load()) == before
+
+
+def test_the_summary_agrees_with_the_bars(store, good_bars, bad_bars, make_bars, assets):
     def agrees():
-        bars = store.load().groupBy("asset_type", "storage_key").agg(
+        bars = store.load()
+        counted = bars.groupBy("asset_type", "storage_key").agg(
             F.max("date").alias("last_date"), F.count("*").alias("row_count"))
-        text = store.assets()._jdf.queryExecution().toString()
-        return content(store.assets()) == content(bars) and "index" in text
+        fresh = summarise(bars)
+        return (content(store.assets()) == content(counted)
+                and content(store.summary().select(fresh.columns)) == content(fresh))
 
     store.save(bad_bars)
     assert agrees()
     store.save(make_bars([bar(date(2025, 1, 2), 1.0, 1.0, 1.0, 1.0),
+                          bar(None, 1.0, 1.0, 1.0, 1.0),
                           bar(date(2025, 1, 2), 1.0, 1.0, 1.0, 1.0, symbol="TCS"),
                           bar(date(2025, 1, 2), 2.0, 1.0, 1.0, 1.0, symbol="TCS")]))
     assert agrees()
@@ -260,14 +275,44 @@ def test_the_index_agrees_with_the_bars(store, good_bars, bad_bars, make_bars, a
     store.delete(assets)
     assert agrees()
     assert [r.storage_key for r in store.stored_assets().collect()] == ["TCS"]
-    assert store.vacuum() > 0 and agrees()
 
 
-def test_a_save_reads_no_stored_bars_to_know_its_assets(store, good_bars, make_bars):
-    store.save(good_bars)
-    version = store.version()
-    fresh = store.load().withColumn("bar_year", F.year("date"))
-    text = store._arriving(fresh.limit(0), version)._jdf.queryExecution().toString()
-    assert "index/commit=" in text or "last_date" in text
-    assert store.last_dates().inputFiles() and all(
-        "/index/" in f for f in store.last_dates().inputFiles())
+def read_paths(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_bars_are_not_read_to_know_about_them(store, good_bars, bad_bars, assets, monkeypatch):
+    """Deleting, cleaning and looking up read bars of the class-years that change, and no others."""
+    store.save(bad_bars)
+    store.save(good_bars.withColumn("asset_type", F.lit("INDEX")))
+    for df in (store.last_dates(), store.assets(), store.row_counts(assets)):
+        assert all("/summary/" in f for f in df.inputFiles())
+    asked = []
+    real = BarStore._bars
+    monkeypatch.setattr(
+        BarStore, "_bars", lambda self, pairs=None: asked.append(pairs) or real(self, pairs))
+    assert store.exists("EQUITY", "RELIANCE") and not store.exists("FOREX", "RELIANCE")
+    store.clean()
+    store.delete(assets)
+    store.delete(assets)
+    assert asked == [{("EQUITY", 2024)}, {("EQUITY", 2024)}]
+
+
+def test_class_years_prune_directories(store, make_bars):
+    store.save(make_bars([bar(date(y, 1, 2), 1.0, 1.0, 1.0, 1.0, seq=y) for y in range(2015, 2025)]))
+    text = read_paths(store._bars({("EQUITY", 2016)}))
+    assert "PartitionFilters" in text and store._bars({("EQUITY", 2016)}).count() == 1
+
+
+def test_compact(store, make_bars):
+    rows = make_bars([bar(date.fromordinal(738886 + n), 1.0, 1.0, 1.0, 1.0, seq=n) for n in range(40)])
+    store.save(rows)
+    for f in folder_files(store):
+        copy = f.replace("part-", "part-9")
+        store.spark.read.parquet(f)
+        with open(f.removeprefix("file:"), "rb") as a, open(copy.removeprefix("file:"), "wb") as b:
+            b.write(a.read())
+    assert len(folder_files(store)) > 1 and store.load().count() == 80
+    assert store.compact(at_least=50) == 0
+    assert store.compact() >= 1
+    assert store.load().count() == 80
