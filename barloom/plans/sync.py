@@ -23,7 +23,8 @@ from barloom.operators.repair import repair_log
 from barloom.operators.report import batch_summary, report_of, validation_log_rows
 from barloom.operators.select import filter_asset_type, filter_symbols
 from barloom.sources import files
-from barloom.sources.landing import read_landed
+from barloom.sources.landing import RAW_BAR_SCHEMA, read_landed
+from barloom.sources.ledger import FileLedger, landed_files, paths_of, read_whole_by, scope_of
 from barloom.sources.listings import discover
 from barloom.sources.snapshot import (
     export_snapshot,
@@ -34,7 +35,7 @@ from barloom.sources.snapshot import (
 )
 from barloom.sources.store import BarStore
 from barloom.sources.tables import Catalog
-from barloom.work import written
+from barloom.work import no_rows, written
 
 
 @dataclass(frozen=True)
@@ -67,12 +68,26 @@ def run_ingest(
     site: Site, landing: str, fmt: str = "parquet", symbols: str | None = None,
     asset_type: str | None = None, start: date | None = None, end: date | None = None,
 ) -> DataFrame:
-    """Takes from the landed files what the selected assets still miss; returns the summary."""
+    """Takes from the landed files what the selected assets still miss; returns the summary.
+
+    A run for all assets, resuming where they are, reads only files that no such run has taken; see
+    `FileLedger`. Other runs read the whole folder.
+    """
     run_id = uuid.uuid4().hex
     wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
     known = site.store.last_dates().withColumnRenamed("last_date", "date")
-    plan = resume_plan(wanted, known, end or site.now.date(), start)
-    landed = with_storage_key(normalize_bars(read_landed(site.spark, landing, fmt)))
+    until = end or site.now.date()
+    plan = resume_plan(wanted, known, until, start)
+
+    whole = symbols is None and asset_type is None and start is None
+    ledger = FileLedger(site.spark, f"{site.catalog.path}/taken_files")
+    scope = scope_of(wanted) if whole else ""
+    arrived = landed_files(site.spark, landing)
+    if whole:
+        arrived = ledger.not_taken(arrived, scope)
+    paths = paths_of(arrived)
+    raw = read_landed(site.spark, paths, fmt) if paths else no_rows(site.spark, RAW_BAR_SCHEMA)
+    landed = with_storage_key(normalize_bars(raw))
 
     # The plan and the chosen rows are needed after the store has changed: fix them first.
     work = f"{site.catalog.path}/runs/{run_id}"
@@ -84,6 +99,8 @@ def run_ingest(
     touched = site.store.save(fetched)
     results = with_file_sizes(ingest_results(plan, fetched), site.store.live_files(touched))
     results = written(results, "results")
+    if whole and paths:
+        ledger.take(read_whole_by(raw, arrived, until), scope, run_id)
     files.remove(site.spark, work)
     site.catalog.log_downloads(download_log_rows(results), run_id, site.now)
     return ingest_summary(results)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -34,7 +36,9 @@ ABSENT = {T.DoubleType(): "0.0D", T.FloatType(): "0.0F", T.LongType(): "0L", T.I
           T.StringType(): "'0.0'"}
 
 
-def landed_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.StructType:
+def landed_schema(
+    spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet"
+) -> T.StructType:
     """The columns that landed files have, CSV cells as text.
 
     CSV files of one folder have one header. Parquet files may differ: the columns are those of all
@@ -70,10 +74,13 @@ def with_default(field: T.StructField) -> T.StructField:
 
 
 def read_landed(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Landed files of one format (parquet, csv with header, json), columns by name.
 
+    `path` is a folder, a file, or several files.
+
     Without a `schema` the columns of Parquet and CSV files are those of `landed_schema`.
     """
     reader = spark.read.format(fmt)

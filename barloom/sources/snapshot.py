@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.naming import class_dir_strict
+from barloom.operators.summary import NO_YEAR
 from barloom.schema import PARTITION_FIELDS, STORED_SCHEMA, UNIVERSE_SCHEMA
 from barloom.sources import files
-from barloom.operators.summary import NO_YEAR
-from barloom.sources.store import PAIR, laid_out
+from barloom.sources.class_years import PAIR
+from barloom.sources.store import laid_out
 from barloom.work import no_rows
 
 SNAPSHOT_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)

@@ -40,10 +40,10 @@ from barloom.operators.summary import (
 )
 from barloom.schema import ASSET_KEY, BAR_SCHEMA, PARTITION_FIELDS, STORED_SCHEMA
 from barloom.sources import files
+from barloom.sources.class_years import PAIR, together
 from barloom.work import no_rows, written
 
 READ_SCHEMA = T.StructType(STORED_SCHEMA.fields + PARTITION_FIELDS)
-PAIR = ["asset_type", "bar_year"]
 FILE_ORDER = [*PAIR, "storage_key", "date"]
 FILES_SCHEMA = T.StructType([
     T.StructField("asset_type", T.StringType()),
@@ -257,10 +257,8 @@ class BarStore:
         plan = json.loads(files.read_text(self.spark, f"{stage}/plan.json"))
         bars = self.spark.read.schema(READ_SCHEMA).parquet(f"{stage}/bars")
         self._overwrite("bars", bars.sortWithinPartitions(*FILE_ORDER))
-        # Few files, as the rows of a class-year come together; they are few for an asset.
-        spread = F.pmod(F.xxhash64("storage_key"), F.lit(4))
-        self._overwrite("summary", summarise(bars.drop("bar_year")).repartition(*PAIR, spread)
-                        .sortWithinPartitions(*PAIR, "storage_key", "span"))
+        summary = together(summarise(bars.drop("bar_year")))
+        self._overwrite("summary", summary.sortWithinPartitions(*PAIR, "storage_key", "span"))
         left = {
             (m.group(1), int(m.group(2))) for p in files.matching(
                 self.spark, f"{stage}/bars/asset_type=*/bar_year=*")

@@ -20,13 +20,17 @@ from barloom.operators import (
     repair,
     report,
     select,
+    summary,
     universe,
 )
+from barloom.plans.sync import Site, run_ingest
 from barloom.session import shared_folder
+from barloom.sources.class_years import ClassYears
 from barloom.sources.landing import read_landed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
 from barloom.streaming.ingest import start_ingest
+from barloom.streaming.validation import CHECKED, start_validation, summaries
 from workload.views import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +167,38 @@ def streamed(spark: SparkSession, name: str, *parts: DataFrame) -> BarStore:
     return store
 
 
+@register
+def ingest_new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batch runs over one landing folder: the second reads only the files that came since."""
+    folder = work_folder(spark, "ingest_new_files")
+    site = Site.at(spark, f"{folder}/site", datetime(2024, 1, 31, 12))
+    assets = view(spark, sf, "universe")
+    site.catalog.write_universe(assets)
+    site.catalog.upsert_assets(assets.withColumn("listed", F.lit(0)), NOW, order="listed")
+    for part in old_and_new(spark, sf):
+        landed = part.drop("storage_key").withColumnRenamed("adj_close", "Adj Close")
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        run_ingest(site, f"{folder}/landing")
+    return site.store.load()
+
+
+@register
+def stream_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """The report on all bars that landed, from summaries that a stream kept over two landings."""
+    folder = work_folder(spark, "stream_validation")
+    table = summaries(spark, f"{folder}/summaries")
+    for part in old_and_new(spark, sf):
+        landed = part.drop("storage_key").withColumnRenamed("adj_close", "Adj Close")
+        landed.write.mode("append").parquet(f"{folder}/landing")
+        start_validation(
+            spark, f"{folder}/landing", table, f"{folder}/checkpoint",
+            name=f"validation-{uuid.uuid4().hex}",
+        ).awaitTermination()
+    verdicts = summary.summary_verdicts(
+        view(spark, sf, "universe"), table.read(), settings(), columns=CHECKED)
+    return report.report_of(verdicts).drop("details")
+
+
 @register
 def stream_absent_columns(spark: SparkSession, sf: str) -> DataFrame:
     bars = view(spark, sf, "raw_bars").drop("dividends")
@@ -436,6 +472,19 @@ def validation_report_history(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("details")
 
 
+@register
+def validation_report_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The years up to 1995 are summarised first; later ones are added without reading them again."""
+    bars = summary.with_year(view(spark, sf, "history_bars"))
+    kept = ClassYears(
+        spark, work_folder(spark, "validation_report_incremental"), summary.summarise(bars).schema)
+    for years in ("bar_year < 1996", "bar_year >= 1996"):
+        kept.replace(summary.summarise(bars.where(years)))
+    verdicts = summary.summary_verdicts(
+        view(spark, sf, "universe"), kept.read(), settings(HISTORY_AS_OF), columns=bars.columns)
+    return report.report_of(verdicts).drop("details")
+
+
 @register
 def report_summary(spark: SparkSession, sf: str) -> DataFrame:
     return report.report_summary(_verdicts(spark, sf, view(spark, sf, "universe")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.views import ctes
+from workload.views import CLASS_OF, ctes
 
 BAR = "date, open, high, low, close, adj_close, volume, dividends, stock_splits, symbol, seq"
 KEY = "asset_type, storage_key"
@@ -28,6 +28,23 @@ sides as (select *,
 UPSERT = OLD_NEW + f"select {ALL} from sides where rank = 1 or has_old = 0 or has_new = 0"
 UPSERT_DEDUPED = OLD_NEW + f"select {ALL} from sides where rank = 1 or has_new = 0"
 
+# What two batch runs take: of assets in the universe, bars after the last one that the first took.
+INGESTED = OLD_NEW.split("both_bars as")[0] + f"""universe as (select cast(c_custkey as varchar) as storage_key,
+    {CLASS_OF.replace('{k}', 'c_custkey')} as asset_type from customer),
+first_run as (select * from old_bars semi join universe using ({KEY})
+  where date >= date '1990-01-01' and date < date '2024-01-31'),
+last_days as (select {KEY}, max(date) as last_day from first_run group by {KEY}),
+second_run as (select n.* from new_bars n semi join universe using ({KEY})
+    left join last_days using ({KEY})
+  where date >= date '1990-01-01' and date < date '2024-01-31'
+    and coalesce(n.date > last_day, true)),
+both_runs as (select *, 0 as batch from first_run union all select *, 1 as batch from second_run),
+sides as (select *,
+    max(1 - batch) over (partition by {KEY}) as has_old, max(batch) over (partition by {KEY}) as has_new,
+    row_number() over (partition by {KEY}, date order by batch desc, seq desc) as rank
+  from both_runs)
+"""
+
 REPAIR = ctes("raw_bars") + f""",
 marked as (select *, max(case when {VIOLATION} then 1 else 0 end)
     over (partition by {KEY}) as flagged from raw_bars),
@@ -156,13 +173,22 @@ CHECK_NAMES = ["duplicates", "missing_trading_days", "ohlc_consistency", "negati
                "null_values", "data_range"]
 
 
-def report(bars: str, as_of: str, *views: str, before: str = "", assets: str = "universe") -> str:
-    """CTEs up to `report`: the validation report of `assets` over `bars`."""
+UNIVERSE_KEYS = f"""universe as (select cast(c_custkey as varchar) as symbol,
+    {CLASS_OF.replace('{k}', 'c_custkey')} as asset_type, cast(c_custkey as varchar) as storage_key
+  from customer)"""
+
+
+def report(
+    bars: str, as_of: str, *views: str, before: str = "", assets: str = "universe", base: str = "",
+) -> str:
+    """CTEs up to `report`: the validation report of `assets` over `bars`, a view unless `base` has
+    CTEs for it and the universe."""
     each = "\nunion all\n".join(
         f"select symbol, {KEY}, total_rows, {verdict(c)} "
         f"from counted join {assets} using ({KEY})" for c in CHECK_NAMES
     )
-    return ctes(bars, "universe", *views) + before + counted(bars, as_of) + f""",
+    base = base or ctes(bars, "universe", *views)
+    return base + before + counted(bars, as_of) + f""",
 report as ({each}
 union all
 select symbol, {KEY}, cast(0 as bigint) as total_rows, 'data_exists' as check_name,
@@ -234,6 +260,10 @@ ORACLE: dict[str, str] = {
         where (asset_type, symbol) not in (select asset_type, symbol from supplier_assets)""",
     "store_clean": REPAIR + f"select {ALL} from ranked where flagged = 0 or rank = 1",
     "stream_ingest": UPSERT,
+    "ingest_new_files": INGESTED
+    + f"select {ALL} from sides where rank = 1 or has_old = 0 or has_new = 0",
+    "stream_validation": report(
+        "both_bars", "2024-01-25", base=f"{OLD_NEW}, {UNIVERSE_KEYS}") + "select * from report",
     "stream_absent_columns": ctes("raw_bars") + f" select {ALL} from raw_bars",
     "store_compact": UPSERT,
     "snapshot_scoped_sync": OLD_NEW + f""",
@@ -363,6 +393,7 @@ ORACLE: dict[str, str] = {
            where download_time > timestamp '2024-01-29 12:00:00') as recent_downloads_24h,
           (select count(*) from download_log where status = 'error') as total_failed_downloads""",
     "validation_report": report("raw_bars", "2024-01-25") + "select * from report",
+    "validation_report_incremental": report("history_bars", "2001-01-01") + "select * from report",
     "validation_report_history": report("history_bars", "2001-01-01") + "select * from report",
     "report_summary": report("raw_bars", "2024-01-25") + f""", {SUMMARY}
         select *, case when failed = 0 then 'PASS' else 'FAIL' end as verdict,
