@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores added as it takes to differ from the columns."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_remainder(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id's text, modulo `modulus`; -1 for a null id."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -48,6 +60,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Within it files are split alike at every read, even if executors come or go meanwhile.
+
+    Spark sizes splits by the cores there are, unless the least number of partitions is set.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

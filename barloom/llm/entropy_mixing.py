@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import ranked, word_count
+from barloom.llm.common import free_names, ranked, word_count
 from barloom.work import written
 
 
@@ -199,14 +199,18 @@ def take_copies(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     its own, its place in a written copy of `docs`, so rows alike in doc_id, source and size are
     decided one by one, those with different texts in the order of the texts' hashes.
     """
+    size, text_hash, row, copies, again = free_names(
+        docs, "_size", "_hash", "_row", "_copies", "_again")
     keyed = written(
-        docs.withColumn("_size", word_count("text")).withColumn("_hash", F.xxhash64("text"))
-        .withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    sizes = keyed.select("doc_id", "source", F.col("_size").alias("size"), "_hash", "_row")
+        docs.withColumn(size, word_count("text")).withColumn(text_hash, F.xxhash64("text"))
+        .withColumn(row, F.monotonically_increasing_id()), "keyed")
+    sizes = keyed.select(
+        "doc_id", "source", F.col(size).alias("size"), F.col(text_hash).alias("_hash"),
+        F.col(row).alias("_row"))
     decided = mixed(sizes, settings, ("_hash", "_row")).select(
-        "_row", F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies").cast("int"))
-        .alias("_copies"))
-    decided = written(decided.where("_copies > 0"), "copies")
-    joined = keyed.join(decided.hint("merge"), "_row").select(*docs.columns, "_copies")
-    again = joined.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return again.drop("_copies", "_again")
+        F.col("_row").alias(row),
+        F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies").cast("int")).alias(copies))
+    decided = written(decided.where(F.col(copies) > 0), "copies")
+    joined = keyed.join(decided.hint("merge"), row).select(*docs.columns, copies)
+    repeated = joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return repeated.drop(copies, again)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.binary_fuse import build, may_contain
-from barloom.llm.common import SPACE, matching_rows, whole
+from barloom.llm.common import SPACE, free_names, matching_rows, whole
 from barloom.work import written
 
 Digest = Callable[[Column], Column]
@@ -168,10 +168,9 @@ def drop_copies(docs: DataFrame, batches: int = 2) -> DataFrame:
     """The rows of `docs`, unchanged, that `decisions` keeps."""
     chosen = decisions(docs, batches).groupBy("doc_id", "digest", "n_chars").agg(
         F.count(F.lit(1)).alias("n_rows"), F.bool_or("kept").alias("kept"))
+    key, length = free_names(docs, "_digest", "_n_chars")
     keys = chosen.where("kept").select(
-        F.col("doc_id"), F.col("digest").alias("_digest"), F.col("n_chars").alias("_n_chars"),
-        "n_rows")
-    marked = docs.withColumn("_digest", sha256(normalised())).withColumn(
-        "_n_chars", F.length(whole("text")).cast("long"))
-    taken = matching_rows(marked, keys, ["doc_id", "_digest", "_n_chars"])
-    return taken.drop("_digest", "_n_chars")
+        F.col("doc_id"), F.col("digest").alias(key), F.col("n_chars").alias(length), "n_rows")
+    marked = docs.withColumn(key, sha256(normalised())).withColumn(
+        length, F.length(whole("text")).cast("long"))
+    return matching_rows(marked, keys, ["doc_id", key, length]).drop(key, length)

@@ -20,7 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import chunks, fitted, id_remainder, segment_sums, whole
+from barloom.llm.common import (
+    chunks,
+    fitted,
+    free_names,
+    id_remainder,
+    segment_sums,
+    whole,
+)
 from barloom.llm.ftrl import Ftrl, softmax
 from barloom.work import written
 
@@ -220,10 +227,11 @@ def identify(
         return pa.StructArray.from_arrays(
             [pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
 
+    (name,) = free_names(docs, "_found")
     return (
-        docs.withColumn("_found", found.asNondeterministic()(cleaned()))
-        .withColumn(lang_out, F.col("_found.lang")).withColumn(score_out, F.col("_found.score"))
-        .drop("_found")
+        docs.withColumn(name, found.asNondeterministic()(cleaned()))
+        .withColumn(lang_out, F.col(f"{name}.lang")).withColumn(score_out, F.col(f"{name}.score"))
+        .drop(name)
     )
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from barloom.llm.common import (
     chunks,
     fitted,
+    free_names,
     id_remainder,
     labelled_sample,
     lists,
@@ -205,5 +206,6 @@ def drop_rejected(
 ) -> DataFrame:
     """The rows of `docs`, unchanged, whose text the classifier predicts to be of label 1."""
     weights = learn(docs, labels, "quality", settings, ~held_out())
-    scored = score(docs, weights, "_score")
-    return scored.where(F.col("_score") >= settings.threshold).drop("_score")
+    (name,) = free_names(docs, "_score")
+    scored = score(docs, weights, name)
+    return scored.where(F.col(name) >= settings.threshold).drop(name)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import matching_rows, shuffle_partitions
+from barloom.llm.common import free_names, matching_rows, shuffle_partitions
 from barloom.llm.components import components
 from barloom.work import written
 
@@ -221,6 +221,7 @@ def drop_near_duplicates(
     candidates = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     counts = candidates.groupBy("root", "fp", "doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
     first = counts.groupBy("root").agg(F.min(F.struct("fp", "doc_id", "n_rows")).alias("row"))
-    keys = first.select("row.doc_id", F.col("row.fp").alias("_fp"), "row.n_rows")
-    marked = with_fingerprint(docs, "_fp", shingle)
-    return matching_rows(marked, keys, ["doc_id", "_fp"]).drop("_fp")
+    (name,) = free_names(docs, "_fp")
+    keys = first.select("row.doc_id", F.col("row.fp").alias(name), "row.n_rows")
+    marked = with_fingerprint(docs, name, shingle)
+    return matching_rows(marked, keys, ["doc_id", name]).drop(name)

@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import whole
+from barloom.llm.common import same_splits, whole
 from barloom.work import written
 
 #: End of a document (</s>) in the vocabulary below.
@@ -130,20 +130,22 @@ def token_counts(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER) -> Da
     """(doc_id, file, doc, start, n_tokens, closed) of each row of `docs`, by way of flat files.
 
     The files are written to `folder` and scanned; as they know no ids, those are given back by
-    place. So `docs` must be a plain scan, read in the same order twice; if the splits of the two
-    reads differ, in what places there are, the run fails rather than pair wrongly.
+    place. So `docs` must be a plain scan, read in the same order twice. Both reads have the same
+    splits, whatever executors there are; if files change between them, in what places there are,
+    the run fails rather than pair wrongly.
     """
     spark = docs.sparkSession
-    write_flat(docs, folder, tokenizer)
+    with same_splits(spark):
+        write_flat(docs, folder, tokenizer)
+        ids = written(docs.select(
+            "doc_id", F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place")), "ids")
     found = count_tokens(written(separators(spark, folder), "separators"))
     found = written(found.withColumns(places_of("file")), "found")
-    ids = written(docs.select(
-        "doc_id", F.spark_partition_id().alias("part"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place")), "ids")
     places = ["part", "place"]
     apart = found.select(places).exceptAll(ids.select(places))
     if not apart.isEmpty() or found.count() != ids.count():
-        raise RuntimeError("the documents were split otherwise when their ids were read; run again")
+        raise RuntimeError("the documents changed before their ids were read; run again")
     return found.join(ids, ["part", "place"]).select(
         "doc_id", F.element_at(F.split("file", "/"), -1).alias("file"), "doc", "start", "n_tokens",
         "closed")

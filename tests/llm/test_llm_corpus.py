@@ -365,6 +365,18 @@ def test_flat_files_hold_the_ids(spark, real, tmp_path):
     assert ids == [i for r in docs.collect() for i in [*model.encode(r["text"] or ""), 2]]
 
 
+def test_splits_dont_follow_the_cores(spark, real, tmp_path, monkeypatch):
+    """Executors that are lost between the two reads change nothing in how files are split."""
+    docs, name = real("documents"), "spark.sql.files.minPartitionNum"
+    seen = []
+    write = token_scan.write_flat
+    monkeypatch.setattr(
+        token_scan, "write_flat", lambda *a: (seen.append(spark.conf.get(name)), write(*a)))
+    n = token_scan.token_counts(docs, str(tmp_path / "flat")).count()
+    assert n == docs.count() and seen == [str(spark.sparkContext.defaultParallelism)]
+    assert spark.conf.get(name, None) is None
+
+
 def test_counts_of_nothing(none, tmp_path, spark):
     none.write.parquet(str(tmp_path / "none"))
     docs = spark.read.parquet(str(tmp_path / "none"))
