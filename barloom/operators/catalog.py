@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,18 +107,24 @@ def orphan_log_rows(log: DataFrame, assets: DataFrame) -> DataFrame:
 
 def query(
     spark: SparkSession, tables: dict[str, DataFrame], sql: str,
-    params: Sequence[Any] | None = None,
+    params: Sequence[Any] | Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """SQL over the named tables, with `?` placeholders filled from `params` in order.
+    """SQL over the named tables; `params` fills `?` placeholders in order, or `:name` ones by name.
 
-    The caller's own temporary views of those names are back afterwards.
+    The statement has to be one query that only reads. It is put where only a query can stand, so
+    that a command fails to parse before any of it is run. The caller's own temporary views of those
+    names are back afterwards.
     """
+    text = f"select * from (\n{sql.strip().rstrip(';')}\n)"
+    args = dict(params) if isinstance(params, Mapping) else list(params or []) or None
     views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
     own = {name: spark.table(name) for name in tables if name in views}
     try:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)
-        return spark.sql(sql, args=list(params)) if params else spark.sql(sql)
+        return spark.sql(text, args=args) if args else spark.sql(text)
+    except ParseException as failed:
+        raise ValueError(f"not one query that only reads: {sql}") from failed
     finally:
         for name in tables:
             spark.catalog.dropTempView(name)

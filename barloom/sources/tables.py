@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
@@ -123,8 +123,10 @@ class Catalog:
     def status_summary(self, as_of: datetime) -> DataFrame:
         return catalog.status_summary(self.assets(), self.download_log(), as_of)
 
-    def query(self, sql: str, params: Sequence[Any] | None = None) -> DataFrame:
-        """SQL over the tables assets, download_log and validation_log."""
+    def query(
+        self, sql: str, params: Sequence[Any] | Mapping[str, Any] | None = None
+    ) -> DataFrame:
+        """A query over the tables assets, download_log and validation_log; commands are refused."""
         tables = {
             "assets": self.assets(),
             "download_log": self.download_log(),

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 
 from barloom.operators import catalog as ops
+from barloom.operators.catalog import query
 from barloom.operators.checks import Settings
 from barloom.operators.report import (
     batch_summary,
@@ -143,3 +144,29 @@ def test_validation_history_is_newest_first(spark, catalog):
     catalog.log_validation(rows.selectExpr("* except (status)", "'PASSED' as status"), "run2", T1)
     history = ops.validation_history(catalog.validation_log(), "USDINR").collect()
     assert [r.status for r in history] == ["PASSED", "FAILED"]
+
+
+@pytest.mark.parametrize("command", [
+    "drop view kept", "create table made (a int) using parquet", "insert into kept values (1)",
+    "with c as (select 1) insert into kept select * from c", "set spark.sql.ansi.enabled = false",
+    "select 1; drop view kept", "cache table kept", "",
+])
+def test_commands_are_refused_and_change_nothing(spark, command):
+    spark.range(3).createOrReplaceTempView("kept")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    with pytest.raises(ValueError, match="only reads"):
+        query(spark, {"assets": spark.range(1)}, command)
+    assert spark.table("kept").count() == 3 and not spark.catalog.tableExists("made")
+    assert spark.conf.get("spark.sql.ansi.enabled") == before
+    assert "assets" not in {t.name for t in spark.catalog.listTables()}
+
+
+def test_queries_of_every_form(spark):
+    tables = {"t": spark.createDataFrame([(2, "b"), (1, "a"), (3, None)], "n int, s string")}
+    assert [tuple(r) for r in query(spark, tables, "select n, n from t order by n desc;").collect()] == [
+        (3, 3), (2, 2), (1, 1)]
+    assert query(spark, tables, "with x as (table t) select max(n) as m from x -- the end").first()[0] == 3
+    assert query(spark, tables, "select s from t where n = :n", {"n": 1}).first()[0] == "a"
+    assert query(spark, tables, "select s from t where n = ?", [2]).first()[0] == "b"
+    assert query(spark, tables, "values (1), (2)").count() == 2
+

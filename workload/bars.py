@@ -414,12 +414,37 @@ def coverage_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def file_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    """Which classes, and the total, have files with contents; sizes are Spark's own."""
-    stats = stored(spark, sf, "file_sizes").class_stats(with_total=True)
+    """Which classes have files with contents, of a store that holds no ETFs; sizes are Spark's own."""
+    bars = view(spark, sf, "raw_bars").where("asset_type <> 'ETF'")
+    stats = stored(spark, sf, "file_sizes", bars).class_stats(
+        with_empty_classes=True, with_total=True)
     return stats.select(
         "class", (F.col("files") > 0).alias("has_files"), (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
+@register
+def ingest_log_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """The download log of a run: its assets' shares of the files add up to the files, by class."""
+    folder = work_folder(spark, "ingest_log_sizes")
+    site = Site.at(spark, f"{folder}/site", datetime(2024, 1, 31, 12))
+    assets = view(spark, sf, "universe")
+    site.catalog.write_universe(assets)
+    site.catalog.upsert_assets(assets.withColumn("listed", F.lit(0)), NOW, order="listed")
+    landed = view(spark, sf, "raw_bars").drop("storage_key").withColumnRenamed("adj_close", "Adj Close")
+    landed.write.parquet(f"{folder}/landing")
+    run_ingest(site, f"{folder}/landing")
+    logged = site.catalog.download_log().join(assets.select("symbol", "asset_type"), "symbol").groupBy(
+        "asset_type").agg(
+        F.count_if(F.col("rows_downloaded") > 0).alias("assets"),
+        F.sum("rows_downloaded").alias("rows_downloaded"),
+        F.sum("file_size_bytes").alias("logged"))
+    held = site.store.live_files().groupBy("asset_type").agg(F.sum("size_bytes").alias("held"))
+    # A share is rounded to a byte.
+    return logged.join(held, "asset_type").select(
+        "asset_type", "assets", "rows_downloaded",
+        (F.abs(F.col("logged") - F.col("held")) <= F.col("assets")).alias("sizes_add_up"))
+
+
 @register
 def sync_document(spark: SparkSession, sf: str) -> DataFrame:
     stats = profile.class_stats(view(spark, sf, "class_sizes"))
@@ -694,3 +719,17 @@ PARAM_SQL = """
 def param_query(spark: SparkSession, sf: str) -> DataFrame:
     tables = {"assets": view(spark, sf, "universe"), "download_log": _download_log(spark, sf)}
     return catalog.query(spark, tables, PARAM_SQL, [0, "BSE"])
+
+
+NAMED_SQL = """
+    with wanted as (select * from assets where exchange <> :exchange)
+    select a.asset_type, l.status, count(*) as n, sum(l.rows_downloaded) as row_total
+    from download_log l join wanted a on l.symbol = a.symbol
+    where l.rows_downloaded >= :least
+    group by a.asset_type, l.status;"""
+
+
+@register
+def param_query_named(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {"assets": view(spark, sf, "universe"), "download_log": _download_log(spark, sf)}
+    return catalog.query(spark, tables, NAMED_SQL, {"least": 1, "exchange": "NSE"})

@@ -419,9 +419,15 @@ ORACLE: dict[str, str] = {
     "validation_report_scoped": report("raw_bars", "2024-01-25") + """ select * from report
         where symbol in ('1', '2', '3', '5', '8', '13', '21', '34')""",
     "file_sizes": ctes("raw_bars") + f""",
-        named as (select {CLASS_DIR} as class, seq from raw_bars)
-        select class, count(*) > 0 as has_files, count(seq) > 0 as has_bytes
+        named as (select {CLASS_DIR} as class, seq from raw_bars where asset_type <> 'ETF'
+          union all select unnest(['stocks', 'indices', 'etfs', 'commodities', 'forex']), null)
+        select class, count(seq) > 0 as has_files, count(seq) > 0 as has_bytes
         from named group by rollup (class)""",
+    "ingest_log_sizes": ctes("raw_bars", "universe") + f"""
+        select asset_type, count(distinct storage_key) as assets,
+          count(*) as rows_downloaded, true as sizes_add_up
+        from raw_bars semi join universe using ({KEY})
+        where date < date '2024-01-31' group by asset_type""",
     "asset_lookup": ctes("universe") + " select * from universe where symbol = '7'",
     "download_history_of": ctes("download_results") + f""", {DOWNLOAD_LOG}
         select * from download_log where symbol = '7'""",
@@ -499,4 +505,10 @@ ORACLE: dict[str, str] = {
         from download_log l join universe a on l.symbol = a.symbol
         where l.rows_downloaded >= 0 and a.exchange <> 'BSE'
         group by a.asset_type, l.status""",
+    "param_query_named": ctes("universe", "download_results") + f""", {DOWNLOAD_LOG}
+        select a.asset_type, l.status, count(*) as n,
+          cast(sum(l.rows_downloaded) as bigint) as row_total
+        from download_log l join universe a on l.symbol = a.symbol
+        where l.rows_downloaded >= 1 and a.exchange <> 'NSE'
+        group by a.asset_type, l.status""",
 }
