@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from barloom.operators import profile
 from barloom.operators.checks import Settings
-from barloom.operators.merge import dedupe_assets, dedupe_bars, delete_assets
+from barloom.operators.merge import dedupe_assets, delete_assets
 from barloom.operators.normalize import coerce_types, with_storage_key
 from barloom.operators.repair import repair_ohlc
 from barloom.operators.select import filter_dates
