@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.merge import keep_last
+from barloom.operators.ranking import ranked
 from barloom.schema import ASSETS_SCHEMA
 from barloom.work import written
 
@@ -40,6 +41,11 @@ def all_assets(assets: DataFrame) -> DataFrame:
     return assets.orderBy("symbol")
 
 
+def all_assets_ranked(assets: DataFrame) -> DataFrame:
+    """The assets with their position in `all_assets`."""
+    return ranked(assets, "symbol")
+
+
 def get_asset(assets: DataFrame, symbol: str) -> DataFrame:
     """The asset's row, or no row."""
     return assets.where(F.col("symbol") == symbol)
@@ -99,6 +105,16 @@ def _history(log: DataFrame, symbol: str | None, stamp: str) -> DataFrame:
     return log.orderBy("symbol", F.col(stamp).desc())
 
 
+def history_ranked(log: DataFrame, stamp: str, *ties: str) -> DataFrame:
+    """A log with each row's position in its history by symbol; `ties` order rows of one moment."""
+    return ranked(log, "symbol", F.col(stamp).desc(), *ties)
+
+
+def absent_rows(rows: DataFrame, log: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key the log has not got; keys that `rows` itself repeats stay repeated."""
+    return rows.join(log.select(*key).distinct(), list(key), "left_anti").select(*rows.columns)
+
+
 def orphan_log_rows(log: DataFrame, assets: DataFrame) -> DataFrame:
     """Log rows whose symbol is not in the catalog."""
     known = written(assets.select("symbol").distinct(), "symbols")

@@ -10,7 +10,9 @@ Every check contributes counters to two shared aggregations and a verdict over t
    and so the window that finds the previous one, whatever the number of bars.
 
 Checks that need no dates skip step 1 and aggregate bars straight to assets. Conditions are SQL
-text over bar columns, which keeps added checks short.
+text over bar columns, which keeps added checks short. Beside counters, a check may ask for any
+aggregate that merges (`Aggregate`): sums, extremes, sketches of quantiles or of distinct values.
+They take the same way, bars -> span -> asset, in the same pass.
 """
 
 from __future__ import annotations
@@ -67,11 +69,45 @@ class Outcome:
     details: str = "null"
 
 
+@dataclass(frozen=True)
+class Aggregate:
+    """An aggregate of an asset's bars, as SQL in two steps.
+
+    part: aggregate over bars, for a span or any other part of them.
+    merge: aggregate that joins parts, with `{}` for the column that holds them. Parts are merged more
+    than once where summaries are kept, so it has to give what `part` gives.
+    """
+
+    part: str
+    merge: str
+
+    def merged(self, name: str) -> str:
+        return f"{self.merge.format(name)} as {name}"
+
+
+def extreme(function: str, column: str) -> Aggregate:
+    """The least or greatest value of a column (`min` or `max`)."""
+    return Aggregate(f"{function}({column})", f"{function}({{}})")
+
+
+def exact_sum(column: str) -> Aggregate:
+    """A sum to six decimals that doesn't depend on the order of bars."""
+    return Aggregate(
+        f"cast(sum(cast({column} as decimal(24,6))) as decimal(38,6))",
+        "cast(sum({}) as decimal(38,6))")
+
+
+def distinct_sketch(column: str) -> Aggregate:
+    """A HyperLogLog sketch; `hll_sketch_estimate(name)` is the number of distinct values."""
+    return Aggregate(f"hll_sketch_agg({column})", "hll_union_agg({})")
+
+
 @dataclass(frozen=True)
 class Check:
     """One check. Counter names must be unique among the checks that run together.
 
     row_counters: name -> condition on a bar; the number of bars it holds for.
+    aggregates: name -> Aggregate; what outcomes may use beside counters.
     date_counters: name -> aggregate over an asset's spans (columns as date_spans gives them).
     outcomes: the first that applies is reported, else PASSED with the message `fine`.
     """
@@ -80,6 +116,7 @@ class Check:
     outcomes: Callable[[Settings, Sequence[str]], list[Outcome]]
     fine: Callable[[Settings], str]
     row_counters: Callable[[Settings, Sequence[str]], dict[str, str]] = lambda s, c: {}
+    aggregates: Callable[[Settings, Sequence[str]], dict[str, Aggregate]] = lambda s, c: {}
     date_counters: Callable[[Settings], dict[str, str]] = lambda s: {}
     needs: Sequence[str] = field(default_factory=tuple)
     needs_any: Sequence[str] = field(default_factory=tuple)
@@ -257,6 +294,53 @@ DATA_RANGE = Check(
     on_missing="Insufficient data",
     on_empty="Insufficient data",
 )
+
+
+def price_outliers(factor: int = 4) -> Check:
+    """An added check: closes above `factor` times the asset's mean close, or below it by as much."""
+    mean = "(close_sum / valued_closes)"
+    high, low = f"(highest_close > {factor} * {mean})", f"(lowest_close * {factor} < {mean})"
+    return Check(
+        name="price_outliers",
+        row_counters=lambda s, c: {"valued_closes": "close is not null"},
+        aggregates=lambda s, c: {
+            "close_sum": exact_sum("close"), "highest_close": extreme("max", "close"),
+            "lowest_close": extreme("min", "close"),
+        },
+        outcomes=lambda s, c: [
+            Outcome(f"{high} and {low}", WARNING, quoted("Closes far above and below the mean"), "2L"),
+            Outcome(high, WARNING, quoted("Highest close far above the mean"), "1L"),
+            Outcome(low, WARNING, quoted("Lowest close far below the mean"), "1L"),
+        ],
+        fine=lambda s: "All closes near the mean",
+        needs=["close"],
+        on_missing="No 'close' column found",
+        on_empty="No 'close' column found",
+    )
+
+
+def stale_prices(at_most: int = 2, min_rows: int = 10) -> Check:
+    """An added check: `at_most` distinct closes in `min_rows` bars or more.
+
+    Distinct closes are counted by a sketch, which is exact for the few that matter here.
+    """
+    distinct = "hll_sketch_estimate(close_sketch)"
+    return Check(
+        name="stale_prices",
+        row_counters=lambda s, c: {"priced_rows": "close is not null"},
+        aggregates=lambda s, c: {"close_sketch": distinct_sketch("cast(close as string)")},
+        outcomes=lambda s, c: [Outcome(
+            f"priced_rows >= {min_rows} and {distinct} <= {at_most}", WARNING,
+            found(distinct, "distinct closes"), "priced_rows",
+            f"map('distinct_closes', {distinct})",
+        )],
+        fine=lambda s: "Closes change",
+        needs=["close"],
+        on_missing="No 'close' column found",
+        on_empty="No 'close' column found",
+    )
+
+
 # In report order.
 ALL_CHECKS = (
     DUPLICATES, MISSING_TRADING_DAYS, OHLC_CONSISTENCY, NEGATIVE_VOLUME, NULL_VALUES, DATA_RANGE,
@@ -264,13 +348,14 @@ ALL_CHECKS = (
 
 
 def span_counts(
-    bars: DataFrame, counters: dict[str, str] | None = None, by: Sequence[str] = ASSET_KEY
+    bars: DataFrame, counters: dict[str, str] | None = None, by: Sequence[str] = ASSET_KEY,
+    aggregates: dict[str, Aggregate] | None = None,
 ) -> DataFrame:
     """One row per asset and span of 16 days that has bars: the mergeable part of `date_spans`.
 
-    Columns: the key, span (null for bars without a date), span_rows, the counters and DAY_ROWS.
-    All but key and span are sums, so counts of parts of the bars add up to those of all of them,
-    wherever the parts were cut.
+    Columns: the key, span (null for bars without a date), span_rows, the counters, the aggregates
+    and DAY_ROWS. All but key, span and aggregates are sums, so counts of parts of the bars add up to
+    those of all of them, wherever the parts were cut; aggregates merge as they say.
     """
     return (
         bars.withColumn("_day", F.expr("unix_date(date)"))
@@ -279,17 +364,24 @@ def span_counts(
         .agg(*[F.expr(e) for e in (
             "count(1) as span_rows",
             *[f"count_if({condition}) as {name}" for name, condition in (counters or {}).items()],
+            *[f"{a.part} as {name}" for name, a in (aggregates or {}).items()],
             *[f"count_if(_day & {SPAN_DAYS - 1} = {i}) as {n}" for i, n in enumerate(DAY_ROWS)],
         )])
     )
 
 
-def merged_counts(counts: DataFrame, by: Sequence[str] = ASSET_KEY) -> DataFrame:
+def merged_counts(
+    counts: DataFrame, by: Sequence[str] = ASSET_KEY,
+    aggregates: dict[str, Aggregate] | None = None,
+) -> DataFrame:
     """Span counts of several parts, or of finer keys, as one row per key and span."""
+    aggregates = aggregates or {}
     sums = [c for c in counts.columns if c.startswith("day_") or c == "span_rows"]
-    sums += [c for c, kind in counts.dtypes
-             if kind == "bigint" and c not in sums and c not in by and c != "span"]
-    return counts.groupBy(*by, "span").agg(*(F.sum(c).alias(c) for c in sums))
+    sums += [c for c, kind in counts.dtypes if kind == "bigint" and c != "span"
+             and c not in sums and c not in by and c not in aggregates]
+    return counts.groupBy(*by, "span").agg(
+        *(F.sum(c).alias(c) for c in sums),
+        *(F.expr(a.merged(name)) for name, a in aggregates.items()))
 
 
 #: Rows of a span on days that have more than one: SQL over its counts. Rows without a date repeat
@@ -359,18 +451,29 @@ def row_counters_of(
     return {n: x for c in runnable for n, x in c.row_counters(settings, columns).items()}
 
 
+def aggregates_of(
+    checks: Sequence[Check], settings: Settings, columns: Sequence[str]
+) -> dict[str, Aggregate]:
+    """The aggregates of the checks that the columns allow."""
+    runnable = [c for c in checks if c.runs_on(columns)]
+    return {n: a for c in runnable for n, a in c.aggregates(settings, columns).items()}
+
+
 def count_by_asset(
     bars: DataFrame, settings: Settings, checks: Sequence[Check] = ALL_CHECKS,
     by: Sequence[str] = ASSET_KEY,
 ) -> DataFrame:
-    """Per asset: total_rows and the counters of the checks the columns allow."""
+    """Per asset: total_rows, and the counters and aggregates of the checks the columns allow."""
     bars = nan_to_null(bars)
     row_counters = row_counters_of(checks, settings, bars.columns)
+    extra = aggregates_of(checks, settings, bars.columns)
     if not any(c.date_counters(settings) for c in checks if c.runs_on(bars.columns)):
         aggregates = ["count(1) as total_rows"]
         aggregates += [f"count_if({condition}) as {n}" for n, condition in row_counters.items()]
+        aggregates += [f"{a.part} as {n}" for n, a in extra.items()]
         return bars.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
-    return count_by_asset_of(span_counts(bars, row_counters, by), settings, checks, bars.columns, by)
+    counts = span_counts(bars, row_counters, by, extra)
+    return count_by_asset_of(counts, settings, checks, bars.columns, by)
 
 
 def count_by_asset_of(
@@ -382,6 +485,7 @@ def count_by_asset_of(
     date_counters = {n: x for c in runnable for n, x in c.date_counters(settings).items()}
     aggregates = ["sum(span_rows) as total_rows"]
     aggregates += [f"sum({n}) as {n}" for n in row_counters_of(checks, settings, columns)]
+    aggregates += [a.merged(n) for n, a in aggregates_of(checks, settings, columns).items()]
     aggregates += [f"{aggregate} as {n}" for n, aggregate in date_counters.items()]
     return spans_of(counts, by).groupBy(*by).agg(*[F.expr(a) for a in aggregates])
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.naming import class_dir
+from barloom.operators.ranking import ranked
 from barloom.schema import ASSET_CLASSES, ASSET_KEY
 
 
@@ -27,6 +28,11 @@ def stored_assets(bars: DataFrame) -> DataFrame:
     return bars.select(*ASSET_KEY).distinct().orderBy("storage_key", "asset_type")
 
 
+def stored_assets_ranked(bars: DataFrame) -> DataFrame:
+    """The assets that have bars with their position in `stored_assets`."""
+    return ranked(bars.select(*ASSET_KEY).distinct(), "storage_key", "asset_type")
+
+
 def class_counts(bars: DataFrame) -> DataFrame:
     """Rows and assets per asset class."""
     return bars.groupBy("asset_type").agg(

@@ -23,6 +23,7 @@ from barloom.operators.checks import (
     SPAN_DAYS,
     Check,
     Settings,
+    aggregates_of,
     count_by_asset_of,
     merged_counts,
     row_counters_of,
@@ -45,12 +46,13 @@ def with_year(bars: DataFrame) -> DataFrame:
 
 def summarise(bars: DataFrame, checks: Sequence[Check] = ALL_CHECKS) -> DataFrame:
     """The summary of bars: asset key, bar_year, span, span_rows, DAY_ROWS, the checks' row counters
-    and `violations`, the bars that break any price rule."""
+    and aggregates, and `violations`, the bars that break any price rule."""
     counters = row_counters_of(checks, _ANY, bars.columns)
     rules = " or ".join(f"({r})" for r in OHLC_RULES.values())
     if set(OHLC_RULES) <= set(counters):
         counters = {**counters, "violations": rules}
-    return span_counts(with_year(nan_to_null(bars)), counters, YEAR_KEY)
+    extra = aggregates_of(checks, _ANY, bars.columns)
+    return span_counts(with_year(nan_to_null(bars)), counters, YEAR_KEY, extra)
 
 
 def summary_verdicts(
@@ -62,10 +64,12 @@ def summary_verdicts(
     Rows of one asset, year and span may lie in several parts of `summary`; they are added up.
     Checks have to be among those it was made with.
     """
-    missing = set(row_counters_of(checks, settings, columns)) - set(summary.columns)
+    extra = aggregates_of(checks, settings, columns)
+    missing = {*row_counters_of(checks, settings, columns), *extra} - set(summary.columns)
     if missing:
         raise ValueError(f"the summary lacks the counters {sorted(missing)}")
-    counted = count_by_asset_of(merged_counts(summary), settings, checks, columns)
+    merged = merged_counts(summary, aggregates=extra)
+    counted = count_by_asset_of(merged, settings, checks, columns)
     return verdicts_of(universe, counted, settings, checks, columns)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ from barloom.sources.snapshot import (
     import_snapshot,
     import_universe,
     sync_status,
+    unlike_fingerprints,
     write_sync_status,
 )
 from barloom.sources.store import BarStore
@@ -67,42 +70,53 @@ def run_discover(site: Site, listing_path: str | None = None) -> DataFrame:
 def run_ingest(
     site: Site, landing: str, fmt: str = "parquet", symbols: str | None = None,
     asset_type: str | None = None, start: date | None = None, end: date | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Takes from the landed files what the selected assets still miss; returns the summary.
 
     A run for all assets, resuming where they are, reads only files that no such run has taken; see
-    `FileLedger`. Other runs read the whole folder.
+    `FileLedger`. Other runs read the whole folder. A run that was given an id and died may be started
+    again with it: it goes on from what it had fetched, and stores and logs nothing twice.
     """
-    run_id = uuid.uuid4().hex
+    spark, named = site.spark, run_id is not None
+    run_id = run_id or uuid.uuid4().hex
+    whole = symbols is None and asset_type is None and start is None
+    ledger = FileLedger(spark, f"{site.catalog.path}/taken_files")
     wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-    known = site.store.last_dates().withColumnRenamed("last_date", "date")
     until = end or site.now.date()
-    plan = resume_plan(wanted, known, until, start)
-
-    whole = symbols is None and asset_type is None and start is None
-    ledger = FileLedger(site.spark, f"{site.catalog.path}/taken_files")
-    scope = scope_of(wanted) if whole else ""
-    arrived = landed_files(site.spark, landing)
-    if whole:
-        arrived = ledger.not_taken(arrived, scope)
-    paths = paths_of(arrived)
-    raw = read_landed(site.spark, paths, fmt) if paths else no_rows(site.spark, RAW_BAR_SCHEMA)
-    landed = with_storage_key(normalize_bars(raw))
 
     # The plan and the chosen rows are needed after the store has changed: fix them first.
-    work = f"{site.catalog.path}/runs/{run_id}"
-    plan.write.parquet(f"{work}/plan")
-    plan = site.spark.read.parquet(f"{work}/plan")
-    select_missing(landed, plan).write.parquet(f"{work}/fetched")
-    fetched = site.spark.read.parquet(f"{work}/fetched")
-
-    touched = site.store.save(fetched)
+    work = f"{site.catalog.path}/runs/{quote(run_id, '')}"
+    if not files.exists(spark, f"{work}/fetched"):
+        scope = scope_of(wanted) if whole else ""
+        arrived = landed_files(spark, landing)
+        if whole:
+            arrived = ledger.not_taken(arrived, scope)
+        paths = paths_of(arrived)
+        raw = read_landed(spark, paths, fmt) if paths else no_rows(spark, RAW_BAR_SCHEMA)
+        known = site.store.last_dates().withColumnRenamed("last_date", "date")
+        plan = resume_plan(wanted, known, until, start)
+        plan.write.mode("overwrite").parquet(f"{work}/plan")
+        plan = spark.read.parquet(f"{work}/plan")
+        landed = with_storage_key(normalize_bars(raw))
+        select_missing(landed, plan).write.mode("overwrite").parquet(f"{work}/rows")
+        if whole and paths:
+            done = read_whole_by(raw, arrived, until)
+            done.write.mode("overwrite").parquet(f"{work}/taken")
+        begun = {"at": site.now.isoformat(), "scope": scope, "files": bool(whole and paths)}
+        files.create_text(spark, f"{work}/fetched", json.dumps(begun))
+    begun = json.loads(files.read_text(spark, f"{work}/fetched"))
+    plan, fetched = spark.read.parquet(f"{work}/plan"), spark.read.parquet(f"{work}/rows")
+
+    mark = {"stream": f"run-{run_id}", "batch": 0} if named else {}
+    touched = site.store.save(fetched, **mark) or site.store.pairs_of(fetched)
     results = with_file_sizes(ingest_results(plan, fetched), site.store.live_files(touched))
     results = written(results, "results")
-    if whole and paths:
-        ledger.take(read_whole_by(raw, arrived, until), scope, run_id)
-    files.remove(site.spark, work)
-    site.catalog.log_downloads(download_log_rows(results), run_id, site.now)
+    if begun["files"]:
+        ledger.take(spark.read.parquet(f"{work}/taken"), begun["scope"], run_id)
+    at = datetime.fromisoformat(begun["at"])
+    site.catalog.log_downloads(download_log_rows(results), run_id, at)
+    files.remove(spark, work)
     return ingest_summary(results)
 
 
@@ -148,9 +162,13 @@ def run_clean(site: Site, symbols: str | None = None) -> DataFrame:
 def run_import(site: Site, path: str, asset_type: str | None = None) -> None:
     """Takes over a snapshot: its assets replace stored ones, its universe the saved one.
 
-    A run that dies leaves the old bars, or the next run finishes its work.
+    The bars are first held against the snapshot's fingerprints. A run that dies leaves the old bars,
+    or the next run finishes its work.
     """
-    site.store.replace(import_snapshot(site.spark, path, [asset_type] if asset_type else None))
+    classes = [asset_type] if asset_type else None
+    if unlike := unlike_fingerprints(site.spark, path, classes).collect():
+        raise ValueError(f"snapshot {path} is incomplete or at work: {unlike[0]}")
+    site.store.replace(import_snapshot(site.spark, path, classes))
     universe = import_universe(site.spark, path)
     if universe is not None:
         site.catalog.write_universe(universe)
@@ -158,7 +176,7 @@ def run_import(site: Site, path: str, asset_type: str | None = None) -> None:
 
 def run_export(site: Site, path: str, repo_id: str) -> None:
     """Writes a snapshot of the bars and the universe with its status document."""
-    export_snapshot(site.store.load(), site.catalog.universe().drop("storage_key"), path)
+    export_snapshot(site.store.bars(), site.catalog.universe().drop("storage_key"), path)
     stats = site.store.class_stats()
     write_sync_status(sync_status(stats, repo_id, site.now), path)
 

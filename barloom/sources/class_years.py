@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from barloom.schema import ASSET_KEY
 from barloom.sources import files
 from barloom.work import no_rows
 
@@ -21,10 +23,14 @@ class ClassYears:
     all it takes to finish.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType,
+        order: Sequence[str] = ("storage_key",),
+    ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self.order = [*PAIR, *order]
 
     def read(self) -> DataFrame:
         try:
@@ -34,22 +40,24 @@ class ClassYears:
                 raise
             return no_rows(self.spark, self.schema)
 
-    def replace(self, rows: DataFrame) -> None:
-        """Puts `rows` in place of all rows of the class-years they have."""
+    def replace(self, rows: DataFrame, gone: Iterable[tuple[str, int]] = ()) -> None:
+        """Puts `rows` in place of all rows of the class-years they have, and removes those `gone`."""
         self.recover()
-        ordered = together(rows.select(*self.schema.names)).sortWithinPartitions(
-            *PAIR, *ASSET_KEY[1:])
+        ordered = together(rows.select(*self.schema.names)).sortWithinPartitions(*self.order)
         ordered.write.mode("overwrite").partitionBy(*PAIR).parquet(f"{self.path}/staged")
-        files.create_text(self.spark, f"{self.path}/complete", "")
+        files.create_text(self.spark, f"{self.path}/complete", json.dumps(sorted(gone)))
         self.recover()
 
     def recover(self) -> None:
         """Finishes a replacement that was staged completely."""
         if not files.exists(self.spark, f"{self.path}/complete"):
             return
+        gone = json.loads(files.read_text(self.spark, f"{self.path}/complete"))
         staged = self.spark.read.schema(self.schema).parquet(f"{self.path}/staged")
-        staged.sortWithinPartitions(*PAIR, *ASSET_KEY[1:]).write.mode("overwrite").option(
+        staged.sortWithinPartitions(*self.order).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy(*PAIR).parquet(f"{self.path}/rows")
+        for kind, year in gone:
+            files.remove(self.spark, f"{self.path}/rows/asset_type={kind}/bar_year={year}")
         files.remove(self.spark, f"{self.path}/complete")
 
 

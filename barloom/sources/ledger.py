@@ -70,8 +70,12 @@ class FileLedger:
             listing.join(self.taken(scope).select(*FILE_KEY), FILE_KEY, "left_anti"), "untaken")
 
     def take(self, listing: DataFrame, scope: str, run_id: str) -> None:
-        """To be called when the files' bars are stored: a run that dies before reads them again."""
-        listing.select(*FILE_KEY, F.lit(scope).alias("scope"), F.lit(run_id).alias("run_id")).write.mode(
+        """To be called when the files' bars are stored: a run that dies before reads them again.
+
+        Files that are there already, from a run that died meanwhile, are not added again.
+        """
+        listing.join(self.taken(scope).select(*FILE_KEY), FILE_KEY, "left_anti").select(
+            *FILE_KEY, F.lit(scope).alias("scope"), F.lit(run_id).alias("run_id")).write.mode(
             "append").parquet(self.path)
 
 

@@ -1,4 +1,4 @@
-"""Small catalog tables on disk: whole-table rewrites for state, appends for logs."""
+"""Small catalog tables on disk: whole-table rewrites for state, logs by day."""
 
 from __future__ import annotations
 
@@ -81,7 +81,14 @@ class Catalog:
 
     # -- logs ----------------------------------------------------------------------------------
 
-    def _append(self, name: str, rows: DataFrame, schema: T.StructType, known_only: bool) -> None:
+    def _append(
+        self, name: str, rows: DataFrame, schema: T.StructType, key: Sequence[str], run_id: str,
+        at: datetime, known_only: bool,
+    ) -> None:
+        """Appends the rows of a run that its day of the log has not got yet.
+
+        So a run that is tried again, with its id and its time, logs what it had not logged before.
+        """
         present = set(rows.columns)
         shaped = rows.select([
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -94,23 +101,35 @@ class Catalog:
                 raise ValueError(
                     f"{unknown['n']} {name} rows name unknown assets, such as {unknown['one']}"
                 )
-        shaped.write.mode("append").parquet(f"{self.path}/{name}")
-
-    def _log(self, name: str, schema: T.StructType) -> DataFrame:
+        day = F.lit(at.date())
+        logged = self._days(name, schema).where((F.col("log_day") == day) & (F.col("run_id") == run_id))
+        catalog.absent_rows(shaped, logged, key).withColumn("log_day", day).write.mode(
+            "append").partitionBy("log_day").parquet(f"{self.path}/{name}")
+
+    def _days(self, name: str, schema: T.StructType) -> DataFrame:
+        """A log with the day that each row is filed under."""
+        filed = T.StructType([*schema.fields, T.StructField("log_day", T.DateType())])
         folder = f"{self.path}/{name}"
         if not files.exists(self.spark, folder):
-            return no_rows(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(folder)
+            return no_rows(self.spark, filed)
+        return self.spark.read.schema(filed).parquet(folder)
+
+    def _log(self, name: str, schema: T.StructType) -> DataFrame:
+        return self._days(name, schema).drop("log_day")
 
     def log_downloads(self, rows: DataFrame, run_id: str, at: datetime) -> None:
-        """Appends ingest rows; run and symbol together identify a row."""
+        """Adds a run's ingest rows, once; run and symbol together identify a row."""
         stamped = rows.withColumns({"run_id": F.lit(run_id), "download_time": F.lit(at)})
-        self._append("download_log", stamped, DOWNLOAD_LOG_SCHEMA, known_only=True)
+        self._append(
+            "download_log", stamped, DOWNLOAD_LOG_SCHEMA, ["run_id", "symbol"], run_id, at,
+            known_only=True)
 
     def log_validation(self, rows: DataFrame, run_id: str, at: datetime) -> None:
-        """Appends validation rows; run, symbol and check together identify a row."""
+        """Adds a run's validation rows, once; run, symbol and check together identify a row."""
         stamped = rows.withColumns({"run_id": F.lit(run_id), "validated_at": F.lit(at)})
-        self._append("validation_log", stamped, VALIDATION_LOG_SCHEMA, known_only=True)
+        self._append(
+            "validation_log", stamped, VALIDATION_LOG_SCHEMA, ["run_id", "symbol", "check_name"],
+            run_id, at, known_only=True)
 
     def download_log(self) -> DataFrame:
         return self._log("download_log", DOWNLOAD_LOG_SCHEMA)

@@ -170,3 +170,23 @@ def test_queries_of_every_form(spark):
     assert query(spark, tables, "select s from t where n = ?", [2]).first()[0] == "b"
     assert query(spark, tables, "values (1), (2)").count() == 2
 
+
+
+def test_a_run_tried_again_is_logged_once(spark, tmp_path):
+    log = Catalog(spark, str(tmp_path / "metadata"))
+    listed = spark.createDataFrame([("A", "EQUITY"), ("B", "EQUITY")], "symbol string, asset_type string")
+    log.write_universe(listed)
+    log.upsert_assets(log.universe().drop("storage_key"), T0)
+    # One asset is listed twice, so its row is there twice, at every try.
+    rows = spark.createDataFrame([("A", 1), ("B", 2), ("B", 2)], "symbol string, rows_downloaded bigint")
+    log.log_downloads(rows.where("symbol = 'A'"), "r1", T0)
+    for run in ("r1", "r1", "r2"):
+        log.log_downloads(rows, run, T0)
+    found = sorted((r.run_id, r.symbol) for r in log.download_log().collect())
+    assert found == [(r, s) for r in ("r1", "r2") for s in ("A", "B", "B")]
+    checks = spark.createDataFrame(
+        [("A", "gaps", "PASSED", ""), ("A", "range", "PASSED", "")],
+        "symbol string, check_name string, status string, details string")
+    for part in (checks.where("check_name = 'gaps'"), checks, checks):
+        log.log_validation(part, "r1", T0)
+    assert sorted(r.check_name for r in log.validation_log().collect()) == ["gaps", "range"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barloom.operators.normalize import normalize_bars
 from barloom.operators.profile import class_stats, coverage_table
 from barloom.operators.report import batch_summary, report_summary
-from barloom.plans.sync import Site, run_clean, run_discover, run_ingest, run_sync, run_validate
+from barloom.plans.sync import Site, run_clean, run_discover, run_import, run_ingest, run_sync, run_validate
 from barloom.sources.landing import RAW_BAR_SCHEMA, landed_schema, read_landed
 from barloom.sources.listings import nse_equities, nse_seed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, import_universe, sync_status
@@ -272,3 +272,49 @@ def test_a_run_leaves_no_working_folders(spark, tmp_path):
     run_validate(site)
     assert not list((tmp_path / "site" / "metadata" / "runs").glob("*"))
     assert not list((tmp_path / "site" / "data" / "staged").glob("*"))
+
+
+@pytest.mark.parametrize("dies", ["save", "with_file_sizes", "log"])
+def test_a_named_run_that_dies_goes_on(spark, tmp_path, monkeypatch, dies):
+    """Killed before it stores, after that, or when it has logged: the second try ends as one run."""
+    landing = str(tmp_path / "landing")
+    land(spark, landing, [raw("TCS", "2024-01-02", "10", 1), raw("TCS", "2024-01-02", "11", 2)], "parquet")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    run_discover(site)
+
+    def dead(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as broken:
+        if dies == "save":
+            broken.setattr(BarStore, "save", dead)
+        elif dies == "with_file_sizes":
+            broken.setattr("barloom.plans.sync.with_file_sizes", dead)
+        else:
+            broken.setattr("barloom.plans.sync.ingest_summary", dead)
+            broken.setattr("barloom.plans.sync.files.remove", dead)
+        with pytest.raises(RuntimeError, match="killed"):
+            run_ingest(site, landing, run_id="nightly/1")
+    # What lands meanwhile is for the next run, as is another day for the log.
+    land(spark, landing + "/more", [raw("INFY", "2024-01-03", "20", 3)], "parquet")
+    later = Site(spark, site.store, site.catalog, datetime(2024, 2, 2, 12))
+    assert run_ingest(later, landing, run_id="nightly/1").first().total_rows == 2
+    # Both bars of the day are kept, as by any first load: the batch was taken once.
+    assert sorted(r.open for r in site.store.load().collect()) == [10.0, 11.0]
+    logged = site.catalog.download_log().where("rows_downloaded > 0").collect()
+    assert [(r.run_id, r.symbol, r.download_time) for r in logged] == [
+        ("nightly/1", "TCS", datetime(2024, 2, 1, 12))]
+    assert logged[0].file_size_bytes > 0
+    every = site.catalog.download_log()
+    assert every.count() == every.select("run_id", "symbol").distinct().count()
+
+
+def test_a_snapshot_at_work_is_not_imported(spark, mixed, tmp_path):
+    path = str(tmp_path / "snapshot")
+    export_snapshot(mixed, None, path)
+    mixed.withColumn("bar_year", F.lit(2024)).write.mode("append").partitionBy(
+        "asset_type", "bar_year").parquet(f"{path}/bars/rows")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    with pytest.raises(ValueError, match="incomplete"):
+        run_import(site, path)
+    assert site.store.load().isEmpty()

@@ -25,10 +25,12 @@ from barloom.operators import (
 )
 from barloom.plans.sync import Site, run_ingest
 from barloom.session import shared_folder
+from barloom.sources import snapshot
 from barloom.sources.class_years import ClassYears
 from barloom.sources.landing import read_landed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
+from barloom.sources.tables import Catalog
 from barloom.streaming.ingest import start_ingest
 from barloom.streaming.validation import CHECKED, start_validation, summaries
 from workload.views import view
@@ -215,14 +217,44 @@ def store_compact(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def snapshot_scoped_sync(spark: SparkSession, sf: str) -> DataFrame:
     """One site exports all classes, another takes over, updates and exports one of them."""
-    snapshot = work_folder(spark, "snapshot_scoped_sync")
-    export_snapshot(view(spark, sf, "raw_bars"), view(spark, sf, "universe"), snapshot)
+    folder = work_folder(spark, "snapshot_scoped_sync")
+    export_snapshot(view(spark, sf, "raw_bars"), view(spark, sf, "universe"), folder)
     store = BarStore(spark, work_folder(spark, "snapshot_scoped_site"))
-    store.replace(import_snapshot(spark, snapshot, ["EQUITY"]))
+    store.replace(import_snapshot(spark, folder, ["EQUITY"]))
     _, arriving = old_and_new(spark, sf)
     store.save(arriving.where("asset_type = 'EQUITY'"))
-    export_snapshot(store.load(), None, snapshot)
-    return import_snapshot(spark, snapshot)
+    export_snapshot(store.bars(), None, folder)
+    return import_snapshot(spark, folder)
+
+
+def _years_of_bars(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """history_bars as a snapshot has them, and as a site has them later: indices of 1995 with other
+    closes, no ETF of 1994 any more, currencies of 1998 for the first time."""
+    bars = view(spark, sf, "history_bars").selectExpr(
+        "*", "cast(null as double) as adj_close",
+        "cast(0 as double) as dividends", "cast(0 as double) as stock_splits",
+        "volume as seq")
+    before = bars.where("not (asset_type = 'FOREX' and year(date) = 1998)")
+    after = bars.where("not (asset_type = 'ETF' and year(date) = 1994)").withColumn("close", F.expr(
+        "if(asset_type = 'INDEX' and year(date) = 1995, close * 2, close)"))
+    return before, after
+
+
+@register
+def snapshot_delta(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_folder(spark, "snapshot_delta")
+    before, after = _years_of_bars(spark, sf)
+    export_snapshot(before, None, folder)
+    return snapshot.snapshot_delta(after, folder)
+
+
+@register
+def snapshot_delta_import(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second export of the class-years that differ leaves to import."""
+    folder = work_folder(spark, "snapshot_delta_import")
+    for bars in _years_of_bars(spark, sf):
+        export_snapshot(bars, None, folder)
+    return import_snapshot(spark, folder)
 
 
 @register
@@ -271,6 +303,21 @@ def repair_log_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- projections and filters -------------------------------------------------------------------
 
+@register
+def log_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that died when it had logged some symbols and was tried again, twice; then another run."""
+    log = Catalog(spark, work_folder(spark, "log_replay"))
+    log.upsert_assets(view(spark, sf, "universe"), NOW)
+    rows = _download_log(spark, sf).join(
+        view(spark, sf, "universe").select("symbol"), "symbol", "left_semi"
+    ).groupBy("symbol").agg(
+        F.sum("rows_downloaded").alias("rows_downloaded"), F.max("status").alias("status"))
+    log.log_downloads(rows.where("cast(symbol as int) % 3 = 0"), "first", NOW)
+    for run in ("first", "first", "second"):
+        log.log_downloads(rows, run, NOW)
+    return log.download_log().select("run_id", "symbol", "rows_downloaded", "status")
+
+
 @register
 def normalize_bars(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.normalize_bars(view(spark, sf, "vendor_bars"))
@@ -599,6 +646,21 @@ def all_assets(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.all_assets(view(spark, sf, "universe"))
 
 
+@register
+def all_assets_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.all_assets_ranked(view(spark, sf, "universe"))
+
+
+@register
+def stored_assets_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.stored_assets_ranked(view(spark, sf, "raw_bars"))
+
+
+@register
+def download_history_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.history_ranked(_download_log(spark, sf), "download_time", "id")
+
+
 @register
 def asset_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.get_asset(view(spark, sf, "universe"), "7")
@@ -680,6 +742,31 @@ def check_range(spark: SparkSession, sf: str) -> DataFrame:
     return flat(_check(spark, sf, "history_bars", checks.DATA_RANGE, HISTORY_AS_OF))
 
 
+@register
+def check_price_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    """In one pass with the gap check; closes of some days are off by a factor of a hundred."""
+    bars = view(spark, sf, "history_bars").withColumn("close", F.expr("""
+        case when cast(symbol as int) % 5 = 0 and day(date) = 1 then close * 200
+             when cast(symbol as int) % 5 in (0, 1) and day(date) = 2 then close / 1000
+             else close end"""))
+    results = checks.run_checks(
+        bars, settings(), [checks.MISSING_TRADING_DAYS, checks.price_outliers(50)])
+    return flat(results.where("check_name = 'price_outliers'"))
+
+
+@register
+def check_stale_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes of a third of the assets take two values; summaries by year are merged first."""
+    bars = view(spark, sf, "history_bars").withColumn("close", F.expr("""
+        case when cast(symbol as int) % 3 = 0 then 100 + month(date) % 2 else close end"""))
+    wanted = [checks.stale_prices()]
+    found = summary.summarise(bars, wanted)
+    merged = checks.merged_counts(found, aggregates=checks.aggregates_of(wanted, settings(), bars.columns))
+    counted = checks.count_by_asset_of(merged, settings(), wanted, bars.columns)
+    outcomes = checks.verdicts_sql(wanted, settings(), bars.columns)
+    return flat(counted.selectExpr(*checks.ASSET_KEY, f"inline({outcomes})"), "distinct_closes")
+
+
 @register
 def checks_without_columns(spark: SparkSession, sf: str) -> DataFrame:
     bars = view(spark, sf, "raw_bars").drop("high", "low", "volume", "date")

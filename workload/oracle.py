@@ -45,6 +45,17 @@ sides as (select *,
   from both_runs)
 """
 
+# Bars as a snapshot has them and as a site has them later.
+YEARS_OF_BARS = ctes("history_bars") + f""",
+years_of_bars as (select *, cast(null as double) as adj_close, cast(0 as double) as dividends,
+    cast(0 as double) as stock_splits, volume as seq, year(date) as bar_year from history_bars),
+before as (select * from years_of_bars where not (asset_type = 'FOREX' and bar_year = 1998)),
+after as (select * replace (
+      case when asset_type = 'INDEX' and bar_year = 1995 then close * 2 else close end as close)
+  from years_of_bars where not (asset_type = 'ETF' and bar_year = 1994)),
+both_sides as (select *, 0 as side from before union all select *, 1 as side from after)
+"""
+
 REPAIR = ctes("raw_bars") + f""",
 marked as (select *, max(case when {VIOLATION} then 1 else 0 end)
     over (partition by {KEY}) as flagged from raw_bars),
@@ -379,6 +390,61 @@ ORACLE: dict[str, str] = {
           || cast(sum(size_bytes) as bigint) || ',"asset_types":{{'
           || string_agg('"' || class || '":{{"files":' || files || ',"size_bytes":' || size_bytes
                || '}}', ',' order by class) || '}}}}}}' as document from stats""",
+    "snapshot_delta": YEARS_OF_BARS + f"""
+        select asset_type, cast(bar_year as integer) as bar_year,
+          case when n_before = 0 then 'new' when n_after = 0 then 'gone' else 'changed' end as change
+        from (select asset_type, bar_year, sum(side) as n_after, sum(1 - side) as n_before
+              from both_sides group by asset_type, bar_year)
+        semi join (select asset_type, bar_year from (
+            (select * exclude (side) from both_sides where side = 0
+             except all select * exclude (side) from both_sides where side = 1)
+            union all
+            (select * exclude (side) from both_sides where side = 1
+             except all select * exclude (side) from both_sides where side = 0))) as differing
+          using (asset_type, bar_year)""",
+    "snapshot_delta_import": YEARS_OF_BARS + f"select {ALL} from after",
+    "all_assets_ranked": ctes("universe") + """
+        select *, row_number() over (order by symbol) as position from universe""",
+    "stored_assets_ranked": ctes("raw_bars") + f"""
+        select {KEY}, row_number() over (order by storage_key, asset_type) as position
+        from (select distinct {KEY} from raw_bars)""",
+    "download_history_ranked": ctes("download_results") + f""", {DOWNLOAD_LOG}
+        select *, row_number() over (order by symbol, download_time desc, id) as position
+        from download_log""",
+    "log_replay": ctes("universe", "download_results") + f""", {DOWNLOAD_LOG},
+        logged as (select symbol, cast(sum(rows_downloaded) as bigint) as rows_downloaded,
+            max(status) as status
+          from download_log semi join universe using (symbol) group by symbol)
+        select run_id, symbol, rows_downloaded, status
+        from logged cross join (values ('first'), ('second')) as runs(run_id)""",
+    "check_price_outliers": ctes("history_bars") + f""",
+        odd as (select {KEY}, case
+              when cast(symbol as int) % 5 = 0 and day(date) = 1 then close * 200
+              when cast(symbol as int) % 5 in (0, 1) and day(date) = 2 then close / 1000
+              else close end as close
+          from history_bars),
+        extremes as (select {KEY}, max(close) > 50 * avg(close) as high,
+            min(close) * 50 < avg(close) as low from odd group by {KEY})
+        select {KEY}, 'price_outliers' as check_name,
+          case when high or low then 'WARNING' else 'PASSED' end as status,
+          case when high and low then 'Closes far above and below the mean'
+               when high then 'Highest close far above the mean'
+               when low then 'Lowest close far below the mean'
+               else 'All closes near the mean' end as message,
+          cast(high as bigint) + cast(low as bigint) as rows_affected
+        from extremes""",
+    "check_stale_prices": ctes("history_bars") + f""",
+        flat as (select {KEY}, count(*) as n, count(distinct case
+              when cast(symbol as int) % 3 = 0 then 100 + month(date) % 2 else close end) as n_closes
+          from history_bars where close is not null group by {KEY}),
+        stale as (select *, n >= 10 and n_closes <= 2 as is_stale from flat)
+        select {KEY}, 'stale_prices' as check_name,
+          case when is_stale then 'WARNING' else 'PASSED' end as status,
+          case when is_stale then 'Found ' || n_closes || ' distinct closes'
+               else 'Closes change' end as message,
+          case when is_stale then n else 0 end as rows_affected,
+          case when is_stale then n_closes end as detail_distinct_closes
+        from stale""",
     "asset_type_counts": ctes("universe") + """ select coalesce(asset_type, 'TOTAL') as asset_type,
         count(*) as asset_count from universe group by rollup (asset_type)""",
     "count_assets": "select count(*) as total_assets from customer",
