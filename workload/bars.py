@@ -25,13 +25,15 @@ from barloom.operators import (
 )
 from barloom.plans.sync import Site, run_ingest
 from barloom.session import shared_folder
-from barloom.sources import snapshot
+from barloom.sources import footers, layout, snapshot
 from barloom.sources.class_years import ClassYears
 from barloom.sources.landing import read_landed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
 from barloom.sources.tables import Catalog
 from barloom.streaming.ingest import start_ingest
+from barloom.streaming.status import newest_panes, start_status
+from barloom.streaming.status import status_by_hour as rolling_status
 from barloom.streaming.validation import CHECKED, start_validation, summaries
 from workload.views import view
 
@@ -95,6 +97,15 @@ def scan_date_range(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, sf, "scan_date_range").load(date(2024, 1, 10), date(2024, 1, 20))
 
 
+@register
+def scan_asset_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars of two assets in two weeks, out of all bars in Z-order of asset and day."""
+    folder = f"{work_folder(spark, 'scan_asset_range')}/bars"
+    layout.write_interleaved(view(spark, sf, "raw_bars"), folder)
+    return layout.scan_asset_range(
+        spark, folder, ["8", "15"], date(2024, 1, 8), date(2024, 1, 21), "EQUITY")
+
+
 @register
 def scan_universe(spark: SparkSession, sf: str) -> DataFrame:
     return universe.complete_universe(
@@ -444,6 +455,18 @@ def store_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return store.row_counts(view(spark, sf, "universe")).select("symbol", "asset_type", "row_count")
 
 
+@register
+def class_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    store = stored(spark, sf, "class_row_counts")
+    return footers.class_row_counts(spark, f"{store.path}/bars")
+
+
+@register
+def class_last_dates(spark: SparkSession, sf: str) -> DataFrame:
+    store = stored(spark, sf, "class_last_dates")
+    return footers.class_last_dates(spark, f"{store.path}/bars")
+
+
 @register
 def class_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.class_counts(view(spark, sf, "raw_bars"))
@@ -526,6 +549,21 @@ def status_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summary.withColumns(classes).drop("asset_type_counts")
 
 
+@register
+def status_by_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """The log lands in two parts; the second brings a tenth of the older rows late."""
+    folder = work_folder(spark, "status_by_hour")
+    log = _download_log(spark, sf)
+    first = (F.col("download_time") < F.lit(datetime(2024, 1, 20))) & (F.col("id") % 10 != 0)
+    for part in (log.where(first), log.where(~first)):
+        part.write.mode("append").parquet(f"{folder}/log")
+        start_status(
+            spark, f"{folder}/log", log.schema, f"{folder}/panes", f"{folder}/checkpoint",
+            name=f"status-{uuid.uuid4().hex}",
+        ).awaitTermination()
+    return rolling_status(newest_panes(spark, f"{folder}/panes"))
+
+
 def _raw_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.validation_report(
         view(spark, sf, "universe"), view(spark, sf, "raw_bars"), settings()

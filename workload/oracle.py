@@ -390,6 +390,9 @@ ORACLE: dict[str, str] = {
           || cast(sum(size_bytes) as bigint) || ',"asset_types":{{'
           || string_agg('"' || class || '":{{"files":' || files || ',"size_bytes":' || size_bytes
                || '}}', ',' order by class) || '}}}}}}' as document from stats""",
+    "scan_asset_range": ctes("raw_bars") + f""" select {ALL} from raw_bars
+        where asset_type = 'EQUITY' and storage_key in ('8', '15')
+          and date between date '2024-01-08' and date '2024-01-21'""",
     "snapshot_delta": YEARS_OF_BARS + f"""
         select asset_type, cast(bar_year as integer) as bar_year,
           case when n_before = 0 then 'new' when n_after = 0 then 'gone' else 'changed' end as change
@@ -458,6 +461,19 @@ ORACLE: dict[str, str] = {
           (select count(*) from download_log
            where download_time > timestamp '2024-01-29 12:00:00') as recent_downloads_24h,
           (select count(*) from download_log where status = 'error') as total_failed_downloads""",
+    "status_by_hour": ctes("download_results") + f""", {DOWNLOAD_LOG},
+        landed as (select *, download_time < timestamp '2024-01-20 00:00:00' and id % 10 <> 0 as is_first,
+            date_trunc('hour', download_time) as hour from download_log),
+        known_until as (select max(download_time) - interval 3 days as until from landed where is_first),
+        taken as (select landed.* from landed, known_until
+          where is_first or until is null or hour + interval 1 hour > until)
+        select hour + to_hours(cast(k as integer)) as window_end, count(*) as downloads,
+          count(*) filter (where status = 'error') as failed
+        from taken cross join range(1, 25) as hours(k) group by 1""",
+    "class_row_counts": ctes("raw_bars") + """
+        select asset_type, count(*) as row_count from raw_bars group by asset_type""",
+    "class_last_dates": ctes("raw_bars") + """
+        select asset_type, max(date) as last_date from raw_bars group by asset_type""",
     "validation_report": report("raw_bars", "2024-01-25") + "select * from report",
     "validation_report_incremental": report("history_bars", "2001-01-01") + "select * from report",
     "validation_report_history": report("history_bars", "2001-01-01") + "select * from report",
