@@ -82,12 +82,13 @@ def export_snapshot(
              for r in snapshot_delta(bars, path).collect()}  # at most classes times calendar years
     gone = {pair for pair, change in delta.items() if change == "gone"}
     if delta:
-        chosen = _dated(bars).where(among(delta.keys() - gone))
+        hit = among(delta.keys() - gone)
         # Until the new bars are in place, these class-years are like no others.
         open_marks = [(*pair, None, None, None) for pair in sorted(delta)]
         marks.replace(spark.createDataFrame(open_marks, MARKS_SCHEMA))
-        rows.replace(chosen, gone)
-        marks.replace(fingerprints(chosen), gone)
+        rows.replace(_dated(bars).where(hit), gone)
+        # Of what lies there now: bars that changed meanwhile differ from it at the next export.
+        marks.replace(fingerprints(rows.read().where(hit)), gone)
     if universe is not None:
         _write_universe(universe, path)
     return sorted(delta)

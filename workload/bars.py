@@ -28,6 +28,7 @@ from barloom.session import shared_folder
 from barloom.sources import footers, layout, snapshot
 from barloom.sources.class_years import ClassYears
 from barloom.sources.landing import read_landed
+from barloom.sources.listings import nse_equities
 from barloom.sources.snapshot import export_snapshot, import_snapshot, sync_status
 from barloom.sources.store import BarStore
 from barloom.sources.tables import Catalog
@@ -118,6 +119,35 @@ def parse_listing(spark: SparkSession, sf: str) -> DataFrame:
     return universe.parse_listing(view(spark, sf, "listing_text"))
 
 
+@register
+def listing_from_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing as CSV files, read in place of the seed list."""
+    folder = work_folder(spark, "listing_from_file")
+    spaces = {f"ignore{side}WhiteSpace": False for side in ("Leading", "Trailing")}
+    view(spark, sf, "listing_text").write.options(header=True, escape='"', **spaces).csv(folder)
+    return nse_equities(spark, folder)
+
+
+@register
+def universe_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Saved, and saved again with other names: the newest one counts."""
+    site = Catalog(spark, work_folder(spark, "universe_roundtrip"))
+    assets = view(spark, sf, "universe").drop("storage_key")
+    site.write_universe(assets.withColumn("name", F.lit("old")))
+    site.write_universe(assets)
+    return site.universe()
+
+
+@register
+def report_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A saved report; one without rows leaves it as it was."""
+    site = Catalog(spark, work_folder(spark, "report_file"))
+    found = _raw_report(spark, sf)
+    site.write_report(found, NOW)
+    site.write_report(found.limit(0), NOW)
+    return site.report()
+
+
 @register
 def seed_index_exchange(spark: SparkSession, sf: str) -> DataFrame:
     names = view(spark, sf, "odd_symbols")
@@ -240,13 +270,13 @@ def snapshot_scoped_sync(spark: SparkSession, sf: str) -> DataFrame:
 
 def _years_of_bars(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """history_bars as a snapshot has them, and as a site has them later: indices of 1995 with other
-    closes, no ETF of 1994 any more, currencies of 1998 for the first time."""
+    closes, no ETF of 1990 any more, currencies of 1998 for the first time."""
     bars = view(spark, sf, "history_bars").selectExpr(
         "*", "cast(null as double) as adj_close",
         "cast(0 as double) as dividends", "cast(0 as double) as stock_splits",
         "volume as seq")
     before = bars.where("not (asset_type = 'FOREX' and year(date) = 1998)")
-    after = bars.where("not (asset_type = 'ETF' and year(date) = 1994)").withColumn("close", F.expr(
+    after = bars.where("not (asset_type = 'ETF' and year(date) = 1990)").withColumn("close", F.expr(
         "if(asset_type = 'INDEX' and year(date) = 1995, close * 2, close)"))
     return before, after
 

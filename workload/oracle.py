@@ -52,7 +52,7 @@ years_of_bars as (select *, cast(null as double) as adj_close, cast(0 as double)
 before as (select * from years_of_bars where not (asset_type = 'FOREX' and bar_year = 1998)),
 after as (select * replace (
       case when asset_type = 'INDEX' and bar_year = 1995 then close * 2 else close end as close)
-  from years_of_bars where not (asset_type = 'ETF' and bar_year = 1994)),
+  from years_of_bars where not (asset_type = 'ETF' and bar_year = 1990)),
 both_sides as (select *, 0 as side from before union all select *, 1 as side from after)
 """
 
@@ -260,6 +260,13 @@ ORACLE: dict[str, str] = {
         select * replace ({TICKER} as yfinance_ticker) from typed""",
     "parse_listing": ctes("listing_text") + f""", {PARSED}
         select * replace (symbol || '.NS' as yfinance_ticker) from parsed""",
+    "listing_from_file": ctes("listing_text") + f""", {PARSED}
+        select * replace (symbol || '.NS' as yfinance_ticker) from parsed""",
+    "universe_roundtrip": ctes("universe") + f"""
+        select * replace ({TICKER} as yfinance_ticker) from universe""",
+    "report_file": report("raw_bars", "2024-01-25") + """
+        select symbol, total_rows, check_name, status, message, rows_affected,
+          '2024-01-30T12:00:00' as validated_at from report""",
     "seed_index_exchange": ctes("odd_symbols") + """ select id, name,
         case when name like '%NSE%' then 'NSE' else 'BSE' end as exchange from odd_symbols""",
     "snapshot_subset": ctes("raw_bars") + f""" select {ALL} from raw_bars
