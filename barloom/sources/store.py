@@ -75,7 +75,7 @@ class BarStore:
 
         Class and date bounds prune directories, storage keys and dates prune row groups.
         """
-        bars = self.bars()
+        bars = self._bars()
         if start is not None:
             bars = bars.where(F.col("bar_year") >= start.year)
         if end is not None:
@@ -85,6 +85,10 @@ class BarStore:
         bars = filter_dates(scoped(bars, asset_type, storage_keys), start, end)
         return bars.select(*BAR_SCHEMA.fieldNames(), "seq", *ASSET_KEY)
 
+    def bars(self) -> DataFrame:
+        """All stored bars with `bar_year`, by which readers can prune directories."""
+        return self._bars()
+
     def summary(
         self, asset_type: str | None = None, storage_keys: Iterable[str] | None = None,
     ) -> DataFrame:
@@ -168,7 +172,7 @@ class BarStore:
             known = self._known(arriving, {kind for kind, _ in pairs})
             # An asset's old repeats go too, in whatever year they are.
             hit = pairs | self._pairs_of(known.where("repeated_rows > 0"))
-        everything = self.bars(hit).withColumn("_batch", F.lit(0)).unionByName(
+        everything = self._bars(hit).withColumn("_batch", F.lit(0)).unionByName(
             fresh.withColumn("_batch", F.lit(1)))
         if dedupe_first_load:
             everything = dedupe_assets(everything, written(arriving, "touched"), ["_batch", "seq"])
@@ -185,7 +189,7 @@ class BarStore:
         if pairs:
             gone = written(fresh.select(*ASSET_KEY).distinct(), "replaced")
             hit = pairs | self._pairs_of(self._known(gone, {kind for kind, _ in pairs}))
-            self._change(hit, delete_assets(self.bars(hit), gone).unionByName(fresh))
+            self._change(hit, delete_assets(self._bars(hit), gone).unionByName(fresh))
         return sorted(pairs)
 
     def delete(self, assets: DataFrame) -> DataFrame:
@@ -201,7 +205,7 @@ class BarStore:
             wanted.join(existing, ASSET_KEY, "left").withColumn(
                 "existed", F.coalesce("existed", F.lit(False))), "deleted")
         if hit := self._pairs_of(known):
-            self._change(hit, delete_assets(self.bars(hit), outcome.where("existed")))
+            self._change(hit, delete_assets(self._bars(hit), outcome.where("existed")))
         return outcome
 
     def clean(self, assets: DataFrame | None = None) -> DataFrame:
@@ -224,7 +228,7 @@ class BarStore:
         affected = years.join(flagged, ASSET_KEY, "left_semi")
         repeats = affected.where("repeated_rows > 0").select(*ASSET_KEY).distinct()
         if hit := self._pairs_of(affected.where("violations + open_ended + repeated_rows > 0")):
-            cleaned = repair_ohlc(self.bars(hit), flagged, has_nan=False)
+            cleaned = repair_ohlc(self._bars(hit), flagged, has_nan=False)
             if not repeats.isEmpty():
                 cleaned = dedupe_assets(cleaned, written(repeats, "repeats"), ["seq"])
             self._change(hit, cleaned)
@@ -238,7 +242,7 @@ class BarStore:
             F.regexp_extract("file_path", r"bar_year=(\d+)/", 1).cast("int").alias("bar_year"),
         ).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= at_least)
         if hit := self._pairs_of(crowded):
-            self._change(hit, self.bars(hit))
+            self._change(hit, self._bars(hit))
         return len(hit)
 
     # -- changes -------------------------------------------------------------------------------
@@ -302,7 +306,7 @@ class BarStore:
                 raise
             return no_rows(self.spark, schema)
 
-    def bars(self, pairs: Iterable[Pair] | None = None) -> DataFrame:
+    def _bars(self, pairs: Iterable[Pair] | None = None) -> DataFrame:
         bars = self._table("bars", READ_SCHEMA)
         return bars if pairs is None else bars.where(among(pairs))
 
