@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 from urllib.parse import quote
@@ -127,32 +128,65 @@ def chosen_keys(wanted: DataFrame, symbols: str | None) -> set[str] | None:
     return {r["storage_key"] for r in wanted.select("storage_key").distinct().collect()}
 
 
+def _fixed(
+    site: Site, run_id: str | None, kind: str, rows: Callable[[], DataFrame],
+) -> tuple[DataFrame, datetime]:
+    """What a run works on, and its time: those of its first try, if it was given an id."""
+    if run_id is None:
+        return written(rows(), kind), site.now
+    spark, work = site.spark, _work(site, run_id, kind)
+    if not files.exists(spark, f"{work}/begun"):
+        rows().write.mode("overwrite").parquet(f"{work}/rows")
+        files.create_text(spark, f"{work}/begun", site.now.isoformat())
+    at = datetime.fromisoformat(files.read_text(spark, f"{work}/begun"))
+    return written(spark.read.parquet(f"{work}/rows"), kind), at
+
+
+def _work(site: Site, run_id: str, kind: str) -> str:
+    return f"{site.catalog.path}/runs/{kind}-{quote(run_id, '')}"
+
+
 def run_validate(
     site: Site, symbols: str | None = None, asset_type: str | None = None,
-    save_report: bool = True,
+    save_report: bool = True, run_id: str | None = None,
 ) -> DataFrame:
     """Validates the selected assets that have bars, logs the results, returns the report.
 
-    The stored summaries tell which assets have bars and how they fare; no bars are read.
+    The stored summaries tell which assets have bars and how they fare; no bars are read. A run that
+    was given an id and died may be started again with it: it logs the rest of what it had found.
     """
-    run_id = uuid.uuid4().hex
-    wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
-    verdicts = site.store.verdicts(
-        wanted, Settings(as_of=site.now.date()), asset_type, chosen_keys(wanted, symbols)
-    ).where("total_rows > 0")
-    report = written(report_of(verdicts), "report")
-    site.catalog.log_validation(validation_log_rows(report), run_id, site.now)
+    def found() -> DataFrame:
+        wanted = filter_asset_type(filter_symbols(site.catalog.universe(), symbols), asset_type)
+        return report_of(site.store.verdicts(
+            wanted, Settings(as_of=site.now.date()), asset_type, chosen_keys(wanted, symbols)
+        ).where("total_rows > 0"))
+
+    report, at = _fixed(site, run_id, "report", found)
+    site.catalog.log_validation(validation_log_rows(report), run_id or uuid.uuid4().hex, at)
     if save_report:
-        site.catalog.write_report(report, site.now)
+        site.catalog.write_report(report, at)
+    if run_id is not None:
+        files.remove(site.spark, _work(site, run_id, "report"))
     return report
 
 
-def run_clean(site: Site, symbols: str | None = None) -> DataFrame:
-    """Repairs the selected universe assets, logs each repair, returns one summary row."""
-    run_id = uuid.uuid4().hex
+def run_clean(site: Site, symbols: str | None = None, run_id: str | None = None) -> DataFrame:
+    """Repairs the selected universe assets, logs each repair, returns one summary row.
+
+    A run that was given an id and died may be started again with it: it repairs the assets it had
+    found and logs them once, as run `<id>/clean`, whether or not the bars had been repaired by
+    then. Assets that became damaged meanwhile are for the next run.
+    """
     wanted = filter_symbols(site.catalog.universe(), symbols)
-    repaired = site.store.clean(wanted)
-    site.catalog.log_validation(repair_log(repaired, wanted), run_id, site.now)
+    if run_id is None:
+        repaired, at = site.store.clean(wanted), site.now
+    else:
+        repaired, at = _fixed(site, run_id, "repairs", lambda: site.store.repairs(wanted))
+        site.store.clean(repaired)
+    logged_as = uuid.uuid4().hex if run_id is None else f"{run_id}/clean"
+    site.catalog.log_validation(repair_log(repaired, wanted), logged_as, at)
+    if run_id is not None:
+        files.remove(site.spark, _work(site, run_id, "repairs"))
     return repaired.agg(
         F.coalesce(F.sum("repaired_rows"), F.lit(0)).cast("bigint").alias("repaired_rows"),
         F.count(F.lit(1)).alias("repaired_assets"),

@@ -216,14 +216,8 @@ class BarStore:
         class-years that have something to repair, to fill or to drop.
         """
         self.recover()
-        summary = self.summary()
-        if assets is not None:
-            scope = written(assets.select(*ASSET_KEY).distinct(), "scope")
-            summary = summary.join(scope, ASSET_KEY, "left_semi")
-        years = written(summary_years(summary), "years")
-        repaired = written(
-            years.groupBy(*ASSET_KEY).agg(F.sum("violations").alias("repaired_rows"))
-            .where("repaired_rows > 0"), "repaired")
+        years = self._damage(assets)
+        repaired = written(_to_repair(years), "repaired")
         flagged = repaired.select(*ASSET_KEY)
         affected = years.join(flagged, ASSET_KEY, "left_semi")
         repeats = affected.where("repeated_rows > 0").select(*ASSET_KEY).distinct()
@@ -234,6 +228,19 @@ class BarStore:
             self._change(hit, cleaned)
         return repaired
 
+    def repairs(self, assets: DataFrame | None = None) -> DataFrame:
+        """The assets that `clean` would repair now, with their number of bars to repair."""
+        self.recover()
+        return _to_repair(self._damage(assets))
+
+    def _damage(self, assets: DataFrame | None) -> DataFrame:
+        """What is wrong with the class-years of all assets, or of the given ones."""
+        summary = self.summary()
+        if assets is not None:
+            scope = written(assets.select(*ASSET_KEY).distinct(), "scope")
+            summary = summary.join(scope, ASSET_KEY, "left_semi")
+        return written(summary_years(summary), "years")
+
     def compact(self, at_least: int = 2) -> int:
         """Lays out anew every class-year that has `at_least` files or more; how many."""
         self.recover()
@@ -330,6 +337,11 @@ class BarStore:
         return pairs
 
 
+def _to_repair(years: DataFrame) -> DataFrame:
+    return years.groupBy(*ASSET_KEY).agg(F.sum("violations").alias("repaired_rows")).where(
+        "repaired_rows > 0")
+
+
 def scoped(
     rows: DataFrame, asset_type: str | None, storage_keys: Iterable[str] | None
 ) -> DataFrame:

@@ -27,6 +27,10 @@ from barloom.sources import files
 from barloom.work import no_rows
 
 
+#: Versions of a state table that are left beside the newest, for readers that opened them.
+KEPT_VERSIONS = 2
+
+
 class Catalog:
     """Universe, assets, download log and validation log under one folder; one writer at a time."""
 
@@ -44,6 +48,8 @@ class Catalog:
         begun = files.matching(self.spark, f"{self.path}/{name}/version=*")
         number = int(begun[-1].rsplit("=", 1)[1]) + 1 if begun else 1
         content.write.parquet(f"{self.path}/{name}/version={number:010d}")
+        for old in begun[:-KEPT_VERSIONS]:
+            files.remove(self.spark, old)
 
     def _state(self, name: str, schema: T.StructType) -> DataFrame:
         folder = self._newest(name)

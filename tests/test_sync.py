@@ -16,6 +16,7 @@ from barloom.sources.landing import RAW_BAR_SCHEMA, landed_schema, read_landed
 from barloom.sources.listings import nse_equities, nse_seed
 from barloom.sources.snapshot import export_snapshot, import_snapshot, import_universe, sync_status
 from barloom.sources.store import BarStore
+from barloom.sources.tables import Catalog
 from barloom.streaming.ingest import start_ingest
 from sample import bar
 from test_brute_force import content
@@ -309,6 +310,49 @@ def test_a_named_run_that_dies_goes_on(spark, tmp_path, monkeypatch, dies):
     assert every.count() == every.select("run_id", "symbol").distinct().count()
 
 
+@pytest.mark.parametrize("dies", ["change", "log"])
+def test_a_named_validation_and_clean_that_die_go_on(spark, tmp_path, monkeypatch, dies):
+    landing = str(tmp_path / "landing")
+    broken = raw("TCS", "2024-01-02", 10.0, 1)
+    land(spark, landing, [(*broken[:2], "5.0", *broken[3:]), raw("WIPRO", "2024-01-02", 1.0, 2)], "parquet")
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    run_discover(site)
+    run_ingest(site, landing)
+    later = Site(spark, site.store, site.catalog, datetime(2024, 2, 2, 12))
+
+    def dead(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    for run in (run_validate, run_clean):
+        with monkeypatch.context() as faulty:
+            if dies == "log":
+                faulty.setattr(Catalog, "log_validation", dead)
+            elif run is run_clean:
+                faulty.setattr(BarStore, "_overwrite", dead)
+            else:
+                faulty.setattr("barloom.plans.sync.validation_log_rows", dead)
+            with pytest.raises(RuntimeError, match="killed"):
+                run(site, run_id="nightly/1")
+    # The second tries have the first ones' findings and time; a third finds nothing new to log.
+    assert run_validate(later, run_id="nightly/1").where("status = 'FAILED'").count() == 1
+    assert tuple(run_clean(later, run_id="nightly/1").first()) == (1, 1)
+    log = site.catalog.validation_log()
+    assert log.where("details like 'Repaired 1 %'").count() == 1
+    assert {r.validated_at for r in log.collect()} == {datetime(2024, 2, 1, 12)}
+    assert site.store.load().where("low > open").count() == 0
+    assert tuple(run_clean(later, run_id="nightly/2").first()) == (0, 0)
+    assert not list((tmp_path / "site" / "metadata" / "runs").glob("*"))
+
+
+def test_old_versions_go(spark, tmp_path):
+    site = Site.at(spark, str(tmp_path / "site"), datetime(2024, 2, 1, 12))
+    for _ in range(5):
+        run_discover(site)
+    kept = sorted(p.name for p in (tmp_path / "site" / "metadata" / "universe").glob("version=*"))
+    assert kept == [f"version={n:010d}" for n in (3, 4, 5)]
+    assert site.catalog.universe().count() == site.catalog.assets().count() > 0
+
+
 def test_a_snapshot_at_work_is_not_imported(spark, mixed, tmp_path):
     path = str(tmp_path / "snapshot")
     export_snapshot(mixed, None, path)

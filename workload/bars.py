@@ -23,7 +23,7 @@ from barloom.operators import (
     summary,
     universe,
 )
-from barloom.plans.sync import Site, run_ingest
+from barloom.plans.sync import Site, run_clean, run_ingest, run_validate
 from barloom.session import shared_folder
 from barloom.sources import footers, layout, snapshot
 from barloom.sources.class_years import ClassYears
@@ -225,6 +225,22 @@ def ingest_new_files(spark: SparkSession, sf: str) -> DataFrame:
     return site.store.load()
 
 
+@register
+def runs_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a validation and a clean that were each run twice under one id."""
+    folder = work_folder(spark, "runs_replay")
+    site = Site.at(spark, folder, datetime(2024, 1, 25, 12))
+    assets = view(spark, sf, "universe")
+    site.catalog.write_universe(assets)
+    site.catalog.upsert_assets(assets.withColumn("listed", F.lit(0)), NOW, order="listed")
+    site.store.save(view(spark, sf, "raw_bars"))
+    for _ in range(2):
+        run_validate(site, run_id="first")
+        run_clean(site, run_id="first")
+    return site.catalog.validation_log().select(
+        "run_id", "symbol", "check_name", "status", "details")
+
+
 @register
 def stream_validation(spark: SparkSession, sf: str) -> DataFrame:
     """The report on all bars that landed, from summaries that a stream kept over two landings."""

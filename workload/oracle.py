@@ -316,6 +316,14 @@ ORACLE: dict[str, str] = {
     "validation_log_rows": report("raw_bars", "2024-01-25") + """
         select symbol, check_name, status, message as details from report
         where check_name <> 'data_exists'""",
+    "runs_replay": report("raw_bars", "2024-01-25") + f""",
+        hits as (select {KEY}, count(*) as n from raw_bars where {VIOLATION} group by {KEY})
+        select 'first' as run_id, symbol, check_name, status, message as details from report
+        where check_name <> 'data_exists'
+        union all
+        select 'first/clean', symbol, 'ohlc_consistency', 'PASSED',
+          'Repaired ' || n || ' OHLC consistency violations'
+        from universe join hits using ({KEY})""",
     "repair_log_rows": ctes("raw_bars", "universe") + f""",
         hits as (select {KEY}, count(*) as n from raw_bars where {VIOLATION} group by {KEY})
         select symbol, 'ohlc_consistency' as check_name, 'PASSED' as status,
