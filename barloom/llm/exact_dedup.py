@@ -8,7 +8,9 @@ snapshot itself: its distinct texts by digest, and its filters.
 Copies are combined on the map side before any shuffle, so a text that a third of the rows share
 arrives as one row a task. Joins with whole texts are merge joins at every size, and their key sides
 bare tables, so heavy keys are split. Filters are built and asked for one shard of the digests at a time, and
-their number grows with the snapshot.
+their number grows with the snapshot; a batch that is larger than the snapshot asks in pieces.
+
+`screen` holds a new batch against snapshots that `save` left in folders, in whatever session.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.binary_fuse import build, may_contain
 from barloom.llm.common import SPACE, free_names, matching_rows, whole
+from barloom.sources import files
 from barloom.work import written
 
 Digest = Callable[[Column], Column]
@@ -86,9 +89,31 @@ def seal(texts: DataFrame) -> Snapshot:
     return Snapshot(texts, written(filters, "filters"), shards)
 
 
+def save(snapshot: Snapshot, folder: str) -> None:
+    """Keeps a snapshot in `folder`. Snapshots don't change: one that is complete is an error."""
+    spark = snapshot.texts.sparkSession
+    if files.exists(spark, f"{folder}/filters/_SUCCESS"):
+        raise FileExistsError(folder)
+    snapshot.texts.write.mode("overwrite").parquet(f"{folder}/texts")
+    # The filters come last: a folder without them is one that a writer left when it died.
+    snapshot.filters.withColumn("shards", F.lit(snapshot.shards)).write.mode("overwrite").parquet(
+        f"{folder}/filters")
+
+
+def load(spark: SparkSession, folder: str) -> Snapshot:
+    """The snapshot that `save` left in `folder`."""
+    if not files.exists(spark, f"{folder}/filters/_SUCCESS"):
+        raise FileNotFoundError(f"no complete snapshot in {folder}")
+    filters = spark.read.parquet(f"{folder}/filters")
+    one = filters.select("shards").first()
+    return Snapshot(
+        spark.read.parquet(f"{folder}/texts"), filters.drop("shards"), one["shards"] if one else 1)
+
+
 def screened(digests: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """The rows of distinct `digests` that the snapshot's filters can't rule out."""
+    """The rows of distinct, written `digests` that the snapshot's filters can't rule out."""
     columns = digests.columns
+    pieces = max(1, round(digests.count() / (snapshot.shards * SHARD_KEYS)))
 
     def one(rows: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or filters.empty:
@@ -98,8 +123,54 @@ def screened(digests: DataFrame, snapshot: Snapshot) -> DataFrame:
 
     keyed = digests.select(
         "*", _shard(snapshot.shards).alias("shard"), F.xxhash64(F.lit(1), "digest").alias("_key"))
-    return keyed.groupBy("shard").cogroup(snapshot.filters.groupBy("shard")).applyInPandas(
-        one, digests.schema)
+    by, filters = ["shard"], snapshot.filters
+    if pieces > 1:
+        # The digests of a shard are more than a group should hold; each piece gets the filter.
+        by = ["shard", "_piece"]
+        keyed = keyed.withColumn("_piece", F.pmod(F.xxhash64(F.lit(2), "digest"), F.lit(pieces)))
+        filters = filters.withColumn(
+            "_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
+    return keyed.groupBy(*by).cogroup(filters.groupBy(*by)).applyInPandas(one, digests.schema)
+
+
+def _verified(texts: DataFrame, hits: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """The keys of those distinct `texts` among the `hits` that are byte for byte in the snapshot."""
+    positive = texts.join(hits, KEY, "left_semi").alias("positive")
+    bucket = snapshot.texts.hint("merge").alias("bucket")
+    same = positive.join(bucket, F.col("positive.digest") == F.col("bucket.digest")).where(
+        F.col("positive.body") == F.col("bucket.body"))
+    return written(same.select("positive.digest", "positive.check"), "matched")
+
+
+def screen(
+    docs: DataFrame, snapshots: list[Snapshot], digest: Digest = sha256,
+) -> tuple[DataFrame, Snapshot]:
+    """A new batch against stored snapshots, and the snapshot of the texts that only it has.
+
+    One row for each row of `docs`: doc_id, digest, n_chars, group_size (its copies within the
+    batch, itself included), seen (a snapshot has the text) and kept (not seen, and the best row of
+    its group; see `decisions`). The snapshots must have been made with the same digest. Null texts
+    count as empty; an empty batch gives no rows and a snapshot without texts.
+    """
+    docs = docs.select("doc_id", "text")
+    rows = written(
+        with_digests(docs, digest).drop("body").withColumn("row", F.monotonically_increasing_id()),
+        "digests")
+    groups = written(_groups(rows), "groups")
+    texts = distinct_texts(with_digests(docs, digest), "texts")
+    keys = groups.select(*KEY)
+    matched = [
+        _verified(texts, written(screened(keys, s), "hits"), s) for s in snapshots]
+    none = keys.where(F.lit(False))
+    seen = written(reduce(DataFrame.unionAll, matched, none).distinct(), "seen")
+    fresh = written(texts.join(seen.hint("merge"), KEY, "left_anti"), "fresh")
+    marked = groups.join(seen.withColumn("seen", F.lit(True)), KEY, "left")
+    found = rows.join(marked, KEY).select(
+        "doc_id", "digest", "n_chars", F.col("size").alias("group_size"),
+        F.coalesce("seen", F.lit(False)).alias("seen"),
+        (F.col("seen").isNull() & (F.col("row") == F.col("best.row"))).alias("kept"),
+    )
+    return found, seal(fresh)
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -139,11 +210,7 @@ def decisions(docs: DataFrame, batches: int = 2, digest: Digest = sha256) -> Dat
             arriving = written(arriving.join(wanted.hint("merge"), KEY, "left_semi"), "arriving")
         texts = distinct_texts(arriving, "texts")
         for hit, snapshot in zip(hits, snapshots, strict=True):
-            positive = texts.join(hit, KEY, "left_semi").alias("positive")
-            bucket = snapshot.texts.hint("merge").alias("bucket")
-            same = positive.join(bucket, F.col("positive.digest") == F.col("bucket.digest")).where(
-                F.col("positive.body") == F.col("bucket.body"))
-            matched.append(written(same.select("positive.digest", "positive.check"), "matched"))
+            matched.append(_verified(texts, hit, snapshot))
         if not last:
             snapshots.append(seal(texts))
 

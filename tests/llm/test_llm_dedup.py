@@ -78,6 +78,57 @@ def test_screening_keeps_every_member(spark):
     assert set(range(4000, 5000)) <= got and len(got) < 1100
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_batches_against_kept_snapshots(spark, odd, odd_rows, none, tmp_path, weak):
+    """Batches that arrive one by one, with snapshots read from folders, against plain Python."""
+    digest = (lambda body: F.substring(F.sha2(body, 256), 1, 1)) if weak else exact_dedup.sha256
+    seen, kept = set(), 0
+    for i in range(3):
+        of_batch = [r[:2] for r in odd_rows if ((r[0] or 0) + len(r[1] or "")) % 3 == i]
+        of_batch += [r[:2] for r in odd_rows[:12]] if i == 2 else []
+        batch = spark.createDataFrame(of_batch, "doc_id long, text string").repartition(4)
+        known = [exact_dedup.load(spark, str(tmp_path / f"{j}")) for j in range(i)]
+        found, fresh = exact_dedup.screen(batch, known, digest)
+        groups = expected_groups(of_batch)
+        wanted = sorted(
+            (str(d), len(t or ""), groups[squeezed(t)][1], squeezed(t) in seen) for d, t in of_batch)
+        rows = found.collect()
+        assert wanted == sorted(
+            (str(r["doc_id"]), r["n_chars"], r["group_size"], r["seen"]) for r in rows)
+        stay = {groups[b][0] for b in groups if b not in seen}
+        assert {r["doc_id"] for r in rows if r["kept"]} == stay
+        kept += sum(r["kept"] for r in rows)
+        seen |= set(groups)
+        exact_dedup.save(fresh, str(tmp_path / f"{i}"))
+    assert kept == len(seen) == sum(
+        exact_dedup.load(spark, str(tmp_path / f"{j}")).texts.count() for j in range(3))
+    with pytest.raises(FileExistsError):
+        exact_dedup.save(fresh, str(tmp_path / "0"))
+    with pytest.raises(FileNotFoundError):
+        exact_dedup.load(spark, str(tmp_path / "9"))
+    found, fresh = exact_dedup.screen(none, known)
+    assert found.count() == fresh.texts.count() == 0
+
+
+def test_a_large_batch_asks_a_small_snapshot_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "SHARD_KEYS", 100)
+    largest = spark.sparkContext.accumulator(0)
+    asked = exact_dedup.may_contain
+
+    def counted(made, keys):
+        if len(keys) > 200:
+            largest.add(1)
+        return asked(made, keys)
+
+    monkeypatch.setattr(exact_dedup, "may_contain", counted)
+    digests = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    snapshot = exact_dedup.seal(digests.limit(0).unionAll(spark.range(50).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("digest"))))
+    found = {r[0] for r in exact_dedup.screened(digests, snapshot).collect()}
+    assert {hashlib.sha256(str(i).encode()).hexdigest() for i in range(50)} <= found
+    assert len(found) < 200 and largest.value == 0
+
+
 def test_exact_dedup_of_nothing(none):
     assert exact_dedup.decisions(none).count() == 0
     assert exact_dedup.drop_copies(none).count() == 0
