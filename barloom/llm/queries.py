@@ -22,7 +22,7 @@ from barloom.llm.quality_rules import quality_rules
 from barloom.llm.simhash import near_duplicates
 from barloom.llm.token_scan import token_counts
 from barloom.llm.toxicity import toxicity
-from barloom.session import shared_folder
+from barloom.work import work_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,7 +93,7 @@ def op9_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents are written to flat files and counted there."""
-    folder = f"{shared_folder(spark)}/barloom/flat-{uuid.uuid4().hex}"
+    folder = f"{work_root(spark)}/flat-{uuid.uuid4().hex}"
     return token_counts(table(spark, sf_dir, "documents"), folder)
 
 

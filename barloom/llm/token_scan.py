@@ -25,6 +25,8 @@ END = 2
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_TOKENS = 1 << 19
 FILE_DOCS = 20_000
+#: Bytes of a flat file at most: a task reads a file as one value, which can't be larger.
+FILE_BYTES = (1 << 31) - 16
 #: Texts tokenised by one call.
 TEXTS = 64
 
@@ -55,8 +57,15 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: in
 def separators(
     spark: SparkSession, folder: str, end: int = END, block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
-    """(file, block, blocks, tokens, ends) of each block: its length and its separators' places."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    """(file, block, blocks, tokens, ends) of each block: its length and its separators' places.
+
+    Every file of the folder is a flat file, but those that begin with _ or a dot. One of more than
+    FILE_BYTES is an error, which is raised before any is read.
+    """
+    files = spark.read.format("binaryFile").load(folder)
+    large = files.where(F.col("length") > FILE_BYTES).select("path", "length").first()
+    if large:
+        raise ValueError(f"{large['path']} has {large['length']} bytes; split files of over {FILE_BYTES}")
     size = 2 * block_tokens
     blocks = files.withColumn(
         "blocks", F.greatest(F.ceil(F.col("length") / size), F.lit(1)).cast("long")

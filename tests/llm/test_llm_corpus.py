@@ -322,18 +322,27 @@ def test_scan_of_any_blocks(spark, tmp_path, block):
     rng = np.random.default_rng(block)
     files = {
         "part-0": rng.integers(0, 6, 200), "part-1": [], "part-2": [2, 2, 2], "part-3": [5] * 50,
-        "part-4": [5] * 20 + [2] + [7] * 20, "part-5": [2],
+        "part-4": [5] * 20 + [2] + [7] * 20, "tokens.bin": [2], "another": [5, 2, 5],
     }
     for name, tokens in files.items():
         (tmp_path / name).write_bytes(np.array(tokens, "<u2").tobytes())
     (tmp_path / "part-6").write_bytes(b"\x05\x00\x02\x00\x07")
     files["part-6"] = [5, 2]
+    (tmp_path / "_log").write_bytes(b"\x05\x00")
     scanned = token_scan.separators(spark, str(tmp_path), 2, block)
     found = defaultdict(list)
     for r in token_scan.count_tokens(scanned, block).collect():
         found[r["file"].rsplit("/", 1)[1]].append((r["doc"], r["start"], r["n_tokens"], r["closed"]))
     for name, tokens in files.items():
         assert sorted(found[name]) == plain_counts(list(tokens), 2), name
+    assert "_log" not in found
+
+
+def test_files_that_no_task_can_hold_are_an_error(spark, tmp_path, monkeypatch):
+    (tmp_path / "part-0").write_bytes(b"\x05\x00" * 10)
+    monkeypatch.setattr(token_scan, "FILE_BYTES", 19)
+    with pytest.raises(ValueError, match="part-0 has 20 bytes"):
+        token_scan.separators(spark, str(tmp_path))
 
 
 def test_counts_are_the_tokenizers(spark, odd, odd_rows, real, tmp_path):
