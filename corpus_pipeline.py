@@ -12,7 +12,7 @@ from barloom.llm.exact_dedup import drop_copies
 from barloom.llm.length_packing import packed
 from barloom.llm.quality_classifier import drop_rejected
 from barloom.llm.simhash import drop_near_duplicates
-from barloom.session import shared_folder
+from barloom.work import work_root
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each one's rows are written and read again by the next."""
-    folder = f"{shared_folder(spark)}/barloom/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents; each one's rows are written and read again by the next.
+
+    They lie with the intermediate tables, which `discard_work` deletes once the rows of the last
+    stage have been written elsewhere.
+    """
+    folder = f"{work_root(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
