@@ -51,8 +51,8 @@ class Settings:
 SETTINGS = Settings()
 UNDETERMINED = "und"
 
-#: Parts of a language that are cut to the sample's bound by themselves.
-PARTS = 64
+#: The ids' hashes are counted by this many of their first bits to find where a language's sample ends.
+CUT_BITS = 12
 
 #: Numbers that one numpy step gathers at most, n-grams times languages, or else one document.
 STEP = 1_500_000
@@ -172,31 +172,57 @@ def calibrated(logits: np.ndarray, truth: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def candidates(marked: DataFrame, per_lang: int) -> DataFrame:
+    """Distinct rows of (doc_id, lang, _h), among them the `per_lang` smallest `_h` of each language.
+
+    Rows are counted by language and the first bits of the hash, on the map side; up to where these
+    counts reach `per_lang` rows pass, so few of a large language are shuffled or sorted. Repeated
+    rows may leave a language short: its range of hashes is then widened.
+    """
+    last = (1 << CUT_BITS) - 1
+    marked = marked.withColumn("_bits", F.shiftright("_h", 64 - CUT_BITS) + (last + 1) // 2)
+    counts = marked.groupBy("lang", "_bits").agg(F.count(F.lit(1)).alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("lang").orderBy("_bits"))
+    reached = F.min(F.when(F.col("so_far") >= per_lang, F.col("_bits")))
+    cuts = written(
+        counts.withColumn("so_far", so_far).groupBy("lang")
+        .agg(F.coalesce(reached, F.lit(last)).alias("cut")), "cuts")
+    while True:
+        found = written(
+            marked.join(cuts, "lang").where("_bits <= cut").select("doc_id", "lang", "_h").distinct(),
+            "candidates")
+        sizes = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+        short = (F.col("n") < per_lang) & (F.col("cut") < last)
+        sized = cuts.join(sizes, "lang")
+        if sized.where(short).isEmpty():
+            return found
+        wider = F.least(F.lit(last), 4 * F.col("cut") + 3)
+        cuts = written(
+            sized.select("lang", F.when(short, wider).otherwise(F.col("cut")).alias("cut")), "cuts")
+
+
 def learn(docs: DataFrame, settings: Settings = SETTINGS, learn_from: Column | None = None) -> Model:
     """The model learnt from rows of `docs` with a language and a letter, `learn_from` restricting.
 
     The sample is drawn from ids and languages, those with the smallest hashes of each language;
     its ids are broadcast, no more than `max_train`. If there are more, small languages keep all
-    their rows and the others get equal shares. Several languages of one doc_id count as the
-    smallest.
+    their rows and the others get equal shares. A doc_id with several languages counts for each,
+    with the texts it has there.
     """
     lettered = whole("text").rlike(r"\p{L}")
     marked = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & lettered)
     if learn_from is not None:
         marked = marked.where(learn_from)
-    marked = marked.groupBy("doc_id").agg(F.min(F.col("lang").cast("string")).alias("lang"))
-    # First in parts of each language, so that no task ranks a whole one.
     hashed = F.xxhash64(F.lit(settings.seed), "doc_id")
-    marked = marked.withColumn("_h", hashed).withColumn("_part", F.pmod("_h", F.lit(PARTS)))
-    for keys in (["lang", "_part"], ["lang"]):
-        first = Window.partitionBy(*keys).orderBy("_h", "doc_id")
-        marked = marked.withColumn("_n", F.row_number().over(first)).where(
-            F.col("_n") <= settings.per_lang)
+    marked = marked.select("doc_id", F.col("lang").cast("string").alias("lang"), hashed.alias("_h"))
+    first = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    ranked = candidates(marked, settings.per_lang).withColumn("_n", F.row_number().over(first))
     # The first of each language, then the second of each, and so on.
-    dealt = marked.orderBy("_n", "_h", "doc_id").limit(settings.max_train)
+    dealt = ranked.where(F.col("_n") <= settings.per_lang).orderBy("_n", "_h", "doc_id").limit(
+        settings.max_train)
     chosen = written(dealt.select("doc_id", "lang"), "sample")
-    rows = docs.select("doc_id", cleaned().alias("text")).join(
-        F.broadcast(chosen), "doc_id").where(F.length("text") > 1)
+    texts = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), cleaned().alias("text"))
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).where(F.length("text") > 1)
     # Of several rows of one doc_id the smallest text counts.
     rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     return Model(*pickle.loads(

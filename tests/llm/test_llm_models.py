@@ -59,6 +59,49 @@ def test_training_lowers_the_loss_and_finds_the_word():
     assert not net.table[-1].any()
 
 
+def test_gradients_against_differences():
+    """A first step of Adagrad tells the gradient; differences of the loss tell it as well."""
+    rng = np.random.default_rng(8)
+    documents = [
+        (int(i % 3 == 0), rng.integers(0, 1000, n), rng.integers(0, 1000, n), None)
+        for i, n in enumerate([5, 1, 9, 2, 7, 12, 3])]
+
+    def trained(rate):
+        settings = tox.Settings(buckets=50, dim=4, filters=3, epochs=1, batch=7, rate=rate)
+        net = tox.Network(settings)
+        net.out = np.linspace(-1, 1, 9).astype("f4")
+        net.bias = [np.full(3, 0.3, "f4") for _ in net.widths]
+        tox._train(net, documents, settings)
+        return net
+
+    rate, eps = 1e-2, 1e-5
+    start, after = trained(0.0), trained(rate)
+    start.table, start.out = start.table.astype("f8"), start.out.astype("f8")
+    start.kernels = [k.astype("f8") for k in start.kernels]
+    start.bias = [b.astype("f8") for b in start.bias]
+    y = np.array([d[0] for d in documents])
+    weight = len(y) / (2 * np.bincount(y, minlength=2))
+
+    def loss():
+        z = np.array([by_hand(start, d[1], d[2]) for d in documents])
+        return float((weight[y] * (np.logaddexp(0, z) - y * z)).mean())
+
+    pairs = [(start.out, after.out), (start.table[:-1], after.table[:-1]),
+             *zip(start.kernels, after.kernels), *zip(start.bias, after.bias)]
+    for array, moved in pairs:
+        step = (array - moved) / rate  # gradient / sqrt(0.01 + gradient ** 2)
+        stepped = 0.1 * step / np.sqrt(np.maximum(1 - step * step, 1e-9))
+        flat = array.reshape(-1)
+        for i in rng.choice(flat.size, min(25, flat.size), replace=False):
+            own = flat[i]
+            flat[i] = own + eps
+            up = loss()
+            flat[i] = own - eps
+            down = loss()
+            flat[i] = own
+            assert stepped.reshape(-1)[i] == pytest.approx((up - down) / (2 * eps), rel=0.02, abs=5e-4)
+
+
 def test_best_cut():
     assert tox.best_cut(np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0])) == 1.5
     assert tox.best_cut(np.array([1.0, 1.0]), np.array([1, 1]), 9.0) == 9.0
@@ -179,3 +222,26 @@ def test_language_sample_is_dealt_over_the_languages(spark, monkeypatch):
     language_id.learn(docs, language_id.Settings(per_lang=15, max_train=250))
     assert (seen.pop("rare"), seen.pop("mixed")) == (4, 6)
     assert len(seen) == 30 and sum(seen.values()) == 240 and set(seen.values()) == {8}
+
+
+@pytest.mark.parametrize("per_lang", [1, 40, 5000])
+def test_language_candidates_hold_the_smallest_hashes(spark, per_lang):
+    """However rows repeat: half of one language are copies of the id with the smallest hash."""
+    ids = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 0, "b").otherwise("a").alias("lang"),
+        F.xxhash64(F.lit(3), "id").alias("_h"))
+    smallest = ids.where("lang = 'a'").orderBy("_h").limit(1).crossJoin(
+        spark.range(3000).select(F.col("id").alias("n"))).drop("n")
+    found = lang.candidates(ids.unionAll(smallest).repartition(5), per_lang).collect()
+    assert len(found) == len({r["doc_id"] for r in found})
+    for one in ("a", "b"):
+        wanted = sorted(r["_h"] for r in ids.where(F.col("lang") == one).collect())[:per_lang]
+        have = sorted(r["_h"] for r in found if r["lang"] == one)
+        assert have[:per_lang] == wanted and len(have) <= 6 * per_lang + 10
+
+
+def test_language_sample_ranks_few_rows(real):
+    """The window over a language reads a written table of candidates, never the documents."""
+    marked = real("documents").select("doc_id", "lang", F.xxhash64(F.lit(3), "doc_id").alias("_h"))
+    plan = lang.candidates(marked.where("lang is not null"), 5)._jdf.queryExecution().toString()
+    assert "candidates-" in plan and "documents.parquet" not in plan
