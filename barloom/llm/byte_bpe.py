@@ -36,6 +36,8 @@ OVERLAP = 1 << 10
 MARGIN = 8
 #: Pre-tokens whose ids a task remembers.
 KNOWN_PIECES = 200_000
+#: Bytes of results that a task gathers before it hands them on.
+GATHERED = 1 << 20
 #: Code points that became letters or numbers after Unicode 16, which the vocabulary's
 #: library counts as other symbols.
 NEWER = (
@@ -99,15 +101,33 @@ class Ids(dict):
         return b"".join(map(self.__getitem__, pieces))
 
 
+def gathered(results: Iterable[bytes]) -> Iterator[pa.Array]:
+    """The results in order, in arrays of about `GATHERED` bytes: a batch has many times that."""
+    held, size = [], 0
+    for result in results:
+        held.append(result)
+        size += len(result)
+        if size >= GATHERED:
+            yield pa.array(held, pa.binary())
+            held, size = [], 0
+    if held:
+        yield pa.array(held, pa.binary())
+
+
 def encoded_texts(text: Column, tokenizer: str, pattern: str) -> Column:
-    """The ids of whole texts, as binary."""
-    @F.arrow_udf("binary")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        split, known = splitter(pattern), Ids(read_ranks(tokenizer))
-        for texts in batches:
-            yield pa.array((known.of(split(t.as_py())) for t in texts), pa.binary())
+    """The ids of whole texts, as binary. For texts of bounded length: Spark hands over 100 at once,
+    which are far fewer than the rows of an Arrow batch."""
+    tools = []
 
-    return ids(text)
+    @F.udf("binary", useArrow=False)
+    def ids(whole_text: str) -> bytes:
+        if not tools:  # once a task
+            tools.extend((splitter(pattern), Ids(read_ranks(tokenizer))))
+        split, known = tools
+        return known.of(split(whole_text))
+
+    # A string that is no UTF-8 would come changed.
+    return ids(F.validate_utf8(text))
 
 
 def _span(split, key, doc_id, k: int, start: int, nxt: int, stop: int, text: str) -> dict:
@@ -190,7 +210,8 @@ def _merged(spans: DataFrame, seams: DataFrame, pattern: str) -> DataFrame:
                 held["stop"], "".join(texts))] if joined else [{**held, "text": texts[0]}])
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):  # as Python objects a batch is several times as large
+                row = batch.slice(at, 1).to_pylist()[0]
                 if row.pop("seam") is not None:
                     if held:
                         yield out()
@@ -214,19 +235,15 @@ def encoded_chunks(
     @F.arrow_udf("binary")
     def ids(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         known = Ids(read_ranks(tokenizer))
-        for texts, ends, starts, seams, stops in batches:
-            out = []
-            for row in range(len(texts)):
-                start = starts[row].as_py()
-                text, a, b = texts[row].as_py(), seams[row].as_py() - start, stops[row].as_py() - start
-                cuts = np.asarray(ends[row].values)
-                cuts = [a, *cuts[(cuts > a) & (cuts <= b)].tolist()]
-                out.append(known.of(text[i:j] for i, j in zip(cuts, cuts[1:], strict=False)))
-            yield pa.array(out, pa.binary())
+        for batch in batches:
+            yield from gathered(one(known, *(c[row] for c in batch)) for row in range(len(batch[0])))
 
-    @F.arrow_udf("binary")
-    def together(parts: pa.Array) -> pa.Array:
-        return pa.array((b"".join(p["ids"] for p in row.as_py()) for row in parts), pa.binary())
+    def one(known: Ids, text, ends, start, seam, stop) -> bytes:
+        text, start = text.as_py(), start.as_py()
+        a, b = seam.as_py() - start, stop.as_py() - start
+        cuts = np.asarray(ends.values)
+        cuts = [a, *cuts[(cuts > a) & (cuts <= b)].tolist()]
+        return known.of(text[i:j] for i, j in zip(cuts, cuts[1:], strict=False))
 
     keyed = long.withColumn("key", F.monotonically_increasing_id())
     chunks = _chunks(keyed, chunk).repartition(shuffle_partitions(long.sparkSession), "key", "k")
@@ -243,9 +260,8 @@ def encoded_chunks(
         "key", "doc_id", "k",
         ids("text", "ends", "start", "seam", F.coalesce("until", "stop")).alias("ids"))
     # One group is one document.
-    whole_docs = part.groupBy("key", "doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("parts"))
-    return whole_docs.select("doc_id", together("parts").alias("ids"))
+    return part.groupBy("key", "doc_id").agg(
+        F.expr("listagg(ids) within group (order by k)").alias("ids")).select("doc_id", "ids")
 
 
 def encode(
@@ -280,8 +296,8 @@ def decode(encoded: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = {rank: token for token, rank in read_ranks(tokenizer).items()}
         for rows in batches:
-            yield pa.array((
+            yield from gathered(
                 b"".join(map(token.__getitem__, np.frombuffer(r.as_py() or b"", "<u4").tolist()))
-                for r in rows), pa.binary())
+                for r in rows)
 
     return encoded.withColumn("decoded", bytes_of("ids"))

@@ -81,6 +81,35 @@ def test_memory_of_pieces_is_bounded(library, monkeypatch):
     assert len(known) <= 5
 
 
+def test_results_are_handed_on_in_small_arrays(spark, library, monkeypatch):
+    """Whole batches of results would take an executor's memory: 5 MB here, in one partition."""
+    import pyarrow
+
+    class Small:
+        def __getattr__(self, name):
+            return getattr(pyarrow, name)
+
+        def array(self, *given):
+            made = pyarrow.array(*given)
+            assert made.nbytes < 2 << 20
+            return made
+
+    monkeypatch.setattr(bpe, "pa", Small())
+    docs = spark.range(0, 500, 1, 1).selectExpr(
+        "id as doc_id", "repeat('word \U0001f600' || id || '\0 ', if(id < 470, 800, 5000)) as text")
+    check(docs, library)
+    assert [len(a) for a in bpe.gathered(bytes([i]) * (1 << 19) for i in range(5))] == [2, 2, 1]
+    assert [len(a) for a in bpe.gathered([b"", b"x" * (1 << 20), b""])] == [2, 1]
+    assert list(bpe.gathered([])) == []
+
+
+def test_texts_that_are_no_utf8_are_an_error(spark):
+    for times in (1, bpe.CHUNK + 1):
+        bad = spark.sql(f"select 1 as doc_id, cast(unhex(repeat('ff', {times})) as string) as text")
+        with pytest.raises(Exception, match="(?i)utf-?8"):
+            bpe.encode(bad).collect()
+
+
 def test_errors(spark):
     with pytest.raises(ValueError):
         bpe.encode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), chunk=bpe.OVERLAP)
